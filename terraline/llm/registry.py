@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from terraline.llm import langid
+from terraline.llm import langid, simhash
 
 
 def queries() -> dict:
-    return {"op1_language_id": langid.op1_language_id}
+    return {
+        "op1_language_id": langid.op1_language_id,
+        "op5_simhash": simhash.op5_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
