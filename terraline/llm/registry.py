@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from terraline.llm import langid, simhash
+from terraline.llm import bpe, decontam, langid, sadedup, sharding, simhash, telephony
 
 
 def queries() -> dict:
     return {
         "op1_language_id": langid.op1_language_id,
+        "op4_byte_bpe": bpe.op4_byte_bpe,
         "op5_simhash": simhash.op5_simhash,
+        "op6_sharding": sharding.op6_sharding,
+        "op8_decontamination": decontam.op8_decontamination,
+        "op9_telephony": telephony.op9_telephony,
+        "op10_suffix_array_dedup": sadedup.op10_suffix_array_dedup,
     }
 
 
