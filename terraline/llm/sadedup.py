@@ -167,16 +167,17 @@ def repeated_in_shard(bodies: list[bytes], position: np.ndarray, copies: np.ndar
     flat = np.frombuffer(b"".join(bodies), np.uint8)
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(bodies)), sizes)
-    most = ends[owner] - np.arange(len(flat))
     sa = sais.suffix_array(flat)
-    plcp = sais.permuted_lcp(flat, sa, np.minimum(most, length))
-    run = np.cumsum(plcp[sa] < length) - 1  # suffixes of one run share `length` bytes
+    plcp = sais.permuted_lcp(flat, sa, np.minimum(np.arange(len(flat), 0, -1), length))
+    run = np.cumsum(plcp[sa] < length)  # suffixes of one run begin with the same `length` bytes
+    long = (ends[owner] - np.arange(len(flat)))[sa] >= length  # bytes that don't run into the next body
+    sa, run = sa[long], run[long]
     place = (position[owner] + np.arange(len(flat)) - (ends - sizes)[owner])[sa]
-    long = most[sa] >= length
     first = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
     several = np.minimum.reduceat(place, first) != np.maximum.reduceat(place, first)
     several |= np.maximum.reduceat(copies[owner][sa], first) > 1
-    starts = np.sort(sa[several[run] & long])
+    several = np.repeat(several, np.diff(first, append=len(sa)))
+    starts = np.sort(sa[several])
     if not len(starts):
         return starts, starts, starts
     breaks = np.r_[True, (np.diff(starts) > length) | (owner[starts[1:]] != owner[starts[:-1]])]
