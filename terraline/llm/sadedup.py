@@ -2,9 +2,9 @@
 
 A byte goes if a string of `length` bytes that covers it also starts anywhere else in the input, the same document included.
 
-1. Anchors. Every string of `length` bytes holds `length - gram + 1` overlapping grams; those with the smallest hash in some
-   such window are its document's anchors. Equal strings have equal anchors at the same offset, so a repeated string always
-   lies in the neighbourhood (length - gram bytes before, length - gram after) of an anchor whose gram occurs again.
+1. Anchors. The anchor of a string of `length` bytes is the first of its grams with the smallest hash; neighbouring strings
+   mostly share theirs. An anchor's neighbourhood is all that the strings it anchors cover. Equal strings have equal anchors at
+   the same offset, so a repeated string lies in the neighbourhood of an anchor whose gram occurs again.
 2. Anchors are counted by gram, and those that occur once are gone. Equal neighbourhoods (128 bits of hashes) are repeated as a
    whole; only where a repeated gram stands in different neighbourhoods must text be compared.
 3. For those, one representative of each neighbourhood goes to the shard of its gram. A shard's suffix array is induced
@@ -41,7 +41,7 @@ GRAM = 32
 HOT = 8_000
 _PIECE = 2 << 20
 _SHARD = 4 << 20
-_MAX = np.uint64(2**64 - 1)
+_MAX, _ONE = np.uint64(2**64 - 1), np.uint64(1)
 _KEYS = ["k1", "k2"]
 
 
@@ -92,35 +92,31 @@ def sliding(values: np.ndarray, w: int, op: np.ufunc, fill) -> np.ndarray:
 _ROLLER = Roller()
 
 
-def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, position and gram hash of every anchor."""
-    none = np.zeros(0, np.int64)
+def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Text number, position and gram hash of every anchor, and the first and last of the strings (by their starts) whose anchor it is."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     long = np.flatnonzero(lengths >= length)
     if not len(long):
-        return none, none, np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64), none, none
     flat = np.frombuffer(b"".join(texts[i] for i in long), np.uint8)
-    size = lengths[long]
-    ends = np.cumsum(size)
+    ends = np.cumsum(lengths[long])
+    starts = ends - lengths[long]
     h = _ROLLER.grams(flat, gram)
-    whole = np.zeros(len(h), bool)
-    starts = ends - size
-    edges = np.zeros(len(flat) + 1, np.int8)
-    edges[starts] += 1
-    edges[ends - gram + 1] -= 1
-    whole = np.cumsum(edges[: len(h)], dtype=np.int8) > 0  # grams that lie in one text
-    h[~whole] = _MAX
-    w = length - gram + 1
-    least = sliding(h, w, np.minimum, _MAX)
+    at = np.arange(len(h), dtype=np.uint64)
+    bits = np.uint64(max(1, int(len(h)).bit_length()))
+    where = sliding((h & ~((_ONE << bits) - _ONE)) | at, length - gram + 1, np.minimum, _MAX) & ((_ONE << bits) - _ONE)
     edges = np.zeros(len(flat) + 1, np.int8)
     edges[starts] += 1
     edges[ends - length + 1] -= 1
-    least[np.cumsum(edges[: len(h)], dtype=np.int8) <= 0] = 0  # windows that don't
-    back = np.zeros(len(h) + w - 1, np.uint64)
-    back[w - 1 :] = least
-    at = np.flatnonzero((sliding(back, w, np.maximum, np.uint64(0))[: len(h)] == h) & whole)
-    doc = np.searchsorted(ends, at, side="right")
-    return long[doc], at - starts[doc], h[at]
+    inside = np.flatnonzero(np.cumsum(edges[: len(h)], dtype=np.int8) > 0)  # strings that lie in one text
+    p = where[inside].astype(np.int64)
+    head = np.r_[True, p[1:] != p[:-1]]  # no anchor is shared by two texts
+    first, last = inside[head], inside[np.r_[head[1:], True]]
+    p = p[head]
+    doc = np.searchsorted(ends, p, side="right")
+    base = starts[doc]
+    return long[doc], p - base, h[p], first - base, last - base
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> list:
@@ -130,17 +126,15 @@ def _keys(docs: DataFrame, id_col: str, text_col: str) -> list:
 def anchor_table(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
     """k1, k2 (the document), p (anchor), h (gram), nh (neighbourhood), lo and size (its range)."""
     frame = docs.select(*_keys(docs, id_col, text_col), F.col(text_col).alias("text")).where(F.octet_length("text") >= length)
-    reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in common.pieces(batches, "text", _PIECE):
             texts = common.texts_of(batch, "text")
-            doc, p, h = anchors(texts, length, gram)
+            doc, p, h, lo, last = anchors(texts, length, gram)
             if not len(doc):
                 continue
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))[doc]
-            lo, hi = np.maximum(p - reach, 0), np.minimum(p + length, sizes)
+            hi = last + length
             nh = np.array([digest(texts[d][a:b], c) for d, a, b, c in zip(doc.tolist(), lo.tolist(), hi.tolist(), (p - lo).tolist(), strict=True)], np.uint64)
             take = pa.array(doc)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(p), pa.array(h.view(np.int64)), pa.array(nh.view(np.int64)), pa.array(lo), pa.array(hi - lo)], names=["k1", "k2", "p", "h", "nh", "lo", "size"])
