@@ -236,9 +236,9 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     common.ship(spark)
     gram = min(GRAM, max(1, length // 2)) if gram is None else gram
     every, every_path = common.materialize(anchor_table(docs, id_col, text_col, length, gram), "anchors")
-    again = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    again, again_path = common.materialize(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-grams")
     twice, twice_path = common.materialize(every.join(again, "h", "left_semi"), "repeated-anchors")
-    common.discard(spark, every_path)
+    common.discard(spark, every_path, again_path)
     place = F.struct("k1", "k2", "p", "lo", "size")
     kinds, kinds_path = common.materialize(twice.groupBy("h", "nh").agg(F.count("*").alias("c"), F.min(place).alias("r")), "neighbourhoods")
     copied = twice.join(kinds.where("c > 1").select("h", "nh"), ["h", "nh"], "left_semi").select(*_KEYS, F.col("lo").alias("s"), (F.col("lo") + F.col("size")).alias("e"))
@@ -275,12 +275,14 @@ def cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: list[str] | None = None, output: str = "kept", hot: int = HOT) -> DataFrame:
-    """The columns in keep (all by default), n_bytes, n_removed, n_spans and kept (binary), or kept_sha256 for output "digest"."""
-    ours = ["n_bytes", "n_removed", "n_spans", "kept_sha256" if output == "digest" else "kept"]
+    """The columns in keep (all by default), n_bytes, n_removed, n_spans and kept (binary); for output "text"
+    kept_text (without the bytes of characters that a cut split), for "digest" kept_sha256."""
+    ours = ["n_bytes", "n_removed", "n_spans", {"digest": "kept_sha256", "text": "kept_text"}.get(output, "kept")]
+    kind = T.BinaryType() if output == "kept" else T.StringType()
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ours]
     whole = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
     frame = _with_lists(docs, repeated_ranges(docs, id_col, text_col, length, hot=hot), id_col, text_col, "left", [whole]).select("row", "text", "ranges")
-    schema = T.StructType([frame.schema["row"], *(T.StructField(c, T.LongType()) for c in ours[:3]), T.StructField(ours[3], T.StringType() if output == "digest" else T.BinaryType())])
+    schema = T.StructType([frame.schema["row"], *(T.StructField(c, T.LongType()) for c in ours[:3]), T.StructField(ours[3], kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.pieces(batches, "text", 4 * _PIECE):
@@ -294,17 +296,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 a, b = offsets[i] - base, offsets[i + 1] - base
                 runs = unite(list(zip(s[a:b].tolist(), e[a:b].tolist(), strict=True))) if there[i] else []
                 kept = cut(text, runs) if runs else text
-                rows.append((len(text), len(text) - len(kept), len(runs), hashlib.sha256(kept).hexdigest() if output == "digest" else kept))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)), pa.array([r[3] for r in rows], pa.string() if output == "digest" else pa.binary())], names=schema.names)
+                rows.append((len(text), len(text) - len(kept), len(runs), hashlib.sha256(kept).hexdigest() if output == "digest" else kept.decode("utf-8", "ignore") if output == "text" else kept))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)), pa.array([r[3] for r in rows], pa.binary() if output == "kept" else pa.string())], names=schema.names)
 
     return frame.mapInArrow(run, schema).select("row.*", *ours)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """docs with the repeated strings cut out of text (bytes of a character that a cut split go too) and n_chars counted anew."""
-    found = remove_repeats(docs)
-    text = F.when(F.col("text").isNotNull(), F.decode(F.col("kept"), F.lit("UTF-8")))
-    return found.select(*[(text.alias("text") if c == "text" else F.length(text).cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")) for c in docs.columns])
+    """docs with the repeated strings cut out of text (bytes of a character that a cut split go too; null stays null) and n_chars counted anew."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    found = remove_repeats(whole, keep=["row"], output="text").select("row.*", F.when(F.col("row.text").isNotNull(), F.col("kept_text")).alias("__text"))
+    new = {"text": F.col("__text"), "n_chars": F.length("__text")}
+    return found.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

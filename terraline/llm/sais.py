@@ -48,23 +48,34 @@ def common_prefix(t: np.ndarray, i: np.ndarray, j: np.ndarray, most: np.ndarray)
 
 
 def doubling(t: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling ranks."""
+    """Suffix array by doubling ranks; only suffixes whose rank is still shared are sorted again."""
     n = len(t)
-    if not n:
-        return np.zeros(0, np.int64)
-    rank = np.unique(t, return_inverse=True)[1].astype(np.int64) + 1
-    step = 1
-    while True:
-        key = rank * (n + 1)
-        key[:-step or None] += rank[step:] if step < n else 0
-        order = np.argsort(key)
-        key = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.r_[1, key[1:] != key[:-1]])
-        rank = new
-        if rank.max() == n:
-            return order
+    order = np.argsort(t, kind="stable")
+    symbols = t[order]
+    at = np.arange(n)
+    first = np.maximum.accumulate(np.where(np.r_[True, symbols[1:] != symbols[:-1]], at, 0)) if n else at
+    rank = np.empty(n, np.int64)
+    rank[order] = first
+    live, step = order, 1
+    shared = np.r_[first[1:] == first[:-1], False] | np.r_[False, first[1:] == first[:-1]] if n else np.zeros(0, bool)
+    live = order[shared]
+    while len(live):
+        old = rank[live]
+        ahead = live + step
+        key = old * (n + 1)
+        inside = ahead < n
+        key[inside] += rank[ahead[inside]] + 1
+        sort = np.argsort(key)
+        live, key, old = live[sort], key[sort], old[sort]
+        at = np.arange(len(live))
+        group = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], at, 0))
+        fine = np.r_[True, key[1:] != key[:-1]]
+        new = old + np.maximum.accumulate(np.where(fine, at, 0)) - group
+        order[old + at - group] = live
+        rank[live] = new
+        live = live[~(fine & np.r_[fine[1:], True])]
         step *= 2
+    return order
 
 
 def _spread(sa: np.ndarray, at: np.ndarray, chars: np.ndarray, values: np.ndarray, sigma: int, step: int) -> None:
@@ -134,7 +145,9 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     mark = np.zeros(n, bool)
     mark[left] = True
     order = sa[mark[sa]]
-    which = np.searchsorted(left, order)
+    number = np.empty(n, np.int64)
+    number[left] = np.arange(len(left))
+    which = number[order]
     size = np.diff(left, append=n)[which] + 1  # up to and with the next one; the last runs into the end
     a, b = order[:-1], order[1:]
     size_a, size_b = size[:-1], size[1:]
@@ -161,9 +174,8 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray, most: np.ndarray) -> np.ndarray:
     phi[sa[1:]] = sa[:-1]
     has = phi >= 0
     reducible = np.zeros(n, bool)
-    i = np.flatnonzero(has[1:] & has[:-1]) + 1
-    j = phi[i]
-    reducible[i] = (j > 0) & (t[i - 1] == t[j - 1]) & (phi[i - 1] == j - 1)
+    i = np.flatnonzero((phi[:-1] == phi[1:] - 1) & (phi[1:] > 0)) + 1
+    reducible[i] = t[i - 1] == t[phi[i] - 1]
     k = np.flatnonzero(has & ~reducible)
     limit = np.minimum(n - k, n - phi[k])
     raw = np.zeros(n, np.int64)
