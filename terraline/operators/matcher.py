@@ -1,0 +1,120 @@
+"""Map matching: candidates in Catalyst (radius join on edge samples, exact projection), the sequential choice per track in Arrow batches."""
+
+from __future__ import annotations
+
+from collections import deque
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from terraline.functions.geo import angular_diff, bearing_deg, direction_score
+from terraline.operators.ordered import movement
+from terraline.operators.spatial import edge_samples, edge_segments, project_on_edges, radius_join
+
+
+@dataclass(frozen=True)
+class MatchConfig:
+    max_dist_m: float = 150.0
+    dir_weight: float = 0.35
+    history: int = 4
+    decay: float = 0.70
+    history_weight: float = 0.65
+    hysteresis: float = 0.7
+    smooth_radius: int = 2
+    smooth_min_run: int = 1
+    smooth_passes: int = 4
+
+
+def candidates(points: DataFrame, edges: DataFrame, track: str, order: str, cfg: MatchConfig = MatchConfig()) -> DataFrame:
+    """track, order and candidates: array of struct(edge_id, dist, score, qx, qy), by edge_id; empty where no edge is near.
+
+    points: track, order, x, y. edges: edge_id, coords (array<struct<x, y>>).
+    """
+    segments = edge_segments(edges.select("edge_id", "coords")).drop("coords")
+    samples = edge_samples(segments).select("edge_id", "ox", "oy")
+    moved = movement(points.select(track, order, "x", "y"), [track], [order], "x", "y")
+    near = radius_join(moved.select(track, order, "x", "y"), samples, cfg.max_dist_m).select(track, order, "x", "y", "edge_id").distinct()
+    found = project_on_edges(near, segments, [track, order]).join(moved.select(track, order, "mx", "my", "has_move"), [track, order])
+    length = F.sqrt(F.col("sx") ** 2 + F.col("sy") ** 2)
+    diff = angular_diff(bearing_deg(F.col("mx"), F.col("my")), bearing_deg(F.col("sx"), F.col("sy")))
+    score = F.col("dist") / cfg.max_dist_m * (1 - cfg.dir_weight) + direction_score(diff, F.col("has_move"), length) * cfg.dir_weight
+    lists = found.withColumn("score", score).groupBy(track, order).agg(F.array_sort(F.collect_list(F.struct("edge_id", "dist", "score", "qx", "qy"))).alias("candidates"))
+    return points.select(track, order, "x", "y").join(lists, [track, order], "left")
+
+
+def choose(ids: list[np.ndarray], scores: list[np.ndarray], cfg: MatchConfig) -> list[int]:
+    """Position of the chosen candidate of every row (-1: none). Recently chosen edges score better; the current one stays unless
+    another improves on it by the hysteresis; rows without candidates clear the memory; ties go to the smaller edge id."""
+    recent: deque = deque(maxlen=cfg.history)
+    current, out = None, []
+    for edge, score in zip(ids, scores, strict=True):
+        if not len(edge):
+            recent.clear()
+            current = None
+            out.append(-1)
+            continue
+        weights = [cfg.decay**age for age in range(len(recent))]
+        total = sum(weights) or 1.0
+        share = {}
+        for age, e in enumerate(reversed(recent)):
+            share[e] = share.get(e, 0.0) + weights[age] / total
+        adjusted = score * (1 - cfg.history_weight * np.array([share.get(e, 0.0) for e in edge.tolist()]))
+        k = int(np.argmin(adjusted))
+        if current is not None and edge[k] != current:
+            at = np.flatnonzero(edge == current)
+            if len(at) and adjusted[at[0]] - adjusted[k] < cfg.hysteresis:
+                k = int(at[0])
+        current = edge[k].item()
+        recent.append(current)
+        out.append(k)
+    return out
+
+
+def smooth(edges: list, radius: int = 2, min_run: int = 1, passes: int = 4) -> list:
+    """Runs shorter than min_run take the strict majority of their neighbours, in place, until nothing changes."""
+    edges = list(edges)
+    for _ in range(passes):
+        changed, i = False, 0
+        while i < len(edges):
+            j = i
+            while j + 1 < len(edges) and edges[j + 1] == edges[i]:
+                j += 1
+            if edges[i] is not None and j - i + 1 < min_run:
+                around = [e for e in edges[max(0, i - radius) : i] + edges[j + 1 : j + 1 + radius] if e is not None]
+                top = max(set(around), key=lambda e: (around.count(e), -e), default=None)
+                if top is not None and top != edges[i] and around.count(top) * 2 > len(around):
+                    edges[i : j + 1] = [top] * (j - i + 1)
+                    changed = True
+            i = j + 1
+        if not changed:
+            break
+    return edges
+
+
+def match_tracks(points: DataFrame, edges: DataFrame, track: str = "track", order: str = "ord", cfg: MatchConfig = MatchConfig()) -> DataFrame:
+    """track, order, x and y on the road (as they were where no edge is near), x_raw, y_raw, edge_id, dist_to_road_m, road name, ref, highway.
+
+    State is a handful of edge ids per track; a track is one group, as its choices depend on each other.
+    """
+    scored = candidates(points, edges, track, order, cfg)
+    kinds = {f.name: f.dataType.simpleString() for f in scored.schema}
+    schema = f"{track} {kinds[track]}, {order} {kinds[order]}, x double, y double, x_raw double, y_raw double, edge_id long, dist_to_road_m double"
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
+        rows = [list(c) if c is not None else [] for c in pdf["candidates"]]
+        ids = [np.array([c["edge_id"] for c in r], np.int64) for r in rows]
+        picked = choose(ids, [np.array([c["score"] for c in r], float) for r in rows], cfg)
+        chosen = smooth([int(ids[i][k]) if k >= 0 else None for i, k in enumerate(picked)], cfg.smooth_radius, cfg.smooth_min_run, cfg.smooth_passes)
+        got = [next((c for c in r if c["edge_id"] == e), None) for r, e in zip(rows, chosen, strict=True)]
+        return pd.DataFrame({
+            track: pdf[track], order: pdf[order], "x": [c["qx"] if c else x for c, x in zip(got, pdf["x"], strict=True)], "y": [c["qy"] if c else y for c, y in zip(got, pdf["y"], strict=True)],
+            "x_raw": pdf["x"], "y_raw": pdf["y"], "edge_id": pd.array([c["edge_id"] if c else None for c in got], "Int64"), "dist_to_road_m": pd.array([c["dist"] if c else None for c in got], "Float64"),
+        })
+
+    out = scored.groupBy(track).applyInPandas(decide, schema)
+    names = [c for c in ("name", "ref", "highway") if c in edges.columns]
+    return out.join(edges.select("edge_id", *names), "edge_id", "left")

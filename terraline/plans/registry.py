@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from terraline.plans import analytics, telemetry  # noqa: F401  (analytics adds to telemetry's tables)
+
 
 def queries() -> dict:
-    return {}
+    return dict(telemetry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(telemetry.ORACLES)
