@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -73,6 +75,35 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+class Numbered(dict):
+    """Keys get the next number when they are first looked up."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+_HELD: dict = {}
+
+
+def only(kind: str, key, build):
+    """The one large object that a worker process holds: another kind or key replaces it, so operators never add up."""
+    if (kind, key) not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        settle()
+        _HELD[kind, key] = build()
+    return _HELD[kind, key]
+
+
+def settle() -> None:
+    """Give memory that a task no longer needs back to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the column's bytes stay near the limit; one row may exceed it."""
     for batch in batches:
@@ -89,6 +120,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             size += int(lengths[i])
         if start < n:
             yield batch.slice(start)
+    settle()
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes | None]:

@@ -40,7 +40,7 @@ GRAM = 32
 #: Most different neighbourhoods of a gram that one task compares; beyond, they are counted by hash.
 HOT = 8_000
 _PIECE = 2 << 20
-_SHARD = 4 << 20
+_SHARD = 2 << 20
 _MAX, _ONE = np.uint64(2**64 - 1), np.uint64(1)
 _KEYS = ["k1", "k2"]
 
@@ -89,9 +89,6 @@ def sliding(values: np.ndarray, w: int, op: np.ufunc, fill) -> np.ndarray:
     return op(right[:n], left[w - 1 : w - 1 + n])
 
 
-_ROLLER = Roller()
-
-
 def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Text number, position and gram hash of every anchor, and the first and last of the strings (by their starts) whose anchor it is."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -102,7 +99,7 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
     flat = np.frombuffer(b"".join(texts[i] for i in long), np.uint8)
     ends = np.cumsum(lengths[long])
     starts = ends - lengths[long]
-    h = _ROLLER.grams(flat, gram)
+    h = common.only("roller", gram, Roller).grams(flat, gram)
     at = np.arange(len(h), dtype=np.uint64)
     bits = np.uint64(max(1, int(len(h)).bit_length()))
     where = sliding((h & ~((_ONE << bits) - _ONE)) | at, length - gram + 1, np.minimum, _MAX) & ((_ONE << bits) - _ONE)
