@@ -6,15 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: A device is named by letters and three digits.
+DEVICE = r"[A-Za-z]+\d+"
+
+
 def pair_key(name: Column, prefix: str) -> Column:
-    """DEVICE_rest of `PREFIX_DEVICE_rest.txt`; null where it doesn't match."""
-    got = F.regexp_extract(name, rf"(?i)^{prefix}_(DOBACK\d+?)_(.+)\.txt$", 0)
-    key = F.concat_ws("_", F.regexp_extract(name, rf"(?i)^{prefix}_(DOBACK\d+?)_(.+)\.txt$", 1), F.regexp_extract(name, rf"(?i)^{prefix}_(DOBACK\d+?)_(.+)\.txt$", 2))
-    return F.when((got != "") & ~F.lower(name).contains("realtime"), key)
+    """DEVICE_rest of `PREFIX_DEVICE_rest.txt`; null where it doesn't match or the name says realtime."""
+    pattern = rf"(?i)^{prefix}_({DEVICE}?)_(.+)\.txt$"
+    key = F.concat_ws("_", F.regexp_extract(name, pattern, 1), F.regexp_extract(name, pattern, 2))
+    return F.when((F.regexp_extract(name, pattern, 0) != "") & ~F.lower(name).contains("realtime"), key)
 
 
 def file_key(name: Column) -> Column:
-    got = F.regexp_extract(name, r"(DOBACK\d+_\d{8})", 1)
+    got = F.regexp_extract(name, rf"({DEVICE}_\d{{8}})", 1)
     return F.when(got != "", got)
 
 
@@ -24,15 +28,15 @@ def base_name(stem: Column) -> Column:
 
 
 def device_of(name: Column) -> Column:
-    """Last two of the three digits behind DOBACK."""
-    got = F.regexp_extract(F.upper(name), r"DOBACK\d(\d{2})", 1)
+    """Last two of the three digits behind a device's letters."""
+    got = F.regexp_extract(name, r"[A-Za-z]\d(\d{2})(?:\D|$)", 1)
     return F.when(got != "", got)
 
 
-def normalize_device(raw: Column) -> Column:
-    """23, doback23 or DOBACK023 -> DOBACK023."""
-    digits = F.regexp_extract(F.upper(F.trim(raw)), r"(\d+)$", 1)
-    return F.when(digits != "", F.concat(F.lit("DOBACK"), F.lpad(digits, 3, "0")))
+def normalize_device(raw: Column, letters: str) -> Column:
+    """23, or any name that ends with it -> LETTERS023."""
+    digits = F.regexp_extract(F.trim(raw), r"(\d+)$", 1)
+    return F.when(digits != "", F.concat(F.lit(letters), F.lpad(digits, 3, "0")))
 
 
 def loose_double(raw: Column) -> Column:

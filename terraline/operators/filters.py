@@ -95,8 +95,9 @@ def isolated_filter(df: DataFrame, by: list[str], order: list[str], x: str, y: s
 
 
 def drop_ledger(dropped_rows: DataFrame, stage: str, source_key: str, **metadata: Column) -> DataFrame:
-    """source_key, stage, reason, metadata and all source columns."""
-    return dropped_rows.select(F.col(source_key).cast("string").alias("source_key"), F.lit(stage).alias("stage"), F.col(REASON).alias("reason"), *[v.alias(k) for k, v in metadata.items()], *[c for c in dropped_rows.columns if c != REASON])
+    """source_key, stage, reason, metadata and all source columns; those named like one of the former give way."""
+    taken = {REASON, "source_key", "stage", "reason", *metadata}
+    return dropped_rows.select(F.col(source_key).cast("string").alias("source_key"), F.lit(stage).alias("stage"), F.col(REASON).alias("reason"), *[v.alias(k) for k, v in metadata.items()], *[c for c in dropped_rows.columns if c not in taken])
 
 
 def union_ledgers(*ledgers: DataFrame) -> DataFrame:

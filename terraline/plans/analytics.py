@@ -367,9 +367,9 @@ def text_parse_fields(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("bigint").alias("k"))
 
 
-@query("key_extract", "SELECT event_id, 'DOBACK' || lpad((user_id % 90)::VARCHAR, 3, '0') || '_' || (20240000 + event_id % 9999) AS key, lpad((user_id % 90)::VARCHAR, 2, '0') AS device FROM events")
+@query("key_extract", "SELECT event_id, 'UNIT' || lpad((user_id % 90)::VARCHAR, 3, '0') || '_' || (20240000 + event_id % 9999) AS key, lpad((user_id % 90)::VARCHAR, 2, '0') AS device FROM events")
 def key_extract(spark, sf_dir):
-    name = F.concat(F.lit("x_DOBACK"), F.lpad((F.col("user_id") % 90).cast("string"), 3, "0"), F.lit("_"), (20240000 + F.col("event_id") % 9999).cast("string"), F.lit("_seg2.csv"))
+    name = F.concat(F.lit("x_UNIT"), F.lpad((F.col("user_id") % 90).cast("string"), 3, "0"), F.lit("_"), (20240000 + F.col("event_id") % 9999).cast("string"), F.lit("_seg2.csv"))
     return events(spark, sf_dir).select("event_id", naming.file_key(name).alias("key"), naming.device_of(name).alias("device"))
 
 

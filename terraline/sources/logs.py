@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terraline.functions.naming import clean_double, pair_key
+from terraline.functions.stability import risk_class, si_dynamic, si_static_roll, si_total
 from terraline.operators.ordered import clock_fold
 
 IMU_COLUMNS = ["ax", "ay", "az", "gx", "gy", "gz", "roll", "pitch", "yaw", "timeantwifi", "usciclo1", "usciclo2", "usciclo3", "usciclo4", "usciclo5", "si", "accmag", "microsds", "k3"]
@@ -102,3 +103,43 @@ def pair_files(gps: DataFrame, imu: DataFrame) -> DataFrame:
     g = gps.select(pair_key(name, "GPS").alias("key"), F.col("path").alias("gps_path")).where("key is not null")
     i = imu.select(pair_key(name, "ESTABILIDAD").alias("key"), F.col("path").alias("imu_path")).where("key is not null")
     return g.join(i, "key")
+
+
+def parse_gps_formatted(raw: DataFrame) -> DataFrame:
+    """The formatter's projection of the GPS log: t_us (epoch microseconds of the recorder's clock), position, speed in m/s, heading 0."""
+    f = F.split("value", ",")
+    body = raw.where((F.col("line_no") >= 2) & (F.trim("value") != "") & ~F.col("value").contains("sin datos GPS")).select("path", "file", "line_no", f.alias("f")).where(F.size("f") >= 10)
+    at = lambda i: F.trim(F.get("f", F.lit(i)))
+    clock = F.regexp_extract(at(0), r"(\d{1,2}:\d{2}:\d{2})", 1)
+    t = F.unix_micros(F.try_to_timestamp(F.concat_ws(" ", at(1), clock), F.lit("d/M/yyyy H:mm:ss")))
+    out = body.select("path", "file", "line_no", t.alias("t_us"), clean_double(at(3)).alias("lat"), clean_double(at(4)).alias("lon"), clean_double(at(5)).alias("alt"), (clean_double(at(9)) / 3.6).alias("speed_ms"), F.lit(0.0).alias("heading_deg"))
+    return out.where("t_us is not null and lat is not null and lon is not null and alt is not null and speed_ms is not null")
+
+
+def parse_imu_formatted(raw: DataFrame) -> DataFrame:
+    """Samples of rows with ten numbers or more, with t_us and the roll-based stability columns."""
+    s = parse_imu(raw).where("pitch is not null and timeantwifi is not null and yaw is not null")
+    t = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', timestamp)")
+    total = si_total(F.col("roll"), F.col("ay"))
+    return s.withColumns({"t_us": t, "si_static": si_static_roll(F.col("roll")), "si_dynamic": si_dynamic(F.col("ay")), "si_total": total, "risk": risk_class(total)})
+
+
+def imu_values(raw: DataFrame, columns: list[str] = IMU_COLUMNS, least: int = 10) -> DataFrame:
+    """All rows with enough `;` as doubles, without clocks: NULs stripped, short rows padded, long ones cut."""
+    f = F.split(F.regexp_replace("value", "\x00", ""), ";")
+    rows = raw.select("path", "file", "line_no", f.alias("f")).where((F.size("f") > least) & clean_double(F.get("f", F.lit(0))).isNotNull())
+    return rows.select("path", "file", "line_no", *[clean_double(F.trim(F.get("f", F.lit(k)))).alias(c) for k, c in enumerate(columns)])
+
+
+def imu_row_classes(raw: DataFrame) -> DataFrame:
+    """raw, data, marker, header and malformed rows by file."""
+    n = F.size(F.filter(F.split("value", ";"), lambda x: clean_double(F.trim(x)).isNotNull()))
+    value = F.regexp_replace(F.trim("value"), ";+$", "")
+    kind = F.when(F.upper("value").startswith("ESTABILIDAD"), "header").when(value.rlike(_MARK), "marker").when(n >= 4, "data").otherwise("malformed")
+    rows = raw.where(F.trim("value") != "").select("file", kind.alias("kind"))
+    return rows.groupBy("file").agg(F.count("*").alias("raw_rows"), *[F.count(F.when(F.col("kind") == k, 1)).alias(f"{k}_rows") for k in ("data", "marker", "header", "malformed")])
+
+
+def loose_row_count(raw: DataFrame) -> DataFrame:
+    """Non-blank lines less the two of the head, by file."""
+    return raw.where(F.trim("value") != "").groupBy("file").agg(F.greatest(F.lit(0), F.count("*") - 2).alias("n_rows"))

@@ -92,16 +92,16 @@ def test_stability(spark):
 
 
 def test_names(spark):
-    df = stream(spark, [("GPS_DOBACK024_20251001.txt",), ("GPS_DOBACK024_realtime.txt",), ("x",)], "n string")
-    assert [r[0] for r in df.select(naming.pair_key(F.col("n"), "GPS")).collect()] == ["DOBACK024_20251001", None, None]
-    r = spark.range(1).select(naming.normalize_device(F.lit("23")), naming.base_name(F.lit("A_seg12")), naming.device_of(F.lit("DOBACK027_1")), naming.loose_double(F.lit(" 1,5 "))).first()
-    assert tuple(r) == ("DOBACK023", "A", "27", 1.5)
+    df = stream(spark, [("GPS_UNIT024_20251001.txt",), ("GPS_UNIT024_realtime.txt",), ("x",)], "n string")
+    assert [r[0] for r in df.select(naming.pair_key(F.col("n"), "GPS")).collect()] == ["UNIT024_20251001", None, None]
+    r = spark.range(1).select(naming.normalize_device(F.lit("23"), "UNIT"), naming.base_name(F.lit("A_seg12")), naming.device_of(F.lit("UNIT027_1")), naming.loose_double(F.lit(" 1,5 "))).first()
+    assert tuple(r) == ("UNIT023", "A", "27", 1.5)
 
 
 def test_gps_log(spark, tmp_path):
     good = "Hora Raspberry-10:33:29,14/08/2025,Hora GPS-08:33:27,40.54,-3.62,650,1.2,1,8,35.0"
-    body = ["GPS;14/08/2025 10:33:28;DOBACK027;34;0", "head", good, "", "sin datos GPS,,,,,,,,,", "a,b,c", good.replace(",1,8,", ",1.0,8,"), good.replace("14/08/2025", "99/99/2025")]
-    (tmp_path / "GPS_DOBACK027_1.txt").write_text("\n".join(body), encoding="latin-1")
+    body = ["GPS;14/08/2025 10:33:28;UNIT027;34;0", "head", good, "", "sin datos GPS,,,,,,,,,", "a,b,c", good.replace(",1,8,", ",1.0,8,"), good.replace("14/08/2025", "99/99/2025")]
+    (tmp_path / "GPS_UNIT027_1.txt").write_text("\n".join(body), encoding="latin-1")
     raw = logs.lines(spark, str(tmp_path))
     rows = logs.parse_gps(raw).collect()
     assert len(rows) == 1 and rows[0]["timestamp"] == dt.datetime(2025, 8, 14, 8, 33, 27) and rows[0]["line_no"] == 2
@@ -111,8 +111,8 @@ def test_gps_log(spark, tmp_path):
 
 def test_imu_log_clock(spark, tmp_path):
     row = ";".join(["1.0"] * 19)
-    body = ["ESTABILIDAD;20/10/2025 23:59:57;DOBACK023;Sesion:1;", "ax;ay;az;", row, row, "23:59:59", row, "00:00:00", "00:00:00", row + ";7.0", "1;2", row]
-    (tmp_path / "ESTABILIDAD_DOBACK023_1.txt").write_text("\n".join(body), encoding="latin-1")
+    body = ["ESTABILIDAD;20/10/2025 23:59:57;UNIT023;Sesion:1;", "ax;ay;az;", row, row, "23:59:59", row, "00:00:00", "00:00:00", row + ";7.0", "1;2", row]
+    (tmp_path / "ESTABILIDAD_UNIT023_1.txt").write_text("\n".join(body), encoding="latin-1")
     rows = logs.parse_imu(logs.lines(spark, str(tmp_path))).orderBy("line_no").collect()
     base = dt.datetime(2025, 10, 20, 23, 59, 57)
     assert [(r["timestamp"] - base).total_seconds() for r in rows] == [1.0, 2.0, 3.0, 4.5, 5.0]
