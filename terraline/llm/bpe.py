@@ -19,6 +19,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from terraline.llm import common
 
-_BLOCK = 12 << 20
+_BLOCK = 6 << 20
 #: Pre-tokens and their bytes that a worker remembers at most beyond the current block.
 _KNOWN, _KNOWN_BYTES = 600_000, 24 << 20
 _NONE = np.int32(2**31 - 1)
@@ -138,7 +139,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = common.Numbered()
         self.known_bytes = 0
         self.ids = np.zeros(0, np.int32)
         self.start = np.zeros(1, np.int64)
@@ -216,20 +217,22 @@ class Encoder:
         """Ids of all texts and where each text's begin (with the end appended)."""
         if len(self.known) > _KNOWN or self.known_bytes > _KNOWN_BYTES:
             self.forget()
-        known, split = self.known, [self.find(x) if x else [] for x in texts]
-        old = len(known)
-        index = [known.setdefault(w, len(known)) for words in split for w in words]
+        known, old = self.known, len(self.known)
+        number, parts = known.__getitem__, [np.zeros(0, np.int64)]
+        for text in texts:
+            words = self.find(text) if text else ()
+            parts.append(np.fromiter(map(number, words), np.int64, len(words)))
         if len(known) > old:
-            fresh = [w.encode() for w in list(known)[old:]]
+            fresh = [w.encode() for w in islice(reversed(known), len(known) - old)][::-1]
             self.known_bytes += sum(map(len, fresh))
             ids, start = self.replay(fresh)
             self.start = np.concatenate([self.start, start[1:] + len(self.ids)])
             self.ids = np.concatenate([self.ids, ids])
-        w = np.array(index, np.int64)
+        w = np.concatenate(parts)
         size = self.start[w + 1] - self.start[w]
         total = np.r_[0, np.cumsum(size)]
         ids = self.ids[np.repeat(self.start[w] - total[:-1], size) + np.arange(total[-1])]
-        return ids, total[np.r_[0, np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]]
+        return ids, total[np.r_[0, np.cumsum(np.fromiter(map(len, parts[1:]), np.int64, len(texts)))]]
 
     def decode(self, ids: np.ndarray, start: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of lists of ids laid end to end, and where each list's begin (with the end appended)."""
@@ -241,15 +244,8 @@ class Encoder:
         return data.tobytes(), total[start]
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 def encoder_of(data: bytes, pattern: str, newer: tuple[str, str]) -> Encoder:
-    key = hash((data, pattern, newer))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(load_ranks(data), pattern, newer)
-    return _ENCODERS[key]
+    return common.only("bpe", hash((data, pattern, newer)), lambda: Encoder(load_ranks(data), pattern, newer))
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", keep: list[str] | None = None, output: str = "ids") -> DataFrame:

@@ -31,7 +31,7 @@ SAMPLE_DOCS = 400
 BLOCK = 512
 UND = "und"
 _NOISE = re.compile(r"[\W\d_]+")
-_BATCH = 8 << 20
+_BATCH = 4 << 20
 _PHRASE = np.int32(-(1 << 31))
 
 
@@ -146,16 +146,9 @@ class Model:
         return langs, score, rate
 
 
-_MODELS: dict[int, Model] = {}
-
-
 def model_of(samples: list[tuple[str, int, bytes]]) -> Model:
     """One model for each worker process, built from the samples it was sent."""
-    key = hash(tuple(samples))
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(samples)
-    return _MODELS[key]
+    return common.only("langid", hash(tuple(samples)), lambda: Model(samples))
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, int, bytes]]:

@@ -244,8 +244,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def first_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of their component, one row each."""
-    kept = near_duplicates(docs, shingle=shingle, max_bits=max_bits).where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["doc_id"])
+    found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
+    kept = found.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    kept, _ = common.materialize(kept, "simhash-kept")
+    left = docs.join(kept.select("__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return left.dropDuplicates(["doc_id"]) if kept.where("__n > 1").take(1) else left  # text moves again only where ids repeat
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

@@ -96,15 +96,8 @@ class ForwardTrie:
         return len(words), total
 
 
-_TRIES: dict[int, ForwardTrie] = {}
-
-
 def trie_of(pieces: dict[str, float]) -> ForwardTrie:
-    key = hash(frozenset(pieces.items()))
-    if key not in _TRIES:
-        _TRIES.clear()
-        _TRIES[key] = ForwardTrie(pieces)
-    return _TRIES[key]
+    return common.only("trie", hash(frozenset(pieces.items())), lambda: ForwardTrie(pieces))
 
 
 def count_tokens(docs: DataFrame, pieces: dict[str, float], text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
