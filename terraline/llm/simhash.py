@@ -35,6 +35,7 @@ BITS = 64
 _BATCH = 4 << 20
 _BLOCK = 4 << 20
 _ROWS = 1 << 17
+_BLANKS = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
 
 
 def word_blocks(text: bytes) -> Iterator[list[bytes]]:
@@ -42,9 +43,9 @@ def word_blocks(text: bytes) -> Iterator[list[bytes]]:
     start, n = 0, len(text)
     while start < n:
         end = min(n, start + _BLOCK)
-        while end < n and not text[end : end + 1].isspace():
-            cut = max(text.rfind(x, start, end) for x in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
-            end = cut + 1 if cut > start else min(n, end + _BLOCK)
+        if end < n:  # up to the last blank of the block, or else to the first one behind it
+            cut = max(text.rfind(x, start, end) for x in _BLANKS)
+            end = cut + 1 if cut >= start else min((k for x in _BLANKS if (k := text.find(x, end)) >= 0), default=n)
         yield text[start:end].lower().split()
         start = end
 
