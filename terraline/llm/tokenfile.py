@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,72 +35,122 @@ BLOCK = 1 << 16
 STEP = 256
 _PIECE = 8 << 20
 _LANES = 1 << 14
-_KNOWN, _KNOWN_BYTES = 500_000, 16 << 20
+#: Words encoded as one text.
+_TOGETHER = 200
+#: Words, and their bytes, that a worker remembers at most beyond the current piece.
+_KNOWN, _KNOWN_BYTES = 1_200_000, 24 << 20
 
 
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, which sees each distinct blank-separated word once as long as it is
-    remembered. Right for tokenizers that split at ASCII blanks and drop them, as `check` confirms."""
+    remembered. Right for tokenizers that split at ASCII blanks and drop them and fold ASCII case, as the probe confirms.
+
+    A word that is a letter and then one comma or full stop is looked up as the two; no pre-token spans that border.
+    """
 
     def __init__(self, json: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json)
-        probe = ["a b", "A\tb's \n c1 ", " x", "don't  stop\r\nhere\x0b!\x0cé"]
-        if any(e.ids != sum((x.ids for x in self._ids(p.split())), []) for p, e in zip(probe, self._ids(probe), strict=True)):
-            raise ValueError("this tokenizer doesn't drop blanks")
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        probe = ["a b", "A\tb's \n c1 ", " x", "don't  stop\r\nhere\x0b!\x0cé", "Ab, cD. E'S,"]
+        for text in probe:
+            parts = [p for w in text.lower().split() for p in ((w[:-1], w[-1]) if w[-1] in ",." and w[-2:-1].isalpha() else (w,))]
+            if self._ids([text])[0].ids != sum((x.ids for x in self._ids(parts)), []):
+                raise ValueError("this tokenizer keeps blanks or case, or joins words and marks")
         self.forget()
 
     def _ids(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words laid end to end, and where each word's begin (with the end appended). Words of letters alone are one pre-token
+        each, so many are encoded as one text and told apart by the tokens that end a word."""
+        alone = [i for i, w in enumerate(words) if not w.isalpha()]
+        plain = [w for w in words if w.isalpha()]
+        texts = [" ".join(plain[i : i + _TOGETHER]) for i in range(0, len(plain), _TOGETHER)]
+        ids = [np.array(e.ids, np.uint32) for e in self._ids(texts)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(self.is_end[ids])
+        if len(ends) != len(plain):  # a letter that the tokenizer doesn't count as one
+            alone, plain, ids, ends = list(range(len(words))), [], ids[:0], ends[:0]
+        single = [e.ids for i in range(0, len(alone), 20_000) for e in self._ids([words[k] for k in alone[i : i + 20_000]])]
+        size = np.zeros(len(words), np.int64)
+        size[alone] = [len(x) for x in single]
+        joined = np.ones(len(words), bool)
+        joined[alone] = False
+        size[joined] = np.diff(ends, prepend=-1)
+        out = np.zeros(int(size.sum()), np.uint32)
+        which = np.repeat(joined, size)
+        out[which] = ids
+        out[~which] = np.fromiter((i for x in single for i in x), np.uint32)
+        return out, np.r_[0, np.cumsum(size)]
+
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = common.Numbered({b" end": 0, b",": 1, b".": 2})
         self.known_bytes = 0
-        self.ids = np.zeros(0, np.uint32)
-        self.start = np.zeros(1, np.int64)
+        self.marks = [[END_ID], *(e.ids for e in self._ids([",", "."]))]
+        self.size = np.array([len(x) for x in self.marks])
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.array(sum(self.marks, []), np.uint32)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Append the ids of words, the numbers of which follow on from those there are; and of stems that they need and that are new."""
+        number, old = self.known, len(self.size)
+        marked = [(k, number[w[:-1]], 1 if w.endswith(b",") else 2) for k, w in enumerate(words) if w[-1:] in (b",", b".") and b"a" <= w[-2:-1] <= b"z"]
+        words += list(islice(reversed(number), len(number) - old - len(words)))[::-1]
+        done = {k for k, _, _ in marked}
+        rest = [k for k in range(len(words)) if k not in done]
+        sizes = np.zeros(len(words), np.int64)
+        flat, place = self._ids_of([words[k].decode() for k in rest])
+        sizes[rest] = np.diff(place)
+        begin = np.zeros(len(words), np.int64)
+        begin[rest] = len(self.flat) + place[:-1]
+        every = np.concatenate([self.flat, flat])
+        own = np.array([k for k, _, _ in marked], np.int64)
+        stem = np.array([x for _, x, _ in marked], np.int64)
+        mark = np.array([x for _, _, x in marked], np.int64)
+        start, size = np.r_[self.start, begin], np.r_[self.size, sizes]
+        # a marked word's ids are its stem's and then the mark's, copied behind all others
+        both = np.stack([stem, mark], axis=1).reshape(-1)
+        n = size[both]
+        total = np.r_[0, np.cumsum(n)]
+        extra = every[np.repeat(start[both] - total[:-1], n) + np.arange(total[-1])]
+        start[old + own] = len(every) + total[:-1:2]
+        size[old + own] = n[::2] + n[1::2]
+        self.flat, self.start, self.size = np.concatenate([every, extra]), start, size
+        self.known_bytes += sum(map(len, words))
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, END_ID after each, and where each text's begin (with the end appended)."""
         if len(self.known) > _KNOWN or self.known_bytes > _KNOWN_BYTES:
             self.forget()
-        known = self.known
-        known.setdefault(b" end", 0)
-        old = len(known)
-        index: list[int] = []
-        sizes = []
+        number, old = self.known.__getitem__, len(self.known)
+        parts: list[np.ndarray] = []
+        end = np.zeros(1, np.int64)
         for text in texts:
-            before = len(index)
             if text:
-                index += [known.setdefault(w, len(known)) for w in text.split()]
-            index.append(0)
-            sizes.append(len(index) - before)
-        fresh = list(known)[max(old, 1) :]
-        if len(self.start) == 1:
-            self.ids, self.start = np.array([END_ID], np.uint32), np.array([0, 1])
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            self.known_bytes += sum(map(len, some))
-            got = [e.ids for e in self._ids([w.decode() for w in some])]
-            self.start = np.r_[self.start, self.start[-1] + np.cumsum([len(x) for x in got])]
-            self.ids = np.r_[self.ids, np.array([i for x in got for i in x], np.uint32)]
-        w = np.array(index, np.int64)
-        size = self.start[w + 1] - self.start[w]
+                words = (text if b"<|" in text else text.lower()).split()
+                parts.append(np.fromiter(map(number, words), np.int64, len(words)))
+            else:
+                parts.append(end[:0])
+            parts.append(end)
+        if len(self.known) > old:
+            self.learn(list(islice(reversed(self.known), len(self.known) - old))[::-1])
+        w = np.concatenate(parts) if parts else end[:0]
+        size = self.size[w]
         total = np.r_[0, np.cumsum(size)]
-        ids = self.ids[np.repeat(self.start[w] - total[:-1], size) + np.arange(total[-1])]
-        return ids, total[np.r_[0, np.cumsum(sizes, dtype=np.int64)]]
-
-
-_ENCODERS: dict[int, WordEncoder] = {}
+        ids = self.flat[np.repeat(self.start[w] - total[:-1], size) + np.arange(total[-1])]
+        per = np.fromiter(map(len, parts), np.int64, len(parts)).reshape(-1, 2).sum(1)
+        return ids, total[np.r_[0, np.cumsum(per)]]
 
 
 def encoder_of(json: str) -> WordEncoder:
-    key = hash(json)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(json)
-    return _ENCODERS[key]
+    return common.only("words", hash(json), lambda: WordEncoder(json))
 
 
 def code_lengths(counts: np.ndarray, most: int = MOST_BITS) -> np.ndarray:
