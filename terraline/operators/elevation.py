@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraline.operators.spatial import bilinear, radius_join
+from terraline.operators.spatial import bilinear, knn_join, radius_join
 
 SOURCES = ("auto", "laz", "tif", "both")
 
@@ -39,3 +39,13 @@ def covered(points: DataFrame, cloud: DataFrame, id_col: str, radius: float = 1.
 def coverage_info(points: DataFrame, tile: str = "tile") -> DataFrame:
     """Points and bounding-box area of each tile."""
     return points.groupBy(tile).agg(F.count("*").alias("n_points"), ((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area_m2"))
+
+
+def nearest_grid(cloud: DataFrame, x0: float, y0: float, columns: int, rows: int, step: float = 1.0) -> DataFrame:
+    """row, col and the z of the cloud's nearest point at every cell of a regular grid; z is null where the cloud has under four points."""
+    cells = cloud.sparkSession.range(rows).select(F.col("id").cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("col"))
+    grid = cells.select((F.col("row").cast("long") * columns + F.col("col")).alias("cell"), "row", "col", (x0 + F.col("col") * step).alias("x"), (y0 + F.col("row") * step).alias("y"))
+    points = cloud.select(F.monotonically_increasing_id().alias("__p"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z"))
+    if cloud.limit(4).count() < 4:
+        return grid.select("row", "col", F.lit(None).cast("double").alias("z"))
+    return knn_join(grid, points, 1, "cell", "__p", 2 * step).select("row", "col", "z")

@@ -115,3 +115,10 @@ def test_geotiff_and_elevation(spark, tmp_path):
     assert [r["covered"] for r in elevation.covered(points, cloud, "id").orderBy("id").collect()] == [False, True, False]
     with pytest.raises(ValueError):
         elevation.elevation(points, "id", None, None)
+
+
+def test_nearest_grid(spark):
+    cloud = spark.createDataFrame([(0.1, 0.0, 1.0), (2.0, 0.1, 2.0), (0.0, 3.0, 3.0), (2.1, 3.0, 4.0)], "x double, y double, z double")
+    got = {(r["row"], r["col"]): r["z"] for r in elevation.nearest_grid(cloud, 0.0, 0.0, 3, 4).collect()}
+    assert len(got) == 12 and (got[0, 0], got[0, 2], got[3, 0], got[3, 2]) == (1.0, 2.0, 3.0, 4.0)
+    assert elevation.nearest_grid(cloud.limit(3), 0.0, 0.0, 3, 4).where("z is not null").count() == 0
