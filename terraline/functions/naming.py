@@ -57,12 +57,22 @@ def tile_of(name: Column) -> tuple[Column, Column]:
 
 
 def normalize_tile_name(raw: Column) -> Column:
-    return F.upper(F.regexp_replace(F.regexp_replace(F.trim(raw), r"\.(?i:la[sz]|zip)$", ""), r"[\s]+", "_"))
+    """Upper case, hyphens for underscores, ending in .LAZ."""
+    return F.concat(F.regexp_replace(F.upper(F.replace(F.trim(raw), F.lit("_"), F.lit("-"))), r"\.LA[SZ]$", ""), F.lit(".LAZ"))
+
+
+def tile_variants(raw: Column) -> Column:
+    """Sorted names under which a tile may lie on disk: as given, and with .LAZ in either case and either separator; empty for none."""
+    name = F.trim(raw)
+    full = F.concat(F.regexp_replace(F.upper(name), r"\.LA[SZ]$", ""), F.lit(".LAZ"))
+    low, high = F.replace(full, F.lit("-"), F.lit("_")), F.replace(full, F.lit("_"), F.lit("-"))
+    return F.when(name != "", F.array_sort(F.array_distinct(F.array(name, *[f for v in (full, low, high) for f in (v, F.lower(v))])))).otherwise(F.array().cast("array<string>"))
 
 
 def disposition_file(header: Column) -> Column:
-    got = F.regexp_extract(header, r'(?i)filename\*?="?(?:UTF-8\'\')?([^";]+)"?', 1)
-    return F.when(got != "", F.trim(got))
+    """File name of a Content-Disposition header, the extended form first; null where it names none."""
+    wide, plain = F.regexp_extract(header, r"(?i)filename\*=UTF-8''([^;]+)", 1), F.regexp_extract(header, r"(?i)filename=([^;]+)", 1)
+    return F.nullif(F.regexp_replace(F.trim(F.when(wide != "", wide).otherwise(plain)), r'^"+|"+$', ""), F.lit(""))
 
 
 def linestring(wkt: Column) -> Column:

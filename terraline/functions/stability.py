@@ -39,8 +39,9 @@ def risk_class(si: Column) -> Column:
 
 
 def quality_class(mae: Column, corr: Column) -> Column:
-    """By the thresholds of the comparison report."""
-    return F.when((mae <= 0.02) & (corr >= 0.95), "excellent").when((mae <= 0.05) & (corr >= 0.85), "good").when((mae <= 0.1) & (corr >= 0.7), "fair").otherwise("poor")
+    """How well two series agree: good, acceptable, moderate or poor."""
+    # Largest mae and least correlation of each class.
+    return F.when((mae <= 0.05) & (corr >= 0.9), "good").when((mae <= 0.1) & (corr >= 0.85), "acceptable").when((mae <= 0.2) & (corr >= 0.7), "moderate").otherwise("poor")
 
 
 def match_state(measured: Column, theory: Column, tolerance: float = 0.02) -> Column:
@@ -51,7 +52,7 @@ def si_color(si: Column) -> Column:
     """#RRGGBB between red (0) and green (1), clamped, truncated to integers."""
     s = F.greatest(F.lit(0.0), F.least(F.lit(1.0), si))
     low = F.format_string("#%02X%02X%02X", F.lit(255), F.floor(s * 2 * 255).cast("int"), F.lit(0))
-    high = F.format_string("#%02X%02X%02X", F.floor((1 - s) * 2 * 255).cast("int"), F.floor(255 - (s - 0.5) * 2 * 85).cast("int"), F.lit(0))
+    high = F.format_string("#%02X%02X%02X", F.floor((1 - s) * 2 * 255).cast("int"), (255 - F.floor((s - 0.5) * 2 * 85)).cast("int"), F.lit(0))
     return F.when(s < 0.5, low).otherwise(high)
 
 

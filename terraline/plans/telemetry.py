@@ -226,7 +226,7 @@ def si_roll_classes(spark, sf_dir):
     return s.groupBy(stability.risk_class(F.col("si")).alias("risk")).agg(F.count("*").alias("n"), r6(F.avg("si"), "mean_si"))
 
 
-@query("si_color", "WITH s AS (SELECT event_id, (event_id % 141 - 20) / 100 AS si FROM events), c AS (SELECT event_id, greatest(0.0, least(1.0, si)) AS s FROM s) SELECT event_id, CASE WHEN s < 0.5 THEN printf('#FF%02X00', floor(s * 2 * 255)::INT) ELSE printf('#%02X%02X00', floor((1 - s) * 2 * 255)::INT, floor(255 - (s - 0.5) * 2 * 85)::INT) END AS color FROM c")
+@query("si_color", "WITH s AS (SELECT event_id, (event_id % 141 - 20) / 100 AS si FROM events), c AS (SELECT event_id, greatest(0.0, least(1.0, si)) AS s FROM s) SELECT event_id, CASE WHEN s < 0.5 THEN printf('#FF%02X00', floor(s * 2 * 255)::INT) ELSE printf('#%02X%02X00', floor((1 - s) * 2 * 255)::INT, 255 - floor((s - 0.5) * 2 * 85)::INT) END AS color FROM c")
 def si_color(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", stability.si_color((F.col("event_id") % 141 - 20) / 100).alias("color"))
 

@@ -13,7 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from terraline.functions.naming import linestring, tile_of
 
 # Road classes that are never matched.
-EXCLUDED_HIGHWAYS = ["footway", "path", "steps", "pedestrian", "cycleway", "bridleway", "corridor", "elevator", "escalator", "platform", "proposed", "construction", "abandoned", "raceway", "track"]
+EXCLUDED_HIGHWAYS = ["footway", "path", "cycleway", "pedestrian", "steps", "track", "bridleway", "corridor", "via_ferrata", "proposed", "construction", "raceway", "rest_area", "elevator", "bus_guideway"]
 
 _NODE = T.StructType([T.StructField("_id", T.StringType()), T.StructField("data", T.ArrayType(T.StructType([T.StructField("_key", T.StringType()), T.StructField("_VALUE", T.StringType())])))])
 _EDGE = T.StructType([T.StructField("_source", T.StringType()), T.StructField("_target", T.StringType()), *_NODE.fields])

@@ -98,6 +98,14 @@ def test_names(spark):
     assert tuple(r) == ("UNIT023", "A", "27", 1.5)
 
 
+def test_tile_names(spark):
+    r = spark.range(1).select(
+        naming.normalize_tile_name(F.lit(" a_1.las ")).alias("n"), naming.tile_variants(F.lit("a-1")).alias("v"), naming.tile_variants(F.lit(" ")).alias("e"),
+        naming.disposition_file(F.lit('attachment; filename="x.laz"; size=3')).alias("f"), naming.disposition_file(F.lit("inline")).alias("z"),
+    ).first()
+    assert r["n"] == "A-1.LAZ" and r["v"] == ["A-1.LAZ", "A_1.LAZ", "a-1", "a-1.laz", "a_1.laz"] and r["e"] == [] and r["f"] == "x.laz" and r["z"] is None
+
+
 def test_gps_log(spark, tmp_path):
     good = "Hora Raspberry-10:33:29,14/08/2025,Hora GPS-08:33:27,40.54,-3.62,650,1.2,1,8,35.0"
     body = ["GPS;14/08/2025 10:33:28;UNIT027;34;0", "head", good, "", "sin datos GPS,,,,,,,,,", "a,b,c", good.replace(",1,8,", ",1.0,8,"), good.replace("14/08/2025", "99/99/2025")]
