@@ -247,8 +247,8 @@ def first_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataF
     """The rows of docs whose doc_id is the smallest of their component, one row each."""
     found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
     kept = found.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    kept, _ = common.materialize(kept, "simhash-kept")
-    left = docs.join(kept.select("__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    kept, _ = common.materialize(kept, "simhash-kept")  # grows with the input: never broadcast, at any size
+    left = docs.join(kept.select("__id").hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     return left.dropDuplicates(["doc_id"]) if kept.where("__n > 1").take(1) else left  # text moves again only where ids repeat
 
 
