@@ -47,7 +47,7 @@ def candidates(points: DataFrame, edges: DataFrame, track: str, order: str, cfg:
 
 def choose(ids: list[np.ndarray], scores: list[np.ndarray], cfg: MatchConfig) -> list[int]:
     """Position of the chosen candidate of every row (-1: none). Recently chosen edges score better; the current one stays unless
-    another improves on it by the hysteresis; rows without candidates clear the memory; ties go to the smaller edge id."""
+    another's score is lower by the share of the hysteresis; rows without candidates clear the memory; ties go to the smaller edge id."""
     recent: deque = deque(maxlen=cfg.history)
     current, out = None, []
     for edge, score in zip(ids, scores, strict=True):
@@ -65,7 +65,7 @@ def choose(ids: list[np.ndarray], scores: list[np.ndarray], cfg: MatchConfig) ->
         k = int(np.argmin(adjusted))
         if current is not None and edge[k] != current:
             at = np.flatnonzero(edge == current)
-            if len(at) and adjusted[at[0]] - adjusted[k] < cfg.hysteresis:
+            if len(at) and (adjusted[at[0]] - adjusted[k]) / (adjusted[at[0]] + 1e-9) < cfg.hysteresis:
                 k = int(at[0])
         current = edge[k].item()
         recent.append(current)
