@@ -24,7 +24,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,10 @@ from terraline.llm import common
 from terraline.llm.components import components
 
 BITS = 64
+#: For first_of_similar: fingerprints a text, keys a text, bits a key, and the most bits in which the pools of a candidate differ
+#: (39 of 256 are expected at a similarity of 0.8, 128 of unrelated texts).
+WORDS, TABLES, KEY_BITS, POOL_BITS = 4, 128, 24, 72
+_WORDS = [f"w{w}" for w in range(WORDS)]
 _BATCH = 4 << 20
 _BLOCK = 4 << 20
 _ROWS = 1 << 17
@@ -252,6 +256,138 @@ def first_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataF
     return left.dropDuplicates(["doc_id"]) if kept.where("__n > 1").take(1) else left  # text moves again only where ids repeat
 
 
+def shingle_set(text: bytes | None, k: int) -> np.ndarray:
+    """Distinct shingle hashes, sorted."""
+    got = np.zeros(0, np.uint64)
+    for part in shingle_hashes(text, k):
+        got = np.union1d(got, part)
+    return got
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def pool_of(hashes: np.ndarray) -> np.ndarray:
+    """WORDS independent fingerprints of a shingle set; bits are set as in fingerprints(), each shingle counts once."""
+    sums = np.zeros((WORDS, BITS), np.int64)
+    for at in range(0, len(hashes), _ROWS):
+        part = hashes[at : at + _ROWS]
+        for w in range(WORDS):
+            sums[w] += _sums(_mix(part + np.uint64((w + 1) * 0x9E3779B97F4A7C15 % 2**64)), np.zeros(1, np.int64))[0]
+    return np.packbits(2 * sums > len(hashes), axis=1, bitorder="little").view(np.uint64)[:, 0].view(np.int64)
+
+
+def pool_table(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, th (hash of the text), v (hash of the shingle set) and the fingerprints w0, w1, ... of every row."""
+    common.ship(docs.sparkSession)
+    frame = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    names = ["doc_id", "th", "v", *_WORDS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.pieces(batches, "text", _BATCH):
+            sets = [shingle_set(x, shingle) for x in common.texts_of(batch, "text")]
+            v = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
+            words = np.array([pool_of(s) for s in sets]).reshape(len(sets), WORDS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(v), *(pa.array(words[:, w]) for w in range(WORDS))], names=names)
+
+    return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in names[1:])]))
+
+
+def sampled_keys(vertices: DataFrame) -> DataFrame:
+    """key, v: TABLES rows a vertex, each hashed from KEY_BITS sampled bits of its pool."""
+    rng = np.random.default_rng(5)
+    masks = np.zeros((TABLES, WORDS), np.uint64)
+    for m in masks:
+        for b in rng.choice(BITS * WORDS, KEY_BITS, replace=False).tolist():
+            m[b // BITS] |= np.uint64(1 << (b % BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [batch.column(1 + w).to_numpy().view(np.uint64) for w in range(WORDS)]
+            for t, m in enumerate(masks):
+                key = np.full(batch.num_rows, t, np.uint64)
+                for w, x in enumerate(words):
+                    key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + (x & m[w]) + np.uint64(w))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0)], names=["key", "v"])
+
+    return vertices.select("v", *_WORDS).mapInArrow(run, "key long, v long")
+
+
+def _plausible(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """The pairs a, b whose pools differ in at most POOL_BITS bits."""
+    side = lambda c: vertices.select(F.col("v").alias(c), *[F.col(w).alias(f"{c}_{w}") for w in _WORDS])
+    far = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WORDS), F.lit(0))
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(far <= POOL_BITS).select("a", "b")
+
+
+def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs a, b whose shingle sets have a Jaccard similarity of at least `least`, by the sets themselves."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(vertices, "v").select("v", F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
+    same = F.col("__th").eqNullSafe(F.xxhash64("text")) & F.col("__id").eqNullSafe(F.col("doc_id"))
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), same).select("v", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.pieces(batches, "text", _BATCH):
+            sets = [shingle_set(x, shingle).view(np.int64) for x in common.texts_of(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["v", "s"])
+
+    sets, path = common.materialize(texts.mapInArrow(run, "v long, s array<long>"), "simhash-sets")
+    both = F.size(F.array_intersect("sa", "sb"))
+    near = both >= least * (F.size("sa") + F.size("sb") - both)
+    side = lambda c: sets.select(F.col("v").alias(c), F.col("s").alias(f"s{c}")).hint("merge")
+    found, _ = common.materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b").distinct(), "simhash-similar")
+    common.discard(docs.sparkSession, path)
+    return found
+
+
+def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """v, root of the vertices that are not the smallest of their component.
+
+    First every vertex of a key is compared with the key's smallest one, then, where a key holds several components, the
+    vertices outside its smallest one's component with all of other components: what all pairs would give, without making them.
+    """
+    keys, path = common.materialize(sampled_keys(vertices).withColumn("p", F.min("v").over(Window.partitionBy("key"))).withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n"), "simhash-keys")
+    first, a = common.materialize(_plausible(keys.where("v <> p").select(F.col("p").alias("a"), F.col("v").alias("b")).distinct(), vertices), "simhash-pairs")
+    links = _similar(first, vertices, docs, shingle, least)
+    roots, _ = components(links)
+    root = roots.withColumnRenamed("v", "x").withColumnRenamed("root", "r")
+    known = keys.join(root.hint("merge"), F.col("v") == F.col("x"), "left").select("key", "v", "p", F.coalesce("r", "v").alias("r"))
+    pivot = known.withColumn("pr", F.max(F.when(F.col("v") == F.col("p"), F.col("r"))).over(Window.partitionBy("key"))).withColumn("m", F.max(F.col("r") != F.col("pr")).over(Window.partitionBy("key"))).where("m").drop("m")
+    pivot, b = common.materialize(pivot, "simhash-mixed")
+    left, right = pivot.where("r <> pr").select("key", F.col("v").alias("x"), F.col("r").alias("rx")), pivot.where("v <> p").select("key", F.col("v").alias("y"), F.col("r").alias("ry"))
+    more = left.join(right, "key").where("rx <> ry").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more, c = common.materialize(_plausible(more, vertices), "simhash-pairs")
+    if more.take(1):
+        roots, _ = components(links.unionByName(_similar(more, vertices, docs, shingle, least)))
+    common.discard(docs.sparkSession, path, a, b, c)
+    return roots
+
+
+def first_of_similar(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """One row of docs for each component of texts whose sets of `shingle` words have a Jaccard similarity of at least `least`.
+
+    Candidates are found by SimHash (TABLES samples of KEY_BITS bits from WORDS independent fingerprints) and verified on the
+    sets, so nothing less similar is linked; the README has the share of pairs that is found. A row is known by its id and
+    its text: the row with the smallest id stays, a null one only where no row of the component has an id.
+    """
+    rows, path = common.materialize(pool_table(docs, shingle), "simhash-pool")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    vertices, vertices_path = common.materialize(rows.groupBy("v").agg(F.min(rank).alias("rep"), *[F.min(w).alias(w) for w in _WORDS]), "simhash-vertices")
+    roots = similar_roots(vertices, docs, shingle, least).withColumnRenamed("v", "x")
+    rooted = vertices.join(roots.hint("merge"), F.col("v") == F.col("x"), "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("rep").alias("rep"))
+    kept = rooted.select(F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
+    kept, _ = common.materialize(kept, "simhash-kept")  # grows with the input: never broadcast, at any size
+    same = F.col("th").eqNullSafe(F.col("__th")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    again = rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).where("n > 1").join(kept.hint("merge"), same, "left_semi").take(1)
+    common.discard(docs.sparkSession, path, vertices_path)
+    left = docs.withColumn("__t", F.xxhash64("text"))
+    left = left.join(kept.hint("merge"), F.col("__t").eqNullSafe(F.col("__th")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return (left.dropDuplicates(["doc_id", "__t"]) if again else left).drop("__t")  # text moves again only where rows repeat
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

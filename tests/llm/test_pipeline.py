@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 import corpus_pipeline  # noqa: E402
 from test_llm import SCHEMA, brute_print, brute_repeats  # noqa: E402
-from terraline.llm import decontam  # noqa: E402
+from terraline.llm import decontam, pipeline_stages  # noqa: E402
 
 tiktoken = pytest.importorskip("tiktoken")
 vocab = pytest.importorskip("public_tokenizers")
@@ -57,3 +57,24 @@ def test_pipeline(spark, tmp_path):
     nothing = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, f"file://{tmp_path}").count() == 0, name
+
+
+def test_near_copies_beyond_three_bits(spark):
+    rng = np.random.default_rng(31)
+    words = [f"w{i}" for i in range(3000)]
+    five = lambda t: {tuple(t[k : k + 5]) for k in range(len(t) - 4)}
+    rows, copies, i = [], {}, 0
+    while len(copies) < 60:
+        a = rng.choice(words, 300).tolist()
+        b = [w if rng.random() > 0.02 else "new" for w in a]
+        x, y = five(a), five(b)
+        if not 0.8 <= len(x & y) / len(x | y) < 0.9:
+            continue
+        rows += [(i, " ".join(a), "en", "s", 1), (i + 1, " ".join(b), "en", "s", 1)]
+        copies[i + 1] = i
+        i += 2
+    far = rng.choice(words, 300).tolist()
+    rows += [(i, " ".join(far), "en", "s", 1), (i + 1, " ".join(far[:200] + rng.choice(words, 100).tolist()), "en", "s", 1)]
+    left = {r["doc_id"] for r in pipeline_stages.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert {*copies.values(), i, i + 1} <= left
+    assert len(left & set(copies)) <= 0.1 * len(copies)
