@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terraline.functions.geo import planar
 
@@ -110,17 +114,29 @@ def clock_fold(markers: DataFrame, by: list[str], order: list[str], anchor: str,
     """Absolute times of clock markers, folded in order: by, and pos, t (epoch seconds) per marker.
 
     A marker (seconds of the day) is read on the current date, a day later if that lies over 12 hours back, and one second after
-    the current time if it still doesn't advance. anchor: epoch seconds at which the fold begins.
+    the current time if it still doesn't advance. anchor: epoch seconds at which the fold begins. Keys are sorted, not gathered, and
+    each marker is one step on the time before it.
     """
-    ordered = markers.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(clock_s).alias("c"), F.col(rows).alias("n")))).alias("m"), F.min(anchor).alias("a"))
-
-    def step(acc: Column, m: Column) -> Column:
-        now = acc["t"]
-        day = now - F.pmod(now, F.lit(86_400))
-        t = day + m["c"]
-        t = F.when(t < now - 43_200, t + 86_400).otherwise(t)
-        t = F.when(t <= now, now + 1).otherwise(t)
-        return F.struct(t.alias("t"), F.concat(acc["out"], F.array(F.struct(now.alias("begin"), t.alias("t"), m["n"].alias("n")))).alias("out"))
-
-    start = F.struct(F.col("a").cast("long").alias("t"), F.array().cast("array<struct<begin: bigint, t: bigint, n: bigint>>").alias("out"))
-    return ordered.where("a is not null").select(*by, F.posexplode(F.aggregate("m", start, step, lambda acc: acc["out"])).alias("pos", "s")).select(*by, "pos", "s.*")
+    w = Window.partitionBy(*by).orderBy(*order, "c", "n")
+    marks = markers.select(*by, *[F.col(c) for c in order if c not in by], F.col(anchor).cast("long").alias("__anchor"), F.col(clock_s).cast("long").alias("c"), F.col(rows).cast("long").alias("n"))
+    least = F.min("__anchor").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    lined = marks.select(*by, (F.row_number().over(w) - 1).alias("pos"), least.alias("__a"), "c", "n").where("__a is not null")
+    k, names = len(by), [*by, "pos"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None  # a key's markers follow each other in order, over batches too
+        for batch in batches:
+            begin, until = [], []
+            for pos, a, c in zip(*(batch.column(k + i).to_pylist() for i in range(3)), strict=True):
+                now = a if pos == 0 else now
+                t = None if now is None or c is None else now - now % 86_400 + c
+                if t is not None:
+                    t += 86_400 * (t < now - 43_200)
+                    t = max(t, now + 1)
+                begin.append(now)
+                until.append(t)
+                now = t
+            yield pa.RecordBatch.from_arrays([*batch.columns[: k + 1], pa.array(begin, pa.int64()), pa.array(until, pa.int64()), batch.column(k + 3)], names=[*names, "begin", "t", "n"])
+
+    fields = [T.StructField("begin", T.LongType()), T.StructField("t", T.LongType()), T.StructField("n", T.LongType())]
+    return lined.mapInArrow(run, T.StructType([*lined.schema.fields[: k + 1], *fields]))

@@ -410,5 +410,5 @@ def forest_cv(spark, sf_dir):
 def clock_fold(spark, sf_dir):
     from terraline.operators.ordered import clock_fold as fold
 
-    e = events(spark, sf_dir).where("event_id < 400").select("user_id", "event_id", (F.col("event_id") * 3600 % 86400).alias("c"), F.lit(0).cast("long").alias("rows"), F.lit(1_700_000_000).cast("long").alias("anchor"))
+    e = events(spark, sf_dir).select("user_id", "event_id", (F.col("event_id") * 3600 % 86400).alias("c"), F.lit(0).cast("long").alias("rows"), F.lit(1_700_000_000).cast("long").alias("anchor"))
     return fold(e, ["user_id"], ["event_id"], "anchor", "c", "rows")

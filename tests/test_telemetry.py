@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terraline.functions import geo, naming, stability
 from terraline.operators import asof, audit, filters, learning, matcher, ordered, spatial, terrain
+from terraline.plans import registry
 from terraline.sources import logs, network
 
 T0 = dt.datetime(2025, 10, 1, 12)
@@ -208,3 +209,23 @@ def test_folds_and_search(spark):
 def test_rank_average(spark):
     df = stream(spark, [(x,) for x in (3.0, 1.0, 3.0, 2.0)], "v double")
     assert sorted((r["v"], r["k"]) for r in audit.rank_average(df, "v", "k").collect()) == [(1.0, 1.0), (2.0, 2.0), (3.0, 3.5), (3.0, 3.5)]
+
+
+def test_clock_fold_against_brute_force(spark):
+    rng = np.random.default_rng(17)
+    rows = [(k, i, int(c), 0, 1_700_000_000 + k) for k, n in ((1, 6000), (2, 1), (3, 50)) for i, c in enumerate(rng.integers(0, 86_400, n))]
+    df = spark.createDataFrame(rows, "k int, i int, c long, n long, a long").repartition(7)
+    got = {(r["k"], r["pos"]): (r["begin"], r["t"]) for r in ordered.clock_fold(df, ["k"], ["i"], "a", "c", "n").collect()}
+    now: dict = {}
+    for k, i, c, _, a in rows:
+        begin = now.get(k, a)
+        t = begin - begin % 86_400 + c
+        t = t + 86_400 if t < begin - 43_200 else t
+        now[k] = t if t > begin else begin + 1
+        assert got[k, i] == (begin, now[k])
+    assert len(got) == len(rows)
+
+
+def test_clock_fold_reads_all_events(spark, tmp_path):
+    spark.createDataFrame([(i, i % 3) for i in range(1000)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    assert registry.queries()["clock_fold"](spark, f"file://{tmp_path}").count() == 1000
