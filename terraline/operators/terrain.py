@@ -50,6 +50,18 @@ def sobel(cells: DataFrame, by: list[str], resolution: float = 1.0) -> DataFrame
     return got.withColumn("slope", F.atan(F.sqrt(F.col("gx") ** 2 + F.col("gy") ** 2))).withColumn("aspect", F.atan2("gy", "gx"))
 
 
+def _circle_right(px: np.ndarray, py: np.ndarray, tri: np.ndarray) -> np.ndarray:
+    """Largest x of each triangle's circumscribed circle, infinite for a flat one."""
+    a, b, c = tri.T
+    bx, by, cx, cy = px[b] - px[a], py[b] - py[a], px[c] - px[a], py[c] - py[a]
+    d = 2 * (bx * cy - by * cx)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        u = (cy * (bx * bx + by * by) - by * (cx * cx + cy * cy)) / d
+        v = (bx * (cx * cx + cy * cy) - cx * (bx * bx + by * by)) / d
+        right = px[a] + u + np.hypot(u, v)
+    return np.where(np.isfinite(right), right, np.inf)
+
+
 def triangulate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Delaunay triangles (rows of three point numbers) by incremental insertion."""
     n = len(x)
@@ -58,8 +70,13 @@ def triangulate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     span = max(np.ptp(x), np.ptp(y), 1e-9)
     cx, cy = x.mean(), y.mean()
     px, py = np.r_[x, cx - 1e3 * span, cx, cx + 1e3 * span], np.r_[y, cy - 1e3 * span, cy + 1e3 * span, cy - 1e3 * span]
-    tri = np.array([[n, n + 1, n + 2]])
+    tri, done, grown = np.array([[n, n + 1, n + 2]]), [], 64
     for p in np.lexsort((y, x)).tolist():
+        if len(tri) > grown:  # points come from left to right: a triangle whose circle lies behind the sweep is final
+            behind = _circle_right(px, py, tri) < px[p] - 1e-6 * span
+            done.append(tri[behind])
+            tri = tri[~behind]
+            grown = 2 * len(tri) + 64
         a, b, c = tri.T
         ax, ay, bx, by, qx, qy = px[a] - px[p], py[a] - py[p], px[b] - px[p], py[b] - py[p], px[c] - px[p], py[c] - py[p]
         det = (ax * ax + ay * ay) * (bx * qy - qx * by) - (bx * bx + by * by) * (ax * qy - qx * ay) + (qx * qx + qy * qy) * (ax * by - bx * ay)
@@ -71,6 +88,7 @@ def triangulate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         rim, times = np.unique(edges, axis=0, return_counts=True)
         rim = rim[times == 1]
         tri = np.concatenate([tri[~bad], np.column_stack([rim, np.full(len(rim), p)])])
+    tri = np.concatenate([*done, tri])
     return tri[(tri < n).all(axis=1)]
 
 
@@ -95,9 +113,10 @@ def grid_from_points(x: np.ndarray, y: np.ndarray, z: np.ndarray, gx: np.ndarray
     return out
 
 
-def patch_features(x: np.ndarray, y: np.ndarray, z: np.ndarray, size: int, least_points: int = 10, least_cells: int = 25) -> dict[str, float] | None:
-    """Terrain features of one patch: a size x size grid over its box (10 m wide at least), then the grid statistics."""
-    if len(x) < least_points:
+def patch_features(x: np.ndarray, y: np.ndarray, z: np.ndarray, size: int, least_points: int = 10, least_cells: int = 25, n_points: int | None = None) -> dict[str, float] | None:
+    """Terrain features of one patch: a size x size grid over its box (10 m wide at least), then the grid statistics.
+    n_points counts the points where x, y, z are different places only."""
+    if (len(x) if n_points is None else n_points) < least_points:
         return None
     half_x, half_y = max(np.ptp(x), 10.0) / 2, max(np.ptp(y), 10.0) / 2
     mx, my = (x.min() + x.max()) / 2, (y.min() + y.max()) / 2
@@ -118,20 +137,23 @@ def patch_features(x: np.ndarray, y: np.ndarray, z: np.ndarray, size: int, least
     return {"phi_lidar": phi, "tri": float(v.std()), "ruggedness": float(steps.mean()), "z_min": float(v.min()), "z_max": float(v.max()), "z_mean": float(v.mean()), "z_std": float(v.std()), "z_range": float(np.ptp(v))}
 
 
-def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 32, most_points: int = 4096) -> DataFrame:
-    """Features of each point's patch. pairs: id_col and the patch's ox, oy, oz (from radius_join).
+def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 32) -> DataFrame:
+    """Features of each point's patch, from all its finite points. pairs: id_col and the patch's ox, oy, oz (from radius_join).
 
-    A patch is one group, bounded by the cloud's density; denser ones are thinned to most_points by a hash, evenly.
+    Equal positions are counted before they are gathered (of several elevations at one place the lowest stands for it in the
+    grid); a patch is one group of its different places.
     """
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64("ox", "oy", "oz"))
-    bounded = pairs.select(id_col, "ox", "oy", "oz").withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most_points).drop("__n")
+    whole = [F.col(c).cast("double").alias(c) for c in ("ox", "oy", "oz")]
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in ("ox", "oy", "oz")]
+    places = pairs.select(id_col, *whole).where(finite[0] & finite[1] & finite[2]).groupBy(id_col, "ox", "oy").agg(F.min("oz").alias("oz"), F.count("*").alias("n"))
     schema = f"{id_col} {id_type}, " + ", ".join(f"{f} double" for f in FEATURES) + ", n_points_used long"
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = patch_features(pdf["ox"].to_numpy(float), pdf["oy"].to_numpy(float), pdf["oz"].to_numpy(float), size) or {}
-        return pd.DataFrame([{id_col: pdf[id_col].iloc[0], **{f: got.get(f) for f in FEATURES}, "n_points_used": len(pdf)}])
+        pdf, n = pdf.sort_values(["ox", "oy"]), int(pdf["n"].sum())
+        got = patch_features(pdf["ox"].to_numpy(float), pdf["oy"].to_numpy(float), pdf["oz"].to_numpy(float), size, n_points=n) or {}
+        return pd.DataFrame([{id_col: pdf[id_col].iloc[0], **{f: got.get(f) for f in FEATURES}, "n_points_used": n}])
 
-    return bounded.groupBy(id_col).applyInPandas(one, schema)
+    return places.groupBy(id_col).applyInPandas(one, schema)
 
 
 def las_grid(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -229,3 +229,28 @@ def test_clock_fold_against_brute_force(spark):
 def test_clock_fold_reads_all_events(spark, tmp_path):
     spark.createDataFrame([(i, i % 3) for i in range(1000)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
     assert registry.queries()["clock_fold"](spark, f"file://{tmp_path}").count() == 1000
+
+
+def test_dense_patches_are_whole(spark):
+    places = [(i * 7 % 101, i * 13 % 97) for i in range(60)]
+    rows = [(1, float(x), float(y), 0.1 * x + (50.0 if i == 31 else 0.0)) for i, (x, y) in enumerate(places)]
+    many = spark.createDataFrame(rows, "pid long, ox double, oy double, oz double")
+    bad = spark.createDataFrame([(1, 5.0, 5.0, float("nan")), (1, 5.0, 5.0, None)], "pid long, ox double, oy double, oz double")
+    once = terrain.enrich_terrain(many, "pid", "long", 16).first()
+    dense = terrain.enrich_terrain(many.crossJoin(spark.range(200)).drop("id").unionByName(bad), "pid", "long", 16).first()
+    assert dense["n_points_used"] == 60 * 200 and once["n_points_used"] == 60
+    assert all(dense[f] == once[f] for f in terrain.FEATURES)
+
+
+def test_swept_triangles_are_delaunay():
+    rng = np.random.default_rng(3)
+    x, y = rng.random(400) * 200, rng.random(400) * 100
+    tri = terrain.triangulate(x, y)
+    a, b, c = tri.T
+    area = np.abs((x[b] - x[a]) * (y[c] - y[a]) - (x[c] - x[a]) * (y[b] - y[a])).sum() / 2
+    edges, times = np.unique(np.sort(np.concatenate([tri[:, [0, 1]], tri[:, [1, 2]], tri[:, [2, 0]]]), axis=1), axis=0, return_counts=True)
+    assert area > 0.9 * 200 * 100 and times.max() == 2 and len(tri) == 2 * 400 - 2 - (times == 1).sum()
+    for t in tri[::7]:
+        m = np.array([[x[t[1]] - x[t[0]], y[t[1]] - y[t[0]]], [x[t[2]] - x[t[0]], y[t[2]] - y[t[0]]]])
+        mid = np.linalg.solve(2 * m, (m * m).sum(1)) + [x[t[0]], y[t[0]]]
+        assert (np.hypot(x - mid[0], y - mid[1]) >= np.hypot(x[t[0]] - mid[0], y[t[0]] - mid[1]) - 1e-6).all()
