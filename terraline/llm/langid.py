@@ -152,21 +152,32 @@ def model_of(samples: list[tuple[str, int, bytes]]) -> Model:
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, int, bytes]]:
-    """(language, labelled documents, normalised sample) from a bounded sample: the SAMPLE_DOCS documents a language with the
-    smallest hash of their text, up to SAMPLE_CHARS characters. The document counts cover all rows. Bounded on the driver by
+    """(language, labelled documents, normalised sample) from a bounded sample: the SAMPLE_DOCS different texts a language with the
+    smallest hash, up to SAMPLE_CHARS characters. The document counts cover all rows, copies too. Bounded on the driver by
     languages times the two limits."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0)).withColumn("h", F.xxhash64("text"))
+    per = rows.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("different")).collect()
+    counts, different = {r["lang"]: r["n"] for r in per}, {r["lang"]: r["different"] for r in per}
     if not counts:
         return []
-    cut = F.lit(None).cast("double")
-    for lang, n in counts.items():
-        cut = F.when(F.col("lang") == lang, F.lit(min(1.0, 2.0 * SAMPLE_DOCS / n))).otherwise(cut)
-    place = F.xxhash64("text") / F.lit(2.0**64) + F.lit(0.5)
-    few = rows.select("lang", "text", place.alias("place")).where(F.col("place") <= cut)
-    order = Window.partitionBy("lang").orderBy("place", "text")
-    few = few.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.row_number().over(order).alias("k"), F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
-    got = few.where((F.col("k") <= SAMPLE_DOCS) & (F.coalesce("before", F.lit(0)) < SAMPLE_CHARS)).select("lang", "k", "text").collect()
+
+    def smallest(cuts: dict[str, float]) -> list:
+        cut = F.lit(None).cast("double")
+        for lang, c in cuts.items():
+            cut = F.when(F.col("lang") == lang, F.lit(c)).otherwise(cut)
+        few = rows.withColumn("place", F.col("h") / F.lit(2.0**64) + F.lit(0.5)).where(F.col("place") <= cut)
+        few = few.groupBy("lang", "h", "place").agg(F.min("text").alias("text"))
+        order = Window.partitionBy("lang").orderBy("place", "text")
+        few = few.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.row_number().over(order).alias("k"), F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+        return few.where((F.col("k") <= SAMPLE_DOCS) & (F.coalesce("before", F.lit(0)) < SAMPLE_CHARS)).select("lang", "k", "text").collect()
+
+    got = smallest({lang: min(1.0, 2.0 * SAMPLE_DOCS / d) for lang, d in different.items()})
+    size = {lang: (0, 0) for lang in counts}
+    for r in got:
+        size[r["lang"]] = (size[r["lang"]][0] + 1, size[r["lang"]][1] + len(r["text"]))
+    short = {lang for lang, (k, chars) in size.items() if k < min(SAMPLE_DOCS, different[lang]) and chars < SAMPLE_CHARS}
+    if short:
+        got = [r for r in got if r["lang"] not in short] + smallest(dict.fromkeys(short, 1.0))
     out = []
     for lang, n in sorted(counts.items()):
         parts = [normalise(r["text"]) for r in sorted((r for r in got if r["lang"] == lang), key=lambda r: r["k"])]
