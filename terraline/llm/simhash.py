@@ -248,12 +248,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def first_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of their component, one row each."""
-    found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
-    kept = found.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    """One row of docs for each component. A row is known by its id and its text; the smallest id stays, a null one only where no row of the component has an id."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("th"))
+    found = near_duplicates(docs.select(key.alias("key"), "text"), id_col="key", shingle=shingle, max_bits=max_bits)
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("__n")).select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.th").alias("__th"), "__n")
     kept, _ = common.materialize(kept, "simhash-kept")  # grows with the input: never broadcast, at any size
-    left = docs.join(kept.select("__id").hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return left.dropDuplicates(["doc_id"]) if kept.where("__n > 1").take(1) else left  # text moves again only where ids repeat
+    return _rows_of(docs, kept, bool(kept.where("__n > 1").take(1)))
+
+
+def _rows_of(docs: DataFrame, kept: DataFrame, again: bool) -> DataFrame:
+    """The row of docs for each id and text hash (__id, __th) in kept; again: some stand in more than one row."""
+    left = docs.withColumn("__t", F.xxhash64("text"))
+    left = left.join(kept.select("__id", "__th").hint("merge"), F.col("__t").eqNullSafe(F.col("__th")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return (left.dropDuplicates(["doc_id", "__t"]) if again else left).drop("__t")  # text moves again only where rows repeat
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
@@ -383,9 +390,7 @@ def first_of_similar(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> D
     same = F.col("th").eqNullSafe(F.col("__th")) & F.col("doc_id").eqNullSafe(F.col("__id"))
     again = rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).where("n > 1").join(kept.hint("merge"), same, "left_semi").take(1)
     common.discard(docs.sparkSession, path, vertices_path)
-    left = docs.withColumn("__t", F.xxhash64("text"))
-    left = left.join(kept.hint("merge"), F.col("__t").eqNullSafe(F.col("__th")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return (left.dropDuplicates(["doc_id", "__t"]) if again else left).drop("__t")  # text moves again only where rows repeat
+    return _rows_of(docs, kept, bool(again))
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
