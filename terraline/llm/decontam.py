@@ -10,7 +10,8 @@ The benchmark goes to the executors in blocks of at most BLOCK_BYTES of text, st
 every shard is searched for every block; so neither side's memory grows with the benchmark, and nothing is shuffled.
 
 Defined cases. Null, empty or wordless text: no words, no hits, not contaminated. Null or wordless item: no window. Items
-with the same text or id each count by their id; a null id is skipped. A repeated document row is judged like the first.
+with the same text or id each count by their id; an item with a null id is skipped, or with null_ids (the query and the
+pipeline) searched like any other and only left out of items. A repeated document row is judged like the first.
 Empty tables give an empty result, or no hits. A column of docs named like one of ours is replaced by ours.
 """
 
@@ -49,13 +50,13 @@ class Block:
     sizes: np.ndarray
     first: np.ndarray
     items: np.ndarray
-    ids: list[str]
+    ids: list[str | None]
 
 
-def block_of(items: list[tuple[str, bytes]], window: int) -> Block:
+def block_of(items: list[tuple[str | None, bytes]], window: int) -> Block:
     symbol: dict[bytes, int] = {}
     owners: dict[tuple[int, ...], set[int]] = {}
-    ids: list[str] = []
+    ids: list[str | None] = []
     for item, text in items:
         words = [symbol.setdefault(w, len(symbol) + 1) for w in words_of(text)]
         if words:
@@ -69,9 +70,9 @@ def block_of(items: list[tuple[str, bytes]], window: int) -> Block:
     return Block(list(symbol), rows, np.array([len(w) for w in owners], np.int64), np.cumsum([0, *map(len, each)]), np.array([i for x in each for i in x], np.int64), ids)
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[Block]:
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, window: int, null_ids: bool = False) -> Iterator[Block]:
     held, size = [], 0
-    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
+    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text")).where((F.col("id").isNotNull() | F.lit(null_ids)) & F.col("text").isNotNull())
     for r in rows.toLocalIterator():
         held.append((r["id"], bytes(r["text"])))
         size += len(held[-1][1])
@@ -139,7 +140,8 @@ def match_shard(texts: list[bytes | None], blocks) -> tuple[list[int], list[int]
         np.add.at(delta, begin, 1)
         np.add.at(delta, end, -1)
         for d, i in zip(doc.tolist(), item.tolist(), strict=True):
-            items[d].append(block.ids[i])
+            if block.ids[i] is not None:
+                items[d].append(block.ids[i])
     hit = np.cumsum(delta[:-1]) > 0
     total = np.r_[0, np.cumsum(hit)]
     n_hit = total[stops] - total[stops - lengths]
@@ -151,11 +153,11 @@ def match_shard(texts: list[bytes | None], blocks) -> tuple[list[int], list[int]
     return lengths.tolist(), n_hit.tolist(), [sorted(set(x)) for x in items], spans
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", id_col: str = "item_id", keep: list[str] | None = None) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", id_col: str = "item_id", keep: list[str] | None = None, null_ids: bool = False) -> DataFrame:
     """The columns in keep (all by default), n_words, n_hit, items, spans (word ranges to remove) and contaminated."""
     spark = docs.sparkSession
     common.ship(spark)
-    sent = [spark.sparkContext.broadcast(b) for b in blocks_of(benchmark, id_col, text_col, window)]
+    sent = [spark.sparkContext.broadcast(b) for b in blocks_of(benchmark, id_col, text_col, window, null_ids)]
     ours = {*_RESULT.names, "contaminated"}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ours]
     frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("__text"))
@@ -176,12 +178,12 @@ def items_digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, null_ids: bool = False) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
-    return decontaminate(whole, benchmark, keep=["__row"]).where(~F.col("contaminated")).select("__row.*")
+    return decontaminate(whole, benchmark, keep=["__row"], null_ids=null_ids).where(~F.col("contaminated")).select("__row.*")
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
-    found = decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=["doc_id"])
+    found = decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=["doc_id"], null_ids=True)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "spans")
