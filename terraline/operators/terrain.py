@@ -137,7 +137,7 @@ def patch_features(x: np.ndarray, y: np.ndarray, z: np.ndarray, size: int, least
     return {"phi_lidar": phi, "tri": float(v.std()), "ruggedness": float(steps.mean()), "z_min": float(v.min()), "z_max": float(v.max()), "z_mean": float(v.mean()), "z_std": float(v.std()), "z_range": float(np.ptp(v))}
 
 
-def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 32) -> DataFrame:
+def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256) -> DataFrame:
     """Features of each point's patch, from all its finite points. pairs: id_col and the patch's ox, oy, oz (from radius_join).
 
     Equal positions are counted before they are gathered (of several elevations at one place the lowest stands for it in the

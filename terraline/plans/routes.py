@@ -87,7 +87,7 @@ def match_routes(rows: DataFrame, edges: DataFrame, cfg: matcher.MatchConfig = m
     return out.withColumns({"lat": F.when(moved, F.col("__lat")).otherwise(F.col("lat")), "lon": F.when(moved, F.col("__lon")).otherwise(F.col("lon"))}).drop("__lat", "__lon", "track", "ord")
 
 
-def enrich_terrain(rows: DataFrame, cloud: DataFrame, registry: DataFrame, radius: float = 100.0, size: int = 64, device: str = "source_key") -> DataFrame:
+def enrich_terrain(rows: DataFrame, cloud: DataFrame, registry: DataFrame, radius: float = 100.0, size: int = 256, device: str = "source_key") -> DataFrame:
     """Rows with the device's constants and terrain features; each distinct position is computed once. Gaps within a segment are
     interpolated, but for n_points_used. cloud: x, y, z."""
     named = network.device_join(rows.withColumn("__device", device_of(F.col(device))), registry, "__device").drop("__device")

@@ -254,3 +254,13 @@ def test_swept_triangles_are_delaunay():
         m = np.array([[x[t[1]] - x[t[0]], y[t[1]] - y[t[0]]], [x[t[2]] - x[t[0]], y[t[2]] - y[t[0]]]])
         mid = np.linalg.solve(2 * m, (m * m).sum(1)) + [x[t[0]], y[t[0]]]
         assert (np.hypot(x - mid[0], y - mid[1]) >= np.hypot(x[t[0]] - mid[0], y[t[0]] - mid[1]) - 1e-6).all()
+
+
+def test_terrain_grid_of_the_reference(spark):
+    rng = np.random.default_rng(9)
+    x, y = rng.random(40) * 100, rng.random(40) * 100
+    z = 0.2 * x + np.sin(y / 9)
+    got = terrain.enrich_terrain(spark.createDataFrame([(1, *map(float, p)) for p in zip(x, y, z, strict=True)], "pid long, ox double, oy double, oz double"), "pid", "long").first()
+    order = np.lexsort((y, x))
+    want = terrain.patch_features(x[order], y[order], z[order], 256)
+    assert all(got[f] == pytest.approx(want[f], rel=1e-9) for f in terrain.FEATURES)
