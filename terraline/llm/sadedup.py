@@ -2,19 +2,21 @@
 
 A byte goes if a string of `length` bytes that covers it also starts anywhere else in the input, the same document included.
 
-1. Anchors. The anchor of a string of `length` bytes is the first of its grams with the smallest hash; neighbouring strings
-   mostly share theirs. An anchor's neighbourhood is all that the strings it anchors cover. Equal strings have equal anchors at
+1. Anchors. The anchor of a string of `length` bytes is the first of its grams whose hash has the smallest upper half;
+   neighbouring strings mostly share theirs. An anchor's neighbourhood is all that the strings it anchors cover. Equal strings have equal anchors at
    the same offset, so a repeated string lies in the neighbourhood of an anchor whose gram occurs again.
 2. Anchors are counted by gram, and those that occur once are gone. Equal neighbourhoods (128 bits of hashes) are repeated as a
    whole; only where a repeated gram stands in different neighbourhoods must text be compared.
 3. For those, one representative of each neighbourhood goes to the shard of its gram. A shard's suffix array is induced
    linearly, its permuted common prefixes are computed, and suffixes sharing `length` bytes form runs: if a run has two
-   positions of the input, or a representative of several copies, its strings are repeated. A gram with more than `hot`
-   different neighbourhoods is not gathered: the strings around it are counted by hash, which Spark aggregates before the
-   shuffle, so that no task holds them all.
+   positions of the input, or a representative of several copies, its strings are repeated.
+   A gram with more than `hot` different neighbourhoods is too much for one task. Its strings are split by the offset of
+   the gram, in halves, and by the bytes that all strings of a half have in common; each part is again settled where equal
+   and else given to a suffix array, or split further, down to single strings.
 4. The repeated ranges of each document are united and cut out.
 
-Text moves once to find the neighbourhoods' bytes and once to be cut; hash rows move otherwise. Nothing is broadcast.
+Text moves once to find the neighbourhoods' bytes and once to be cut; hash rows move otherwise. Only the list of the grams that
+hold more than a MOST_HOT-th of all repeated anchors, at most MOST_HOT of them, is broadcast: their rows are salted.
 
 Defined cases. Null text: no bytes. Shorter texts than `length` stay whole. Repeated rows are copies of each other, so
 `length` bytes or more go from both. Documents are told apart by two 64-bit hashes of id and text; null and repeated ids are
@@ -37,11 +39,13 @@ from terraline.llm import common, sais
 
 LENGTH = 200
 GRAM = 32
-#: Most different neighbourhoods of a gram that one task compares; beyond, they are counted by hash.
+#: Most different neighbourhoods of a gram that one task compares; beyond, they are split.
 HOT = 8_000
+#: Grams whose rows are salted, at most, and the salts of each.
+MOST_HOT, SALTS = 1_000, 32
 _PIECE = 2 << 20
 _SHARD = 2 << 20
-_MAX, _ONE = np.uint64(2**64 - 1), np.uint64(1)
+_MAX, _LOW = np.uint64(2**64 - 1), np.uint64(2**32 - 1)
 _KEYS = ["k1", "k2"]
 
 
@@ -101,8 +105,7 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
     starts = ends - lengths[long]
     h = common.only("roller", gram, Roller).grams(flat, gram)
     at = np.arange(len(h), dtype=np.uint64)
-    bits = np.uint64(max(1, int(len(h)).bit_length()))
-    where = sliding((h & ~((_ONE << bits) - _ONE)) | at, length - gram + 1, np.minimum, _MAX) & ((_ONE << bits) - _ONE)
+    where = sliding((h & ~_LOW) | at, length - gram + 1, np.minimum, _MAX) & _LOW
     edges = np.zeros(len(flat) + 1, np.int8)
     edges[starts] += 1
     edges[ends - length + 1] -= 1
@@ -147,7 +150,7 @@ def _with_lists(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, h
 def neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The bytes of the wanted ranges: wanted's rows (k1, k2, h, nh, c, lo, size) with body."""
     lists = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("h", "nh", "c", "lo", "size", "a")).alias("want"))
-    got = _with_lists(docs, lists, id_col, text_col, "inner", [])
+    got = _with_lists(docs, lists, id_col, text_col, "inner", []).dropDuplicates(_KEYS)  # repeated rows have the same bytes
     cut = got.select(*_KEYS, F.col("text").cast("binary").alias("text"), F.explode("want").alias("w"))
     return cut.select(*_KEYS, "w.h", "w.nh", "w.c", "w.lo", "w.a", F.expr("substring(text, cast(w.lo + 1 as int), cast(w.size as int))").alias("body"))
 
@@ -217,38 +220,69 @@ def compare_by_suffix_array(edges: DataFrame, length: int) -> DataFrame:
     return edges.select(*cols).repartition("h").sortWithinPartitions("h").mapInArrow(run, _RANGES)
 
 
-def compare_by_hash(edges: DataFrame, length: int) -> DataFrame:
-    """The same for grams with very many neighbourhoods: counts of hashed strings at the same offset from the gram."""
-    at = F.expr(f"sequence(0, octet_length(body) - {length})")
-    one = edges.select(*_KEYS, "h", "c", "lo", "a", "body", F.explode(at).alias("i"))
-    text = F.expr(f"substring(body, i + 1, {length})")
-    one = one.select(*_KEYS, "h", "c", "lo", "i", (F.col("i") - F.col("a")).alias("o"), F.xxhash64(text).alias("g1"), F.xxhash64(F.lit(5), text).alias("g2"))
-    twice = one.groupBy("h", "o", "g1", "g2").agg(F.sum("c").alias("n")).where("n > 1").select("h", "o", "g1", "g2")
-    return one.join(twice, ["h", "o", "g1", "g2"], "left_semi").select(*_KEYS, (F.col("lo") + F.col("i")).alias("s"), (F.col("lo") + F.col("i") + length).alias("e"))
+def halves(parts: DataFrame, length: int) -> DataFrame:
+    """The parts (k1, k2, h, c, lo, a, first, last, body), whose strings begin first to last bytes before the gram at a, in two
+    each: h is then the hash of the old one and of the bytes that all strings of the half cover, nh that of the half's body."""
+    middle = F.floor((F.col("first") + F.col("last")) / 2).cast("int")
+    each = parts.withColumn("half", F.explode(F.array(F.struct(F.col("first").alias("x"), middle.alias("y")), F.struct((middle + 1).alias("x"), F.col("last").alias("y"))))).select("*", "half.x", "half.y").where("x <= y")
+    begin, end = F.greatest(F.lit(0), F.col("a") - F.col("y")), F.least(F.col("a") - F.col("x"), F.octet_length("body") - length)
+    each = each.withColumn("begin", begin.cast("int")).withColumn("end", end.cast("int")).where("begin <= end")
+    core = F.expr(f"substring(body, cast(a - x + 1 as int), cast({length} - (y - x) as int))")
+    each = each.withColumn("core", core).withColumn("body", F.expr(f"substring(body, begin + 1, end - begin + {length})"))
+    key = F.xxhash64("h", "x", "core").alias("h")
+    at = (F.col("a") - F.col("begin")).cast("int")
+    return each.select(*_KEYS, key, F.xxhash64("body", at).alias("nh"), "c", (F.col("lo") + F.col("begin")).cast("long").alias("lo"), at.alias("a"), F.col("x").cast("int").alias("first"), F.col("y").cast("int").alias("last"), "body")
+
+
+def split_hot(edges: DataFrame, length: int, gram: int, hot: int) -> list[DataFrame]:
+    """The repeated ranges around the representatives of grams with more than hot neighbourhoods, a table for each level of halves."""
+    spark, out = edges.sparkSession, []
+    parts, path = common.materialize(halves(edges.select(*_KEYS, "h", "c", "lo", F.col("a").cast("int").alias("a"), F.lit(0).alias("first"), F.lit(length - gram).alias("last"), "body"), length), "hot-parts")
+    while True:
+        kinds, kinds_path = common.materialize(parts.groupBy("h", "nh").agg(F.sum("c").alias("n"), F.min(F.struct(*_KEYS, "lo")).alias("r")), "hot-kinds")
+        size = F.octet_length("body")
+        copied = parts.join(kinds.where("n > 1").select("h", "nh"), ["h", "nh"], "left_semi").select(*_KEYS, F.col("lo").alias("s"), (F.col("lo") + size).alias("e"))
+        mixed = kinds.groupBy("h").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("h", "m")
+        wanted = kinds.join(mixed, "h").select("h", "nh", "n", "m", F.col("r.k1").alias("k1"), F.col("r.k2").alias("k2"), F.col("r.lo").alias("lo"))
+        left = parts.drop("c").join(wanted, ["h", "nh", *_KEYS, "lo"]).withColumnRenamed("n", "c")
+        cold = compare_by_suffix_array(left.where(F.col("m") <= hot), length)
+        found, _ = common.materialize(copied.unionByName(cold).distinct(), "hot-ranges")
+        out.append(found)
+        rest, rest_path = common.materialize(halves(left.where((F.col("m") > hot) & (F.col("first") < F.col("last"))), length), "hot-parts")
+        common.discard(spark, path, kinds_path)
+        if not rest.take(1):
+            common.discard(spark, rest_path)
+            return out
+        parts, path = rest, rest_path
 
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int | None = None, hot: int = HOT) -> DataFrame:
-    """k1, k2, ranges (array of struct s, e; not united) of the documents that have repeated strings."""
+    """k1, k2, ranges (array of different structs s, e; not united) of the documents that have repeated strings. Runs jobs."""
     spark = docs.sparkSession
     common.ship(spark)
     gram = min(GRAM, max(1, length // 2)) if gram is None else gram
     every, every_path = common.materialize(anchor_table(docs, id_col, text_col, length, gram), "anchors")
-    again, again_path = common.materialize(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-grams")
-    twice, twice_path = common.materialize(every.join(again, "h", "left_semi"), "repeated-anchors")
-    common.discard(spark, every_path, again_path)
+    again, again_path = common.materialize(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "repeated-grams")
+    share = (again.agg(F.sum("n")).first()[0] or 0) // MOST_HOT
+    common_grams = F.broadcast(again.where(F.col("n") > max(share, 20_000)).select("h", F.lit(True).alias("often")))  # at most MOST_HOT
+    salted = lambda df: df.join(common_grams, "h", "left").withColumn("salt", F.when(F.col("often"), F.pmod(F.xxhash64("k1", "p"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("often")
+    spread = lambda df: df.join(common_grams, "h", "left").withColumn("salt", F.explode(F.when(F.col("often"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("often")
+    twice, twice_path = common.materialize(salted(every).join(spread(again.select("h")), ["h", "salt"], "left_semi"), "repeated-anchors")
+    common.discard(spark, every_path)
     place = F.struct("k1", "k2", "p", "lo", "size")
     kinds, kinds_path = common.materialize(twice.groupBy("h", "nh").agg(F.count("*").alias("c"), F.min(place).alias("r")), "neighbourhoods")
-    copied = twice.join(kinds.where("c > 1").select("h", "nh"), ["h", "nh"], "left_semi").select(*_KEYS, F.col("lo").alias("s"), (F.col("lo") + F.col("size")).alias("e"))
+    copied = twice.join(spread(kinds.where("c > 1").select("h", "nh")), ["h", "nh", "salt"], "left_semi").select(*_KEYS, F.col("lo").alias("s"), (F.col("lo") + F.col("size")).alias("e"))
     mixed = kinds.groupBy("h").agg(F.count("*").alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1").select("h", "m")
     wanted = kinds.join(mixed, "h").select("r.k1", "r.k2", "h", "nh", "c", "r.lo", "r.size", (F.col("r.p") - F.col("r.lo")).alias("a"), "m")
     wanted, wanted_path = common.materialize(wanted, "wanted")
     cold = neighbourhoods(docs, wanted.where(F.col("m") <= hot), id_col, text_col)
     ranges = copied.unionByName(compare_by_suffix_array(cold, length))
     if wanted.where(F.col("m") > hot).take(1):
-        ranges = ranges.unionByName(compare_by_hash(neighbourhoods(docs, wanted.where(F.col("m") > hot), id_col, text_col), length))
+        for found in split_hot(neighbourhoods(docs, wanted.where(F.col("m") > hot), id_col, text_col), length, gram, hot):
+            ranges = ranges.unionByName(found)
     ranges, ranges_path = common.materialize(ranges, "ranges")
-    common.discard(spark, twice_path, kinds_path, wanted_path)
-    return ranges.groupBy(*_KEYS).agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
+    common.discard(spark, again_path, twice_path, kinds_path, wanted_path)
+    return ranges.groupBy(*_KEYS).agg(F.collect_set(F.struct("s", "e")).alias("ranges"))
 
 
 def unite(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:

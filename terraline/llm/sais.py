@@ -4,15 +4,19 @@ Suffixes are classified (S: smaller than the next, L: larger), the leftmost S of
 substrings are sorted by one round of induction and named, and the string of names is sorted recursively. From the order of
 the leftmost-S suffixes all others are induced: a scan over the buckets in ascending order places the L suffixes, one in
 descending order the S suffixes. A bucket is scanned in waves, each a handful of array operations, so the work is linear.
-Where an alphabet (of names, say) is too wide for bucket waves, that level is finished by rank doubling.
+The names of a level are a string over a wide alphabet, where most buckets hold a few suffixes. There every suffix is ranked
+by its symbols and types up to the next leftmost S, in rounds that double what is covered, and all that are still equal
+follow the order of those leftmost-S suffixes, which the recursion gives.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Widest alphabet that is scanned bucket by bucket, as a share of the string.
-_DENSE = 1 / 64
+#: Widest alphabet that is scanned bucket by bucket.
+_BUCKETS = 256
+#: Strings so short are sorted by doubling, the base case of the recursion.
+_SHORT = 64
 
 
 def classify(t: np.ndarray) -> np.ndarray:
@@ -126,16 +130,69 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, ends: np.ndarra
     return sa
 
 
+def _groups(key: np.ndarray) -> np.ndarray:
+    """For sorted keys the place of the first equal one."""
+    at = np.arange(len(key))
+    return np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], at, 0)) if len(key) else at
+
+
+def _shared(rank: np.ndarray) -> np.ndarray:
+    """Where sorted ranks have an equal neighbour."""
+    same = rank[1:] == rank[:-1]
+    return np.r_[same, False] | np.r_[False, same] if len(rank) else same
+
+
+def _wide(t: np.ndarray) -> np.ndarray:
+    """Suffix array over a wide alphabet."""
+    n = len(t)
+    small = classify(t)
+    left = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    stop = np.repeat(np.r_[left, n], np.diff(np.r_[0, left, n]))  # the next leftmost S behind each position
+    key = t.astype(np.int64) * 2 + small
+    order = np.argsort(key, kind="stable")
+    rank = np.empty(n, np.int64)
+    rank[order] = _groups(key[order])
+    first = np.r_[rank, -1]  # by symbol and type alone; the end is the smallest
+    jump, done = np.minimum(np.arange(1, n + 1), stop), n + 1
+    live = order[_shared(rank[order])]
+    while len(live):
+        old, ahead = rank[live], jump[live]
+        inside = ahead < stop[live]
+        second = first[ahead]
+        second[inside] = rank[ahead[inside]]
+        further = np.full(len(live), done)
+        further[inside] = jump[ahead[inside]]
+        key = old * (n + 2) + second + 1
+        sort = np.argsort(key, kind="stable")
+        new = _groups(key[sort])
+        start = _groups(old[sort])
+        rank[live[sort]] = old[sort] + new - start
+        order[old[sort] + np.arange(len(live)) - start] = live[sort]
+        jump[live] = further
+        live = live[sort][_shared(new)]
+        live = live[jump[live] != done]
+    by_rank = left[np.argsort(rank[left], kind="stable")]
+    names = np.empty(n + 1, np.int64)
+    names[by_rank] = np.cumsum(np.r_[0, rank[by_rank[1:]] != rank[by_rank[:-1]]]) if len(left) else 0
+    if len(left) and names[by_rank[-1]] + 1 < len(left):
+        names[left[suffix_array(names[left])]] = np.arange(len(left))
+    names[n] = -1
+    equal = order[_shared(rank[order])]
+    if len(equal):
+        place = np.flatnonzero(_shared(rank[order]))
+        order[place] = equal[np.lexsort((names[stop[equal]], rank[equal]))]
+    return order
+
+
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Suffix array of an array of symbols from 0; the end counts as smaller than every symbol."""
     n = len(t)
-    if n < 64:
+    if n < _SHORT:
         return doubling(t)
     sigma = int(t.max()) + 1
-    if sigma > max(256, n * _DENSE):
-        return doubling(t)
-    if t.dtype.itemsize > 2 and sigma <= 1 << 16:
-        t = t.astype(np.uint16 if sigma > 256 else np.uint8)
+    if sigma > _BUCKETS:
+        return _wide(t)
+    t = t.astype(np.uint8, copy=False)
     ends = np.cumsum(np.bincount(t, minlength=sigma))
     small = classify(t)
     left = np.flatnonzero(small[1:] & ~small[:-1]) + 1

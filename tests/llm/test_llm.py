@@ -38,7 +38,7 @@ def sha(b):
 # ------------------------------------------------------------------------------------------------ suffix arrays
 
 
-@pytest.mark.parametrize("sigma", [1, 2, 3, 40, 250])
+@pytest.mark.parametrize("sigma", [1, 2, 3, 40, 250, 256])
 def test_suffix_array_and_lcp(sigma):
     rng = np.random.default_rng(sigma)
     for n in (0, 1, 2, 64, 65, 700, 3000):
@@ -55,10 +55,15 @@ def test_suffix_array_and_lcp(sigma):
                 assert got[i] == k
 
 
-def test_doubling_on_wide_alphabets():
+def test_wide_alphabets():
     rng = np.random.default_rng(5)
     t = np.tile(rng.integers(0, 10**6, 400), 3)
-    assert list(sais.doubling(t)) == sorted(range(len(t)), key=lambda i: list(t[i:]))
+    assert list(sais.doubling(t)) == list(sais.suffix_array(t)) == sorted(range(len(t)), key=lambda i: list(t[i:]))
+    for sigma in (2, 3, 300, 5000):
+        for n in (2, 65, 200, 3000):
+            t = rng.integers(0, sigma, n)
+            for t in (t, np.tile(t[: n // 7 + 1], 8)[:n], np.sort(t), np.sort(t)[::-1].copy(), np.repeat(t[: n // 5 + 1], 5)[:n]):
+                assert list(sais.suffix_array(t)) == list(sais._wide(t)) == list(sais.doubling(t))
 
 
 def test_fm_index():
@@ -452,6 +457,27 @@ def test_suffix_array_dedup_against_brute_force(spark, hot):
     assert sadedup.remove_repeats(docs_of(spark, [])).count() == 0
 
 
+def test_copies_of_a_row_cost_linear_entries(spark):
+    rng = np.random.default_rng(13)
+    text = "".join(rng.choice(list("abcdef "), 3000))
+    sizes = []
+    for n in (20, 80):
+        got = sadedup.repeated_ranges(spark.createDataFrame([(1, text)] * n + [(2, text[:900] + "x" * 50)], "doc_id long, text string")).collect()
+        sizes.append(sorted(len(r["ranges"]) for r in got))
+    assert sizes[0] == sizes[1] and sizes[0][-1] < 100
+
+
+def test_anchors_do_not_depend_on_the_batch(monkeypatch):
+    rng = np.random.default_rng(14)
+    texts = [bytes(rng.integers(97, 101, 700).astype(np.uint8)) for _ in range(40)]
+    monkeypatch.setattr(sadedup.Roller, "grams", lambda self, flat, k: np.convolve(flat, np.arange(1, k + 1), "valid").astype(np.uint64) % 7 << np.uint64(40))  # many ties
+    together = sadedup.anchors(texts, 200, 32)
+    for i, t in enumerate(texts):
+        alone = sadedup.anchors([t], 200, 32)
+        for a, b in zip(alone[1:], together[1:], strict=True):
+            assert (a == b[together[0] == i]).all()
+
+
 def test_short_strings_and_shards(spark, monkeypatch):
     rng = np.random.default_rng(11)
     texts = ["".join(rng.choice(list("abcd"), 300)) for _ in range(12)]
