@@ -35,6 +35,8 @@ BITS = 64
 #: For first_of_similar: fingerprints a text, keys a text, bits a key, and the most bits in which the pools of a candidate differ
 #: (39 of 256 are expected at a similarity of 0.8, 128 of unrelated texts).
 WORDS, TABLES, KEY_BITS, POOL_BITS = 4, 128, 24, 72
+#: The tables of each round.
+ROUNDS = [range(0, 6), range(6, 24), range(24, TABLES)]
 _WORDS = [f"w{w}" for w in range(WORDS)]
 _BATCH = 4 << 20
 _BLOCK = 4 << 20
@@ -288,23 +290,24 @@ def pool_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def pool_table(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, th (hash of the text), v (hash of the shingle set) and the fingerprints w0, w1, ... of every row."""
+    """doc_id, th (hash of the text), v (hash of the shingle set), n (its size) and the fingerprints w0, w1, ... of every row."""
     common.ship(docs.sparkSession)
     frame = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    names = ["doc_id", "th", "v", *_WORDS]
+    names = ["doc_id", "th", "v", "n", *_WORDS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.pieces(batches, "text", _BATCH):
             sets = [shingle_set(x, shingle) for x in common.texts_of(batch, "text")]
             v = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
             words = np.array([pool_of(s) for s in sets]).reshape(len(sets), WORDS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(v), *(pa.array(words[:, w]) for w in range(WORDS))], names=names)
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(v), sizes, *(pa.array(words[:, w]) for w in range(WORDS))], names=names)
 
     return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in names[1:])]))
 
 
-def sampled_keys(vertices: DataFrame) -> DataFrame:
-    """key, v: TABLES rows a vertex, each hashed from KEY_BITS sampled bits of its pool."""
+def sampled_keys(vertices: DataFrame, tables: range) -> DataFrame:
+    """key, v, r: one row a vertex and table, hashed from KEY_BITS sampled bits of its pool, with the vertex's root."""
     rng = np.random.default_rng(5)
     masks = np.zeros((TABLES, WORDS), np.uint64)
     for m in masks:
@@ -313,28 +316,28 @@ def sampled_keys(vertices: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [batch.column(1 + w).to_numpy().view(np.uint64) for w in range(WORDS)]
-            for t, m in enumerate(masks):
+            words = [batch.column(2 + w).to_numpy().view(np.uint64) for w in range(WORDS)]
+            for t in tables:
                 key = np.full(batch.num_rows, t, np.uint64)
                 for w, x in enumerate(words):
-                    key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + (x & m[w]) + np.uint64(w))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0)], names=["key", "v"])
+                    key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + (x & masks[t][w]) + np.uint64(w))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0), batch.column(1)], names=["key", "v", "r"])
 
-    return vertices.select("v", *_WORDS).mapInArrow(run, "key long, v long")
+    return vertices.select("v", "r", *_WORDS).mapInArrow(run, "key long, v long, r long")
 
 
-def _plausible(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
-    """The pairs a, b whose pools differ in at most POOL_BITS bits."""
-    side = lambda c: vertices.select(F.col("v").alias(c), *[F.col(w).alias(f"{c}_{w}") for w in _WORDS])
+def _plausible(pairs: DataFrame, vertices: DataFrame, least: float) -> DataFrame:
+    """The pairs a, b whose pools differ in at most POOL_BITS bits and whose sets' sizes allow the similarity."""
+    side = lambda c: vertices.select(F.col("v").alias(c), F.col("n").alias(f"n{c}"), *[F.col(w).alias(f"{c}_{w}") for w in _WORDS])
     far = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WORDS), F.lit(0))
-    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(far <= POOL_BITS).select("a", "b")
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where((far <= POOL_BITS) & (F.least("na", "nb") >= least * F.greatest("na", "nb"))).select("a", "b")
 
 
 def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
     """The pairs a, b whose shingle sets have a Jaccard similarity of at least `least`, by the sets themselves."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(vertices, "v").select("v", F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(vertices.hint("merge"), "v").select("v", F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
     same = F.col("__th").eqNullSafe(F.xxhash64("text")) & F.col("__id").eqNullSafe(F.col("doc_id"))
-    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), same).select("v", "text")
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), same).dropDuplicates(["v"]).select("v", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.pieces(batches, "text", _BATCH):
@@ -345,7 +348,7 @@ def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: in
     both = F.size(F.array_intersect("sa", "sb"))
     near = both >= least * (F.size("sa") + F.size("sb") - both)
     side = lambda c: sets.select(F.col("v").alias(c), F.col("s").alias(f"s{c}")).hint("merge")
-    found, _ = common.materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b").distinct(), "simhash-similar")
+    found, _ = common.materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b"), "simhash-similar")
     common.discard(docs.sparkSession, path)
     return found
 
@@ -353,23 +356,32 @@ def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: in
 def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
     """v, root of the vertices that are not the smallest of their component.
 
-    First every vertex of a key is compared with the key's smallest one, then, where a key holds several components, the
-    vertices outside its smallest one's component with all of other components: what all pairs would give, without making them.
+    The tables are taken in ROUNDS. In a table every vertex of a key meets two others of the key at most: the one before it in
+    an order by the table's own hash, and the first of that order. Vertices that already have the same root, and pairs met
+    before, are left out, so a group of near copies is linked by the first tables and costs the later ones no pair.
     """
-    keys, path = common.materialize(sampled_keys(vertices).withColumn("p", F.min("v").over(Window.partitionBy("key"))).withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n"), "simhash-keys")
-    first, a = common.materialize(_plausible(keys.where("v <> p").select(F.col("p").alias("a"), F.col("v").alias("b")).distinct(), vertices), "simhash-pairs")
-    links = _similar(first, vertices, docs, shingle, least)
-    roots, _ = components(links)
-    root = roots.withColumnRenamed("v", "x").withColumnRenamed("root", "r")
-    known = keys.join(root.hint("merge"), F.col("v") == F.col("x"), "left").select("key", "v", "p", F.coalesce("r", "v").alias("r"))
-    pivot = known.withColumn("pr", F.max(F.when(F.col("v") == F.col("p"), F.col("r"))).over(Window.partitionBy("key"))).withColumn("m", F.max(F.col("r") != F.col("pr")).over(Window.partitionBy("key"))).where("m").drop("m")
-    pivot, b = common.materialize(pivot, "simhash-mixed")
-    left, right = pivot.where("r <> pr").select("key", F.col("v").alias("x"), F.col("r").alias("rx")), pivot.where("v <> p").select("key", F.col("v").alias("y"), F.col("r").alias("ry"))
-    more = left.join(right, "key").where("rx <> ry").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more, c = common.materialize(_plausible(more, vertices), "simhash-pairs")
-    if more.take(1):
-        roots, _ = components(links.unionByName(_similar(more, vertices, docs, shingle, least)))
-    common.discard(docs.sparkSession, path, a, b, c)
+    spark = docs.sparkSession
+    links = tried = roots = None
+    before: list[str] = []
+    for n, tables in enumerate(ROUNDS):
+        now = vertices.withColumn("r", F.col("v"))
+        if roots is not None:
+            now = vertices.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
+        order = Window.partitionBy("key").orderBy(F.xxhash64("key", "v"), "v")
+        first = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        met = sampled_keys(now, tables).select("v", "r", F.struct(F.lag("v").over(order).alias("v"), F.lag("r").over(order).alias("r")).alias("one"), F.struct(F.first("v").over(first).alias("v"), F.first("r").over(first).alias("r")).alias("two"))
+        pairs = met.where("r <> one.r or r <> two.r").select("v", "r", F.explode(F.array("one", "two")).alias("o")).where("r <> o.r").select(F.least("v", "o.v").alias("a"), F.greatest("v", "o.v").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")
+        pairs, pairs_path = common.materialize(pairs, "simhash-met")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        likely, likely_path = common.materialize(_plausible(pairs, vertices, least), "simhash-pairs")
+        found = _similar(likely, vertices, docs, shingle, least)
+        links = found if links is None else links.unionByName(found)
+        common.discard(spark, likely_path)
+        before.append(pairs_path)
+        roots, _ = components(links)
+    common.discard(spark, *before)
     return roots
 
 
@@ -382,7 +394,7 @@ def first_of_similar(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> D
     """
     rows, path = common.materialize(pool_table(docs, shingle), "simhash-pool")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
-    vertices, vertices_path = common.materialize(rows.groupBy("v").agg(F.min(rank).alias("rep"), *[F.min(w).alias(w) for w in _WORDS]), "simhash-vertices")
+    vertices, vertices_path = common.materialize(rows.groupBy("v").agg(F.min(rank).alias("rep"), F.min("n").alias("n"), *[F.min(w).alias(w) for w in _WORDS]), "simhash-vertices")
     roots = similar_roots(vertices, docs, shingle, least).withColumnRenamed("v", "x")
     rooted = vertices.join(roots.hint("merge"), F.col("v") == F.col("x"), "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("rep").alias("rep"))
     kept = rooted.select(F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
