@@ -80,12 +80,12 @@ class FMIndex:
         self.marked = Bits(kept)
         self.positions = sa[kept]
 
-    def search(self, patterns: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix-array interval of each pattern (row, its first `size` symbols), by backward search over all of them."""
-        low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
-        for k in range(patterns.shape[1]):
+    def search(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix-array interval of each pattern (`size` symbols of flat from `start`), by backward search over all of them."""
+        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64)
+        for k in range(int(sizes.max()) if len(sizes) else 0):
             live = np.flatnonzero((sizes > k) & (low < high))
-            c = patterns[live, sizes[live] - 1 - k].astype(np.int64) + 1
+            c = flat[starts[live] + sizes[live] - 1 - k].astype(np.int64) + 1
             low[live] = self.smaller[c] + self.wavelet.rank(c, low[live])
             high[live] = self.smaller[c] + self.wavelet.rank(c, high[live])
         return low, np.maximum(low, high)

@@ -23,7 +23,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op2_chat": chat.ORACLE_SQL}
+    found = {"op2_chat": chat.ORACLE_SQL, "op8_decontamination": decontam.ORACLE_SQL}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found

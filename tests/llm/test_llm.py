@@ -72,7 +72,7 @@ def test_fm_index():
     index = fmindex.FMIndex(t, 6, sample=8)
     patterns = np.array([t[i : i + 4] for i in range(0, 400, 7)] + [[5, 5, 5, 5]])
     sizes = np.array([1 + i % 4 for i in range(len(patterns))])
-    low, high = index.search(patterns, sizes)
+    low, high = index.search(patterns.reshape(-1), 4 * np.arange(len(patterns)), sizes)
     for p, s, a, b in zip(patterns, sizes, low, high, strict=True):
         want = [i for i in range(len(t) - s + 1) if (t[i : i + s] == p[:s]).all()]
         assert sorted(index.locate(np.arange(a, b)).tolist()) == want
@@ -363,8 +363,10 @@ def test_decontamination_against_brute_force(spark, monkeypatch):
         if i is not None and w:
             for k in range(max(1, len(w) - 12)):
                 windows.setdefault(tuple(w[k : k + 13]), set()).add(str(i))
-    for size in (decontam.BLOCK_BYTES, 60):
+    for size, whole in ((decontam.BLOCK_BYTES, decontam.PASS_BYTES), (60, 1000), (200, 400)):  # one block, several, several passes
         monkeypatch.setattr(decontam, "BLOCK_BYTES", size)
+        monkeypatch.setattr(decontam, "PASS_BYTES", whole)
+        monkeypatch.setattr(decontam, "_PAIRS", size)
         got = {r["doc_id"]: r for r in decontam.decontaminate(docs_of(spark, texts), benchmark).collect()}
         for i, t in enumerate(texts):
             w, hit, found = find(t), set(), set()
