@@ -100,7 +100,10 @@ class PairTable:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = (left.astype(np.int64) << 32) | right
+        return self.find((left.astype(np.int64) << 32) | right)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Values of the keys; _NONE where there is none."""
         slot = self._slot(keys)
         out = np.full(len(keys), _NONE, np.int32)
         seen = self.keys[slot]

@@ -146,27 +146,69 @@ def test_native_plans(spark):
 # ------------------------------------------------------------------------------------------------ op 3
 
 
+def brute_path(word, scores):
+    """Tokens and pieces of the best path, by all splits of every prefix."""
+    low = min(scores.values(), default=0.0) - 10
+    best = [(0.0, 0, [])]
+    for j in range(1, len(word) + 1):
+        found = [(best[i][0] + scores[word[i:j]], -best[i][1] - 1, i, best[i][2] + [word[i:j]]) for i in range(j - 1, -1, -1) if word[i:j] in scores]
+        if word[j - 1] not in scores:
+            found.append((best[j - 1][0] + low, -best[j - 1][1] - len(word[j - 1].encode()), j - 1, best[j - 1][2]))
+        s, n, _, path = max(found, key=lambda x: x[:3])
+        best.append((s, -n, path))
+    return best[-1][1:]
+
+
 def test_token_counts(spark):
     pieces = tokencount.load_pieces(vocab.path("piece_bpe_32k.model"))
-    trie = tokencount.ForwardTrie(pieces)
-
-    def brute(word):
-        s, best = tokencount.MARK + word, [(0.0, 0)]
-        for j in range(1, len(s) + 1):
-            found = [(-best[i][0] - pieces[s[i:j]], best[i][1] + 1) for i in range(j) if s[i:j] in pieces]
-            if s[j - 1] not in pieces:
-                found.append((-best[j - 1][0] - trie.unknown, best[j - 1][1] + len(s[j - 1].encode())))
-            m = min(found)
-            best.append((-m[0], m[1]))
-        return best[-1][1]
-
-    texts = [t if t is None or len(t) < 6000 else t[:2000] for t in TEXTS]
-    got = {r["doc_id"]: (r["n_pretokens"], r["n_tokens"]) for r in tokencount.count_tokens(docs_of(spark, texts), pieces).collect()}
+    texts = [*TEXTS[:10], "internationalization of tokenizers is unbelievably good", "x" * 300, "日本語" * 60, "a" * 95 + " " + "b" * 96 + " " + "the" * 32, *TEXTS[11:]]
+    docs = docs_of(spark, texts)
+    words = Counter(w.decode() for t in texts for w in (t or "").encode().split())
+    scores = dict.fromkeys(pieces, -np.log(len(pieces)))
+    for _ in range(tokencount.ROUNDS):
+        used = Counter()
+        for w, n in words.items():
+            for p in brute_path(tokencount.MARK + w, scores)[1]:
+                used[p] += n
+        total = sum(used.values()) + tokencount.SMOOTH * len(pieces)
+        scores = {p: np.log(used[p] + tokencount.SMOOTH) - np.log(total) for p in pieces}
+    learned = tokencount.estimate(docs, pieces)
+    assert list(learned) == pieces and np.allclose(list(learned.values()), list(scores.values()))
+    got = {r["doc_id"]: (r["n_pretokens"], r["n_tokens"]) for r in tokencount.count_tokens(docs, learned).collect()}
     for i, t in enumerate(texts):
-        words = (t or "").encode().split()
-        assert got[i] == (len(words), sum(brute(w.decode()) for w in words if len(w) < 300) if max(map(len, words), default=0) < 300 else got[i][1])
-    assert got[10][1] > 0
-    assert tokencount.count_tokens(docs_of(spark, []), pieces).count() == 0
+        each = [w.decode() for w in (t or "").encode().split()]
+        assert got[i] == (len(each), sum(brute_path(tokencount.MARK + w, learned)[0] for w in set(each) for _ in range(each.count(w))))
+    nothing = docs_of(spark, [])
+    assert tokencount.count_tokens(nothing, tokencount.estimate(nothing, pieces)).count() == 0
+    assert tokencount.estimate(docs, []) == {}
+
+
+def test_token_counts_equal_a_unigram_model(spark, tmp_path):
+    import sentencepiece
+
+    rng = np.random.default_rng(9)
+    parts = ["re", "inter", "nation", "al", "iz", "ation", "un", "believ", "able", "ly", "token", "s", "ing"]
+    lines = [" ".join("".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(12)) for _ in range(400)]
+    with open(tmp_path / "lines.txt", "w") as f:
+        f.write("\n".join(lines))
+    sentencepiece.SentencePieceTrainer.train(input=str(tmp_path / "lines.txt"), model_prefix=str(tmp_path / "m"), vocab_size=120, model_type="unigram", hard_vocab_limit=False, minloglevel=2)
+    model = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "m.model"))
+    scores = {p: model.get_score(model.piece_to_id(p)) for p in tokencount.load_pieces(str(tmp_path / "m.model"))}
+    texts = [*lines[:60], "international" * 12, " ".join(lines[:20])]
+    got = {r["doc_id"]: r["n_tokens"] for r in tokencount.count_tokens(docs_of(spark, texts), scores).collect()}
+    assert [got[i] for i in range(len(texts))] == [len(model.encode(t)) for t in texts]
+
+
+def test_tries_forget_without_a_difference(monkeypatch):
+    scores = {tokencount.MARK: -3.0, "a": -2.0, "b": -2.5, "ab": -3.0, tokencount.MARK + "a": -2.5, "bab": -4.0}
+    texts = [b"ab abba a", b"babab aab", None, b"x" * 200 + b" ab", b"abab" * 60]
+    trie = tokencount.UnigramTrie(scores)
+    want = [x.tolist() for x in trie.count(texts)]
+    monkeypatch.setattr(tokencount, "_KNOWN", 1)
+    monkeypatch.setattr(tokencount, "_TRIE", 2)
+    monkeypatch.setattr(tokencount, "DEEP", 5)
+    small = tokencount.UnigramTrie(scores)
+    assert [[int(small.count([t])[k][0]) for t in texts] for k in (0, 1)] == want
 
 
 # ------------------------------------------------------------------------------------------------ op 4
