@@ -6,19 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-#: A device is named by letters and three digits.
+#: A device is named by letters and digits; the callers below take another pattern.
 DEVICE = r"[A-Za-z]+\d+"
 
 
-def pair_key(name: Column, prefix: str) -> Column:
+def pair_key(name: Column, prefix: str, device: str = DEVICE) -> Column:
     """DEVICE_rest of `PREFIX_DEVICE_rest.txt`; null where it doesn't match or the name says realtime."""
-    pattern = rf"(?i)^{prefix}_({DEVICE}?)_(.+)\.txt$"
+    pattern = rf"(?i)^{prefix}_({device}?)_(.+)\.txt$"
     key = F.concat_ws("_", F.regexp_extract(name, pattern, 1), F.regexp_extract(name, pattern, 2))
     return F.when((F.regexp_extract(name, pattern, 0) != "") & ~F.lower(name).contains("realtime"), key)
 
 
-def file_key(name: Column) -> Column:
-    got = F.regexp_extract(name, rf"({DEVICE}_\d{{8}})", 1)
+def file_key(name: Column, device: str = DEVICE) -> Column:
+    got = F.regexp_extract(name, rf"({device}_\d{{8}})", 1)
     return F.when(got != "", got)
 
 

@@ -39,9 +39,13 @@ def risk_class(si: Column) -> Column:
 
 
 def quality_class(mae: Column, corr: Column) -> Column:
-    """How well two series agree: good, acceptable, moderate or poor."""
-    # Largest mae and least correlation of each class.
-    return F.when((mae <= 0.05) & (corr >= 0.9), "good").when((mae <= 0.1) & (corr >= 0.85), "acceptable").when((mae <= 0.2) & (corr >= 0.7), "moderate").otherwise("poor")
+    """How well two series agree."""
+    # The classes' names, largest mae and least correlation.
+    classes = [("COINCIDEN BIEN", 0.05, 0.9), ("COINCIDENCIA ACEPTABLE", 0.1, 0.85), ("COINCIDENCIA MODERADA", 0.2, 0.7)]
+    out = F.lit("NO COINCIDEN BIEN")
+    for name, most, least in reversed(classes):
+        out = F.when((mae <= most) & (corr >= least), name).otherwise(out)
+    return out
 
 
 def match_state(measured: Column, theory: Column, tolerance: float = 0.02) -> Column:

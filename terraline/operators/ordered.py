@@ -140,3 +140,22 @@ def clock_fold(markers: DataFrame, by: list[str], order: list[str], anchor: str,
 
     fields = [T.StructField("begin", T.LongType()), T.StructField("t", T.LongType()), T.StructField("n", T.LongType())]
     return lined.mapInArrow(run, T.StructType([*lined.schema.fields[: k + 1], *fields]))
+
+
+def clock_rows(df: DataFrame, by: list[str], order: list[str], anchor: str, clock_s: str) -> DataFrame:
+    """The rows without a clock value, with t_us (epoch microseconds): row i of the N up to the next marker stands i/N seconds behind
+    the time before them, that is, the last marker's or the anchor. Rows of a key without an anchor are left out.
+
+    Markers are the rows with a clock value (seconds of the day), read as in clock_fold.
+    """
+    w = Window.partitionBy(*by).orderBy(*order)
+    placed = df.withColumn("__pos", F.coalesce(F.count(clock_s).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    block = Window.partitionBy(*by, "__pos")
+    data = placed.where(F.col(clock_s).isNull()).withColumn("__i", F.row_number().over(block.orderBy(*order))).withColumn("__n", F.count("*").over(block))
+    times = clock_fold(placed.where(F.col(clock_s).isNotNull()).withColumn("__rows", F.lit(0)), by, order, anchor, clock_s, "__rows")
+    # what follows marker p begins at its time; what precedes the first one begins at the anchor
+    begun = times.select(*by, (F.col("pos") + 1).cast("long").alias("__pos"), F.col("t").alias("__t"))
+    begin = F.coalesce("__t", F.when(F.col("__pos") == 0, F.col(anchor).cast("long")))
+    timed = data.withColumn("__pos", F.col("__pos").cast("long")).join(begun, [*by, "__pos"], "left").withColumn("__t", begin).where("__t is not null")
+    t_us = F.col("__t") * 1_000_000 + F.rint(F.col("__i") * (F.lit(1.0) / F.col("__n")) * 1e6).cast("long")
+    return timed.withColumn("t_us", t_us).drop("__pos", "__i", "__n", "__t", clock_s)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -20,28 +18,34 @@ def dem_stats(cells: DataFrame, by: list[str]) -> DataFrame:
 
 
 def ruggedness(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Mean absolute difference of neighbours along rows and columns; gaps count as the grid's mean; 0 below four cells."""
+    """Mean absolute difference of neighbours along rows and columns; gaps count as the grid's mean; 0 for a grid of under four cells or of gaps alone."""
     z = F.when(~F.isnan("z"), F.col("z"))
     filled = cells.withColumn("__z", F.coalesce(z, F.avg(z).over(Window.partitionBy(*by))))
     across = F.abs(F.col("__z") - F.lag("__z").over(Window.partitionBy(*by, "row").orderBy("col")))
     down = F.abs(F.col("__z") - F.lag("__z").over(Window.partitionBy(*by, "col").orderBy("row")))
-    both = filled.select(*by, z.alias("__f"), across.alias("__a"), down.alias("__d"))
-    got = both.groupBy(*by).agg(F.count("__f").alias("n"), F.sum("__a").alias("a"), F.count("__a").alias("na"), F.sum("__d").alias("d"), F.count("__d").alias("nd"))
+    both = filled.select(*by, across.alias("__a"), down.alias("__d"))
+    got = both.groupBy(*by).agg(F.count("*").alias("n"), F.sum("__a").alias("a"), F.count("__a").alias("na"), F.sum("__d").alias("d"), F.count("__d").alias("nd"))
     total = (F.coalesce("a", F.lit(0.0)) + F.coalesce("d", F.lit(0.0))) / (F.col("na") + F.col("nd"))
     return got.select(*by, F.when((F.col("n") < 4) | (F.col("na") + F.col("nd") == 0), F.lit(0.0)).otherwise(total).alias("ruggedness"))
 
 
 def phi_lidar(cells: DataFrame, by: list[str], resolution: float = 1.0) -> DataFrame:
-    """atan of the slope of the centre row (rows // 2), gaps as the row's mean."""
+    """atan of the slope of the centre row (rows // 2), gaps as the row's mean. A grid of one column, or whose centre row is a gap
+    throughout, takes the mean slope of all its cells instead."""
     rows = F.max("row").over(Window.partitionBy(*by)) + 1
     z = F.when(~F.isnan("z"), F.col("z"))
     centre = cells.withColumn("__r", F.floor(rows / 2)).where(F.col("row") == F.col("__r"))
     filled = centre.withColumn("__z", F.coalesce(z, F.avg(z).over(Window.partitionBy(*by))))
-    return filled.groupBy(*by).agg(F.coalesce(F.atan(F.regr_slope("__z", F.col("col") * resolution)), F.lit(0.0)).alias("phi_lidar"))
+    fitted = filled.groupBy(*by).agg(F.atan(F.regr_slope("__z", F.col("col") * resolution)).alias("__phi"))
+    rest = cells.join(fitted.where("__phi is not null").select(*by), by, "left_anti")
+    mean = sobel(rest, by, resolution).groupBy(*by).agg(F.avg(F.abs("slope")).alias("__mean"))
+    return cells.select(*by).distinct().join(fitted, by, "left").join(mean, by, "left").select(*by, F.coalesce("__phi", "__mean").alias("phi_lidar"))
 
 
 def sobel(cells: DataFrame, by: list[str], resolution: float = 1.0) -> DataFrame:
-    """Sobel gradient of every cell (outside counts as 0): gx, gy, slope, aspect. Kernels are flipped, as in a convolution."""
+    """Sobel gradient of every cell (gaps count as the grid's mean, outside as 0): gx, gy, slope, aspect. Kernels are flipped, as in a convolution."""
+    finite = F.when(~F.isnan("z"), F.col("z"))
+    cells = cells.withColumn("z", F.coalesce(finite, F.avg(finite).over(Window.partitionBy(*by))))
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("dr"), F.lit(j).alias("dc")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o")
     sent = cells.select(*by, "row", "col", "z", around).select(*by, (F.col("row") + F.col("o.dr")).alias("row"), (F.col("col") + F.col("o.dc")).alias("col"), "z", (-F.col("o.dr")).alias("r"), (-F.col("o.dc")).alias("c"))
     weight = lambda a, b: F.when(F.col(a) == 0, F.lit(0)).otherwise(-F.col(a)) * F.when(F.col(b) == 0, F.lit(2)).otherwise(F.lit(1))
@@ -113,6 +117,14 @@ def grid_from_points(x: np.ndarray, y: np.ndarray, z: np.ndarray, gx: np.ndarray
     return out
 
 
+def _slopes(dem: np.ndarray) -> np.ndarray:
+    """Sobel slope of every cell of a grid without gaps, outside as 0."""
+    z = np.pad(dem, 1)
+    dx, dy = z[:, 2:] - z[:, :-2], z[2:] - z[:-2]
+    gx, gy = dx[:-2] + 2 * dx[1:-1] + dx[2:], dy[:, :-2] + 2 * dy[:, 1:-1] + dy[:, 2:]
+    return np.arctan(np.hypot(gx, gy) / 8)
+
+
 def patch_features(x: np.ndarray, y: np.ndarray, z: np.ndarray, size: int, least_points: int = 10, least_cells: int = 25, n_points: int | None = None) -> dict[str, float] | None:
     """Terrain features of one patch: a size x size grid over its box (10 m wide at least), then the grid statistics.
     n_points counts the points where x, y, z are different places only."""
@@ -131,7 +143,7 @@ def patch_features(x: np.ndarray, y: np.ndarray, z: np.ndarray, size: int, least
         row = np.where(some, row, row[some].mean())
         phi = float(np.arctan(np.polyfit(np.arange(size, dtype=float), row, 1)[0]))
     else:
-        phi = 0.0
+        phi = float(np.abs(_slopes(np.where(good, dem, v.mean()).astype(np.float64))).mean())
     filled = np.where(good, dem, v.mean()).astype(np.float64)
     steps = np.concatenate([np.abs(np.diff(filled, axis=1)).ravel(), np.abs(np.diff(filled, axis=0)).ravel()])
     return {"phi_lidar": phi, "tri": float(v.std()), "ruggedness": float(steps.mean()), "z_min": float(v.min()), "z_max": float(v.max()), "z_mean": float(v.mean()), "z_std": float(v.std()), "z_range": float(np.ptp(v))}
@@ -154,9 +166,3 @@ def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256)
         return pd.DataFrame([{id_col: pdf[id_col].iloc[0], **{f: got.get(f) for f in FEATURES}, "n_points_used": n}])
 
     return places.groupBy(id_col).applyInPandas(one, schema)
-
-
-def las_grid(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of a cloud with their one-metre cell, for nearest-cell grids."""
-    for pdf in it:
-        yield pdf.assign(row=np.floor(pdf["y"]).astype("int64"), col=np.floor(pdf["x"]).astype("int64"))

@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from terraline.functions import geo, naming
-from terraline.operators import audit, filters, spatial, terrain
+from terraline.operators import audit, filters, ordered, spatial, terrain
 from terraline.plans.telemetry import FIXES, events, fixes, query, r6
+from terraline.sources import network
 from terraline.sources.tables import table
 
 # ------------------------------------------------------------------------------------------------ spatial
@@ -93,10 +94,10 @@ def point_in_box(spark, sf_dir):
     return spatial.containing_box(_points(spark, sf_dir), boxes, "pid", size=150.0)
 
 
-@query("bbox_containment", f"WITH {EDGES} SELECT edge_id, min(least(ax, bx)) <= 300 AND max(greatest(ax, bx)) >= 500 AS covers FROM e GROUP BY edge_id")
+@query("bbox_containment", f"WITH {EDGES}, b AS (SELECT edge_id, min(least(ax, bx)) AS min_lon, max(greatest(ax, bx)) AS max_lon, min(least(ay, by_)) AS min_lat, max(greatest(ay, by_)) AS max_lat FROM e GROUP BY edge_id) SELECT * FROM b WHERE min_lon <= 300 AND max_lon >= 500 AND min_lat <= 350 AND max_lat >= 600")
 def bbox_containment(spark, sf_dir):
-    p = _edges(spark, sf_dir).select("edge_id", F.explode("coords").alias("p"))
-    return p.groupBy("edge_id").agg(((F.min("p.x") <= 300) & (F.max("p.x") >= 500)).alias("covers"))
+    edges = _edges(spark, sf_dir).select("edge_id", F.transform("coords", lambda p: F.struct(p["x"].alias("lon"), p["y"].alias("lat"))).alias("coords"))
+    return network.covering_networks(network.network_bounds(edges, ["edge_id"]), (300.0, 500.0, 350.0, 600.0))
 
 
 @query("first_rows_bbox", f"WITH {FIXES} SELECT user_id, min(lat) AS min_lat, max(lat) AS max_lat, min(lon) AS min_lon, max(lon) AS max_lon FROM (SELECT * FROM fixes QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) <= 50) GROUP BY user_id")
@@ -153,12 +154,12 @@ def _cells(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.floor(p / 400).alias("g"), F.floor((p % 400) / 20).alias("row"), (p % 20).alias("col"), F.when(p % 17 != 0, ((p * 31) % 97).cast("double")).alias("z"))
 
 
-@query("dem_features", f"WITH {CELLS} SELECT g, count(z) AS n_cells, min(z) AS z_min, max(z) AS z_max, round(avg(z), 6) AS z_mean, round(stddev_pop(z), 6) AS z_std, max(z) - min(z) AS z_range FROM cells GROUP BY g")
+@query("dem_features", f"WITH {CELLS} SELECT g, count(z) AS n_cells, min(z) AS z_min, max(z) AS z_max, round(avg(z), 6) AS z_mean, round(stddev_pop(z), 6) AS z_std, max(z) - min(z) AS z_range, round(coalesce(stddev_pop(z), 0), 6) AS tri FROM cells GROUP BY g")
 def dem_features(spark, sf_dir):
-    return terrain.dem_stats(_cells(spark, sf_dir), ["g"]).select("g", "n_cells", "z_min", "z_max", r6("z_mean", "z_mean"), r6("z_std", "z_std"), "z_range")
+    return terrain.dem_stats(_cells(spark, sf_dir), ["g"]).select("g", "n_cells", "z_min", "z_max", r6("z_mean", "z_mean"), r6("z_std", "z_std"), "z_range", r6("tri", "tri"))
 
 
-@query("ruggedness", f"WITH {CELLS}, f AS (SELECT g, row, col, z AS raw, coalesce(z, avg(z) OVER (PARTITION BY g)) AS z FROM cells), d AS (SELECT g, raw, abs(z - lag(z) OVER (PARTITION BY g, row ORDER BY col)) AS a, abs(z - lag(z) OVER (PARTITION BY g, col ORDER BY row)) AS b FROM f) SELECT g, CASE WHEN count(raw) < 4 OR count(a) + count(b) = 0 THEN 0.0 ELSE round((coalesce(sum(a), 0) + coalesce(sum(b), 0)) / (count(a) + count(b)), 6) END AS ruggedness FROM d GROUP BY g")
+@query("ruggedness", f"WITH {CELLS}, f AS (SELECT g, row, col, z AS raw, coalesce(z, avg(z) OVER (PARTITION BY g)) AS z FROM cells), d AS (SELECT g, raw, abs(z - lag(z) OVER (PARTITION BY g, row ORDER BY col)) AS a, abs(z - lag(z) OVER (PARTITION BY g, col ORDER BY row)) AS b FROM f) SELECT g, CASE WHEN count(*) < 4 OR count(a) + count(b) = 0 THEN 0.0 ELSE round((coalesce(sum(a), 0) + coalesce(sum(b), 0)) / (count(a) + count(b)), 6) END AS ruggedness FROM d GROUP BY g")
 def ruggedness(spark, sf_dir):
     return terrain.ruggedness(_cells(spark, sf_dir), ["g"]).select("g", r6("ruggedness", "ruggedness"))
 
@@ -171,15 +172,21 @@ def phi_lidar(spark, sf_dir):
 _K = [(i, j, (2 if j == 0 else 1) * i, (2 if i == 0 else 1) * j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0)]
 
 
-@query("sobel", f"WITH {CELLS}, full_ AS (SELECT g, row, col, coalesce(z, 0) AS z FROM cells) SELECT c.g, c.row, c.col, round(" + " + ".join(f"coalesce(n{k}.z, 0) * {-gx}" for k, (i, j, gy, gx) in enumerate(_K)) + ", 6) / 8 AS gx, round(" + " + ".join(f"coalesce(n{k}.z, 0) * {-gy}" for k, (i, j, gy, gx) in enumerate(_K)) + ", 6) / 8 AS gy FROM full_ c " + " ".join(f"LEFT JOIN full_ n{k} ON n{k}.g = c.g AND n{k}.row = c.row + {i} AND n{k}.col = c.col + {j}" for k, (i, j, gy, gx) in enumerate(_K)))
+_SUMS = ", ".join("(" + " + ".join(f"coalesce(n{k}.z, 0) * {-w[m]}" for k, (_, _, *w) in enumerate(_K)) + f") / 8 AS g{a}" for m, a in ((1, "x"), (0, "y")))
+_NEAR = " ".join(f"LEFT JOIN full_ n{k} ON n{k}.g = c.g AND n{k}.row = c.row + {i} AND n{k}.col = c.col + {j}" for k, (i, j, _, _) in enumerate(_K))
+
+
+@query("sobel", f"WITH {CELLS}, full_ AS (SELECT g, row, col, coalesce(z, avg(z) OVER (PARTITION BY g)) AS z FROM cells), s AS (SELECT c.g, c.row, c.col, {_SUMS} FROM full_ c {_NEAR}) SELECT g, row, col, round(gx, 6) AS gx, round(gy, 6) AS gy, round(atan(sqrt(gx * gx + gy * gy)), 6) AS slope, CASE WHEN abs(gx) + abs(gy) > 1e-6 THEN round(abs(atan2(gy, gx)), 6) END AS aspect FROM s")
 def sobel(spark, sf_dir):
-    return terrain.sobel(_cells(spark, sf_dir).withColumn("z", F.coalesce("z", F.lit(0.0))), ["g"]).select("g", "row", "col", r6("gx", "gx"), r6("gy", "gy"))
+    found = terrain.sobel(_cells(spark, sf_dir), ["g"])
+    flat = F.abs("gx") + F.abs("gy") <= 1e-6  # no direction; and pi and minus pi are one
+    return found.select("g", "row", "col", r6("gx", "gx"), r6("gy", "gy"), r6("slope", "slope"), F.when(~flat, F.round(F.abs("aspect"), 6)).alias("aspect"))
 
 
-@query("raster_bilinear", f"WITH {POINTS}, c AS (SELECT pid, x / 60 AS fx, (1200 - y) / 60 AS fy FROM p), k AS (SELECT pid, floor(fx) + j AS col, floor(fy) + i AS row, (CASE WHEN i = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) * (CASE WHEN j = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS w FROM c, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)), r AS (SELECT p_partkey // 20 AS row, p_partkey % 20 AS col, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE ((p_partkey * 31) % 97)::DOUBLE END AS z FROM part WHERE p_partkey < 400) SELECT pid, CASE WHEN count(z) = 4 THEN round(sum(w * z), 6) END AS z FROM k LEFT JOIN r ON r.row = k.row AND r.col = k.col GROUP BY pid")
+@query("raster_bilinear", f"WITH {POINTS}, c AS (SELECT pid, x / 60 AS fx, (1200 - y) / 60 AS fy FROM p), k AS (SELECT pid, floor(fx) + j AS col, floor(fy) + i AS row, (CASE WHEN i = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) * (CASE WHEN j = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS w FROM c, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)), r AS (SELECT p_partkey // 20 AS row, p_partkey % 20 AS col, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE ((p_partkey * 31) % 97)::DOUBLE END AS z FROM part) SELECT pid, CASE WHEN count(z) = 4 THEN round(sum(w * z), 6) END AS z FROM k LEFT JOIN r ON r.row = k.row AND r.col = k.col GROUP BY pid")
 def raster_bilinear(spark, sf_dir):
     p = F.col("p_partkey")
-    raster = table(spark, sf_dir, "part").where("p_partkey < 400").select(F.floor(p / 20).alias("row"), (p % 20).alias("col"), F.when(p % 17 != 0, ((p * 31) % 97).cast("double")).alias("z"))
+    raster = table(spark, sf_dir, "part").select(F.floor(p / 20).alias("row"), (p % 20).alias("col"), F.when(p % 17 != 0, ((p * 31) % 97).cast("double")).alias("z"))
     return spatial.bilinear(_points(spark, sf_dir), raster, "pid", 0.0, 1200.0, 60.0).select("pid", r6("z", "z"))
 
 
@@ -317,9 +324,9 @@ def key_union(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).union(table(spark, sf_dir, "orders").select("o_custkey")).distinct()
 
 
-@query("key_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("key_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def key_difference(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").select("o_custkey"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_custkey"))
 
 
 @query("merge_indicator", "WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), b AS (SELECT o_custkey AS k, count(*) AS m FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) SELECT coalesce(a.k, b.k) AS k, n, m, CASE WHEN n IS NOT NULL AND m IS NOT NULL THEN 'both' WHEN n IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge FROM a FULL JOIN b ON a.k = b.k")
@@ -379,10 +386,11 @@ def loose_numbers(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", naming.loose_double(t).alias("v"))
 
 
-@query("device_dimension_join", "SELECT s_suppkey, s_name, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+@query("device_dimension_join", "SELECT s_suppkey, k1, k2, k4_mm, d1_m, coeff, s_mm, alphav FROM supplier JOIN (VALUES " + ", ".join(str((k, *d[1:])) for k, d in enumerate(network.DEVICES)) + ") d(i, k1, k2, k4_mm, d1_m, coeff, s_mm, alphav) ON s_suppkey % 4 = i")
 def device_dimension_join(spark, sf_dir):
-    s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
-    return s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]).select("s_suppkey", "s_name", "n_name", "r_name")
+    names = F.array(*[F.lit(d[0]) for d in network.DEVICES])
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.get(names, (F.col("s_suppkey") % 4).cast("int")).alias("device"))
+    return network.device_join(rows, network.device_registry(spark), "device").select("s_suppkey", *network.CONSTANTS)
 
 
 @query("training_rows", "SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL AND l_tax IS NOT NULL AND l_linenumber <> 3")
@@ -406,9 +414,21 @@ def forest_cv(spark, sf_dir):
     return learning.cross_validate(li, ["l_quantity", "l_discount", "l_tax"], "price", learning.Run("random_forest", {"numTrees": 10, "maxDepth": 5}), groups="l_suppkey", folds=3)
 
 
-@query("clock_fold")
-def clock_fold(spark, sf_dir):
-    from terraline.operators.ordered import clock_fold as fold
+_STEP = "greatest(x - x % 86400 + c + CASE WHEN x - x % 86400 + c < x - 43200 THEN 86400 ELSE 0 END, x + 1)"
 
-    e = events(spark, sf_dir).select("user_id", "event_id", (F.col("event_id") * 3600 % 86400).alias("c"), F.lit(0).cast("long").alias("rows"), F.lit(1_700_000_000).cast("long").alias("anchor"))
-    return fold(e, ["user_id"], ["event_id"], "anchor", "c", "rows")
+
+@query(
+    "clock_fold",
+    f"""WITH RECURSIVE e AS (SELECT user_id, event_id, CASE WHEN event_type = 'click' THEN event_id * 3607 % 86400 END AS c FROM events),
+p AS (SELECT *, count(c) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pos FROM e),
+m AS (SELECT user_id, pos, c FROM p WHERE c IS NOT NULL),
+f AS (SELECT user_id, pos, {_STEP} AS t FROM (SELECT *, 1700000000 AS x FROM m WHERE pos = 0)
+  UNION ALL SELECT user_id, pos, {_STEP} AS t FROM (SELECT m.user_id, m.pos, m.c, f.t AS x FROM f JOIN m ON m.user_id = f.user_id AND m.pos = f.pos + 1)),
+d AS (SELECT user_id, event_id, pos, row_number() OVER (PARTITION BY user_id, pos ORDER BY event_id) AS i, count(*) OVER (PARTITION BY user_id, pos) AS n FROM p WHERE c IS NULL)
+SELECT d.user_id, event_id, (coalesce(f.t, 1700000000) * 1000000 + round_even(i * (1.0::DOUBLE / n) * 1e6, 0)::BIGINT)::BIGINT AS t_us FROM d LEFT JOIN f ON f.user_id = d.user_id AND f.pos = d.pos - 1""",
+)
+def clock_fold(spark, sf_dir):
+    """Clicks are clock markers, other events the samples between them."""
+    clock = F.when(F.col("event_type") == "click", F.col("event_id") * 3607 % 86400)
+    e = events(spark, sf_dir).select("user_id", "event_id", clock.alias("c"), F.lit(1_700_000_000).cast("long").alias("anchor"))
+    return ordered.clock_rows(e, ["user_id"], ["event_id"], "anchor", "c").select("user_id", "event_id", "t_us")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from terraline.functions.naming import clean_double, pair_key
 from terraline.functions.stability import risk_class, si_dynamic, si_static_roll, si_total
-from terraline.operators.ordered import clock_fold
+from terraline.operators.ordered import clock_rows
 
+# The columns of the inertial log, and the words ESTABILIDAD and "sin datos GPS" of the formats below.
 IMU_COLUMNS = ["ax", "ay", "az", "gx", "gy", "gz", "roll", "pitch", "yaw", "timeantwifi", "usciclo1", "usciclo2", "usciclo3", "usciclo4", "usciclo5", "si", "accmag", "microsds", "k3"]
 
 
@@ -50,47 +51,38 @@ def gps_row_classes(raw: DataFrame) -> DataFrame:
     return rows.groupBy("file").agg(F.count("*").alias("raw_rows"), *[F.count(F.when(F.col("kind") == k, 1)).alias(f"{k}_rows") for k in ("valid", "no_fix", "malformed")])
 
 
-_MARK = r"^\d{1,2}:\d{2}:\d{2}$"
+_MARK = r"^(?:[01]?\d|2[0-3]):[0-5]\d:[0-5]\d$"
 
 
 def imu_rows(raw: DataFrame) -> DataFrame:
-    """path, session, line_no, fields (array of doubles), marker (seconds of the day) and anchor (epoch seconds) for data and marker rows.
+    """path, file, session, line_no, fields (array of doubles), marker (seconds of the day) and anchor (epoch seconds) for data and marker rows.
 
-    A line that begins with ESTABILIDAD starts a session; its date stands in the second non-empty part. Data rows need four
-    fields and four numbers; trailing empty fields don't count.
+    A line that begins with ESTABILIDAD and has a readable date as its second non-empty part starts a session; without one it is
+    skipped. Rows before the first session belong to its anchor, and markers there are skipped, as are times that don't exist.
+    Data rows need four fields and four numbers; trailing empty fields don't count.
     """
     w = Window.partitionBy("path").orderBy("line_no")
     value = F.regexp_replace(F.trim("value"), "\x00", "")
     parts = F.filter(F.split(value, ";"), lambda x: F.trim(x) != "")
     head = F.upper(value).startswith("ESTABILIDAD")
     start = F.when(head, F.unix_timestamp(F.try_to_timestamp(F.get(parts, F.lit(1)), F.lit("d/M/yyyy H:mm:ss"))))
-    t = F.split(F.regexp_replace(value, ";+$", ""), ":")
-    marker = F.when(F.regexp_replace(value, ";+$", "").rlike(_MARK), t[0].cast("int") * 3600 + t[1].cast("int") * 60 + t[2].cast("int"))
+    t = F.split(value, ":")
+    marker = F.when(value.rlike(_MARK), t[0].cast("int") * 3600 + t[1].cast("int") * 60 + t[2].cast("int"))
     fields = F.transform(F.split(F.regexp_replace(value, "[;\\s]+$", ""), ";"), lambda x: clean_double(F.trim(x)))
     rows = raw.select("path", "file", "line_no", head.alias("head"), start.alias("start"), marker.alias("marker"), F.when(~head, fields).alias("fields"))
-    rows = rows.withColumn("session", F.sum(F.col("head").cast("int")).over(w)).withColumn("anchor", F.max("start").over(Window.partitionBy("path", "session")))
+    rows = rows.withColumn("session", F.sum(F.col("start").isNotNull().cast("int")).over(w))
+    first = F.min(F.when(F.col("session") == 1, F.col("start"))).over(Window.partitionBy("path"))
+    rows = rows.withColumn("anchor", F.coalesce(F.max("start").over(Window.partitionBy("path", "session")), first))
+    rows = rows.where("not head and not (session = 0 and marker is not null)")
     good = (F.size("fields") >= 4) & (F.size(F.filter("fields", lambda x: x.isNotNull())) >= 4)
-    return rows.where("not head").select("path", "file", "session", "anchor", "line_no", "marker", F.when(F.col("marker").isNull(), F.col("fields")).alias("fields")).where(F.col("marker").isNotNull() | good)
+    return rows.select("path", "file", "session", "anchor", "line_no", "marker", F.when(F.col("marker").isNull(), F.col("fields")).alias("fields")).where(F.col("marker").isNotNull() | good)
 
 
 def parse_imu(raw: DataFrame, columns: list[str] = IMU_COLUMNS) -> DataFrame:
-    """One row a sample with timestamp: row i of the N before a marker stands i/N of the way from the last time to the marker's.
-
-    Rows behind the last marker count on as if a marker one second later followed. Columns beyond the given ones become extra: a
-    map of col_i. Sessions without a readable date are left out.
-    """
-    rows = imu_rows(raw)
-    w = Window.partitionBy("path", "session").orderBy("line_no")
-    rows = rows.withColumn("pos", F.coalesce(F.sum(F.col("marker").isNotNull().cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    data = rows.where("marker is null").withColumn("i", F.row_number().over(Window.partitionBy("path", "session", "pos").orderBy("line_no"))).withColumn("n", F.count("*").over(Window.partitionBy("path", "session", "pos")))
-    marks = rows.where("marker is not null").select("path", "session", "anchor", "line_no", "marker", F.lit(0).cast("long").alias("rows"))
-    times = clock_fold(marks, ["path", "session"], ["line_no"], "anchor", "marker", "rows").select("path", "session", F.col("pos").cast("long").alias("pos"), "begin", "t")
-    last = times.groupBy("path", "session").agg(F.max("pos").alias("last"), F.max("t").alias("end"))
-    timed = data.withColumn("pos", F.col("pos").cast("long")).join(times, ["path", "session", "pos"], "left").join(last, ["path", "session"], "left")
-    begin = F.coalesce("begin", "end", "anchor")
-    until = F.coalesce("t", begin + 1)
-    micros = (begin * 1_000_000 + F.round((until - begin) * 1_000_000 * F.col("i") / F.col("n"))).cast("long")
-    stamped = timed.where(begin.isNotNull()).withColumn("timestamp", F.timestamp_micros(micros).cast("timestamp_ntz"))
+    """One row a sample with timestamp: row i of the N up to the next marker, session or end stands i/N seconds behind the last
+    marker or the session's start. Columns beyond the given ones become extra: a map of col_i. Rows of a file without any
+    readable date are left out."""
+    stamped = clock_rows(imu_rows(raw), ["path", "session"], ["line_no"], "anchor", "marker").withColumn("timestamp", F.timestamp_micros("t_us").cast("timestamp_ntz"))
     named = [F.get("fields", F.lit(k)).alias(c) for k, c in enumerate(columns)]
     rest = F.slice("fields", len(columns) + 1, F.greatest(F.lit(0), F.size("fields") - len(columns)))
     extra = F.map_from_entries(F.transform(rest, lambda x, k: F.struct(F.concat(F.lit("col_"), (k + len(columns)).cast("string")), x)))
@@ -134,7 +126,7 @@ def imu_values(raw: DataFrame, columns: list[str] = IMU_COLUMNS, least: int = 10
 def imu_row_classes(raw: DataFrame) -> DataFrame:
     """raw, data, marker, header and malformed rows by file."""
     n = F.size(F.filter(F.split("value", ";"), lambda x: clean_double(F.trim(x)).isNotNull()))
-    value = F.regexp_replace(F.trim("value"), ";+$", "")
+    value = F.trim("value")
     kind = F.when(F.upper("value").startswith("ESTABILIDAD"), "header").when(value.rlike(_MARK), "marker").when(n >= 4, "data").otherwise("malformed")
     rows = raw.where(F.trim("value") != "").select("file", kind.alias("kind"))
     return rows.groupBy("file").agg(F.count("*").alias("raw_rows"), *[F.count(F.when(F.col("kind") == k, 1)).alias(f"{k}_rows") for k in ("data", "marker", "header", "malformed")])

@@ -60,7 +60,7 @@ def device_registry(spark: SparkSession, rows: list[tuple] = DEVICES) -> DataFra
 
 def device_join(df: DataFrame, registry: DataFrame, device: str) -> DataFrame:
     """The seven constants beside every row; an unknown device or a missing constant raises when the row is read."""
-    got = df.join(F.broadcast(registry.withColumnRenamed("device_id", "__d")), df[device] == F.col("__d"), "left")  # a fleet's registry: a row a device
+    got = df.join(registry.withColumnRenamed("device_id", "__d"), df[device] == F.col("__d"), "left")
     known = F.lit(True)
     for c in CONSTANTS:
         known = known & F.col(c).isNotNull()

@@ -17,10 +17,12 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def select_files(files: DataFrame, contains: list[str] = [], most: int | None = None, seed: int = 42) -> DataFrame:  # noqa: B006
-    """Distinct files whose path holds all the given strings; with `most` so many of them, shuffled by a seeded hash. None at all raises when read."""
+    """Distinct files whose path holds all the given strings; with `most` so many of them, shuffled by a seeded hash. None at all raises, which takes a job."""
     out = files.dropDuplicates(["path"])
     for part in contains:
         out = out.where(F.col("path").contains(part))
+    if not out.take(1):
+        raise FileNotFoundError(f"no file whose path holds {contains}" if contains else "no file")
     return out.orderBy(F.xxhash64(F.lit(seed), "path"), "path").limit(most) if most else out
 
 

@@ -45,7 +45,7 @@ def test_oracle(spark, duck, name):
     assert all(same(a, b) for g, w in zip(got, want, strict=True) for a, b in zip(g, w, strict=True))
 
 
-@pytest.mark.parametrize("name", ["terrain_patches", "map_match_tracks", "group_folds", "clock_fold"])
+@pytest.mark.parametrize("name", ["terrain_patches", "map_match_tracks", "group_folds", "forest_cv"])
 def test_rows_only(spark, name):
     assert registry.queries()[name](spark, str(SF)).count() > 0
 

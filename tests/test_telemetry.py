@@ -118,14 +118,25 @@ def test_gps_log(spark, tmp_path):
     assert (k["raw_rows"], k["no_fix_rows"], k["malformed_rows"]) == (5, 1, 1)
 
 
+def imu_times(spark, folder, body):
+    folder.mkdir()
+    (folder / "ESTABILIDAD_UNIT023_1.txt").write_text("\n".join(body), encoding="latin-1")
+    return logs.parse_imu(logs.lines(spark, str(folder))).orderBy("line_no").collect()
+
+
 def test_imu_log_clock(spark, tmp_path):
-    row = ";".join(["1.0"] * 19)
+    row, day = ";".join(["1.0"] * 19), lambda h, m, s, us=0, d=20: dt.datetime(2025, 10, d, h, m, s, us)
     body = ["ESTABILIDAD;20/10/2025 23:59:57;UNIT023;Sesion:1;", "ax;ay;az;", row, row, "23:59:59", row, "00:00:00", "00:00:00", row + ";7.0", "1;2", row]
-    (tmp_path / "ESTABILIDAD_UNIT023_1.txt").write_text("\n".join(body), encoding="latin-1")
-    rows = logs.parse_imu(logs.lines(spark, str(tmp_path))).orderBy("line_no").collect()
-    base = dt.datetime(2025, 10, 20, 23, 59, 57)
-    assert [(r["timestamp"] - base).total_seconds() for r in rows] == [1.0, 2.0, 3.0, 4.5, 5.0]
+    rows = imu_times(spark, tmp_path / "a", body)
+    assert [r["timestamp"] for r in rows] == [day(23, 59, 57, 500_000), day(23, 59, 58), day(0, 0, 0, d=21), day(0, 0, 1, 500_000, 21), day(0, 0, 2, d=21)]
     assert rows[3]["extra"] == {"col_19": 7.0} and rows[0]["k3"] == 1.0
+    # a time that doesn't exist and a head without a date are skipped, a dated head begins anew
+    body = ["ESTABILIDAD;20/10/2025 10:00:00;U;", "ax;", row, "25:61:61", row, "10:00:04", row, "ESTABILIDAD;no date;", row, "ESTABILIDAD;20/10/2025 12:00:00;", row, "12:00:09", row, row, row, row]
+    got = [r["timestamp"] for r in imu_times(spark, tmp_path / "b", body)]
+    assert got == [day(10, 0, 0, 500_000), day(10, 0, 1), day(10, 0, 4, 500_000), day(10, 0, 5), day(12, 0, 1), *(day(12, 0, 9 + k // 4, 250_000 * (k % 4)) for k in (1, 2, 3, 4))]
+    # rows before the first date count from it, markers there don't; no date at all leaves nothing
+    assert [r["timestamp"] for r in imu_times(spark, tmp_path / "c", ["x", "ax;", row, "09:00:00", row, "ESTABILIDAD;20/10/2025 12:00:00;", row])] == [day(12, 0, 0, 500_000), day(12, 0, 1), day(12, 0, 1)]
+    assert imu_times(spark, tmp_path / "d", ["x", "ax;", row, "09:00:00", row]) == []
 
 
 def test_graphml_and_wkt(spark, tmp_path):
@@ -178,6 +189,28 @@ def test_matcher(spark):
 def test_smoothing_needs_short_runs():
     assert matcher.smooth([1, 1, 2, 1, 1], min_run=1) == [1, 1, 2, 1, 1]
     assert matcher.smooth([1, 1, 2, 1, 1], min_run=2) == [1, 1, 1, 1, 1]
+    assert matcher.smooth([1, 1, 2, 3, 3], 2, 2) == [1, 1, 1, 3, 3]
+    assert matcher.smooth([1, 1, None, 1, 5], 2, 2) == [1, 1, 1, 1, 1]
+    assert matcher.smooth([4, 5], 2, 2) == [4, 5] and matcher.smooth([], 2, 2) == []
+
+
+def test_smoothed_rows_are_projected(spark):
+    edges = spark.createDataFrame([(1, [(0.0, 0.0), (100.0, 0.0)]), (2, [(48.0, 300.0), (52.0, 300.0)])], "edge_id long, coords array<struct<x: double, y: double>>")
+    points = spark.createDataFrame([("t", i, x, y) for i, (x, y) in enumerate([(10.0, 1.0), (30.0, 1.0), (50.0, 290.0), (70.0, 1.0), (90.0, 1.0)])], "track string, ord int, x double, y double")
+    got = {r["ord"]: r for r in matcher.match_tracks(points, edges, cfg=matcher.MatchConfig(max_dist_m=50.0, smooth_min_run=2)).collect()}
+    assert (got[2]["edge_id"], got[2]["x"], got[2]["y"], got[2]["dist_to_road_m"], got[2]["y_raw"]) == (1, 50.0, 0.0, 290.0, 290.0)
+    plain = {r["ord"]: r["edge_id"] for r in matcher.match_tracks(points, edges, cfg=matcher.MatchConfig(max_dist_m=50.0)).collect()}
+    assert plain == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1}
+
+
+def test_terrain_fall_backs(spark):
+    cells = [("flat", r, c, float(c)) for r in range(3) for c in range(4)] + [("gap", r, c, None if r == 1 else float(c)) for r in range(3) for c in range(4)] + [("tiny", 0, c, 1.0 if c else None) for c in range(3)]
+    df = spark.createDataFrame(cells, "g string, row int, col int, z double")
+    phi = {r["g"]: r["phi_lidar"] for r in terrain.phi_lidar(df, ["g"]).collect()}
+    grid = np.array([[0, 1, 2, 3], [1.5] * 4, [0, 1, 2, 3]])
+    assert phi["flat"] == pytest.approx(np.pi / 4) and phi["gap"] == pytest.approx(terrain._slopes(grid).mean())
+    rough = {r["g"]: r["ruggedness"] for r in terrain.ruggedness(df, ["g"]).collect()}
+    assert rough["flat"] == pytest.approx(9 / 17) and rough["tiny"] == 0.0
 
 
 def test_terrain_plane():
@@ -227,8 +260,8 @@ def test_clock_fold_against_brute_force(spark):
 
 
 def test_clock_fold_reads_all_events(spark, tmp_path):
-    spark.createDataFrame([(i, i % 3) for i in range(1000)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
-    assert registry.queries()["clock_fold"](spark, f"file://{tmp_path}").count() == 1000
+    spark.createDataFrame([(i, i % 5, "click" if i % 3 == 0 else "view") for i in range(1000)], "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    assert registry.queries()["clock_fold"](spark, f"file://{tmp_path}").count() == 666
 
 
 def test_dense_patches_are_whole(spark):
