@@ -11,7 +11,7 @@ of another one is dropped by an anti-join against the distinct proper prefixes.
 and a marker inside a text gets a blank after its `<|`, so that it can't end a turn.
 
 Defined cases. Turns are ordered by turn, role, text (nulls first). Exactly repeated turn rows count once; different rows of
-one turn number are turns one after another. Null role or text: empty, and equal to an empty one. Null conv_id: one
+one turn number are turns one after another. Null role or text: empty, and equal to an empty one. Very long texts and conversations are rendered whole. Null conv_id: one
 conversation without an id, which loses against equal ones that have one. Empty table: empty result. Other columns are ignored.
 """
 

@@ -6,6 +6,7 @@ import atexit
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -35,8 +36,10 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset and all run on this machine (tests)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return base or f"file://{tempfile.gettempdir()}/terraline-{spark.sparkContext.applicationId}"
 
 

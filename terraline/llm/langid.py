@@ -8,7 +8,7 @@ normalised phrases wins.
 Defined cases. Null, empty or letterless text: `und`, score 0. No labelled row at all: every text is `und`. Ties: the
 language with more labelled documents, then the smaller name. Long texts are read whole, in blocks of BLOCK symbols whose
 phrases end with the block (at most one more phrase a block, alike for every language). Repeated rows, null ids and
-extra columns make no difference: a prediction depends on the text alone.
+extra columns (also of our columns' names) make no difference: a prediction depends on the text alone.
 """
 
 from __future__ import annotations

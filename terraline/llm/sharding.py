@@ -4,11 +4,13 @@ Rows are dealt to blocks by a hash. How many rows of each block go to each range
 matrix is multivariate hypergeometric given what is still free, which is the law of the counts under a uniform permutation.
 Each block is permuted locally (ordered by a seeded hash), cut by its row of the matrix, exchanged, and each slot range is
 permuted again. A shard is a run of slot ranges, so its size is exact and its slots have no gap, and no task orders a whole
-shard. The only thing that leaves the executors is the block counts (at most MOST_BLOCKS); the matrix comes back as a constant of
-at most MOST_BLOCKS times MOST_RANGES counts, which is the proven bound of the broadcast.
+shard. The only thing that leaves the executors is the block counts (at most MOST_BLOCKS); the matrix is written to the shared
+folder, and its at most MOST_BLOCKS times MOST_RANGES counts are the proven bound of the broadcast. Counts are drawn exactly
+below a thousand million rows; beyond, by inversion of the exact ratios within twelve deviations of the mode.
 
-Law `rows`: shard sizes differ by one at most. Defined cases. Null text: 16 bytes, CRC 0. Repeated rows are interchangeable
-and each gets its own slot. Empty table: empty result. More shards than rows: the last ones stay empty. Columns named shard
+Law `rows`: shard sizes differ by one at most. Defined cases. Null text: 16 bytes, CRC 0. Very long texts: only their size and
+CRC move. Null ids are ids like others. Rows equal in all keys are interchangeable, meet in one block, and each gets its own
+slot. Empty table: empty result. More shards than rows: the last ones stay empty. Columns named shard
 or slot are replaced.
 """
 
@@ -16,11 +18,14 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terraline.llm import common
+
 #: Rows that a block or slot range should hold; numbers of them.
 BLOCK_ROWS = 4_000_000
 LEAST_BLOCKS, MOST_BLOCKS, LEAST_RANGES, MOST_RANGES = 256, 2048, 320, 2048
@@ -66,6 +71,17 @@ def even(total: int, parts: int) -> list[int]:
     return [total // parts + (i < total % parts) for i in range(parts)]
 
 
+def _table(spark: SparkSession, rows: Iterable[dict], schema: str) -> DataFrame:
+    """Rows of the driver as a JSON table in the shared folder, so that no plan carries them."""
+    path = f"{common.new_path(spark, 'matrix')}/rows.json"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    for r in rows:
+        out.write(bytearray(json.dumps(r).encode() + b"\n"))
+    out.close()
+    return spark.read.schema(schema).json(path)
+
+
 def _constant(values: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), kind)
 
@@ -83,8 +99,8 @@ def shard_rows(docs: DataFrame, keys: list[str], shards: int = 40, seed: int = 2
     matrix = communication_matrix([counts.get(b, 0) for b in range(blocks)], sizes, seed)
     ends = np.cumsum(np.array(matrix, np.int64).reshape(blocks, -1), axis=1)
     stride = max(1, math.isqrt(len(sizes)))
-    rows = [{"b": b, "ends": e.tolist(), "coarse": e[stride - 1 :: stride].tolist()} for b, e in enumerate(ends)]
-    table = spark.range(1).select(F.explode(_constant(rows, "array<struct<b: int, ends: array<bigint>, coarse: array<bigint>>>")).alias("r")).select("r.b", "r.ends", "r.coarse")
+    rows = ({"b": b, "ends": e.tolist(), "coarse": e[stride - 1 :: stride].tolist()} for b, e in enumerate(ends))
+    table = _table(spark, rows, "b int, ends array<bigint>, coarse array<bigint>")
     dealt = docs.withColumn("__b", block).withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(F.xxhash64(F.lit(seed + 1), *keys), *keys)).cast("long") - 1)
     dealt = dealt.join(F.broadcast(table), dealt["__b"] == table["b"])
     skip = F.size(F.filter("coarse", lambda x: x <= F.col("__r"))) * stride

@@ -12,7 +12,8 @@ probes (values with up to t_i bits flipped), and candidates are verified on all
 fingerprints are one vertex, so copies never make pairs.
 
 Defined cases. Null, empty or blank text: fingerprint zero, linked like any other. Fewer words than a shingle: the whole
-sequence is the one shingle. Repeated rows: equal fingerprints, one component. A component's id is its smallest non-null
+sequence is the one shingle. Very long texts are read whole, in blocks that end at a blank. Null ids: linked, but never a
+component's id unless it has no other; repeated ids: each row for itself. Repeated rows: equal fingerprints, one component. A component's id is its smallest non-null
 doc_id, null if it has none. Empty table: empty result. Columns named like ours are replaced in the result.
 """
 

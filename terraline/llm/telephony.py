@@ -4,9 +4,10 @@ Companded bytes are expanded by 256-entry tables built from the companding rules
 numpy step decodes the same nibble of every block at hand. PCM is resampled by linear interpolation at rational positions in
 integer arithmetic, so results don't depend on the machine.
 
-A payload column (bytes) is stored as an 8 kHz mono mu-law WAVE file, read back, expanded and resampled to 16 kHz.
+A text's bytes are stored as an 8 kHz mono mu-law WAVE file in a table of the shared folder, read back from there, expanded and
+resampled to 16 kHz.
 
-Defined cases. Null text: no bytes. Payloads are padded with zero bytes to a positive multiple of PAD, so an empty one is one
+Defined cases. Null text: no bytes. Very long texts are one file; a batch holds whole files. Null ids are kept as they are. Payloads are padded with zero bytes to a positive multiple of PAD, so an empty one is one
 block of zeros. A step index beyond the table counts as its end. Repeated rows and equal texts get equal values. Columns named like
 ours are replaced; an empty table gives an empty result. A stored form that is no WAVE file raises.
 """
@@ -151,33 +152,48 @@ def features(payloads: list[bytes]) -> tuple[list[str], list[bytes]]:
     return names, wide
 
 
-_FIELDS = [("n_bytes", "long"), ("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("feature", "string")]
+_FIELDS = [("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("feature", "string")]
 
 
-def media_columns(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, with_data: bool = True) -> DataFrame:
-    """The columns in keep (all by default), the measures, and for with_data the stored file (media) and the resampled pcm."""
+def store_media(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    """The columns in keep (all by default) as a struct row, n_bytes and media (a WAVE file of the text's padded bytes), as a table in
+    the shared folder, and its path."""
     common.ship(docs.sparkSession)
+    keep = docs.columns if keep is None else keep
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).alias("text"))
+    schema = T.StructType([frame.schema["row"], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.pieces(batches, "text", _PIECE):
+            texts = [x or b"" for x in common.texts_of(batch, "text")]
+            media = [to_wave(x + b"\0" * (-len(x) % PAD or (0 if x else PAD))) for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(media, pa.binary())], names=schema.names)
+
+    return common.materialize(frame.mapInArrow(run, schema), "media")
+
+
+def media_columns(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, with_data: bool = True) -> DataFrame:
+    """The columns in keep (all by default), n_bytes and the measures of the stored files as they are read back, and for with_data
+    the file (media) and its resampled pcm. Writes the files first."""
     kinds = {"long": T.LongType(), "string": T.StringType()}
     fields = [T.StructField(n, kinds[k]) for n, k in _FIELDS] + [T.StructField(n, T.BinaryType()) for n in ("media", "pcm") if with_data]
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in fields}]
-    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("__text"))
-    schema = T.StructType([docs.schema[c] for c in keep] + fields)
-    n = len(keep)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in {"n_bytes", *(f.name for f in fields)}]
+    stored, _ = store_media(docs, text_col, keep)
+    schema = T.StructType([stored.schema["row"], stored.schema["n_bytes"], *fields])
+    types = [pa.int64() if f.dataType == T.LongType() else pa.string() if f.dataType == T.StringType() else pa.binary() for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.pieces(batches, "__text", _PIECE):
-            texts = [x or b"" for x in common.texts_of(batch, "__text")]
-            media = [to_wave(x + b"\0" * (-len(x) % PAD or (0 if x else PAD))) for x in texts]
+        for batch in common.pieces(batches, "media", _PIECE):
+            media = batch.column(2).to_pylist()
             back = [from_wave(m)[2] for m in media]
             names, wide = features(back)
             columns = [
-                [len(x) for x in texts], [len(x) for x in back], [hashlib.sha256(x).hexdigest() for x in back], [zlib.crc32(x[-PAD:]) for x in back],
+                [len(x) for x in back], [hashlib.sha256(x).hexdigest() for x in back], [zlib.crc32(x[-PAD:]) for x in back],
                 [len(x) for x in media], [hashlib.sha256(x).hexdigest() for x in media], names, *([media, wide] if with_data else []),
             ]
-            types = [pa.int64() if f.dataType == T.LongType() else pa.string() if f.dataType == T.StringType() else pa.binary() for f in fields]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=schema.names)
 
-    return frame.mapInArrow(run, schema)
+    return stored.mapInArrow(run, schema).select("row.*", "n_bytes", *[f.name for f in fields])
 
 
 def op9_telephony(spark, sf_dir: str) -> DataFrame:

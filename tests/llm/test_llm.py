@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and the cases that their docstrings define."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -99,6 +100,37 @@ def test_automaton_is_greedy_parsing():
         assert abs(got - n) <= 1 + text.count(b"x") + text.count(b"z")  # an unknown symbol ends a phrase of its own
 
 
+def brute_phrases(text, sample):
+    """Greedy phrases of a text, in blocks, by substring search."""
+    n = 0
+    for k in range(0, len(text), langid.BLOCK):
+        block, i = text[k : k + langid.BLOCK], 0
+        while i < len(block):
+            j = i + 1
+            while j < len(block) and block[i:j] in sample and block[i : j + 1] in sample:
+                j += 1
+            # a symbol that the sample lacks ends the phrase before it, and the one that it begins
+            n, i = n + 1, j
+    return n
+
+
+def test_predictions_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    words = {lang: ["".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(150)] for lang, letters in (("a", "abcde"), ("b", "cdefg"), ("c", "abefgh"))}
+    rows = [(i, " ".join(rng.choice(words["abc"[i % 3]], 30)), "abc"[i % 3], "s", 0) for i in range(240)]
+    rows += [(300 + i, " ".join(rng.choice(words["abc"[i % 3]], n)), None, "s", 0) for i, n in enumerate([1, 2, 400, 90, 5, 700])] + [(400, "zzz yyy", None, "s", 0), (None, rows[0][1], None, "s", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in ("score", "lang_pred", "bits", "__x")})
+    samples = langid.learn(docs.where(~langid.held_out() & F.col("doc_id").isNotNull()))
+    order = sorted(samples, key=lambda x: (-x[1], x[0]))
+    got = {r["doc_id"]: r for r in langid.language_id(docs).collect()}
+    for i, text, *_ in rows:
+        data = langid.normalise(text)
+        bits = [brute_phrases(data, x[2]) * math.log2(len(x[2])) / len(data) for x in order]
+        best = min(range(3), key=bits.__getitem__)
+        share = 1 / sum(2 ** (min(len(data), 32) * (bits[best] - b)) for b in bits)
+        assert (got[i]["lang_pred"], got[i]["bits"], got[i]["score"]) == (order[best][0], pytest.approx(bits[best]), pytest.approx(share)), i
+
+
 def test_language_id_cases(spark):
     en, de = "the and of in that is was for with from this have", "der die und das ist nicht mit von auch sich eine werden"
     rng = np.random.default_rng(2)
@@ -328,6 +360,17 @@ def test_sharding_law(spark):
     assert sharding.shard_rows(docs.limit(3), ["doc_id"], shards=40).count() == 3
 
 
+def test_sharding_columns(spark, tmp_path):
+    texts = [*TEXTS, "x" * 200_000, "x" * 200_000]
+    docs = [(None if i == 3 else i // 2, t, "en", "s", 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, SCHEMA).withColumns({"shard": F.lit(1), "law": F.lit("x")}).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sharding.op6_sharding(spark, f"file://{tmp_path}").collect()
+    size = lambda t: (len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter((d[0], *size(d[1])) for d in docs)
+    assert {r["law"] for r in got} == {"rows"} and {r["grown_shard"] for r in got} == {None}
+    assert Counter(r["shard"] for r in got) == {s: 1 for s in range(len(texts))} and {r["slot"] for r in got} == {0}
+
+
 def test_communication_matrix_is_exact_and_uniform():
     blocks, ranges = [50, 30, 20], [25, 25, 50]
     total = np.zeros((3, 3))
@@ -431,6 +474,28 @@ def test_decontamination_against_brute_force(spark, monkeypatch):
 # ------------------------------------------------------------------------------------------------ op 9
 
 
+def slow_mulaw(byte):
+    u = 255 - byte
+    size = (((u % 16) * 8 + 132) * 2 ** (u // 16 % 8)) - 132
+    return -size if u >= 128 else size
+
+
+def slow_ima(block):
+    value, index = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88)
+    out = [value]
+    for byte in block[4:]:
+        for nib in (byte & 15, byte >> 4):
+            step = int(telephony.IMA_STEPS[index])
+            d = step >> 3
+            d += step if nib & 4 else 0
+            d += step >> 1 if nib & 2 else 0
+            d += step >> 2 if nib & 1 else 0
+            value = max(-32768, min(32767, value - d if nib & 8 else value + d))
+            index = max(0, min(88, index + int(telephony.IMA_INDEX[nib])))
+            out.append(value)
+    return out
+
+
 def test_telephony(spark):
     got = {r["doc_id"]: r for r in telephony.media_columns(docs_of(spark, TEXTS)).collect()}
     for i, t in enumerate(TEXTS):
@@ -439,6 +504,14 @@ def test_telephony(spark):
         r = got[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(b), len(p), sha(p), zlib.crc32(p[-64:]))
         assert telephony.from_wave(bytes(r["media"])) == (7, 8000, p) and r["media_sha256"] == sha(bytes(r["media"])) and len(r["pcm"]) == 4 * len(p)
+        pcm = [slow_mulaw(x) for x in p]
+        ima = sum((slow_ima(p[k : k + 64]) for k in range(0, len(p), 64)), []) if len(p) < 20_000 else None
+        wide = np.array([y for a, b in zip(pcm, [*pcm[1:], pcm[-1]], strict=True) for y in (a, (a + b) // 2)], "<i2").tobytes()
+        rms = lambda v: math.isqrt(sum(x * x for x in v) // len(v))
+        f = dict(x.split("=") for x in r["feature"].split(";"))
+        assert bytes(r["pcm"]) == wide and f["pcm_crc32"] == f"{zlib.crc32(wide):08x}" and int(f["mulaw_rms"]) == rms(pcm)
+        assert int(f["alaw_rms"]) == rms([int(telephony.TABLES[telephony.ALAW][x]) for x in p]) and (ima is None or int(f["ima_rms"]) == rms(ima))
+        assert int(f["crossings"]) == sum((a < 0) != (b < 0) for a, b in zip(pcm, pcm[1:], strict=False))
     assert got[4]["feature"] == got[5]["feature"]
     assert telephony.media_columns(docs_of(spark, [])).count() == 0
     with pytest.raises(ValueError):
@@ -449,23 +522,8 @@ def test_codecs():
     mu, a = telephony.TABLES[telephony.MULAW], telephony.TABLES[telephony.ALAW]
     assert (mu[0], mu[0x80], mu[0xFF], mu[0x7F]) == (-32124, 32124, 0, 0) and (a[0xD5], a[0x55], a[0xAA], a[0x2A]) == (8, -8, 32256, -32256)
 
-    def slow(block):
-        value, index = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88)
-        out = [value]
-        for byte in block[4:]:
-            for nib in (byte & 15, byte >> 4):
-                step = int(telephony.IMA_STEPS[index])
-                d = step >> 3
-                d += step if nib & 4 else 0
-                d += step >> 1 if nib & 2 else 0
-                d += step >> 2 if nib & 1 else 0
-                value = max(-32768, min(32767, value - d if nib & 8 else value + d))
-                index = max(0, min(88, index + int(telephony.IMA_INDEX[nib])))
-                out.append(value)
-        return out
-
     blocks = np.random.default_rng(0).integers(0, 256, (20, 64)).astype(np.uint8)
-    assert telephony.decode_ima(blocks).tolist() == [slow(bytes(b)) for b in blocks]
+    assert telephony.decode_ima(blocks).tolist() == [slow_ima(bytes(b)) for b in blocks]
     assert telephony.resample(np.array([0, 10, 20], np.int16), 8000, 16000).tolist() == [0, 5, 10, 15, 20, 20]
     assert telephony.resample(np.arange(8, dtype=np.int16), 16000, 8000).tolist() == [0, 2, 4, 6]
 
