@@ -105,11 +105,20 @@ def composite_score(df: DataFrame, weights: dict[str, tuple[float, bool]]) -> Da
     return df.crossJoin(F.broadcast(top)).withColumn("score", reduce(lambda a, b: a + b, parts)).drop(*[f"__{c}" for c in weights])  # one row is joined
 
 
-def rank_average(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Average ranks with ties, from a count by value and a running sum over the distinct values."""
+def rank_average(df: DataFrame, column: str, out: str, parts: int = 64) -> DataFrame:
+    """Average ranks with ties of a numeric column, from a count by value and a running sum over the distinct values.
+
+    The values are cut into about equal parts at approximate quantiles (a job; at most `parts` numbers reach the driver), each part
+    is summed and then ranked for itself, so no task holds all of them.
+    """
     n = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__c"))
-    upto = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = n.select(column, (F.sum("__c").over(upto) - (F.col("__c") - 1) / 2).alias(out))
+    cuts = sorted(set(n.select(F.col(column).cast("double").alias("v")).approxQuantile("v", [k / parts for k in range(1, parts)], 1 / (4 * parts))))
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(column))) if cuts else F.lit(0)
+    n = n.withColumn("__p", part)
+    sums = n.groupBy("__p").agg(F.sum("__c").alias("__s"))
+    before = sums.select("__p", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))  # a row a part
+    upto = Window.partitionBy("__p").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
+    ranks = n.join(F.broadcast(before), "__p").select(column, (F.col("__b") + F.sum("__c").over(upto) - (F.col("__c") - 1) / 2).alias(out))
     return df.join(ranks, column)
 
 

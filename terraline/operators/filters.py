@@ -6,6 +6,8 @@ isolated points) are separate window passes, as they depend on what the earlier
 
 from __future__ import annotations
 
+import re
+
 from dataclasses import dataclass
 from functools import reduce
 
@@ -174,3 +176,21 @@ def finite_or_null(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def without_internal(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.startswith("_")])
+
+
+def where_text(df: DataFrame, predicate: str) -> DataFrame:
+    """The rows that a written condition holds for: comparisons (== too), and/or/not, & and |, arithmetic, abs() and the like."""
+    plain = re.sub(r"&+", " and ", re.sub(r"\|+", " or ", predicate.replace("==", "=")))
+    return df.where(F.expr(plain))
+
+
+def audit_drops(ledger: DataFrame, reason: str, contains: str | None = None, prefix: str | None = None, lat: str | None = None, lon: str | None = None) -> DataFrame:
+    """Dropped rows whose reason holds a word (in any case) or begins with a prefix; with lat and lon only those at a place on earth."""
+    if contains is not None:
+        ledger = ledger.where(F.coalesce(F.lower(reason).contains(contains.lower()), F.lit(False)))
+    if prefix is not None:
+        ledger = ledger.where(F.coalesce(F.col(reason).startswith(prefix), F.lit(False)))
+    for c, most in ((lat, 90), (lon, 180)):
+        if c is not None:
+            ledger = ledger.withColumn(c, F.col(c).try_cast("double")).where(F.col(c).between(-most, most))
+    return ledger

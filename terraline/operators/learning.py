@@ -42,9 +42,13 @@ def group_folds(df: DataFrame, group: str, folds: int) -> DataFrame:
 
 def holdout_by_group(df: DataFrame, group: str, fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, holdout): max(1, fraction) of the groups, shuffled by a seeded hash, are held out."""
-    order = Window.orderBy(F.xxhash64(F.lit(seed), group), group)
-    groups = df.select(group).distinct().withColumn("__i", F.row_number().over(order)).withColumn("__n", F.count("*").over(Window.partitionBy()))
-    held = groups.where(F.col("__i") <= F.greatest(F.lit(1), F.floor(F.col("__n") * fraction))).select(group)
+    # the hash is even, so its upper bits cut the groups into parts that are numbered for themselves
+    groups = df.select(group).distinct().withColumn("__h", F.xxhash64(F.lit(seed), group)).withColumn("__p", F.shiftright("__h", 56))
+    sums = groups.groupBy("__p").agg(F.count("*").alias("__s"))
+    whole = Window.orderBy("__p")  # a row a part, 256 at most
+    before = sums.select("__p", F.coalesce(F.sum("__s").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"), F.sum("__s").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__n"))
+    place = F.col("__b") + F.row_number().over(Window.partitionBy("__p").orderBy("__h", group))
+    held = groups.join(F.broadcast(before), "__p").withColumn("__i", place).where(F.col("__i") <= F.greatest(F.lit(1), F.floor(F.col("__n") * fraction))).select(group)
     return df.join(held, group, "left_anti"), df.join(held, group, "left_semi")
 
 
@@ -64,6 +68,7 @@ def predict(fitted, df: DataFrame) -> DataFrame:
 def cross_validate(df: DataFrame, features: list[str], target: str, run: Run, groups: str | None = None, folds: int = 5) -> DataFrame:
     """Regression metrics of every fold, each predicted by a model of the others."""
     dealt = group_folds(df, groups, folds) if groups else random_folds(df, features, folds)
+    dealt = dealt.persist()  # read by every fit; rows that a lost executor held are dealt again
     out = None
     for k in range(folds):  # a fit a fold; the rows stay on the executors
         fitted = fit(dealt.where(F.col("fold") != k), features, target, run)
@@ -138,3 +143,21 @@ def permutation_importance(fitted, df: DataFrame, features: list[str], target: s
         mixed = rows.withColumn("__i", number(seed)).join(other, ["__b", "__i"]).withColumn(f, F.col("__f")).drop("__b", "__i", "__f")
         out[f] = base - regression_metrics(predict(fitted, mixed), target, "prediction").first()["r2"]
     return out
+
+
+def holdout_table(predicted: DataFrame, target: str) -> DataFrame:
+    """Predictions with residual: the true value less the predicted one."""
+    return predicted.withColumn("residual", F.col(target) - F.col("prediction"))
+
+
+def save_bundle(fitted, trials: DataFrame, path: str) -> None:
+    """The vector stage and the model, the trials as JSON and the leaderboard as CSV, below path."""
+    for name, stage in zip(("features", "model"), fitted, strict=True):
+        stage.write().overwrite().save(f"{path}/{name}")
+    trials.write.mode("overwrite").json(f"{path}/metrics")
+    trials.orderBy(F.desc_nulls_last("holdout_r2"), F.desc_nulls_last("cv_r2"), "trial").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/leaderboard")
+
+
+def device_averages(trials: DataFrame, device: str = "device", target: float = 0.70) -> DataFrame:
+    """Models, mean hold-out r2 and rmse, and how many reach the target, by device."""
+    return trials.groupBy(device).agg(F.count("*").alias("models"), F.avg("holdout_r2").alias("avg_r2"), F.avg("rmse").alias("avg_rmse"), F.count(F.when(F.col("holdout_r2") >= target, 1)).alias("on_target"))

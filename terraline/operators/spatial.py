@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraline.functions.geo import planar, project_on_segment
+from terraline.functions.geo import haversine_m, planar, project_on_segment, utm_forward
 
 
 def cell(c: Column, size: float | Column) -> Column:
@@ -120,3 +120,27 @@ def bilinear(points: DataFrame, raster: DataFrame, id_col: str, x0: float, y0: f
     corners = base.select("*", F.explode(F.array(*[F.struct((F.col("r0") + i).alias("row"), (F.col("c0") + j).alias("col"), ((F.col("v") if i else 1 - F.col("v")) * (F.col("u") if j else 1 - F.col("u"))).alias("w")) for i in (0, 1) for j in (0, 1)])).alias("k")).select(id_col, "k.*")
     got = corners.join(raster.select("row", "col", "z"), ["row", "col"], "left").groupBy(id_col).agg(F.sum(F.col("w") * F.col("z")).alias("z"), F.count("z").alias("n"))
     return got.select(id_col, F.when(F.col("n") == 4, F.col("z")).alias("z"))
+
+
+def snap_trajectory(points: DataFrame, nodes: DataFrame, id_col: str, node_id: str, lat: str, lon: str, search_m: float = 200.0, cell_m: float = 100.0, candidates: int = 8) -> DataFrame:
+    """points with lat_corrected and lon_corrected (of the nearest node), matched_on_road (within search_m by the haversine) and
+    distance_correction_m. Rows without a position pass with their own, not matched. The
+    nearest by the haversine is chosen among the nearest `candidates` in the plane of the projection, whose scale differs by half a percent."""
+    at = lambda df, names: df.withColumns(dict(zip(names, utm_forward(F.col(lon), F.col(lat)), strict=True)))
+    there = at(points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(id_col, lat, lon), ("__x", "__y")).select(id_col, "__x", "__y", F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
+    roads = at(nodes, ("__ox", "__oy")).select(node_id, F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), "__ox", "__oy")
+    few = knn_join(there, roads, candidates, id_col, node_id, cell_m, "__x", "__y", "__ox", "__oy")
+    dist = haversine_m(F.col("__plat"), F.col("__plon"), F.col("__lat"), F.col("__lon"))
+    near = few.withColumn("__d", dist).groupBy(id_col).agg(F.min_by(F.struct("__lat", "__lon", "__d"), F.struct("__d", node_id)).alias("__n"))
+    out = points.join(near, id_col, "left")
+    return out.withColumns({"lat_corrected": F.coalesce("__n.__lat", lat), "lon_corrected": F.coalesce("__n.__lon", lon), "matched_on_road": F.coalesce(F.col("__n.__d") <= search_m, F.lit(False)), "distance_correction_m": F.col("__n.__d")}).drop("__n")
+
+
+def patches_with_fall_back(points: DataFrame, cloud: DataFrame, raster: DataFrame, id_col: str, radius: float) -> DataFrame:
+    """id_col, ox, oy, oz and origin: the cloud's points within the radius of each point; where there are none, the raster's cells with
+    a value in the square of twice the radius around it. cloud and raster: ox, oy, oz."""
+    where = points.select(id_col, "x", "y")
+    near = radius_join(where, cloud.select("ox", "oy", "oz"), radius).select(id_col, "ox", "oy", "oz", F.lit("cloud").alias("origin"))
+    rest = where.join(near.select(id_col).distinct(), id_col, "left_anti")
+    square = radius_join(rest, raster.where("oz is not null").select("ox", "oy", "oz"), radius * math.sqrt(2)).where((F.abs(F.col("ox") - F.col("x")) <= radius) & (F.abs(F.col("oy") - F.col("y")) <= radius))
+    return near.unionByName(square.select(id_col, "ox", "oy", "oz", F.lit("raster").alias("origin")))

@@ -106,6 +106,30 @@ def ground_truth(df: DataFrame, si_measured: str, roll_deg: str, critical_deg: f
     return df.withColumn("si_real", F.col(si_measured)).withColumn("si_static", si_static_risk(F.col(roll_deg), F.lit(critical_deg))).withColumn("delta_si", F.col("si_real") - F.col("si_static"))
 
 
+def enhanced_ground_truth(df: DataFrame, si_measured: str = "si", roll_deg: str = "roll", ay: str = "ay", omega_rad_s: str = "omega_rad_s", phi_rad: str = "phi_lidar", critical_deg: float = 33.79, fusion: float = 0.5) -> DataFrame:
+    """Nine columns beside df; only their names are known, the formulas are ours: the static index from the roll, from the terrain's
+    slope, and from both angles mixed by `fusion`; the dynamic one from the lateral acceleration; their sum as the prediction."""
+    from terraline.functions.stability import si_dynamic, si_static_risk
+
+    static = lambda deg: si_static_risk(deg, F.lit(critical_deg))
+    slope = F.degrees(F.abs(F.col(phi_rad)))
+    both = (1 - fusion) * F.abs(F.col(roll_deg)) + fusion * F.coalesce(slope, F.abs(F.col(roll_deg)))
+    out = df.withColumns({"si_real": F.col(si_measured), "si_static_imu": static(F.col(roll_deg)), "si_static_lidar": static(slope), "si_static_fused": static(both), "si_dynamic_obs": si_dynamic(F.col(ay)), "omega_rad_s": F.col(omega_rad_s)})
+    out = out.withColumn("si_pred_obs_w", F.col("si_static_fused") + F.abs("si_dynamic_obs"))
+    return out.withColumns({"delta_si_static_fused": F.col("si_real") - F.col("si_static_fused"), "delta_si_pred_obs_w": F.col("si_real") - F.col("si_pred_obs_w")})
+
+
+def trip_centre(df: DataFrame, by: list[str], si: str = "si") -> DataFrame:
+    """Points, range of the index and the mean position of each trip, for maps."""
+    return df.groupBy(*by).agg(F.count("*").alias("n_points"), F.min(si).alias("si_min"), F.max(si).alias("si_max"), F.avg("lat").alias("centre_lat"), F.avg("lon").alias("centre_lon"))
+
+
+def legend_counts(df: DataFrame, risk: str) -> DataFrame:
+    """Points and their share by class."""
+    total = df.agg(F.count("*").alias("__t"))
+    return df.groupBy(risk).agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select(risk, "n", (100 * F.col("n") / F.col("__t")).alias("percent"))  # one row is joined
+
+
 def merge_timelines(gps: DataFrame, imu: DataFrame, time: str = "timestamp") -> DataFrame:
     """Inferred: both sensors' rows on one timeline, with their origin."""
     return gps.withColumn("origin", F.lit("gps")).unionByName(imu.withColumn("origin", F.lit("imu")), allowMissingColumns=True).sort(time)
