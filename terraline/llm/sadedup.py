@@ -148,11 +148,11 @@ def _with_lists(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, h
 
 
 def neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The bytes of the wanted ranges: wanted's rows (k1, k2, h, nh, c, lo, size) with body."""
-    lists = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("h", "nh", "c", "lo", "size", "a")).alias("want"))
+    """The bytes of the wanted ranges: wanted's rows (k1, k2, h, nh, c, lo, size, a, m) with body."""
+    lists = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("h", "nh", "c", "lo", "size", "a", "m")).alias("want"))
     got = _with_lists(docs, lists, id_col, text_col, "inner", []).dropDuplicates(_KEYS)  # repeated rows have the same bytes
     cut = got.select(*_KEYS, F.col("text").cast("binary").alias("text"), F.explode("want").alias("w"))
-    return cut.select(*_KEYS, "w.h", "w.nh", "w.c", "w.lo", "w.a", F.expr("substring(text, cast(w.lo + 1 as int), cast(w.size as int))").alias("body"))
+    return cut.select(*_KEYS, "w.h", "w.nh", "w.c", "w.lo", "w.a", "w.m", F.expr("substring(text, cast(w.lo + 1 as int), cast(w.size as int))").alias("body"))
 
 
 def repeated_in_shard(bodies: list[bytes], position: np.ndarray, copies: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -275,13 +275,13 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = kinds.groupBy("h").agg(F.count("*").alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1").select("h", "m")
     wanted = kinds.join(mixed, "h").select("r.k1", "r.k2", "h", "nh", "c", "r.lo", "r.size", (F.col("r.p") - F.col("r.lo")).alias("a"), "m")
     wanted, wanted_path = common.materialize(wanted, "wanted")
-    cold = neighbourhoods(docs, wanted.where(F.col("m") <= hot), id_col, text_col)
-    ranges = copied.unionByName(compare_by_suffix_array(cold, length))
+    bodies, bodies_path = common.materialize(neighbourhoods(docs, wanted, id_col, text_col), "bodies")  # text moves once for all of them
+    ranges = copied.unionByName(compare_by_suffix_array(bodies.where(F.col("m") <= hot), length))
     if wanted.where(F.col("m") > hot).take(1):
-        for found in split_hot(neighbourhoods(docs, wanted.where(F.col("m") > hot), id_col, text_col), length, gram, hot):
+        for found in split_hot(bodies.where(F.col("m") > hot), length, gram, hot):
             ranges = ranges.unionByName(found)
     ranges, ranges_path = common.materialize(ranges, "ranges")
-    common.discard(spark, again_path, twice_path, kinds_path, wanted_path)
+    common.discard(spark, again_path, twice_path, kinds_path, wanted_path, bodies_path)
     return ranges.groupBy(*_KEYS).agg(F.collect_set(F.struct("s", "e")).alias("ranges"))
 
 
