@@ -48,6 +48,20 @@ def test_asof_against_pandas(spark):
     assert dict(zip(got["id"], got["rid_r"], strict=True)) == want
 
 
+def test_asof_across_stretches_of_time(spark, monkeypatch):
+    """One hot key, stretches of 16 s: partners across their bounds, a null time and equal distances."""
+    monkeypatch.setattr(asof, "LEAST_US", 16_000_000)
+    rng = np.random.default_rng(5)
+    l_ = [(1, at(float(x)), i) for i, x in enumerate(rng.integers(0, 1200, 300) / 4)] + [(1, None, 300), (None, at(3), 301)]
+    r = [(1, at(float(x)), i) for i, x in enumerate(rng.integers(0, 1200, 150) / 4)] + [(None, at(3.5), 150)]
+    got = asof.nearest_asof(spark.createDataFrame(l_, "k long, ts timestamp_ntz, id long"), spark.createDataFrame(r, "k long, ts timestamp_ntz, rid long"), ["k"], "ts", 1_000_000, ["rid"], "rid", how="left").collect()
+    want = {}
+    for k, ts, i in l_:
+        best = min(((abs((t - ts).total_seconds()), t, -j) for key, t, j in r if key == k and ts is not None), default=None)
+        want[i] = -best[2] if best and best[0] <= 1 else None
+    assert len(got) == len(l_) and {x["id"]: x["rid_r"] for x in got} == want
+
+
 def test_filters_partition_the_rows(spark):
     rows = [(i, 40.0 if i % 3 else None, -3.0, 650.0, 30.0 + 10 * i, 1.0, 1, 8) for i in range(30)]
     df = stream(spark, rows, "id int, lat double, lon double, alt double, speed_kmh double, hdop double, fix int, numsats int")
