@@ -9,7 +9,8 @@ at most MOST_BITS bits (more only where the vocabulary itself needs them), and t
 Reading needs a block, the code and the parts' totals: one table of 2**MOST_BITS entries yields a token's id and length, and all
 checkpoints at hand are decoded in lock step.
 
-Defined cases. Null or empty text: the end id alone. Equal or null document ids: ordered by length and ids, nulls first. An
+Defined cases. Null or empty text: the end id alone. Equal or null document ids: ordered by length and a hash of the ids, nulls
+first, and dealt to several parts where they are many; rows equal in all of these keep the order in which they were encoded. An
 empty table writes empty folders and gives an empty result. Extra columns are ignored.
 """
 
@@ -231,7 +232,7 @@ class Code:
 
 
 def raw_ids(docs: DataFrame, tokenizer_json: str, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n and ids (little-endian; two bytes each, four where an id needs them: wide)."""
+    """doc_id, n, ids (little-endian; two bytes each, four where an id needs them: wide) and tie (a hash of ids, and a number of the row)."""
     spark = docs.sparkSession
     common.ship(spark)
     sent = spark.sparkContext.broadcast(tokenizer_json)  # bounded by the vocabulary
@@ -247,7 +248,8 @@ def raw_ids(docs: DataFrame, tokenizer_json: str, id_col: str, text_col: str) ->
             cuts = (start * width).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(start)), pa.array([wide] * batch.num_rows), pa.array([data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=schema.names)
 
-    return frame.mapInArrow(run, schema)
+    tie = F.struct(F.xxhash64("ids").alias("hash"), F.monotonically_increasing_id().alias("row"))  # fixed once the table is written
+    return frame.mapInArrow(run, schema).withColumn("tie", tie)
 
 
 def _as_ids(wide: bool, data: bytes) -> np.ndarray:
@@ -308,7 +310,8 @@ def _blocks(raw: DataFrame, lengths: dict[int, int]) -> DataFrame:
             yield flush()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = raw.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "n", "ids")
+    order = ["doc_id", "n", "tie.hash", "tie.row"]  # no id, and no group of equal rows, is bound to one part
+    ordered = raw.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return ordered.select("doc_id", "wide", "ids").mapInArrow(run, schema)
 
 

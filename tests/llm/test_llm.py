@@ -408,6 +408,24 @@ def test_token_files_round_trip(spark, tmp_path):
     assert tokenfile.read(spark, f"file://{tmp_path}/empty").count() == 0
 
 
+def test_token_files_of_repeated_ids(spark, tmp_path):
+    """Null ids, one id of many rows and equal rows: spread over parts, in order, none lost."""
+    with open(vocab.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        json = f.read()
+    plain = tokenizers.Tokenizer.from_str(json)
+    rows = [(None, f"null {i % 50}") for i in range(300)] + [(7, f"word {i}") for i in range(300)] + [(7, "the same") for _ in range(300)] + [(3, "first"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tokenfile.write(docs, json, f"file://{tmp_path}/t")
+    got = sorted(tokenfile.read(spark, f"file://{tmp_path}/t").collect(), key=lambda r: r["start"])
+    assert [(-1 if r["doc_id"] is None else r["doc_id"]) for r in got] == sorted(-1 if i is None else i for i, _ in rows)
+    ends = [r["start"] + r["n_tokens"] for r in got]
+    assert [r["start"] for r in got] == [0, *ends[:-1]] and all(r["n_tokens"] == len(r["ids"]) for r in got)
+    want = sorted((-1 if i is None else i, [*plain.encode(t or "", add_special_tokens=False).ids, tokenfile.END_ID]) for i, t in rows)
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], list(r["ids"])) for r in got) == want
+    counts = {r["part"]: r["n"] for r in spark.read.parquet(f"file://{tmp_path}/t/blocks").selectExpr("part", "size(doc_ids) as n").groupBy("part").sum("n").toDF("part", "n").collect()}
+    assert len(counts) > 1 and max(counts.values()) < 600  # the hot id is in several parts
+
+
 @pytest.mark.parametrize("most", [6, 8, 16])
 def test_huffman_lengths(most):
     counts = np.array([1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144, 233, 377, 610, 987, 1597, 2584, 4181, 6765])
