@@ -6,8 +6,8 @@ into the sample costs, over the letters of the text, estimate the cross entropy.
 normalised phrases wins.
 
 Defined cases. Null, empty or letterless text: `und`, score 0. No labelled row at all: every text is `und`. Ties: the
-language with more labelled documents, then the smaller name. Long texts are read whole, in blocks of BLOCK symbols whose
-phrases end with the block (at most one more phrase a block, alike for every language). Repeated rows, null ids and
+language with more labelled documents, then the smaller name. Long texts are read whole and parsed as one: blocks
+of BLOCK symbols run side by side, but phrases cross them. Repeated rows, null ids and
 extra columns (also of our columns' names) make no difference: a prediction depends on the text alone.
 """
 
@@ -28,11 +28,13 @@ from terraline.llm import common
 SAMPLE_CHARS = 60_000
 #: And so many labelled documents, from which those characters are taken.
 SAMPLE_DOCS = 400
+#: Symbols that are parsed side by side with others; it changes no result.
 BLOCK = 512
 UND = "und"
 _NOISE = re.compile(r"[\W\d_]+")
 _BATCH = 4 << 20
 _PHRASE = np.int32(-(1 << 31))
+_STATE = np.int32((1 << 31) - 1)
 
 
 def normalise(text: str | None) -> bytes | None:
@@ -101,7 +103,9 @@ class Model:
         self.bits = np.array([np.log2(max(len(x[2]), 2)) for x in samples])
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
-        """Phrases of each text by each language, all blocks of all texts in lock step."""
+        """Phrases of each text by each language. All blocks of all texts are parsed in lock step from the root; then each block is
+        parsed again from the state in which the block before it ended, until both parses stand in one state, from where they are alike.
+        A block whose parses never meet hands a new state on, which `carry` follows. So phrases cross blocks, and BLOCK changes no result."""
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         flat = self.codes[np.frombuffer(b"".join(texts), np.uint8)]
         blocks = -(-lengths // BLOCK)
@@ -110,24 +114,54 @@ class Model:
         start = (np.cumsum(lengths) - lengths)[owner] + within * BLOCK
         size = np.minimum(BLOCK, lengths[owner] - within * BLOCK)
         order = np.argsort(-size, kind="stable")
-        owner, start, size = owner[order], start[order], size[order]
-        live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")  # blocks longer than t
-        out = np.zeros((len(self.langs), len(texts)))
+        begin, longest = start[order], size[order]
+        live = np.searchsorted(-longest, -np.arange(longest[0] if len(longest) else 0), side="left")  # blocks longer than t
         states = np.zeros((len(self.langs), len(owner)), np.int32)
         counts = np.zeros((len(self.langs), len(owner)), np.int32)
-        low = np.int32((1 << 31) - 1)
         for t, n in enumerate(live):
-            symbols = flat[start[:n] + t].astype(np.int32)
+            symbols = flat[begin[:n] + t].astype(np.int32)
             for table, state, count in zip(self.tables, states, counts, strict=True):
                 s = state[:n]
                 s += symbols
                 got = table.take(s)
                 count[:n] -= got >> 31
-                np.bitwise_and(got, low, out=s)
-        for k, count in enumerate(counts):
-            out[k] = np.bincount(owner, count + 1, minlength=len(texts))
+                np.bitwise_and(got, _STATE, out=s)
+        out = np.zeros((len(self.langs), len(texts)))
+        for k, table in enumerate(self.tables):
+            count, end = np.empty_like(counts[k]), np.empty_like(states[k])
+            count[order], end[order] = counts[k], states[k]
+            self.carry(table, flat, start, size, within, count, end)
+            out[k] = np.bincount(owner, count, minlength=len(texts)) + (lengths > 0)  # the last phrase ends with the text
         return out
 
+    @staticmethod
+    def carry(table: np.ndarray, flat: np.ndarray, start: np.ndarray, size: np.ndarray, within: np.ndarray, count: np.ndarray, end: np.ndarray) -> None:
+        """Corrects count and end, which blocks have from the root, to what they are from the end of the block before."""
+        entry = np.where(within > 0, np.concatenate([[0], end[:-1]]), 0).astype(np.int32)[: len(end)]
+        at = np.flatnonzero(entry)
+        at = at[np.argsort(-size[at], kind="stable")]
+        root, true, t = np.zeros(len(at), np.int32), entry[at], 0
+        while len(at):
+            ended = np.searchsorted(-size[at], -t, side="left")  # the first of the blocks that have no symbol t
+            end[at[ended:]] = true[ended:]
+            at, root, true = at[:ended], root[:ended], true[:ended]
+            symbols = flat[start[at] + t].astype(np.int32)
+            a, b = table.take(root + symbols), table.take(true + symbols)
+            count[at] += (a >> 31) - (b >> 31)
+            root, true, t = a & _STATE, b & _STATE, t + 1
+            apart = root != true
+            at, root, true = at[apart], root[apart], true[apart]
+        for k in np.flatnonzero((within[1:] > 0) & (entry[1:] != end[:-1])) + 1:  # in order, so that the block before is right
+            while k < len(end) and within[k] and entry[k] != end[k - 1]:
+                entry[k] = state = int(end[k - 1])
+                n, moves = 0, memoryview(table)
+                for c in flat[start[k] : start[k] + size[k]].tolist():
+                    state = moves[state + c]
+                    if state < 0:
+                        n, state = n + 1, state & 0x7FFFFFFF
+                count[k], end[k] = n, state
+                k += 1
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and bits a symbol. The score is the winner's share when each language's likelihood is 2 to minus its bits for a text of 32 symbols at most."""
         clean = [normalise(x) for x in texts]

@@ -86,31 +86,38 @@ def test_automaton_is_greedy_parsing():
     data = b"abracadabra banana"
     model = langid.Model([("a", 1, data), ("b", 1, b"xyz" * 20)])
     for text in (b"abra", b"banana abracad", b"zzz", b"abx" * 400):
-        n = 0
-        for block in (text[i : i + langid.BLOCK] for i in range(0, len(text), langid.BLOCK)):
-            i = 0
-            while i < len(block):
+        n = i = 0
+        while i < len(text):
+            k = 1
+            while i + k < len(text) and text[i : i + k + 1] in data:
+                k += 1
+            if text[i : i + 1] not in data:
                 k = 1
-                while i + k < len(block) and block[i : i + k + 1] in data:
-                    k += 1
-                if block[i : i + 1] not in data:
-                    k = 1
-                n, i = n + 1, i + k
+            n, i = n + 1, i + k
         got = model.phrases([text])[0, 0]
         assert abs(got - n) <= 1 + text.count(b"x") + text.count(b"z")  # an unknown symbol ends a phrase of its own
 
 
+@pytest.mark.parametrize("block", [1, 3, 64, 512])
+def test_phrases_cross_blocks(monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    draw = lambda n: bytes(rng.choice(list(b"ab n"), n).tolist())
+    samples = [draw(400), b"aaab nab" * 9, b"abn " * 40]
+    model = langid.Model([(str(k), 1, x) for k, x in enumerate(samples)])
+    texts = [b"", b"a", b"a" * 3000, b"ab" * 1500 + b"n", b"nab " * 256, *(draw(n) for n in (1, 511, 512, 513, 1025, 2600))]  # parses of runs never meet
+    assert model.phrases(texts).tolist() == [[brute_phrases(text, x) for text in texts] for x in samples]
+
+
 def brute_phrases(text, sample):
-    """Greedy phrases of a text, in blocks, by substring search."""
-    n = 0
-    for k in range(0, len(text), langid.BLOCK):
-        block, i = text[k : k + langid.BLOCK], 0
-        while i < len(block):
-            j = i + 1
-            while j < len(block) and block[i:j] in sample and block[i : j + 1] in sample:
-                j += 1
-            # a symbol that the sample lacks ends the phrase before it, and the one that it begins
-            n, i = n + 1, j
+    """Greedy phrases of a whole text by substring search."""
+    n = i = 0
+    while i < len(text):
+        j = i + 1
+        while j < len(text) and text[i:j] in sample and text[i : j + 1] in sample:
+            j += 1
+        # a symbol that the sample lacks ends the phrase before it, and the one that it begins
+        n, i = n + 1, j
     return n
 
 
