@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraline.operators.quantiles import value_parts, with_percentiles
+
 
 def compare_stage_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Rows per key before and after (0 where missing), rows lost and percent lost."""
@@ -53,7 +55,8 @@ def attribution(processed: DataFrame, gps: DataFrame, imu: DataFrame, key: str)
 def variable_profile(df: DataFrame, variables: list[str], k: float = 1.5) -> DataFrame:
     """rows, valid rows, percent invalid and outside the interquartile fences, mean, sample deviation, min and max by variable."""
     long = df.unpivot([], variables, "variable", "value")
-    q = long.groupBy("variable").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    names = df.sparkSession.createDataFrame([(v,) for v in variables], "variable string")
+    q = with_percentiles(names, long, F.col("value"), [0.25, 0.75], ["variable"]).withColumnRenamed("p", "q")
     joined = long.join(F.broadcast(q), "variable")  # one row a variable
     iqr = F.col("q")[1] - F.col("q")[0]
     out = F.coalesce((iqr > 0) & ((F.col("value") < F.col("q")[0] - k * iqr) | (F.col("value") > F.col("q")[1] + k * iqr)), F.lit(False))
@@ -64,9 +67,8 @@ def variable_profile(df: DataFrame, variables: list[str], k: float = 1.5) -> Dat
 
 
 def describe(df: DataFrame, value: str, quantiles: tuple[float, ...] = (0.5, 0.9, 0.95, 0.99), by: list[str] = []) -> DataFrame:  # noqa: B006
-    p = F.percentile(value, F.array(*[F.lit(q) for q in quantiles]))
-    got = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), p.alias("p"), F.max(value).alias("max"))
-    return got.select(*by, "n", "mean", "std", "min", *[F.col("p")[i].alias(f"p{round(q * 100)}") for i, q in enumerate(quantiles)], "max")
+    got = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+    return with_percentiles(got, df, F.col(value), list(quantiles), by).select(*by, "n", "mean", "std", "min", *[F.col("p")[i].alias(f"p{round(q * 100)}") for i, q in enumerate(quantiles)], "max")
 
 
 def comparison_metrics(df: DataFrame, truth: str, guess: str, by: list[str] = []) -> DataFrame:  # noqa: B006
@@ -78,17 +80,17 @@ def comparison_metrics(df: DataFrame, truth: str, guess: str, by: list[str] = []
 def regression_metrics(df: DataFrame, truth: str, guess: str, by: list[str] = []) -> DataFrame:  # noqa: B006
     d, t = F.col(guess) - F.col(truth), F.col(truth)
     e = F.abs(d)
-    p = F.percentile(e, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
     got = df.where(d.isNotNull()).groupBy(*by).agg(
-        F.count("*").alias("n"), F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(e).alias("mae"), p.alias("p"), (1 - F.sum(d * d) / (F.var_pop(t) * F.count("*"))).alias("r2"),
+        F.count("*").alias("n"), F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(e).alias("mae"), (1 - F.sum(d * d) / (F.var_pop(t) * F.count("*"))).alias("r2"),
         (100 * F.avg(e / F.greatest(F.abs(t), F.lit(1e-6)))).alias("mape"), F.avg(d).alias("bias"), F.max(e).alias("max_error"),
     )
-    return got.select(*by, "n", "rmse", "mae", F.col("p")[0].alias("medae"), "r2", "mape", "bias", F.col("p")[1].alias("p90"), F.col("p")[2].alias("p95"), "max_error")
+    return with_percentiles(got, df, e, [0.5, 0.9, 0.95], by).select(*by, "n", "rmse", "mae", F.col("p")[0].alias("medae"), "r2", "mape", "bias", F.col("p")[1].alias("p90"), F.col("p")[2].alias("p95"), "max_error")
 
 
 def error_by_group(df: DataFrame, group: str, truth: str, guess: str, min_n: int) -> DataFrame:
     d = F.col(guess) - F.col(truth)
-    return df.groupBy(group).agg(F.count("*").alias("n"), F.avg(F.abs(d)).alias("mae"), F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(d).alias("bias"), F.percentile(F.abs(d), F.lit(0.95)).alias("p95")).where(F.col("n") >= min_n)
+    got = df.groupBy(group).agg(F.count("*").alias("n"), F.avg(F.abs(d)).alias("mae"), F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(d).alias("bias")).where(F.col("n") >= min_n)
+    return with_percentiles(got, df, F.abs(d), [0.95], [group]).withColumn("p95", F.col("p")[0]).drop("p")
 
 
 def least_squares_2(df: DataFrame, y: Column, a: Column, b: Column, by: list[str] = []) -> DataFrame:  # noqa: B006
@@ -108,13 +110,10 @@ def composite_score(df: DataFrame, weights: dict[str, tuple[float, bool]]) -> Da
 def rank_average(df: DataFrame, column: str, out: str, parts: int = 64) -> DataFrame:
     """Average ranks with ties of a numeric column, from a count by value and a running sum over the distinct values.
 
-    The values are cut into about equal parts at approximate quantiles (a job; at most `parts` numbers reach the driver), each part
-    is summed and then ranked for itself, so no task holds all of them.
+    The values are cut into about equal parts (see value_parts; a job), each is summed and then ranked for itself, so no task holds all of them.
     """
     n = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__c"))
-    cuts = sorted(set(n.select(F.col(column).cast("double").alias("v")).approxQuantile("v", [k / parts for k in range(1, parts)], 1 / (4 * parts))))
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(column))) if cuts else F.lit(0)
-    n = n.withColumn("__p", part)
+    n = n.withColumn("__p", value_parts(n, column, parts))
     sums = n.groupBy("__p").agg(F.sum("__c").alias("__s"))
     before = sums.select("__p", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))  # a row a part
     upto = Window.partitionBy("__p").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)

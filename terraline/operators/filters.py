@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraline.functions.geo import planar
+from terraline.operators.quantiles import with_percentiles
 
 REASON = "drop_reason"
 
@@ -146,7 +147,7 @@ def seeded_sample(df: DataFrame, by: list[str], key: str, n: int, seed: int = 42
 
 
 def iqr_bounds(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
-    q = df.agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    q = with_percentiles(df.agg(F.count(value).alias("n")), df, F.col(value), [0.25, 0.75]).withColumnRenamed("p", "q")
     iqr = F.col("q")[1] - F.col("q")[0]
     return q.select(F.when(iqr > 0, F.col("q")[0] - k * iqr).alias("low"), F.when(iqr > 0, F.col("q")[1] + k * iqr).alias("high"))
 

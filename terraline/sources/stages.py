@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from terraline.functions.naming import base_name, clean_double, file_key
 from terraline.operators.filters import drop_summary
+from terraline.operators.quantiles import with_percentiles
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
@@ -165,8 +166,7 @@ def hover_text(fields: dict[str, str]) -> Column:
 
 
 def color_limits(df: DataFrame, value: str) -> DataFrame:
-    p = F.percentile(value, F.array(F.lit(0.02), F.lit(0.98)))
-    return df.agg(p.alias("p")).select(F.col("p")[0].alias("low"), F.col("p")[1].alias("high"))
+    return with_percentiles(df.agg(F.count(value).alias("n")), df, F.col(value), [0.02, 0.98]).select(F.col("p")[0].alias("low"), F.col("p")[1].alias("high"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
