@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections import Counter, deque
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,32 +48,42 @@ def candidates(points: DataFrame, edges: DataFrame, track: str, order: str, cfg:
     return points.select(track, order, "x", "y").join(lists, [track, order], "left")
 
 
-def choose(ids: list[np.ndarray], scores: list[np.ndarray], cfg: MatchConfig) -> list[int]:
-    """Position of the chosen candidate of every row (-1: none). Recently chosen edges score better; the current one stays unless
-    another's score is lower by the share of the hysteresis; rows without candidates clear the memory; ties go to the smaller edge id."""
-    recent: deque = deque(maxlen=cfg.history)
-    current, out = None, []
-    for edge, score in zip(ids, scores, strict=True):
+class Chooser:
+    """Chooses a candidate row after row. Recently chosen edges score better; the current one stays unless another's score is lower by
+    the share of the hysteresis; a row without candidates clears the memory; ties go to the smaller edge id."""
+
+    def __init__(self, cfg: MatchConfig) -> None:
+        self.cfg, self.recent, self.current = cfg, deque(maxlen=cfg.history), None
+
+    def clear(self) -> None:
+        self.recent.clear()
+        self.current = None
+
+    def pick(self, edge: np.ndarray, score: np.ndarray) -> int:
+        """Position of the chosen candidate (-1: none)."""
         if not len(edge):
-            recent.clear()
-            current = None
-            out.append(-1)
-            continue
-        weights = [cfg.decay**age for age in range(len(recent))]
+            self.clear()
+            return -1
+        weights = [self.cfg.decay**age for age in range(len(self.recent))]
         total = sum(weights) or 1.0
         share = {}
-        for age, e in enumerate(reversed(recent)):
+        for age, e in enumerate(reversed(self.recent)):
             share[e] = share.get(e, 0.0) + weights[age] / total
-        adjusted = score * (1 - cfg.history_weight * np.array([share.get(e, 0.0) for e in edge.tolist()]))
+        adjusted = score * (1 - self.cfg.history_weight * np.array([share.get(e, 0.0) for e in edge.tolist()]))
         k = int(np.argmin(adjusted))
-        if current is not None and edge[k] != current:
-            at = np.flatnonzero(edge == current)
-            if len(at) and (adjusted[at[0]] - adjusted[k]) / (adjusted[at[0]] + 1e-9) < cfg.hysteresis:
+        if self.current is not None and edge[k] != self.current:
+            at = np.flatnonzero(edge == self.current)
+            if len(at) and (adjusted[at[0]] - adjusted[k]) / (adjusted[at[0]] + 1e-9) < self.cfg.hysteresis:
                 k = int(at[0])
-        current = edge[k].item()
-        recent.append(current)
-        out.append(k)
-    return out
+        self.current = edge[k].item()
+        self.recent.append(self.current)
+        return k
+
+
+def choose(ids: list[np.ndarray], scores: list[np.ndarray], cfg: MatchConfig) -> list[int]:
+    """Position of the chosen candidate of every row of one track (-1: none)."""
+    chooser = Chooser(cfg)
+    return [chooser.pick(edge, score) for edge, score in zip(ids, scores, strict=True)]
 
 
 def smooth(edges: list, radius: int = 2, min_run: int = 1, passes: int = 4) -> list:
@@ -97,12 +110,14 @@ def smooth(edges: list, radius: int = 2, min_run: int = 1, passes: int = 4) -> l
 def match_tracks(points: DataFrame, edges: DataFrame, track: str = "track", order: str = "ord", cfg: MatchConfig = MatchConfig()) -> DataFrame:
     """track, order, x and y on the road (as they were where no edge is near), x_raw, y_raw, edge_id, dist_to_road_m, road name, ref, highway.
 
-    State is a handful of edge ids per track; a track is one group, as its choices depend on each other. A row that smoothing
-    gives an edge which isn't among its candidates is projected on that edge.
+    State is a handful of edge ids per track: sorted tracks run through in Arrow batches, so a track of any length takes the memory
+    of one batch. Only smoothing (smooth_min_run above 1) gathers a track, as its votes look both ways and are repeated. A row that
+    smoothing gives an edge which isn't among its candidates is projected on that edge.
     """
     scored = candidates(points, edges, track, order, cfg)
     kinds = {f.name: f.dataType.simpleString() for f in scored.schema}
     schema = f"{track} {kinds[track]}, {order} {kinds[order]}, x double, y double, x_raw double, y_raw double, edge_id long, dist_to_road_m double"
+    columns = [track, order, "x", "y", "x_raw", "y_raw", "edge_id", "dist_to_road_m"]
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
@@ -116,8 +131,30 @@ def match_tracks(points: DataFrame, edges: DataFrame, track: str = "track", orde
             "x_raw": pdf["x"], "y_raw": pdf["y"], "edge_id": pd.array(chosen, "Int64"), "dist_to_road_m": pd.array([c["dist"] if c else None for c in got], "Float64"),
         })
 
-    out = scored.groupBy(track).applyInPandas(decide, schema)
-    if cfg.smooth_min_run > 1:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chooser, last = Chooser(cfg), None
+        for batch in batches:
+            lists, tracks = batch.column("candidates"), batch.column(track).to_pylist()
+            ids, scores = (lists.values.field(c).to_numpy(zero_copy_only=False) for c in ("edge_id", "score"))
+            begin = lists.offsets.to_numpy()
+            end = np.where(lists.is_null().to_numpy(zero_copy_only=False), begin[:-1], begin[1:])
+            picked = np.full(len(tracks), -1)
+            for i, (name, a, b) in enumerate(zip(tracks, begin.tolist(), end.tolist())):
+                if name != last:
+                    chooser.clear()
+                    last = name
+                if (k := chooser.pick(ids[a:b], scores[a:b])) >= 0:
+                    picked[i] = a + k
+            got = lists.values.take(pa.array(picked, mask=picked < 0))
+            field = {c: pc.struct_field(got, c).cast(kind) for c, kind in (("edge_id", pa.int64()), ("dist", pa.float64()), ("qx", pa.float64()), ("qy", pa.float64()))}
+            x, y = batch.column("x"), batch.column("y")
+            there = got.is_valid()
+            yield pa.RecordBatch.from_arrays([batch.column(track), batch.column(order), pc.if_else(there, field["qx"], x), pc.if_else(there, field["qy"], y), x, y, field["edge_id"], field["dist"]], names=columns)
+
+    if cfg.smooth_min_run <= 1:
+        out = scored.withColumns({c: F.col(c).cast("double") for c in ("x", "y")}).repartition(track).sortWithinPartitions(track, order).mapInArrow(walk, schema)
+    else:
+        out = scored.groupBy(track).applyInPandas(decide, schema)
         new = out.where("edge_id is not null and dist_to_road_m is null").select(track, order, F.col("x_raw").alias("x"), F.col("y_raw").alias("y"), "edge_id")
         fixed = project_on_edges(new, edge_segments(edges.select("edge_id", "coords")).drop("coords"), [track, order]).select(track, order, "qx", "qy", "dist")
         late = lambda c, q: F.coalesce(q, c).alias(c)

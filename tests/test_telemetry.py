@@ -192,6 +192,22 @@ def test_knn_reaches_far_points(spark):
     assert {(r["id"], r["oid"], r["rank"]) for r in got} == {(1, 0, 1), (1, 1, 2), (2, 3, 1), (2, 2, 2)}
 
 
+def test_streamed_tracks_match_gathered_tracks(spark):
+    rng = np.random.default_rng(4)
+    edges = spark.createDataFrame([(k, [(float(k % 5) * 40, -50.0 + k), (float(k % 5) * 40 + 9, 260.0 - k)]) for k in range(10)], "edge_id long, coords array<struct<x: double, y: double>>")
+    walk = [(t, i, float(x), float(y)) for t, n in (("a", 60), ("b", 1), (None, 25), ("c", 40)) for i, (x, y) in enumerate(np.cumsum(rng.normal(3, 9, (n, 2)), 0))]
+    walk += [("c", 100 + i, 5000.0, 5000.0) for i in range(3)] + [("c", 110 + i, 40.0, 20.0 + 9 * i) for i in range(8)]  # far off, then back
+    points = spark.createDataFrame(walk, "track string, ord long, x double, y double").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # tracks cross batches
+    try:
+        rows = lambda **kw: sorted(map(tuple, matcher.match_tracks(points, edges, cfg=matcher.MatchConfig(max_dist_m=60.0, **kw)).collect()), key=repr)
+        got = rows()
+        assert len(got) == len(walk) and {r[0] is None for r in got} == {True, False}
+        assert got == rows(smooth_min_run=2, smooth_passes=0)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_matcher(spark):
     edges = stream(spark, [(0, [(0.0, 0.0), (500.0, 0.0)], "main"), (1, [(0.0, 40.0), (500.0, 40.0)], "side"), (2, [(0.0, 9000.0), (1.0, 9000.0)], "far")], "edge_id long, coords array<struct<x: double, y: double>>, name string")
     points = stream(spark, [("t", i, 20.0 * i, 3.0 + (i == 5) * 18.5) for i in range(12)] + [("t", 12, 0.0, 5000.0)], "track string, ord int, x double, y double")
