@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from terraline.llm import bpe, chat, decontam, langid, sadedup, sharding, simhash, telephony, tokencount, tokenfile
+from terraline.llm import bpe, chat, decontam, langid, prefixtrie, sadedup, sharding, simhash, telephony, tokencount, tokenfile, topk, whitening
 
 
 def queries() -> dict:
@@ -18,12 +18,15 @@ def queries() -> dict:
         "op8_decontamination": decontam.op8_decontamination,
         "op9_telephony": telephony.op9_telephony,
         "op10_suffix_array_dedup": sadedup.op10_suffix_array_dedup,
+        "op11_prefix_trie": prefixtrie.op11_prefix_trie,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_top_k": topk.op13_top_k,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op2_chat": chat.ORACLE_SQL, "op8_decontamination": decontam.ORACLE_SQL}
+    found = {"op2_chat": chat.ORACLE_SQL, "op8_decontamination": decontam.ORACLE_SQL, "op11_prefix_trie": prefixtrie.ORACLE_SQL, "op13_top_k": topk.ORACLE_SQL}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
