@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraline.operators.quantiles import value_parts, with_percentiles
+from terraline import scratch
+from terraline.operators.quantiles import with_percentiles
 
 
 def compare_stage_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -107,18 +108,46 @@ def composite_score(df: DataFrame, weights: dict[str, tuple[float, bool]]) -> Da
     return df.crossJoin(F.broadcast(top)).withColumn("score", reduce(lambda a, b: a + b, parts)).drop(*[f"__{c}" for c in weights])  # one row is joined
 
 
-def rank_average(df: DataFrame, column: str, out: str, parts: int = 64) -> DataFrame:
-    """Average ranks with ties of a numeric column, from a count by value and a running sum over the distinct values.
+def average_ranks(counts: DataFrame, by: str, value: str, n: str, out: str) -> DataFrame:
+    """by, value and its average rank within `by`, from a row for each (by, value) with its count n.
 
-    The values are cut into about equal parts (see value_parts; a job), each is summed and then ranked for itself, so no task holds all of them.
+    Values are dealt by ranges, so no task holds a group; each task's counts, a row a group and task, say what comes before it.
     """
-    n = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__c"))
-    n = n.withColumn("__p", value_parts(n, column, parts))
-    sums = n.groupBy("__p").agg(F.sum("__c").alias("__s"))
-    before = sums.select("__p", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))  # a row a part
-    upto = Window.partitionBy("__p").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = n.join(F.broadcast(before), "__p").select(column, (F.col("__b") + F.sum("__c").over(upto) - (F.col("__c") - 1) / 2).alias(out))
-    return df.join(ranks, column)
+    dealt = counts.repartitionByRange(by, value).sortWithinPartitions(by, value)
+    rows = scratch.at_rest(dealt.select(by, value, n, F.spark_partition_id().alias("__p")), "ranks")
+    before = F.coalesce(F.sum("__s").over(Window.partitionBy(by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = rows.groupBy(by, "__p").agg(F.sum(n).alias("__s")).select(by, "__p", before.alias("__b"))
+    upto = F.sum(n).over(Window.partitionBy(by, "__p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("__u", upto).join(sums, [by, "__p"]).select(by, value, (F.col("__b") + F.col("__u") - (F.col(n) - 1) / 2).alias(out))
+
+
+def rank_average(df: DataFrame, column: str, out: str) -> DataFrame:
+    """df with the average rank (ties share theirs) of a numeric column; null where the column is null."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.lit(0).alias("__g"), column).agg(F.count("*").alias("__n"))
+    return df.join(average_ranks(counts, "__g", column, "__n", out).drop("__g"), column, "left")
+
+
+def spearman(df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """feature and rho: the rank correlation of each feature with the target, over the rows in which neither is null or NaN.
+
+    All features go through one plan: pairs of values are counted by feature, the values of both sides ranked from their counts.
+    Its size doesn't depend on the number of features. A feature that is constant, or has no rows, has a null.
+    """
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    long = df.select(number(target).alias("__t"), F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), number(f).alias("v")) for f in features])).alias("__e"))
+    long = long.select(F.col("__e.feature").alias("feature"), F.col("__e.v").alias("v"), F.col("__t").alias("t")).where("v is not null and t is not null")
+    pairs = scratch.at_rest(long.groupBy("feature", "v", "t").agg(F.count("*").alias("n")), "pairs")
+    for value in ("v", "t"):
+        counts = pairs.groupBy("feature", value).agg(F.sum("n").alias("n"))
+        pairs = pairs.join(average_ranks(counts, "feature", value, "n", f"r{value}"), ["feature", value])
+    s = lambda c: F.sum(F.col("n") * c)
+    n, a, b = F.sum("n"), F.col("rv"), F.col("rt")
+    mid = (n + 1) / 2  # the mean of ranks
+    got = pairs.groupBy("feature").agg(n.alias("n"), s(a * b).alias("ab"), s(a * a).alias("aa"), s(b * b).alias("bb"), mid.alias("m"))
+    c = lambda x: F.col(x) - F.col("n") * F.col("m") * F.col("m")
+    rho = F.try_divide(c("ab"), F.sqrt(c("aa")) * F.sqrt(c("bb")))
+    names = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return names.join(got.select("feature", rho.alias("rho")), "feature", "left")
 
 
 def merge_indicator(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

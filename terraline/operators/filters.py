@@ -6,8 +6,9 @@ isolated points) are separate window passes, as they depend on what the earlier
 
 from __future__ import annotations
 
+import ast
+import operator
 import re
-
 from dataclasses import dataclass
 from functools import reduce
 
@@ -179,10 +180,71 @@ def without_internal(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.startswith("_")])
 
 
-def where_text(df: DataFrame, predicate: str) -> DataFrame:
-    """The rows that a written condition holds for: comparisons (== too), and/or/not, & and |, arithmetic, abs() and the like."""
-    plain = re.sub(r"&+", " and ", re.sub(r"\|+", " or ", predicate.replace("==", "=")))
-    return df.where(F.expr(plain))
+def _words(text: str) -> tuple[str, list[str]]:
+    """Python's reading of a condition: & and | as and/or, names in backticks as names; quoted text is left alone."""
+    names: list[str] = []
+
+    def plain(m: re.Match) -> str:
+        if m["name"] is not None:
+            names.append(m["name"])
+            return f" __name{len(names) - 1} "
+        return m["quoted"] or {"&": " and ", "|": " or "}[m["sign"][0]]
+
+    out = re.sub(r"""(?P<quoted>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|`(?P<name>[^`]*)`|(?P<sign>&+|\|+)""", plain, text.strip())
+    return out.strip(), names
+
+
+_COMPARE = {"Eq": operator.eq, "NotEq": operator.ne, "Lt": operator.lt, "LtE": operator.le, "Gt": operator.gt, "GtE": operator.ge}
+
+
+def predicate(text: str) -> Column:
+    """A written condition as a column: comparisons (chained ones too), in and not in lists, and/or/not, &, | and ~, arithmetic,
+    abs(x) and the like, names in backticks, quoted text. A null compares as nothing: false, but true for != and not in."""
+    body, names = _words(text)
+    known = {f"__name{i}": n for i, n in enumerate(names)}
+
+    def compared(op: ast.cmpop, a: Column, b: ast.expr) -> Column:
+        kind = type(op).__name__
+        if kind in ("In", "NotIn"):
+            found = F.coalesce(a.isin([value(e) for e in b.elts]), F.lit(False))
+            return ~found if kind == "NotIn" else found
+        return F.coalesce(_COMPARE[kind](a, column(b)), F.lit(kind == "NotEq"))
+
+    def value(e: ast.expr):
+        if isinstance(e, ast.UnaryOp) and isinstance(e.op, ast.USub):
+            return -e.operand.value
+        return e.value
+
+    def column(e: ast.expr) -> Column:
+        match e:
+            case ast.Constant():
+                return F.lit(e.value)
+            case ast.Name():
+                return F.col("`" + known.get(e.id, e.id).replace("`", "``") + "`")
+            case ast.BoolOp():
+                return reduce(operator.and_ if isinstance(e.op, ast.And) else operator.or_, map(column, e.values))
+            case ast.UnaryOp(op=ast.Not() | ast.Invert()):
+                return ~F.coalesce(column(e.operand), F.lit(False))
+            case ast.UnaryOp(op=ast.USub()):
+                return -column(e.operand)
+            case ast.BinOp(op=ast.Pow()):
+                return F.pow(column(e.left), column(e.right))
+            case ast.BinOp(op=ast.Add() | ast.Sub() | ast.Mult() | ast.Div() | ast.Mod()):
+                sign = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: F.try_divide, ast.Mod: F.try_mod}[type(e.op)]
+                return sign(column(e.left), column(e.right))
+            case ast.Compare():
+                sides = [e.left, *e.comparators]
+                return reduce(operator.and_, [compared(op, column(a), b) for op, a, b in zip(e.ops, sides, sides[1:], strict=False)])
+            case ast.Call(func=ast.Name()) if not e.keywords:
+                return F.call_function(e.func.id, *map(column, e.args))
+        raise ValueError(f"not a condition: {text}")
+
+    return column(ast.parse(body, mode="eval").body)
+
+
+def where_text(df: DataFrame, text: str) -> DataFrame:
+    """The rows that a written condition (see predicate) holds for."""
+    return df.where(predicate(text))
 
 
 def audit_drops(ledger: DataFrame, reason: str, contains: str | None = None, prefix: str | None = None, lat: str | None = None, lon: str | None = None) -> DataFrame:

@@ -1,19 +1,21 @@
-"""Training data splits, tree regressors of Spark ML, cross-validation, constrained random search."""
+"""Training data splits, tree regressors, cross-validation, what makes a trial feasible."""
 
 from __future__ import annotations
 
-import random
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from terraline.operators.audit import regression_metrics
+from terraline.operators.ordered import numbered
+from terraline.operators.trees import ExtraTrees
 
-MODELS = {"random_forest": RandomForestRegressor, "gradient_boosting": GBTRegressor}
+MODELS = {"random_forest": RandomForestRegressor, "gradient_boosting": GBTRegressor, "extra_trees": ExtraTrees}
+METRICS = "n long, rmse double, mae double, medae double, r2 double, mape double, bias double, p90 double, p95 double, max_error double, fold int"
 
 
 @dataclass(frozen=True)
@@ -30,14 +32,16 @@ def random_folds(df: DataFrame, key: list[str], folds: int, seed: int = 42) -> D
 
 def group_folds(df: DataFrame, group: str, folds: int) -> DataFrame:
     """df with fold; no group is in two folds. Groups go, large ones first, round and back over the folds, which keeps sizes
-    near even without a sequential pass over the groups. Fewer groups than folds raise."""
-    sizes = df.groupBy(group).agg(F.count("*").alias("__n"))
+    near even without a sequential pass over the groups. Fewer groups than folds raise.
+
+    A group's place comes from counts: groups are dealt by ranges of size, and what the tasks before hold, a row a task, says where a task begins."""
+    sizes = df.groupBy(group).agg((-F.count("*")).alias("__n")).withColumn("__all", F.lit(0))
     if sizes.limit(folds).count() < folds:
         raise ValueError(f"fewer than {folds} groups")
-    place = F.row_number().over(Window.orderBy(F.desc("__n"), group)) - 1
-    lap = F.pmod(place, F.lit(2 * folds))
+    place = numbered(sizes, "__all", ["__n", group], "__place")
+    lap = F.pmod("__place", F.lit(2 * folds))
     fold = F.when(lap < folds, lap).otherwise(2 * folds - 1 - lap).cast("int")
-    return df.join(sizes.select(group, fold.alias("fold")), group)
+    return df.join(place.select(group, fold.alias("fold")), group)
 
 
 def holdout_by_group(df: DataFrame, group: str, fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -65,16 +69,21 @@ def predict(fitted, df: DataFrame) -> DataFrame:
     return model.transform(vector.transform(df)).drop("__features")
 
 
-def cross_validate(df: DataFrame, features: list[str], target: str, run: Run, groups: str | None = None, folds: int = 5) -> DataFrame:
-    """Regression metrics of every fold, each predicted by a model of the others."""
+def fold_metrics(df: DataFrame, features: list[str], target: str, run: Run, groups: str | None = None, folds: int = 5) -> Iterator[Row]:
+    """Regression metrics of fold after fold, each predicted by a model of the others; a fold is fitted when it is asked for."""
     dealt = group_folds(df, groups, folds) if groups else random_folds(df, features, folds)
     dealt = dealt.persist()  # read by every fit; rows that a lost executor held are dealt again
-    out = None
-    for k in range(folds):  # a fit a fold; the rows stay on the executors
-        fitted = fit(dealt.where(F.col("fold") != k), features, target, run)
-        got = regression_metrics(predict(fitted, dealt.where(F.col("fold") == k)), target, "prediction").withColumn("fold", F.lit(k))
-        out = got if out is None else out.unionByName(got)
-    return out
+    try:
+        for k in range(folds):
+            fitted = fit(dealt.where(F.col("fold") != k), features, target, run)
+            yield regression_metrics(predict(fitted, dealt.where(F.col("fold") == k)), target, "prediction").withColumn("fold", F.lit(k)).first()
+    finally:
+        dealt.unpersist()
+
+
+def cross_validate(df: DataFrame, features: list[str], target: str, run: Run, groups: str | None = None, folds: int = 5) -> DataFrame:
+    """A row of metrics for each fold. The folds are fitted here, one after the other, and nothing stays on the executors."""
+    return df.sparkSession.createDataFrame([tuple(r) for r in fold_metrics(df, features, target, run, groups, folds)], METRICS)
 
 
 def fold_summary(metrics: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
@@ -94,17 +103,6 @@ class SearchLimits:
     patience: int = 25
 
 
-def suggestions(seed: int = 42) -> Iterator[Run]:
-    """Seeded random search over both families."""
-    rng, k = random.Random(seed), 0
-    while True:
-        params = {"maxDepth": rng.randint(3, 8), "minInstancesPerNode": rng.choice([1, 2, 4, 8])}
-        model = rng.choice(list(MODELS))
-        params |= {"numTrees": rng.choice([10, 20, 40])} if model == "random_forest" else {"maxIter": rng.choice([10, 20]), "stepSize": rng.choice([0.05, 0.1])}
-        yield Run(model, params, f"trial{k}")
-        k += 1
-
-
 def is_feasible(trial: dict, limits: SearchLimits) -> bool:
     return trial["cv_r2"] >= limits.target_r2 and trial["gap"] <= limits.max_gap and trial["cv_std"] <= limits.max_std
 
@@ -114,23 +112,6 @@ def best_trial(trials: list[dict], limits: SearchLimits) -> dict | None:
     return max(trials, key=lambda t: (is_feasible(t, limits), t["holdout_r2"], t["cv_r2"], -t["trial"]), default=None)
 
 
-def search(df: DataFrame, features: list[str], target: str, groups: str, limits: SearchLimits = SearchLimits(), folds: int = 3, seed: int = 42, done: list[dict] = []) -> list[dict]:  # noqa: B006
-    """Trials in order; resumes behind `done`. Ends when one is feasible, patience runs out or max_trials are made."""
-    train, held = holdout_by_group(df, groups, seed=seed)
-    trials, runs = list(done), suggestions(seed)
-    for _ in trials:
-        next(runs)
-    while len(trials) < limits.max_trials:
-        run = next(runs)
-        cv = fold_summary(cross_validate(train, features, target, run, groups, folds)).first()
-        out = regression_metrics(predict(fit(train, features, target, run), held), target, "prediction").first()
-        trials.append({"trial": len(trials), "run": run, "cv_r2": cv["r2_mean"], "cv_std": cv["r2_std"], "holdout_r2": out["r2"], "gap": cv["r2_mean"] - out["r2"]})
-        best = max(range(len(trials)), key=lambda i: trials[i]["holdout_r2"])
-        if is_feasible(trials[-1], limits) or len(trials) - 1 - best >= limits.patience:
-            break
-    return trials
-
-
 def permutation_importance(fitted, df: DataFrame, features: list[str], target: str, seed: int = 42) -> dict[str, float]:
     """Loss of r2 when a feature's values are dealt to other rows, by a join on two seeded row numbers within hash buckets."""
     base = regression_metrics(predict(fitted, df), target, "prediction").first()["r2"]

@@ -1,21 +1,24 @@
-"""Map matching: candidates in Catalyst (radius join on edge samples, exact projection), the sequential choice per track in Arrow batches."""
+"""Map matching: candidates by an equi-join of points and dilated segment cells, the sequential choice block by block in lock step, corrected at the seams."""
 
 from __future__ import annotations
 
-from collections import Counter, deque
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraline.functions.geo import angular_diff, bearing_deg, direction_score
-from terraline.operators.ordered import movement
-from terraline.operators.spatial import edge_samples, edge_segments, project_on_edges, radius_join
+from terraline import scratch
+from terraline.functions.geo import angular_diff, bearing_deg, direction_score, planar, project_on_segment
+from terraline.operators.ordered import in_blocks, movement, numbered
+from terraline.operators.spatial import cell, edge_segments, project_on_edges
+
+BLOCK, RUN_UP, TOGETHER = 512, 32, 1 << 18  # rows a block, rows of the block before that a guess starts from, candidates in lock step
+SAMPLE_M = 4.0  # edges are sampled at least this densely
 
 
 @dataclass(frozen=True)
@@ -31,59 +34,108 @@ class MatchConfig:
     smooth_passes: int = 4
 
 
-def candidates(points: DataFrame, edges: DataFrame, track: str, order: str, cfg: MatchConfig = MatchConfig()) -> DataFrame:
-    """track, order and candidates: array of struct(edge_id, dist, score, qx, qy), by edge_id; empty where no edge is near.
-
-    points: track, order, x, y. edges: edge_id, coords (array<struct<x, y>>).
-    """
+def segment_cells(edges: DataFrame, radius: float) -> DataFrame:
+    """Every segment (edge_id, seg_idx, ax, ay, bx, by) once for each cell of the radius's size that holds points within the radius
+    of it. Long segments are covered piece by piece, so that a diagonal one doesn't fill its box."""
     segments = edge_segments(edges.select("edge_id", "coords")).drop("coords")
-    samples = edge_samples(segments).select("edge_id", "ox", "oy")
-    moved = movement(points.select(track, order, "x", "y"), [track], [order], "x", "y")
-    near = radius_join(moved.select(track, order, "x", "y"), samples, cfg.max_dist_m).select(track, order, "x", "y", "edge_id").distinct()
-    found = project_on_edges(near, segments, [track, order]).join(moved.select(track, order, "mx", "my", "has_move"), [track, order])
-    length = F.sqrt(F.col("sx") ** 2 + F.col("sy") ** 2)
-    diff = angular_diff(bearing_deg(F.col("mx"), F.col("my")), bearing_deg(F.col("sx"), F.col("sy")))
-    score = F.col("dist") / cfg.max_dist_m * (1 - cfg.dir_weight) + direction_score(diff, F.col("has_move"), length) * cfg.dir_weight
-    lists = found.withColumn("score", score).groupBy(track, order).agg(F.array_sort(F.collect_list(F.struct("edge_id", "dist", "score", "qx", "qy"))).alias("candidates"))
-    return points.select(track, order, "x", "y").join(lists, [track, order], "left")
+    pieces = F.greatest(F.lit(1), F.ceil(planar(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) / radius).cast("int"))
+    ends = segments.select("*", F.posexplode(F.sequence(F.lit(1), pieces)).alias("__k", "__to"), pieces.alias("__n"))
+    at = lambda c, k: F.col(f"a{c}") + k / F.col("__n") * (F.col(f"b{c}") - F.col(f"a{c}"))
+    span = {c: F.sequence(cell(F.least(at(c, F.col("__k")), at(c, F.col("__to"))) - radius - 1e-6, radius), cell(F.greatest(at(c, F.col("__k")), at(c, F.col("__to"))) + radius + 1e-6, radius)) for c in "xy"}
+    wide = ends.select(*segments.columns, F.explode(span["x"]).alias("__cx"), span["y"].alias("__ys")).select(*segments.columns, "__cx", F.explode("__ys").alias("__cy"))
+    return wide.distinct()
 
 
-class Chooser:
-    """Chooses a candidate row after row. Recently chosen edges score better; the current one stays unless another's score is lower by
-    the share of the hysteresis; a row without candidates clears the memory; ties go to the smaller edge id."""
+def reachable(points: DataFrame, cells: DataFrame, cfg: MatchConfig, how: str = "inner") -> DataFrame:
+    """points (x, y) with each segment within the radius: edge_id, hit (the segment's nearest sample lies within the radius), and
+    best: struct(dist, seg_idx, qx, qy, sx, sy). An edge is a candidate if any of its segments is hit. Stateless, so streams can use it."""
+    x, y, ax, ay, bx, by = (F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by"))
+    qx, qy, dist = project_on_segment(x, y, ax, ay, bx, by)
+    length = planar(ax, ay, bx, by)
+    last = F.greatest(F.lit(2), F.ceil(length / SAMPLE_M).cast("int")) - 1
+    low = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide((x - ax) * (bx - ax) + (y - ay) * (by - ay), length * length))) * last)
+    sample = lambda i: planar(x, y, ax + i / last * (bx - ax), ay + i / last * (by - ay))
+    hit = (length >= 1e-3) & (F.least(sample(low), sample(F.least(low + 1, last))) <= cfg.max_dist_m)
+    here = (cell(x, cfg.max_dist_m) == F.col("__cx")) & (cell(y, cfg.max_dist_m) == F.col("__cy")) & (dist <= cfg.max_dist_m)
+    best = F.struct(dist.alias("dist"), "seg_idx", qx.alias("qx"), qy.alias("qy"), (bx - ax).alias("sx"), (by - ay).alias("sy"))
+    return points.join(cells, here, how).select(*points.columns, "edge_id", hit.alias("hit"), best.alias("best"))
 
-    def __init__(self, cfg: MatchConfig) -> None:
-        self.cfg, self.recent, self.current = cfg, deque(maxlen=cfg.history), None
 
-    def clear(self) -> None:
-        self.recent.clear()
-        self.current = None
+def scored(best: Column, mx: Column, my: Column, has_move: Column, cfg: MatchConfig) -> Column:
+    """A candidate's score before the history counts; lower is better."""
+    diff = angular_diff(bearing_deg(mx, my), bearing_deg(best["sx"], best["sy"]))
+    length = F.sqrt(best["sx"] ** 2 + best["sy"] ** 2)
+    return best["dist"] / cfg.max_dist_m * (1 - cfg.dir_weight) + direction_score(diff, has_move, length) * cfg.dir_weight
+
+
+class Chooser:
+    """Chooses a candidate row after row. Recently chosen edges score better; the current one, the last chosen, stays unless another's
+    score is lower by the share of the hysteresis; a row without candidates clears the memory; ties go to the smaller edge id."""
 
-    def pick(self, edge: np.ndarray, score: np.ndarray) -> int:
-        """Position of the chosen candidate (-1: none)."""
-        if not len(edge):
-            self.clear()
+    def __init__(self, cfg: MatchConfig, recent: list[int] = []) -> None:  # noqa: B006
+        self.cfg, self.recent = cfg, list(recent)  # the last chosen first
+
+    def pick(self, edges: list[int], scores: list[float]) -> int:
+        """Position of the chosen candidate (-1: none); edges ascend."""
+        if not edges:
+            self.recent = []
             return -1
-        weights = [self.cfg.decay**age for age in range(len(self.recent))]
-        total = sum(weights) or 1.0
-        share = {}
-        for age, e in enumerate(reversed(self.recent)):
-            share[e] = share.get(e, 0.0) + weights[age] / total
-        adjusted = score * (1 - self.cfg.history_weight * np.array([share.get(e, 0.0) for e in edge.tolist()]))
-        k = int(np.argmin(adjusted))
-        if self.current is not None and edge[k] != self.current:
-            at = np.flatnonzero(edge == self.current)
-            if len(at) and (adjusted[at[0]] - adjusted[k]) / (adjusted[at[0]] + 1e-9) < self.cfg.hysteresis:
-                k = int(at[0])
-        self.current = edge[k].item()
-        self.recent.append(self.current)
+        cfg = self.cfg
+        weights = [cfg.decay**age for age in range(len(self.recent))]
+        total, share = sum(weights) or 1.0, {}
+        for w, e in zip(weights, self.recent, strict=True):
+            share[e] = share.get(e, 0.0) + w / total
+        adjusted = [s * (1 - cfg.history_weight * share.get(e, 0.0)) for e, s in zip(edges, scores, strict=True)]
+        k = min(range(len(edges)), key=adjusted.__getitem__)
+        if self.recent and edges[k] != self.recent[0] and self.recent[0] in edges:
+            at = edges.index(self.recent[0])
+            if (adjusted[at] - adjusted[k]) / (adjusted[at] + 1e-9) < cfg.hysteresis:
+                k = at
+        self.recent = [edges[k], *self.recent][: cfg.history]
         return k
 
 
-def choose(ids: list[np.ndarray], scores: list[np.ndarray], cfg: MatchConfig) -> list[int]:
-    """Position of the chosen candidate of every row of one track (-1: none)."""
-    chooser = Chooser(cfg)
-    return [chooser.pick(edge, score) for edge, score in zip(ids, scores, strict=True)]
+def lock_step(edge: np.ndarray, score: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray, own: np.ndarray, last: np.ndarray, recent: np.ndarray, held: np.ndarray, cfg: MatchConfig) -> tuple[np.ndarray, ...]:
+    """What Chooser picks, for many blocks at once: step t takes the t-th row of each.
+
+    edge, score: all candidates; begin, end: a row's. first, own, last: a block's rows are first to last, its own begin at `own`.
+    recent (blocks x history) and held (how many count): the states to begin with. Returns the position of each row's choice (-1:
+    none), and the states before each block's own rows and after its last one.
+    """
+    recent, held = recent.copy(), held.copy()
+    before, before_held = recent.copy(), held.copy()
+    picked = np.full(len(begin), -1)
+    weights = cfg.decay ** np.arange(cfg.history)
+    total = np.array([1.0, *(sum(weights[:n].tolist()) for n in range(1, cfg.history + 1))])
+    for t in range(int((last - first).max(initial=0))):
+        live = np.flatnonzero(first + t < last)
+        row = first[live] + t
+        begins = live[row == own[live]]
+        before[begins], before_held[begins] = recent[begins], held[begins]
+        n = end[row] - begin[row]
+        held[live[n == 0]] = 0
+        live, row, n = live[n > 0], row[n > 0], n[n > 0]
+        if not len(live):
+            continue
+        starts = np.cumsum(n) - n
+        who = np.repeat(np.arange(len(live)), n)
+        at = np.arange(len(who)) - starts[who] + begin[row][who]
+        e, h, past = edge[at], held[live][who], recent[live][who]
+        share = np.zeros(len(at))
+        for age in range(cfg.history):
+            share += np.where((past[:, age] == e) & (age < h), weights[age] / total[h], 0.0)
+        adjusted = score[at] * (1 - cfg.history_weight * share)
+        low = np.flatnonzero(adjusted == np.minimum.reduceat(adjusted, starts)[who])
+        low = low[np.r_[True, who[low][1:] != who[low][:-1]]]  # the first of equals
+        stay = np.flatnonzero((past[:, 0] == e) & (h > 0)) if cfg.history else np.zeros(0, int)
+        less = (adjusted[stay] - adjusted[low[who[stay]]]) / (adjusted[stay] + 1e-9) < cfg.hysteresis
+        low[who[stay[less]]] = stay[less]
+        picked[row] = at[low]
+        recent[live] = np.column_stack([edge[at[low]], recent[live][:, :-1]])
+        held[live] = np.minimum(held[live] + 1, cfg.history)
+    empty = own == last  # a block of run-up rows only
+    before[empty], before_held[empty] = recent[empty], held[empty]
+    return picked, before, before_held, recent, held
 
 
 def smooth(edges: list, radius: int = 2, min_run: int = 1, passes: int = 4) -> list:
@@ -107,57 +159,120 @@ def smooth(edges: list, radius: int = 2, min_run: int = 1, passes: int = 4) -> l
     return edges
 
 
-def match_tracks(points: DataFrame, edges: DataFrame, track: str = "track", order: str = "ord", cfg: MatchConfig = MatchConfig()) -> DataFrame:
+def walk(track: str, order: str, cfg: MatchConfig, block: int):
+    """The function that runs sorted rows of (track, block, pos, edge_id) through lock_step; a row of a point has no edge and comes
+    before its candidates. Whole blocks are gathered until they hold TOGETHER rows."""
+
+    def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        edge, score, pos, no = (t.column(c).fill_null(0).to_numpy() for c in ("edge_id", "score", "pos", "block"))
+        edge = edge.astype(np.int64)
+        point = np.flatnonzero(t.column("edge_id").is_null().to_numpy())
+        end = np.r_[point[1:], t.num_rows][: len(point)]
+        fresh = t.column("fresh").to_numpy(zero_copy_only=False)[point]  # first row of a block, set by cut()
+        first = np.flatnonzero(fresh)
+        last = np.r_[first[1:], len(point)][: len(first)]
+        mine = pos[point] // block == no[point]
+        own = np.array([a + np.flatnonzero(mine[a:z])[0] if mine[a:z].any() else z for a, z in zip(first, last, strict=True)], np.int64)
+        given = t.column("seam").take(pa.array(point[first])).to_pylist()
+        held = np.array([len(g or ()) for g in given], np.int64)
+        recent = np.zeros((len(first), cfg.history), np.int64)
+        for i, g in enumerate(given):
+            recent[i, : held[i]] = g or ()
+        picked, before, before_held, after, after_held = lock_step(edge, score, point + 1, end, first, own, last, recent, held, cfg)
+        state = lambda r, h: [x[:k].tolist() for x, k in zip(r, h, strict=True)]
+        seam_in, seam_out = [None] * len(point), [None] * len(point)
+        for i, (b, a) in enumerate(zip(state(before, before_held), state(after, after_held), strict=True)):
+            if own[i] < last[i]:
+                seam_in[own[i]], seam_out[last[i] - 1] = b, a
+        at, keep = pa.array(point), pa.array(mine)
+        chosen = pa.array(picked, mask=picked < 0)
+        columns = [t.column(c).take(at) for c in (track, order, "pos", "block", "x", "y")] + [t.column("edge_id").cast(pa.int64()).take(chosen)] + [t.column(c).take(chosen) for c in ("qx", "qy", "dist")] + [pa.array(s, pa.list_(pa.int64())) for s in (seam_in, seam_out)]
+        return pa.table(columns, names=[track, order, "pos", "block", "x", "y", "edge_id", "qx", "qy", "dist", "seam_in", "seam_out"]).filter(keep).combine_chunks()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size, last = [], 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = list(zip(batch.column(track).to_pylist(), batch.column("block").to_pylist(), strict=True))
+            heads = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
+            last = keys[-1]
+            fresh = np.zeros(len(keys), bool)
+            fresh[heads] = True
+            batch = batch.append_column("fresh", pa.array(fresh))
+            if heads and size + heads[-1] >= TOGETHER and (size or heads[-1]):
+                parts.append(batch.slice(0, heads[-1]))
+                yield from flush([p for p in parts if p.num_rows]).to_batches()
+                parts, size, batch = [], 0, batch.slice(heads[-1])
+            parts.append(batch)
+            size += batch.num_rows
+        if parts:
+            yield from flush(parts).to_batches()
+
+    return cut
+
+
+def choose_edges(points: DataFrame, cells: DataFrame, track: str, order: str, cfg: MatchConfig, block: int, run_up: int) -> DataFrame:
+    """track, order, pos, x, y, edge_id, qx, qy and dist of the candidate chosen for each row.
+
+    A track is cut into blocks. A block starts from the state that the last `run_up` rows of the block before lead to from an empty
+    memory: a guess, but the memory is short, so nearly always right. Then the states are compared at the seams, and blocks that
+    began from another state than the one before ended with are run again from that one, until all seams agree. The result is the
+    sequential run's, whatever the length of the block.
+    """
+    rows = in_blocks(points, block, run_up, 1)
+    moved = movement(rows, [track, "block"], ["pos"], "x", "y").where(F.floor(F.col("pos") / block) <= F.col("block"))
+    kinds = {f.name: f.dataType.simpleString() for f in points.schema}
+    schema = f"`{track}` {kinds[track]}, `{order}` {kinds[order]}, pos long, block long, x double, y double, edge_id long, qx double, qy double, dist double, seam_in array<long>, seam_out array<long>"
+
+    def run(part: DataFrame) -> DataFrame:
+        near = reachable(part, cells, cfg)
+        best = F.min_by("best", F.struct(F.col("best.dist"), F.col("best.seg_idx")))
+        same = [track, "block", "pos"]
+        found = near.groupBy(*same, "edge_id").agg(F.max("hit").alias("hit"), best.alias("best"), *[F.first(c).alias(c) for c in ("mx", "my", "has_move")]).where("hit")
+        found = found.select(*same, "edge_id", scored(F.col("best"), F.col("mx"), F.col("my"), F.col("has_move"), cfg).alias("score"), F.col("best.qx").alias("qx"), F.col("best.qy").alias("qy"), F.col("best.dist").alias("dist"))
+        both = part.select(*same, order, "x", "y", "seam").unionByName(found, allowMissingColumns=True)
+        return both.repartition(track, "block").sortWithinPartitions(*same, "edge_id").mapInArrow(walk(track, order, cfg, block), schema)
+
+    out = scratch.at_rest(run(moved.withColumn("seam", F.lit(None).cast("array<long>"))), "matched")
+    while True:
+        seams = out.groupBy(track, "block").agg(F.max("seam_in").alias("begun"), F.max("seam_out").alias("ended"))
+        over = Window.partitionBy(track).orderBy("block")
+        wrong = seams.withColumn("seam", F.lag("ended").over(over)).where(F.col("seam").isNotNull() & (F.col("seam") != F.col("begun"))).select(F.col(track).alias("__track"), F.col("block").alias("__block"), "seam")
+        wrong = scratch.at_rest(wrong, "seams")
+        if wrong.isEmpty():
+            return out.drop("block", "seam_in", "seam_out")
+        those = F.col(track).eqNullSafe(F.col("__track")) & (F.col("block") == F.col("__block"))
+        again = moved.where(F.floor(F.col("pos") / block) == F.col("block")).join(wrong, those).drop("__track", "__block")
+        out = scratch.at_rest(out.join(wrong, those, "left_anti").unionByName(run(again)), "matched")
+
+
+def match_tracks(points: DataFrame, edges: DataFrame, track: str = "track", order: str = "ord", cfg: MatchConfig = MatchConfig(), block: int = BLOCK, run_up: int = RUN_UP) -> DataFrame:
     """track, order, x and y on the road (as they were where no edge is near), x_raw, y_raw, edge_id, dist_to_road_m, road name, ref, highway.
 
-    State is a handful of edge ids per track: sorted tracks run through in Arrow batches, so a track of any length takes the memory
-    of one batch. Only smoothing (smooth_min_run above 1) gathers a track, as its votes look both ways and are repeated. A row that
-    smoothing gives an edge which isn't among its candidates is projected on that edge.
+    points: track, order, x, y. edges: edge_id, coords (array<struct<x, y>>). Rows of one order are taken by x, y. Only smoothing
+    (smooth_min_run above 1) gathers a track's edges, as its votes look both ways and are repeated. A row that smoothing gives
+    another edge is projected on that edge.
     """
-    scored = candidates(points, edges, track, order, cfg)
-    kinds = {f.name: f.dataType.simpleString() for f in scored.schema}
-    schema = f"{track} {kinds[track]}, {order} {kinds[order]}, x double, y double, x_raw double, y_raw double, edge_id long, dist_to_road_m double"
-    columns = [track, order, "x", "y", "x_raw", "y_raw", "edge_id", "dist_to_road_m"]
-
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        rows = [list(c) if c is not None else [] for c in pdf["candidates"]]
-        ids = [np.array([c["edge_id"] for c in r], np.int64) for r in rows]
-        picked = choose(ids, [np.array([c["score"] for c in r], float) for r in rows], cfg)
-        chosen = smooth([int(ids[i][k]) if k >= 0 else None for i, k in enumerate(picked)], cfg.smooth_radius, cfg.smooth_min_run, cfg.smooth_passes)
-        got = [next((c for c in r if c["edge_id"] == e), None) for r, e in zip(rows, chosen, strict=True)]
-        return pd.DataFrame({
-            track: pdf[track], order: pdf[order], "x": [c["qx"] if c else x for c, x in zip(got, pdf["x"], strict=True)], "y": [c["qy"] if c else y for c, y in zip(got, pdf["y"], strict=True)],
-            "x_raw": pdf["x"], "y_raw": pdf["y"], "edge_id": pd.array(chosen, "Int64"), "dist_to_road_m": pd.array([c["dist"] if c else None for c in got], "Float64"),
-        })
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chooser, last = Chooser(cfg), None
-        for batch in batches:
-            lists, tracks = batch.column("candidates"), batch.column(track).to_pylist()
-            ids, scores = (lists.values.field(c).to_numpy(zero_copy_only=False) for c in ("edge_id", "score"))
-            begin = lists.offsets.to_numpy()
-            end = np.where(lists.is_null().to_numpy(zero_copy_only=False), begin[:-1], begin[1:])
-            picked = np.full(len(tracks), -1)
-            for i, (name, a, b) in enumerate(zip(tracks, begin.tolist(), end.tolist())):
-                if name != last:
-                    chooser.clear()
-                    last = name
-                if (k := chooser.pick(ids[a:b], scores[a:b])) >= 0:
-                    picked[i] = a + k
-            got = lists.values.take(pa.array(picked, mask=picked < 0))
-            field = {c: pc.struct_field(got, c).cast(kind) for c, kind in (("edge_id", pa.int64()), ("dist", pa.float64()), ("qx", pa.float64()), ("qy", pa.float64()))}
-            x, y = batch.column("x"), batch.column("y")
-            there = got.is_valid()
-            yield pa.RecordBatch.from_arrays([batch.column(track), batch.column(order), pc.if_else(there, field["qx"], x), pc.if_else(there, field["qy"], y), x, y, field["edge_id"], field["dist"]], names=columns)
-
-    if cfg.smooth_min_run <= 1:
-        out = scored.withColumns({c: F.col(c).cast("double") for c in ("x", "y")}).repartition(track).sortWithinPartitions(track, order).mapInArrow(walk, schema)
-    else:
-        out = scored.groupBy(track).applyInPandas(decide, schema)
-        new = out.where("edge_id is not null and dist_to_road_m is null").select(track, order, F.col("x_raw").alias("x"), F.col("y_raw").alias("y"), "edge_id")
-        fixed = project_on_edges(new, edge_segments(edges.select("edge_id", "coords")).drop("coords"), [track, order]).select(track, order, "qx", "qy", "dist")
-        late = lambda c, q: F.coalesce(q, c).alias(c)
-        out = out.join(fixed, [track, order], "left").select(track, order, late("x", "qx"), late("y", "qy"), "x_raw", "y_raw", "edge_id", F.coalesce("dist", "dist_to_road_m").alias("dist_to_road_m"))
+    placed = numbered(points.select(track, order, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), track, [order, "x", "y"])
+    out = choose_edges(placed, segment_cells(edges, cfg.max_dist_m), track, order, cfg, block, run_up)
+    if cfg.smooth_min_run > 1:
+        kind = out.schema[track].dataType.simpleString()
+
+        def vote(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("pos")
+            before = [None if pd.isna(e) else int(e) for e in pdf["edge_id"]]
+            after = smooth(before, cfg.smooth_radius, cfg.smooth_min_run, cfg.smooth_passes)
+            there = [a != b for a, b in zip(after, before, strict=True)]
+            return pd.DataFrame({"__track": pdf[track][there], "__pos": pdf["pos"][there], "__edge": np.array([a for a, t in zip(after, there, strict=True) if t], np.int64)})
+
+        new = out.groupBy(track).applyInPandas(vote, f"__track {kind}, __pos long, __edge long")
+        changed = out.join(new, F.col(track).eqNullSafe(F.col("__track")) & (F.col("pos") == F.col("__pos")), "left").drop("__track", "__pos")
+        moved = changed.where("__edge is not null").select(F.struct(track, "pos").alias("at"), "x", "y", F.col("__edge").alias("edge_id"))
+        fixed = project_on_edges(moved, edge_segments(edges.select("edge_id", "coords")).drop("coords"), ["at"]).select(F.col("at")[track].alias("__track"), F.col("at.pos").alias("__pos"), F.col("qx").alias("__qx"), F.col("qy").alias("__qy"), F.col("dist").alias("__dist"))
+        out = changed.join(fixed, F.col(track).eqNullSafe(F.col("__track")) & (F.col("pos") == F.col("__pos")), "left")
+        out = out.withColumns({"edge_id": F.coalesce("__edge", "edge_id"), "qx": F.coalesce("__qx", "qx"), "qy": F.coalesce("__qy", "qy"), "dist": F.coalesce("__dist", "dist")})
+    out = out.select(track, order, F.coalesce("qx", "x").alias("x"), F.coalesce("qy", "y").alias("y"), F.col("x").alias("x_raw"), F.col("y").alias("y_raw"), "edge_id", F.col("dist").alias("dist_to_road_m"))
     names = [c for c in ("name", "ref", "highway") if c in edges.columns]
     return out.join(edges.select("edge_id", *names), "edge_id", "left")

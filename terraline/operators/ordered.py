@@ -9,9 +9,33 @@ from pyspark.sql import Column, DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terraline import scratch
 from terraline.functions.geo import planar
 
 
+def numbered(df: DataFrame, by: str, order: list[str], out: str = "pos") -> DataFrame:
+    """df with the position, from 0, of each row within its key, at rest; a key may span any number of tasks.
+
+    Rows are dealt by ranges of (key, order); a task numbers what it holds, and the counts of the tasks before, a row a key and
+    task, say where it begins. Nulls are a key and come first in the order; the order should leave no ties.
+    """
+    dealt = df.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
+    rows = scratch.at_rest(dealt.withColumns({"__part": F.spark_partition_id(), "__seq": F.monotonically_increasing_id()}), "numbered")
+    held = rows.groupBy(F.col(by).alias("__key"), F.col("__part").alias("__at")).agg(F.min("__seq").alias("__first"), F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("__key").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    zero = held.select("__key", "__at", (F.col("__first") - before).alias("__zero"))
+    found = rows.join(zero, F.col(by).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__at")))
+    return found.withColumn(out, F.col("__seq") - F.col("__zero")).drop("__part", "__seq", "__key", "__at", "__zero")
+
+
+def in_blocks(df: DataFrame, size: int, before: int, after: int, pos: str = "pos", block: str = "block") -> DataFrame:
+    """df once for each block of `size` positions that a row belongs to or borders on: the last `before` rows of the block before
+    and the first `after` rows of the next one stand beside a block's own (floor(pos / size))."""
+    own, at = F.floor(F.col(pos) / size), F.col(pos) % size
+    more = F.array(own, F.when(at >= size - before, own + 1), F.when((at < after) & (own > 0), own - 1))
+    return df.withColumn(block, F.explode(F.array_compact(more)))
+
+
 def step_distance(df: DataFrame, by: list[str], order: list[str], x: str, y: str, out: str = "step_m") -> DataFrame:
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(out, planar(F.col(x), F.col(y), F.lag(x).over(w), F.lag(y).over(w)))

@@ -7,22 +7,47 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraline.functions.geo import haversine_m, planar, project_on_segment, utm_forward
+from terraline import scratch
+from terraline.functions.geo import EARTH_M, haversine_m, planar, project_on_segment
 
 
 def cell(c: Column, size: float | Column) -> Column:
     return F.floor(c / size).cast("long")
 
 
-def radius_join(points: DataFrame, others: DataFrame, radius: float, x: str = "x", y: str = "y", ox: str = "ox", oy: str = "oy") -> DataFrame:
-    """Pairs within the radius (inclusive) with dist. points' and others' columns must have different names."""
-    near = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    left = points.select("*", F.explode(near).alias("__dx")).select("*", F.explode(near).alias("__dy"))
-    left = left.withColumn("__cx", cell(F.col(x), radius) + F.col("__dx")).withColumn("__cy", cell(F.col(y), radius) + F.col("__dy")).drop("__dx", "__dy")
-    right = others.withColumn("__ocx", cell(F.col(ox), radius)).withColumn("__ocy", cell(F.col(oy), radius))
+CROWD = 20_000  # rows of a cell that one task joins, on each side
+_BROADCAST = 500_000  # crowded keys that are broadcast at most: some 20 MB
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], on: Column | None = None, crowd: int = CROWD) -> DataFrame:
+    """Inner equi-join on keys (of one name on both sides; kept once) whose crowded keys are cut on both sides.
+
+    Rows are counted by key. A key with a rows on the left and b on the right becomes ceil(a / crowd) times ceil(b / crowd) blocks:
+    a row draws its number on its own side and stands in each block of the other side's numbers, so each pair meets once, in a block
+    of bounded size. The number is a hash of the whole row, so that a task that runs again deals alike (equal rows stay together). The counts are a job while the plan is built; the crowded keys, at most a row for `crowd` rows, are broadcast if they are few.
+    """
+    n = left.groupBy(*keys).agg(F.count("*").alias("__a")).join(right.groupBy(*keys).agg(F.count("*").alias("__b")), keys).where((F.col("__a") > crowd) | (F.col("__b") > crowd))
+    cuts = scratch.at_rest(n.select(*keys, F.ceil(F.col("__a") / crowd).alias("__m"), F.ceil(F.col("__b") / crowd).alias("__n")), "crowded")
+    many = cuts.count()
+    if not many:
+        return left.join(right, keys) if on is None else left.join(right, keys).where(on)
+    cuts = F.broadcast(cuts) if many <= _BROADCAST else cuts
+
+    def dealt(side: DataFrame, own: str, other: str, names: tuple[str, str]) -> DataFrame:
+        wide = side.join(cuts, keys, "left").withColumns({c: F.coalesce(c, F.lit(1).cast("long")) for c in ("__m", "__n")})
+        drawn = F.pmod(F.xxhash64(*side.columns), F.col(own))
+        return wide.withColumn(names[0], drawn).withColumn(names[1], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).drop("__m", "__n")
+
+    pairs = dealt(left, "__m", "__n", ("__i", "__j")).join(dealt(right, "__n", "__m", ("__j", "__i")), [*keys, "__i", "__j"]).drop("__i", "__j")
+    return pairs if on is None else pairs.where(on)
+
+
+def radius_join(points: DataFrame, others: DataFrame, radius: float, x: str = "x", y: str = "y", ox: str = "ox", oy: str = "oy", crowd: int = CROWD) -> DataFrame:
+    """Pairs within the radius (inclusive) with dist. points' and others' columns must have different names. Crowded cells are cut (see spread_join)."""
+    left = _around(points, [x, y], F.lit(float(radius)))
+    right = others.withColumns({"__c0": cell(F.col(ox), radius), "__c1": cell(F.col(oy), radius)})
     dist = planar(F.col(x), F.col(y), F.col(ox), F.col(oy))
-    pairs = left.join(right, (F.col("__cx") == F.col("__ocx")) & (F.col("__cy") == F.col("__ocy")) & (dist <= radius))
-    return pairs.withColumn("dist", dist).drop("__cx", "__cy", "__ocx", "__ocy")
+    return spread_join(left, right, ["__c0", "__c1"], dist <= radius, crowd).withColumn("dist", dist).drop("__c0", "__c1")
 
 
 def within_radius(others: DataFrame, points: DataFrame, radius: float, id_col: str, x: str = "x", y: str = "y", ox: str = "ox", oy: str = "oy") -> DataFrame:
@@ -31,37 +56,70 @@ def within_radius(others: DataFrame, points: DataFrame, radius: float, id_col: s
     return others.join(hit, id_col, "left_semi")
 
 
-def _around(points: DataFrame, x: str, y: str, size: Column) -> DataFrame:
-    """points once for each of the 3 x 3 cells around it: __cx, __cy."""
-    near = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    out = points.select("*", F.explode(near).alias("__dx")).select("*", F.explode(near).alias("__dy"))
-    return out.withColumns({"__cx": cell(F.col(x), size) + F.col("__dx"), "__cy": cell(F.col(y), size) + F.col("__dy")}).drop("__dx", "__dy")
+def _cells(axes: list[str], size: Column) -> dict[str, Column]:
+    return {f"__c{i}": cell(F.col(c), size) for i, c in enumerate(axes)}
 
 
-def knn_join(points: DataFrame, others: DataFrame, k: int, id_col: str, other_id: str, radius: float, x: str = "x", y: str = "y", ox: str = "ox", oy: str = "oy") -> DataFrame:
-    """The k nearest others of every point, with dist and rank (ties by other_id).
+def _around(rows: DataFrame, axes: list[str], size: Column) -> DataFrame:
+    """rows once for each of the 3 cells a dimension around them: __c0, __c1 and so on."""
+    for i, c in enumerate(axes):
+        rows = rows.withColumn(f"__c{i}", F.explode(F.array(*[cell(F.col(c), size) + k for k in (-1, 0, 1)])))
+    return rows
+
+
+def pyramid(others: DataFrame, axes: list[str], size: float, top: int, leaf: int) -> DataFrame:
+    """level, __c0.. and __n: counts by cell, at every level from 0 (cells of `size`) to top (each twice as wide as the one below), and
+    below 0 wherever a cell holds more than `leaf` rows, until none does (or the rows of one place are left): an adaptive quadtree."""
+    names = [f"__c{i}" for i in range(len(axes))]
+    base = scratch.at_rest(others.groupBy(*[cell(F.col(c), size).alias(n) for c, n in zip(axes, names, strict=True)]).agg(F.count("*").alias("__n")), "cells")
+    up = lambda df, low, high: df.select(F.explode(F.sequence(F.lit(low), F.lit(high))).alias("__level"), *names, "__n").select("__level", *[F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("__level") - low)).cast("long").alias(c) for c in names], "__n").groupBy("__level", *names).agg(F.sum("__n").alias("__n"))
+    found, level = up(base, 0, top), 0
+    while level > -40:
+        crowded = base.where(F.col("__n") > leaf)
+        most = crowded.agg(F.max("__n")).first()[0]
+        if most is None:
+            break
+        below = max(level - math.ceil(math.log2(most / leaf) / len(axes)) - 1, -40)  # where even rows would be few enough
+        inside = others.withColumns(_cells(axes, F.lit(size * 2.0**level))).join(crowded.select(*names), names, "left_semi").select(*axes)
+        base = scratch.at_rest(inside.groupBy(*[cell(F.col(c), size * 2.0**below).alias(n) for c, n in zip(axes, names, strict=True)]).agg(F.count("*").alias("__n")), "cells")
+        found, level = found.unionByName(up(base, below, level - 1)), below
+    return found
+
 
-    A pyramid of cells, each level twice as wide as the one below (radius at the lowest), counts the others. A point's level is
-    the lowest whose 3 x 3 cells around it hold k; its k nearest then lie within 2 sqrt(2) cells, which one bucket join at that
-    level finds. Only the bounds and a count reach the driver, and every step is an equi-join.
+def neighbourhoods(points: DataFrame, others: DataFrame, k: int, id_col: str, size: float, axes: list[tuple[str, str]], leaf: int = 512, crowd: int = CROWD) -> DataFrame:
+    """points and others joined so that each point meets its k nearest others, and few more. axes: (column of points, column of others), one a dimension.
+
+    A point's level is the lowest of the pyramid whose 3 cells a dimension around it hold k; its k nearest then lie within
+    2 sqrt(dimensions) cells, which one bucket join at that level finds. Only bounds, a count and the levels reach the driver.
     """
+    mine, theirs = [p for p, _ in axes], [o for _, o in axes]
+    span = lambda df, cols: df.agg(F.count("*"), *[f(c) for c in cols for f in (F.min, F.max)]).first()
+    b, p = span(others, theirs), span(points, mine)
+    if not b[0] or p[1] is None:
+        return points.join(others, F.lit(False))  # nothing to meet
+    wide = max(*(max(b[2 * i + 2], p[2 * i + 2]) - min(b[2 * i + 1], p[2 * i + 1]) for i in range(len(axes))), size)
+    names = [f"__c{i}" for i in range(len(axes))]
+    counts = scratch.at_rest(pyramid(others, theirs, size, math.ceil(math.log2(wide / size)) + 1, leaf), "pyramid")
+    held = _around(counts.select("__level", *[F.col(c).alias(f"_{c}") for c in names], "__n"), [f"_{c}" for c in names], F.lit(1)).groupBy("__level", *names).agg(F.sum("__n").alias("__n")).where(F.col("__n") >= min(k, b[0])).drop("__n")
+    levels = sorted(r[0] for r in counts.select("__level").distinct().collect())  # 40 and the pyramid's at most
+    each = lambda use: F.explode(F.array(*[F.lit(v) for v in use])).alias("__level")
+    at = F.pow(F.lit(2.0), F.col("__level")) * size
+    level = points.select(id_col, *mine, each(levels)).withColumns(_cells(mine, at)).join(held, ["__level", *names]).groupBy(id_col).agg(F.min("__level").alias("__level"))
+    level = scratch.at_rest(level, "levels")
+    used = sorted(r[0] for r in level.select("__level").distinct().collect())
+    reach = at * math.ceil(2 * math.sqrt(len(axes)))
+    left = _around(points.join(level, id_col), mine, reach)
+    right = others.select("*", each(used)).withColumns(_cells(theirs, reach))
+    apart = F.sqrt(sum((F.pow(F.col(m) - F.col(o), 2) for m, o in axes), F.lit(0.0)))
+    return spread_join(left, right, ["__level", *names], apart <= reach, crowd).drop("__level", *names)
+
+
+def knn_join(points: DataFrame, others: DataFrame, k: int, id_col: str, other_id: str, radius: float, x: str = "x", y: str = "y", ox: str = "ox", oy: str = "oy") -> DataFrame:
+    """The k nearest others of every point, with dist and rank (ties by other_id). radius: the cells' usual width; crowded cells are
+    divided, sparse ones joined (see neighbourhoods), so it changes no result."""
     order = Window.partitionBy(id_col).orderBy("dist", other_id)
-    b = others.agg(F.count("*").alias("n"), F.min(ox), F.max(ox), F.min(oy), F.max(oy)).first()
-    p = points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    if not b["n"] or p[0] is None:
-        return radius_join(points, others, radius, x, y, ox, oy).withColumn("rank", F.row_number().over(order))
-    span = max(max(b[2], p[1]) - min(b[1], p[0]), max(b[4], p[3]) - min(b[3], p[2]), radius)
-    levels = F.explode(F.sequence(F.lit(0), F.lit(math.ceil(math.log2(span / radius)) + 1))).alias("__level")
-    size = F.pow(F.lit(2.0), F.col("__level")) * radius
-    counts = others.select(ox, oy, levels).select("__level", cell(F.col(ox), size).alias("__cx"), cell(F.col(oy), size).alias("__cy")).groupBy("__level", "__cx", "__cy").agg(F.count("*").alias("__n"))
-    around = _around(points.select(id_col, x, y, levels), x, y, size).join(counts, ["__level", "__cx", "__cy"])
-    level = around.groupBy(id_col, "__level").agg(F.sum("__n").alias("__n")).where(F.col("__n") >= min(k, b["n"])).groupBy(id_col).agg(F.min("__level").alias("__level"))
-    wide = 3 * size
-    left = _around(points.join(level, id_col), x, y, wide)
-    right = others.select("*", levels).withColumns({"__cx": cell(F.col(ox), wide), "__cy": cell(F.col(oy), wide)})
-    dist = planar(F.col(x), F.col(y), F.col(ox), F.col(oy))
-    near = left.join(right, ["__level", "__cx", "__cy"]).withColumn("dist", dist).where(F.col("dist") <= wide)
-    return near.drop("__level", "__cx", "__cy").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    near = neighbourhoods(points, others, k, id_col, radius, [(x, ox), (y, oy)]).withColumn("dist", planar(F.col(x), F.col(y), F.col(ox), F.col(oy)))
+    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def nearest_with_threshold(points: DataFrame, others: DataFrame, id_col: str, other_id: str, radius: float, threshold: float, **names: str) -> DataFrame:
@@ -122,16 +180,24 @@ def bilinear(points: DataFrame, raster: DataFrame, id_col: str, x0: float, y0: f
     return got.select(id_col, F.when(F.col("n") == 4, F.col("z")).alias("z"))
 
 
-def snap_trajectory(points: DataFrame, nodes: DataFrame, id_col: str, node_id: str, lat: str, lon: str, search_m: float = 200.0, cell_m: float = 100.0, candidates: int = 8) -> DataFrame:
+def on_sphere(lat: Column, lon: Column) -> list[Column]:
+    """The place as a point in space, in metres: the nearer in a straight line, the nearer by the haversine."""
+    p, l_ = F.radians(lat), F.radians(lon)
+    return [EARTH_M * c for c in (F.cos(p) * F.cos(l_), F.cos(p) * F.sin(l_), F.sin(p))]
+
+
+def snap_trajectory(points: DataFrame, nodes: DataFrame, id_col: str, node_id: str, lat: str, lon: str, search_m: float = 200.0, cell_m: float = 100.0) -> DataFrame:
     """points with lat_corrected and lon_corrected (of the nearest node), matched_on_road (within search_m by the haversine) and
-    distance_correction_m. Rows without a position pass with their own, not matched. The
-    nearest by the haversine is chosen among the nearest `candidates` in the plane of the projection, whose scale differs by half a percent."""
-    at = lambda df, names: df.withColumns(dict(zip(names, utm_forward(F.col(lon), F.col(lat)), strict=True)))
-    there = at(points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(id_col, lat, lon), ("__x", "__y")).select(id_col, "__x", "__y", F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
-    roads = at(nodes, ("__ox", "__oy")).select(node_id, F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), "__ox", "__oy")
-    few = knn_join(there, roads, candidates, id_col, node_id, cell_m, "__x", "__y", "__ox", "__oy")
+    distance_correction_m. Rows without a position pass with their own, not matched.
+
+    The nearest is exact, anywhere on the globe: nodes are searched by cells in space, where the straight line orders places as the
+    haversine does; ties go to the smaller node id."""
+    at = lambda df, names: df.withColumns(dict(zip(names, on_sphere(F.col(lat), F.col(lon)), strict=True)))
+    mine, theirs = ["__x", "__y", "__z"], ["__ox", "__oy", "__oz"]
+    there = at(points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(id_col, lat, lon), mine).select(id_col, *mine, F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
+    roads = at(nodes.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()), theirs).select(node_id, F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), *theirs)
     dist = haversine_m(F.col("__plat"), F.col("__plon"), F.col("__lat"), F.col("__lon"))
-    near = few.withColumn("__d", dist).groupBy(id_col).agg(F.min_by(F.struct("__lat", "__lon", "__d"), F.struct("__d", node_id)).alias("__n"))
+    near = neighbourhoods(there, roads, 1, id_col, cell_m, list(zip(mine, theirs, strict=True))).withColumn("__d", dist).groupBy(id_col).agg(F.min_by(F.struct("__lat", "__lon", "__d"), F.struct("__d", node_id)).alias("__n"))
     out = points.join(near, id_col, "left")
     return out.withColumns({"lat_corrected": F.coalesce("__n.__lat", lat), "lon_corrected": F.coalesce("__n.__lon", lon), "matched_on_road": F.coalesce(F.col("__n.__d") <= search_m, F.lit(False)), "distance_correction_m": F.col("__n.__d")}).drop("__n")
 

@@ -354,10 +354,7 @@ def pearson_matrix(spark, sf_dir):
 
 @query("spearman_target", "WITH s AS (SELECT l_quantity AS q, l_extendedprice AS p, l_discount AS d FROM lineitem), r AS (SELECT " + ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2 AS r{c}" for c in "qpd") + " FROM s) SELECT 'l_quantity' AS feature, round(corr(rq, rp), 6) AS rho FROM r UNION ALL SELECT 'l_discount', round(corr(rd, rp), 6) FROM r")
 def spearman_target(spark, sf_dir):
-    s = table(spark, sf_dir, "lineitem").select(*VARS)
-    s = reduce(lambda d, c: audit.rank_average(d, c, f"r_{c}"), VARS, s)
-    got = s.agg(F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.corr(f"r_{c}", "r_l_extendedprice"), 6).alias("rho")) for c in ("l_quantity", "l_discount")]).alias("m"))
-    return got.select(F.explode("m").alias("m")).select("m.*")
+    return audit.spearman(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount"], "l_extendedprice").select("feature", F.round("rho", 6).alias("rho"))
 
 
 @query("composite_score", "WITH m AS (SELECT o_orderpriority AS k, avg(o_totalprice) AS a, stddev_pop(o_totalprice) AS s, count(*)::DOUBLE AS n FROM orders GROUP BY 1) SELECT k, round(0.5 * a / max(a) OVER () + 0.3 * (1 - s / max(s) OVER ()) + 0.2 * n / max(n) OVER (), 6) AS score FROM m")
