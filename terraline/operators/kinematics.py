@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terraline import scratch
+
 
 def gyro_rad_s(mdeg_s: Column) -> Column:
     """Thousandths of a degree a second as radians a second."""
@@ -116,6 +118,7 @@ def kalman_track(df: DataFrame, by: str, time_s: str, x: str, y: str, speed: str
 
     Rows without a position are predicted only; before the first fix there is no state, and nulls are returned. A null time is
     taken as no time passed (such rows come first). A null speed leaves a measurement of the position alone; a null hdop is 1."""
+    scratch.send_code(df.sparkSession)
     cols = [by, time_s, x, y, speed, hdop, accel, yaw_rate]
     rows = df.select(by, *[F.col(c).cast("double").alias(c) for c in cols[1:]]).repartition(by).sortWithinPartitions(by, time_s, x, y)
     fields = [T.StructField(c, T.DoubleType()) for c in (time_s, "ekf_x", "ekf_y", "ekf_speed", "ekf_heading")]

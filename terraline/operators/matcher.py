@@ -160,53 +160,49 @@ def smooth(edges: list, radius: int = 2, min_run: int = 1, passes: int = 4) -> l
 
 
 def walk(track: str, order: str, cfg: MatchConfig, block: int):
-    """The function that runs sorted rows of (track, block, pos, edge_id) through lock_step; a row of a point has no edge and comes
-    before its candidates. Whole blocks are gathered until they hold TOGETHER rows."""
+    """The function that runs rows sorted by (track, block, pos, edge_id, dist, seg_idx) through lock_step: a row for each segment near
+    a point, or one without an edge. fresh marks a block's first row. Whole blocks are gathered until they hold TOGETHER rows."""
 
-    def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def flush(parts: list[pa.RecordBatch]) -> pa.Table:
         t = pa.Table.from_batches(parts).combine_chunks()
-        edge, score, pos, no = (t.column(c).fill_null(0).to_numpy() for c in ("edge_id", "score", "pos", "block"))
-        edge = edge.astype(np.int64)
-        point = np.flatnonzero(t.column("edge_id").is_null().to_numpy())
-        end = np.r_[point[1:], t.num_rows][: len(point)]
-        fresh = t.column("fresh").to_numpy(zero_copy_only=False)[point]  # first row of a block, set by cut()
-        first = np.flatnonzero(fresh)
-        last = np.r_[first[1:], len(point)][: len(first)]
+        fresh, hit, edge, score, pos, no = (t.column(c).fill_null(v).to_numpy() for c, v in (("fresh", False), ("hit", False), ("edge_id", 0), ("score", 0.0), ("pos", 0), ("block", 0)))
+        changed = lambda c: np.r_[True, c[1:] != c[:-1]]
+        new = fresh | changed(pos)
+        point = np.flatnonzero(new)
+        best = np.flatnonzero(new | changed(edge))  # of the rows of a point and edge, the first is the nearest
+        best = best[np.logical_or.reduceat(hit, best)]
+        begin, end = np.searchsorted(best, point), np.searchsorted(best, np.r_[point[1:], len(new)])
+        first = np.flatnonzero(fresh[point])
+        last = np.r_[first[1:], len(point)]
         mine = pos[point] // block == no[point]
-        own = np.array([a + np.flatnonzero(mine[a:z])[0] if mine[a:z].any() else z for a, z in zip(first, last, strict=True)], np.int64)
+        ahead = np.r_[0, np.cumsum(~mine & (pos[point] // block < no[point]))]
+        own = first + ahead[last] - ahead[first]  # run-up rows come first
         given = t.column("seam").take(pa.array(point[first])).to_pylist()
         held = np.array([len(g or ()) for g in given], np.int64)
         recent = np.zeros((len(first), cfg.history), np.int64)
-        for i, g in enumerate(given):
-            recent[i, : held[i]] = g or ()
-        picked, before, before_held, after, after_held = lock_step(edge, score, point + 1, end, first, own, last, recent, held, cfg)
-        state = lambda r, h: [x[:k].tolist() for x, k in zip(r, h, strict=True)]
+        for i in np.flatnonzero(held):
+            recent[i, : held[i]] = given[i]
+        picked, before, before_held, after, after_held = lock_step(edge[best].astype(np.int64), score[best], begin, end, first, own, last, recent, held, cfg)
         seam_in, seam_out = [None] * len(point), [None] * len(point)
-        for i, (b, a) in enumerate(zip(state(before, before_held), state(after, after_held), strict=True)):
-            if own[i] < last[i]:
-                seam_in[own[i]], seam_out[last[i] - 1] = b, a
-        at, keep = pa.array(point), pa.array(mine)
-        chosen = pa.array(picked, mask=picked < 0)
-        columns = [t.column(c).take(at) for c in (track, order, "pos", "block", "x", "y")] + [t.column("edge_id").cast(pa.int64()).take(chosen)] + [t.column(c).take(chosen) for c in ("qx", "qy", "dist")] + [pa.array(s, pa.list_(pa.int64())) for s in (seam_in, seam_out)]
-        return pa.table(columns, names=[track, order, "pos", "block", "x", "y", "edge_id", "qx", "qy", "dist", "seam_in", "seam_out"]).filter(keep).combine_chunks()
+        for i in np.flatnonzero(own < last):
+            seam_in[own[i]], seam_out[last[i] - 1] = before[i, : before_held[i]].tolist(), after[i, : after_held[i]].tolist()
+        at = pa.array(point)
+        chosen = pa.array(np.r_[best, 0][picked], mask=picked < 0)
+        columns = [t.column(c).take(at) for c in (track, order, "pos", "block", "x", "y")] + [t.column("edge_id").cast(pa.int64()).take(chosen)] + [t.column(c).take(chosen) for c in ("qx", "qy", "dist")]
+        columns += [pa.array(s, pa.list_(pa.int64())) for s in (seam_in, seam_out)]
+        return pa.table(columns, names=[track, order, "pos", "block", "x", "y", "edge_id", "qx", "qy", "dist", "seam_in", "seam_out"]).filter(pa.array(mine)).combine_chunks()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size, last = [], 0, None
+        parts, size = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = list(zip(batch.column(track).to_pylist(), batch.column("block").to_pylist(), strict=True))
-            heads = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
-            last = keys[-1]
-            fresh = np.zeros(len(keys), bool)
-            fresh[heads] = True
-            batch = batch.append_column("fresh", pa.array(fresh))
-            if heads and size + heads[-1] >= TOGETHER and (size or heads[-1]):
+            heads = np.flatnonzero(batch.column("fresh").to_numpy(zero_copy_only=False))
+            if len(heads) and size + heads[-1] >= TOGETHER:
                 parts.append(batch.slice(0, heads[-1]))
                 yield from flush([p for p in parts if p.num_rows]).to_batches()
                 parts, size, batch = [], 0, batch.slice(heads[-1])
-            parts.append(batch)
-            size += batch.num_rows
+            if batch.num_rows:
+                parts.append(batch)
+                size += batch.num_rows
         if parts:
             yield from flush(parts).to_batches()
 
@@ -221,19 +217,20 @@ def choose_edges(points: DataFrame, cells: DataFrame, track: str, order: str, cf
     began from another state than the one before ended with are run again from that one, until all seams agree. The result is the
     sequential run's, whatever the length of the block.
     """
-    rows = in_blocks(points, block, run_up, 1)
+    scratch.send_code(points.sparkSession)
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number, as points grow by their candidates behind this exchange
+    rows = in_blocks(points, block, max(2, run_up), 1).repartition(parts, track, "block")  # smoothing looks two rows back
     moved = movement(rows, [track, "block"], ["pos"], "x", "y").where(F.floor(F.col("pos") / block) <= F.col("block"))
     kinds = {f.name: f.dataType.simpleString() for f in points.schema}
     schema = f"`{track}` {kinds[track]}, `{order}` {kinds[order]}, pos long, block long, x double, y double, edge_id long, qx double, qy double, dist double, seam_in array<long>, seam_out array<long>"
 
     def run(part: DataFrame) -> DataFrame:
-        near = reachable(part, cells, cfg)
-        best = F.min_by("best", F.struct(F.col("best.dist"), F.col("best.seg_idx")))
-        same = [track, "block", "pos"]
-        found = near.groupBy(*same, "edge_id").agg(F.max("hit").alias("hit"), best.alias("best"), *[F.first(c).alias(c) for c in ("mx", "my", "has_move")]).where("hit")
-        found = found.select(*same, "edge_id", scored(F.col("best"), F.col("mx"), F.col("my"), F.col("has_move"), cfg).alias("score"), F.col("best.qx").alias("qx"), F.col("best.qy").alias("qy"), F.col("best.dist").alias("dist"))
-        both = part.select(*same, order, "x", "y", "seam").unionByName(found, allowMissingColumns=True)
-        return both.repartition(track, "block").sortWithinPartitions(*same, "edge_id").mapInArrow(walk(track, order, cfg, block), schema)
+        best = F.col("best")
+        score = scored(best, F.col("mx"), F.col("my"), F.col("has_move"), cfg)
+        near = reachable(part, cells, cfg, "left").select(track, "block", "pos", order, "x", "y", "seam", "edge_id", "hit", score.alias("score"), best["qx"].alias("qx"), best["qy"].alias("qy"), best["dist"].alias("dist"), best["seg_idx"].alias("seg_idx"))
+        # the window deals and sorts by block; where points already lie by block, as behind a broadcast of the cells, nothing moves
+        fresh = F.row_number().over(Window.partitionBy(track, "block").orderBy("pos", "edge_id", "dist", "seg_idx")) == 1
+        return near.withColumn("fresh", fresh).mapInArrow(walk(track, order, cfg, block), schema)
 
     out = scratch.at_rest(run(moved.withColumn("seam", F.lit(None).cast("array<long>"))), "matched")
     while True:

@@ -117,6 +117,7 @@ class ExtraTrees:
     def fit(self, df: DataFrame) -> ExtraTreesModel:
         rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y")).where("y is not null and not isnan(y) and not exists(x, v -> isnan(v))")
         rows = scratch.at_rest(rows, "extra-trees")
+        scratch.send_code(df.sparkSession)
         one = rows.select(F.size("x").alias("n")).first()
         trees = [Tree.root() for _ in range(self.trees)]
         if one is None:

@@ -143,6 +143,7 @@ def match_stream(stream: DataFrame, edges: DataFrame, track: str = "track", orde
     returned when the track's next one has passed the watermark, as its direction needs both neighbours; the last one when the track
     is closed. Smoothing (smooth_min_run above 1) looks forward without bound and is not done.
     """
+    scratch.send_code(stream.sparkSession)
     cells = scratch.at_rest(segment_cells(edges, cfg.max_dist_m), "segment-cells")
     whole = stream.where(" and ".join(f"`{c}` is not null" for c in (track, order, time, "x", "y")))
     rows = whole.withWatermark(time, delay).select(track, F.col(order).cast("long").alias("ord"), time, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
@@ -196,6 +197,7 @@ def segment_stream(stream: DataFrame, key: str, order: str, time: str, x: str, y
     returned once their segment is large enough, so at most min_rows rows a key are held beyond the watermark's delay. order: whole
     numbers that rise with the time; rows that lack a key, order, time or position are left out.
     """
+    scratch.send_code(stream.sparkSession)
     whole = stream.where(" and ".join(f"`{c}` is not null" for c in (key, order, time, x, y)))
     rows = whole.withWatermark(time, delay).select(key, time, F.unix_micros(F.col(time).cast("timestamp")).alias("us"), F.col(order).cast("long").alias("ord"), *[F.col(c).cast("double").alias(n) for c, n in ((x, "at_x"), (y, "at_y"))])
     held = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema if f.name not in (key, time)])
