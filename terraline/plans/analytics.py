@@ -396,7 +396,7 @@ def training_rows(spark, sf_dir):
     return filters.training_rows(li, ["l_quantity", "l_discount", "missing"], "l_tax")
 
 
-@query("group_folds")
+@query("group_folds", "WITH g AS (SELECT l_suppkey, (row_number() OVER (ORDER BY count(*) DESC, l_suppkey) - 1) % 10 AS lap FROM lineitem GROUP BY l_suppkey) SELECT l_orderkey, l_linenumber, l_suppkey, (CASE WHEN lap < 5 THEN lap ELSE 9 - lap END)::INTEGER AS fold FROM lineitem JOIN g USING (l_suppkey)")
 def group_folds(spark, sf_dir):
     from terraline.operators import learning
 
@@ -411,6 +411,14 @@ def forest_cv(spark, sf_dir):
     return learning.cross_validate(li, ["l_quantity", "l_discount", "l_tax"], "price", learning.Run("random_forest", {"numTrees": 10, "maxDepth": 5}), groups="l_suppkey", folds=3)
 
 
+@query("extra_trees_cv")
+def extra_trees_cv(spark, sf_dir):
+    from terraline.operators import learning
+
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_discount", "l_tax", (F.col("l_extendedprice") / 1000).alias("price"))
+    return learning.cross_validate(li, ["l_quantity", "l_discount", "l_tax"], "price", learning.Run("extra_trees", {"numTrees": 5, "maxDepth": 5}), groups="l_suppkey", folds=3)
+
+
 _STEP = "greatest(x - x % 86400 + c + CASE WHEN x - x % 86400 + c < x - 43200 THEN 86400 ELSE 0 END, x + 1)"
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from terraline.functions import stability
@@ -16,6 +18,43 @@ def user_predicate(spark, sf_dir):
     return filters.where_text(table(spark, sf_dir, "lineitem"), "(l_quantity > 10 & abs(l_discount - 0.05) < 0.02) or l_linenumber == 3").select("l_orderkey", "l_linenumber")
 
 
+@query("user_conditions", """SELECT 'lists' AS predicate, l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag IN ('A', 'N') AND NOT (l_linestatus = 'F') AND l_linenumber NOT IN (1, 2)
+UNION ALL SELECT 'chains', l_orderkey, l_linenumber FROM lineitem WHERE 10 < l_quantity AND l_quantity <= 20 AND l_quantity % 2 = 0
+UNION ALL SELECT 'quoted', l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'A&B' OR (l_linenumber = 7 AND l_quantity > 30)""")
+def user_conditions(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    texts = {
+        "lists": "l_returnflag in ['A', 'N'] & ~(l_linestatus == 'F') & l_linenumber not in [1, 2]",
+        "chains": "10 < l_quantity <= 20 and `l_quantity` % 2 == 0", "quoted": "l_returnflag == 'A&B' | (l_linenumber == 7 & l_quantity > 30)",
+    }
+    parts = [filters.where_text(df, text).select(F.lit(name).alias("predicate"), "l_orderkey", "l_linenumber") for name, text in texts.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("ekf_track")
+def ekf_track(spark, sf_dir):
+    """The filter over each user's fixes in UTM coordinates, a minute apart; every fifth lacks a position, every seventh a speed."""
+    e = F.col("event_id")
+    rows = fixes(spark, sf_dir).select("user_id", (F.col("event_id") * 60.0).alias("t"), F.when(e % 5 != 0, 440000 + F.col("x")).alias("x"), (4475000 + F.col("y")).alias("y"), F.when(e % 7 != 0, F.col("speed_kmh") / 3.6).alias("v"), "hdop", F.lit(0.0).alias("a"), F.lit(0.0).alias("w"))
+    return kinematics.kalman_track(rows, "user_id", "t", "x", "y", "v", "hdop", "a", "w")
+
+
+_H = "2 * 6371000.0 * asin(sqrt(least(1.0, sin(radians(nlat - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(nlat)) * sin(radians(nlon - lon) / 2) ** 2)))"
+_NODES = """n AS (SELECT c_custkey AS nid, CASE WHEN c_custkey % 2 = 0 THEN 40 + degrees((100 + c_custkey / 2000) / 6371000.0) ELSE 40 END AS nlat, CASE WHEN c_custkey % 2 = 0 THEN -3 ELSE -3 + degrees((99.8 + c_custkey / 2000) / 6371000.0 / cos(radians(40))) END AS nlon FROM customer)"""
+
+
+@query("snap_near_ties", f"""WITH p AS (SELECT s_suppkey AS pid, 40 + s_suppkey % 7 / 1e6 AS lat, -3 + s_suppkey % 5 / 1e6 AS lon FROM supplier), {_NODES},
+b AS (SELECT pid, {_H} AS d FROM p, n) SELECT pid, round(min(d), 4) AS distance_correction_m, min(d) <= 100 AS matched_on_road FROM b GROUP BY pid""")
+def snap_near_ties(spark, sf_dir):
+    """Nodes due north and due east of the points, all within half a percent of each other's distance: only the haversine tells which is nearest."""
+    s, c = F.col("s_suppkey"), F.col("c_custkey")
+    points = table(spark, sf_dir, "supplier").select(s.alias("pid"), (40 + s % 7 / 1e6).alias("lat"), (-3 + s % 5 / 1e6).alias("lon"))
+    north, east = F.degrees((100 + c / 2000) / 6371000.0), F.degrees((99.8 + c / 2000) / 6371000.0 / F.cos(F.radians(F.lit(40.0))))
+    nodes = table(spark, sf_dir, "customer").select(c.alias("nid"), F.when(c % 2 == 0, 40 + north).otherwise(F.lit(40.0)).alias("lat"), F.when(c % 2 == 0, F.lit(-3.0)).otherwise(-3 + east).alias("lon"))
+    out = spatial.snap_trajectory(points, nodes, "pid", "nid", "lat", "lon", 100.0)
+    return out.select("pid", F.round("distance_correction_m", 4).alias("distance_correction_m"), "matched_on_road")
+
+
 @query("audit_drops", f"WITH {FIXES} SELECT event_id, lat, lon * 30 AS lon FROM fixes WHERE fix = 0 AND lon * 30 BETWEEN -180 AND 180")
 def audit_drops(spark, sf_dir):
     reason = F.when(F.col("fix") == 0, "gps_fix").when(F.col("hdop") > 5, "IMU spike")
@@ -52,7 +91,6 @@ def absolute_imu_time(spark, sf_dir):
     return e.select("event_id", t.alias("t_us"), F.round(kinematics.gyro_rad_s(F.col("event_id") % 1000), 9).alias("omega"))
 
 
-_H = "2 * 6371000.0 * asin(sqrt(least(1.0, sin(radians(nlat - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(nlat)) * sin(radians(nlon - lon) / 2) ** 2)))"
 
 
 @query("snap_trajectory", f"""WITH p AS (SELECT s_suppkey AS pid, CASE WHEN s_suppkey % 10 <> 0 THEN 40 + s_suppkey * 7919 % 1000 / 20000 END AS lat, -3 + s_suppkey * 6101 % 1000 / 20000 AS lon FROM supplier),

@@ -45,7 +45,7 @@ def test_oracle(spark, duck, name):
     assert all(same(a, b) for g, w in zip(got, want, strict=True) for a, b in zip(g, w, strict=True))
 
 
-@pytest.mark.parametrize("name", ["terrain_patches", "map_match_tracks", "group_folds", "forest_cv"])
+@pytest.mark.parametrize("name", ["terrain_patches", "map_match_tracks", "group_folds", "forest_cv", "extra_trees_cv"])
 def test_rows_only(spark, name):
     assert registry.queries()[name](spark, str(SF)).count() > 0
 
@@ -55,3 +55,30 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() >= 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_streamed_matching_is_batch_matching(spark):
+    found = registry.queries()
+    pick = ["x", "y", "edge_id", "dist_to_road_m"]
+    got = found["stream_map_match"](spark, str(SF)).select("user_id", "event_id", *pick).toPandas().set_index(["user_id", "event_id"]).sort_index()
+    want = found["map_match_tracks"](spark, str(SF)).select("track", "ord", *pick).toPandas().set_index(["track", "ord"]).sort_index()
+    assert len(got) == len(want) and got.index.tolist() == want.index.tolist()
+    assert got.astype(float).fillna(-1).round(6).to_numpy().tolist() == want.astype(float).fillna(-1).round(6).to_numpy().tolist()
+
+
+def test_filter_of_the_tables(spark):
+    from terraline.operators.kinematics import Kalman
+    from terraline.plans.telemetry import fixes
+
+    got = registry.queries()["ekf_track"](spark, str(SF)).toPandas().set_index(["user_id", "t"])
+    rows = fixes(spark, str(SF)).toPandas().sort_values(["user_id", "event_id"])
+    for user, mine in rows.groupby("user_id"):
+        ekf, last = Kalman(), None
+        for r in mine.itertuples():
+            t = r.event_id * 60.0
+            ekf.predict(0.0, 0.0, t - last if last is not None else 0.0)
+            last = t
+            if r.event_id % 5:
+                ekf.update(440000 + r.x, 4475000 + r.y, None if r.event_id % 7 == 0 else r.speed_kmh / 3.6, r.hdop or 1.0)
+            have = got.loc[(user, t)].tolist()
+            assert all(math.isnan(v) for v in have) if ekf.x is None else all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-6) for a, b in zip(have, ekf.x, strict=True))
