@@ -25,7 +25,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,11 +33,13 @@ from terraline.llm import common
 from terraline.llm.components import components
 
 BITS = 64
-#: For first_of_similar: fingerprints a text, keys a text, bits a key, and the most bits in which the pools of a candidate differ
-#: (39 of 256 are expected at a similarity of 0.8, 128 of unrelated texts).
-WORDS, TABLES, KEY_BITS, POOL_BITS = 4, 128, 24, 72
-#: The tables of each round.
-ROUNDS = [range(0, 6), range(6, 24), range(24, TABLES)]
+#: For first_of_similar: fingerprints a text, the fewest bits a key and the tables that go with them, texts a key that more bits
+#: aim at, and the most bits in which the pools of a candidate differ (39 of 256 are expected at a similarity of 0.8, 128 of unrelated texts).
+WORDS, KEY_BITS, TABLES, PER_KEY, POOL_BITS = 4, 20, 96, 512, 72
+#: Of a table's 64 sampled bits the first are the key; of every 4 others at most 1 may differ (6 of 40 are expected at 0.8, 20 of unrelated texts).
+REST_SHARE, AGREE = 0.25, 0.848
+#: Up to which share of the tables each round goes, and how many rows of its key a row meets: few at first, so that near copies are linked and needn't meet again.
+ROUNDS = [(0.05, 8), (0.19, 1024), (1.0, 1024)]
 _WORDS = [f"w{w}" for w in range(WORDS)]
 _BATCH = 4 << 20
 _BLOCK = 4 << 20
@@ -307,24 +309,75 @@ def pool_table(docs: DataFrame, shingle: int) -> DataFrame:
     return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in names[1:])]))
 
 
-def sampled_keys(vertices: DataFrame, tables: range) -> DataFrame:
-    """key, v, r: one row a vertex and table, hashed from KEY_BITS sampled bits of its pool, with the vertex's root."""
-    rng = np.random.default_rng(5)
-    masks = np.zeros((TABLES, WORDS), np.uint64)
-    for m in masks:
-        for b in rng.choice(BITS * WORDS, KEY_BITS, replace=False).tolist():
-            m[b // BITS] |= np.uint64(1 << (b % BITS))
+def key_size(n: int) -> tuple[int, int]:
+    """Bits of a key for n texts, about PER_KEY texts a key, and the tables that find a pair of similarity 0.8 as often as TABLES keys of KEY_BITS do."""
+    bits = max(KEY_BITS, int(np.ceil(np.log2(max(n, 1) / PER_KEY))))
+    return bits, int(np.ceil(TABLES * AGREE ** (KEY_BITS - bits)))
+
+
+def sampled_words(vertices: DataFrame, tables: range) -> DataFrame:
+    """t, word, v, r: for each vertex and table 64 sampled bits of its pool, the key's bits the highest, and the vertex's root."""
+    picked = [np.random.default_rng([5, t]).choice(BITS * WORDS, BITS, replace=False) for t in tables]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [batch.column(2 + w).to_numpy().view(np.uint64) for w in range(WORDS)]
-            for t in tables:
-                key = np.full(batch.num_rows, t, np.uint64)
-                for w, x in enumerate(words):
-                    key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + (x & masks[t][w]) + np.uint64(w))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0), batch.column(1)], names=["key", "v", "r"])
+            for a in range(0, batch.num_rows, 4096):
+                part = batch.slice(a, 4096)
+                pool = np.column_stack([part.column(2 + w).to_numpy() for w in range(WORDS)]).view(np.uint8)
+                bits = np.unpackbits(pool, axis=1, bitorder="little")
+                for t, p in zip(tables, picked, strict=True):
+                    word = np.ascontiguousarray(np.packbits(bits[:, p], axis=1)).view(">u8")[:, 0].astype(np.uint64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, t, np.int32)), pa.array((word ^ np.uint64(1 << 63)).view(np.int64)), part.column(0), part.column(1)], names=["t", "word", "v", "r"])
+
+    return vertices.select("v", "r", *_WORDS).mapInArrow(run, "t int, word long, v long, r long")
+
+
+def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, window: int, fresh: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places i > j (i from `fresh` on), and the bits that differ behind the key, of rows of one key with unlike roots that may be
+    similar. Rows are sorted by table and word, so within a key by its further bits, too; i - j is at most `window`."""
+    behind = np.uint64((1 << (BITS - key_bits)) - 1)
+    most = int(REST_SHARE * (BITS - key_bits))
+    key = (word.view(np.uint64) ^ np.uint64(1 << 63)) & ~behind
+    found, live = [], np.arange(max(fresh, 1), len(t))
+    for lag in range(1, window + 1):
+        live = live[live >= lag]
+        live = live[(key[live] == key[live - lag]) & (t[live] == t[live - lag])]
+        if not len(live):
+            break
+        apart = np.bitwise_count((word[live] ^ word[live - lag]).view(np.uint64) & behind)
+        near = (apart <= most) & (root[live] != root[live - lag])
+        found.append((live[near], live[near] - lag, apart[near].astype(np.int64)))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def met_pairs(words: DataFrame, key_bits: int, window: int, first: bool) -> DataFrame:
+    """a < b: candidates of some tables. A row goes with the nearest row of each other root that it meets; in the first round, when
+    every vertex is a root of its own, with the nearest and with the earliest. Rows are dealt by ranges of (table, word, v), so a
+    crowded key is many tasks, and a task holds a batch and the window before it."""
 
-    return vertices.select("v", "r", *_WORDS).mapInArrow(run, "key long, v long, r long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int32), *(np.zeros(0, np.int64),) * 3]
+        for batch in batches:
+            for a in range(0, batch.num_rows, 4096):
+                part = batch.slice(a, 4096)
+                before = len(held[0])
+                t, word, v, r = held = [np.r_[h, part.column(c).to_numpy()] for c, h in enumerate(held)]
+                i, j, apart = meetings(t, word, r, key_bits, window, before)
+                kept = np.lexsort((j, apart, i)) if first else np.lexsort((j, apart, r[j], i))
+                one = i[kept] if first else np.column_stack([i[kept], r[j[kept]]])
+                changed = (one[1:] != one[:-1]) if first else (one[1:] != one[:-1]).any(axis=1)
+                kept = kept[np.r_[True, changed][: len(kept)]]
+                if first:
+                    early = np.lexsort((j, i))
+                    kept = np.r_[kept, early[np.r_[True, i[early][1:] != i[early][:-1]][: len(early)]]]
+                x, y = v[i[kept]], v[j[kept]]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                held = [h[max(0, len(h) - window) :] for h in held]
+
+    return words.repartitionByRange("t", "word", "v").sortWithinPartitions("t", "word", "v").mapInArrow(run, "a long, b long")
 
 
 def _plausible(pairs: DataFrame, vertices: DataFrame, least: float) -> DataFrame:
@@ -354,24 +407,26 @@ def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: in
     return found
 
 
-def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float, size: tuple[int, int] | None = None) -> DataFrame:
     """v, root of the vertices that are not the smallest of their component.
 
-    The tables are taken in ROUNDS. In a table every vertex of a key meets two others of the key at most: the one before it in
-    an order by the table's own hash, and the first of that order. Vertices that already have the same root, and pairs met
-    before, are left out, so a group of near copies is linked by the first tables and costs the later ones no pair.
+    The tables are taken in ROUNDS. In a table every vertex meets the others of its key, by the sampled bits behind the key; what
+    may be similar is a candidate, unless both have the same root already or were met before. So texts that only share a key cost
+    comparisons of two numbers, but no chance to be found, and a group of near copies is linked by the first tables. A key with
+    more than a window's rows is met in the order of its further bits, a window at a time.
     """
     spark = docs.sparkSession
+    key_bits, tables = size or key_size(vertices.count())
     links = tried = roots = None
     before: list[str] = []
-    for n, tables in enumerate(ROUNDS):
+    done = 0
+    for share, window in ROUNDS:
         now = vertices.withColumn("r", F.col("v"))
         if roots is not None:
             now = vertices.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
-        order = Window.partitionBy("key").orderBy(F.xxhash64("key", "v"), "v")
-        first = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        met = sampled_keys(now, tables).select("v", "r", F.struct(F.lag("v").over(order).alias("v"), F.lag("r").over(order).alias("r")).alias("one"), F.struct(F.first("v").over(first).alias("v"), F.first("r").over(first).alias("r")).alias("two"))
-        pairs = met.where("r <> one.r or r <> two.r").select("v", "r", F.explode(F.array("one", "two")).alias("o")).where("r <> o.r").select(F.least("v", "o.v").alias("a"), F.greatest("v", "o.v").alias("b")).distinct()
+        upto = max(done + 1, round(share * tables))
+        pairs = met_pairs(sampled_words(now, range(done, upto)), key_bits, window, not done).distinct()
+        done = upto
         if tried is not None:
             pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")
         pairs, pairs_path = common.materialize(pairs, "simhash-met")
@@ -389,7 +444,7 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
 def first_of_similar(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row of docs for each component of texts whose sets of `shingle` words have a Jaccard similarity of at least `least`.
 
-    Candidates are found by SimHash (TABLES samples of KEY_BITS bits from WORDS independent fingerprints) and verified on the
+    Candidates are found by SimHash (tables of keys sampled from WORDS independent fingerprints, see key_size) and verified on the
     sets, so nothing less similar is linked; the README has the share of pairs that is found. A row is known by its id and
     its text: the row with the smallest id stays, a null one only where no row of the component has an id.
     """
