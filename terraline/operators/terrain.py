@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraline import scratch
+
 FEATURES = ["phi_lidar", "tri", "ruggedness", "z_min", "z_max", "z_mean", "z_std", "z_range"]
 
 
@@ -96,27 +98,48 @@ def triangulate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return tri[(tri < n).all(axis=1)]
 
 
-def grid_from_points(x: np.ndarray, y: np.ndarray, z: np.ndarray, gx: np.ndarray, gy: np.ndarray) -> np.ndarray:
-    """Linear interpolation over the triangulation at a grid; NaN outside the hull."""
-    out = np.full((len(gy), len(gx)), np.nan)
-    for a, b, c in triangulate(x, y):
-        d = (y[b] - y[c]) * (x[a] - x[c]) + (x[c] - x[b]) * (y[a] - y[c])
-        if abs(d) < 1e-12:
+def containing(x: np.ndarray, y: np.ndarray, tri: np.ndarray, gx: np.ndarray, gy: np.ndarray, pairs: int = 1 << 20) -> np.ndarray:
+    """For each node of a grid (rows gy, columns gx) the first triangle that contains it, -1 outside all. Triangles and the nodes of
+    their boxes are compared `pairs` at a time."""
+    found = np.full(len(gy) * len(gx), len(tri))
+    cx, cy = x[tri], y[tri]
+    area = (cy[:, 1] - cy[:, 2]) * (cx[:, 0] - cx[:, 2]) + (cx[:, 2] - cx[:, 1]) * (cy[:, 0] - cy[:, 2])
+    left, low = np.searchsorted(gx, cx.min(axis=1) - 1e-9), np.searchsorted(gy, cy.min(axis=1) - 1e-9)
+    wide, high = np.searchsorted(gx, cx.max(axis=1) + 1e-9, "right") - left, np.searchsorted(gy, cy.max(axis=1) + 1e-9, "right") - low
+    n = np.where(np.abs(area) < 1e-12, 0, wide * high)
+    for part in np.split(np.arange(len(tri)), np.flatnonzero(np.diff(np.cumsum(n) // pairs)) + 1):
+        t = np.repeat(part, n[part])
+        if not len(t):
             continue
-        cols = np.flatnonzero((gx >= min(x[a], x[b], x[c]) - 1e-9) & (gx <= max(x[a], x[b], x[c]) + 1e-9))
-        rows = np.flatnonzero((gy >= min(y[a], y[b], y[c]) - 1e-9) & (gy <= max(y[a], y[b], y[c]) + 1e-9))
-        if not len(cols) or not len(rows):
-            continue
-        u, v = np.meshgrid(gx[cols], gy[rows])
-        w0 = ((y[b] - y[c]) * (u - x[c]) + (x[c] - x[b]) * (v - y[c])) / d
-        w1 = ((y[c] - y[a]) * (u - x[c]) + (x[a] - x[c]) * (v - y[c])) / d
-        w2 = 1 - w0 - w1
-        inside = (w0 >= -1e-9) & (w1 >= -1e-9) & (w2 >= -1e-9)
-        at = np.ix_(rows, cols)
-        out[at] = np.where(inside & np.isnan(out[at]), w0 * z[a] + w1 * z[b] + w2 * z[c], out[at])
+        at = np.arange(len(t)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
+        row, col = low[t] + at // wide[t], left[t] + at % wide[t]
+        u, v = gx[col] - cx[t, 2], gy[row] - cy[t, 2]
+        w0 = ((cy[t, 1] - cy[t, 2]) * u + (cx[t, 2] - cx[t, 1]) * v) / area[t]
+        w1 = ((cy[t, 2] - cy[t, 0]) * u + (cx[t, 0] - cx[t, 2]) * v) / area[t]
+        inside = (w0 >= -1e-9) & (w1 >= -1e-9) & (1 - w0 - w1 >= -1e-9)
+        np.minimum.at(found, row[inside] * len(gx) + col[inside], t[inside])
+    return np.where(found < len(tri), found, -1).reshape(len(gy), len(gx))
+
+
+def heights(x: np.ndarray, y: np.ndarray, z: np.ndarray, tri: np.ndarray, at: np.ndarray, gx: np.ndarray, gy: np.ndarray) -> np.ndarray:
+    """Linear interpolation at the nodes of a grid, each within the triangle `at` it; NaN where that is -1."""
+    out = np.full(at.shape, np.nan)
+    row, col = np.nonzero(at >= 0)
+    if len(row):
+        (ax, bx, cx), (ay, by, cy) = x[tri[at[row, col]]].T, y[tri[at[row, col]]].T
+        d = (by - cy) * (ax - cx) + (cx - bx) * (ay - cy)
+        w0 = ((by - cy) * (gx[col] - cx) + (cx - bx) * (gy[row] - cy)) / d
+        w1 = ((cy - ay) * (gx[col] - cx) + (ax - cx) * (gy[row] - cy)) / d
+        out[row, col] = (np.column_stack([w0, w1, 1 - w0 - w1]) * z[tri[at[row, col]]]).sum(axis=1)
     return out
 
 
+def grid_from_points(x: np.ndarray, y: np.ndarray, z: np.ndarray, gx: np.ndarray, gy: np.ndarray) -> np.ndarray:
+    """Linear interpolation over the triangulation at a grid; NaN outside the hull."""
+    tri = triangulate(x, y)
+    return heights(x, y, z, tri, containing(x, y, tri, gx, gy), gx, gy)
+
+
 def _slopes(dem: np.ndarray) -> np.ndarray:
     """Sobel slope of every cell of a grid without gaps, outside as 0."""
     z = np.pad(dem, 1)
@@ -149,11 +172,139 @@ def patch_features(x: np.ndarray, y: np.ndarray, z: np.ndarray, size: int, least
     return {"phi_lidar": phi, "tri": float(v.std()), "ruggedness": float(steps.mean()), "z_min": float(v.min()), "z_max": float(v.max()), "z_mean": float(v.mean()), "z_std": float(v.std()), "z_range": float(np.ptp(v))}
 
 
-def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256) -> DataFrame:
+TILE, MOST_TILES = 2000, 64  # places a tile aims at, tiles a side at most
+
+
+def axis(low: float, high: float, size: int) -> np.ndarray:
+    half, mid = max(high - low, 10.0) / 2, (low + high) / 2
+    return np.linspace(mid - half, mid + half, size)
+
+
+def tile_of(places: np.ndarray, grid: np.ndarray, tiles: int) -> np.ndarray:
+    return np.clip(np.floor((places - grid[0]) / (grid[-1] - grid[0]) * tiles), 0, tiles - 1).astype(int)
+
+
+def final_triangles(x: np.ndarray, y: np.ndarray, tri: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """Which triangles no place in the boxes (x0, x1, y0, y1) can change: their circumscribed circles touch none of them."""
+    a, b, c = tri.T
+    bx, by, cx, cy = x[b] - x[a], y[b] - y[a], x[c] - x[a], y[c] - y[a]
+    d = 2 * (bx * cy - by * cx)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        u, v = (cy * (bx * bx + by * by) - by * (cx * cx + cy * cy)) / d, (bx * (cx * cx + cy * cy) - cx * (bx * bx + by * by)) / d
+    mx, my, r2 = x[a] + u, y[a] + v, (u * u + v * v) * (1 + 1e-9)
+    out = np.isfinite(r2)
+    for x0, x1, y0, y1 in boxes:
+        dx, dy = np.maximum(np.maximum(x0 - mx, mx - x1), 0), np.maximum(np.maximum(y0 - my, my - y1), 0)
+        out &= ~(dx * dx + dy * dy <= r2)
+    return out
+
+
+def beyond_hull(x: np.ndarray, y: np.ndarray, tri: np.ndarray, boxes: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Which of the places (u, v) lie outside the hull whatever is in the boxes: behind a rim edge that has all boxes before it."""
+    out = np.zeros(len(u), bool)
+    if not len(tri):
+        return out
+    sides = np.concatenate([tri[:, [0, 1, 2]], tri[:, [1, 2, 0]], tri[:, [2, 0, 1]]])
+    _, first, times = np.unique(np.sort(sides[:, :2], axis=1), axis=0, return_index=True, return_counts=True)
+    for a, b, c in sides[first[times == 1]]:
+        dx, dy = x[b] - x[a], y[b] - y[a]
+        inner = np.sign(dx * (y[c] - y[a]) - dy * (x[c] - x[a]))
+        side = lambda px, py, a=a, dx=dx, dy=dy, inner=inner: inner * (dx * (py - y[a]) - dy * (px - x[a]))
+        if inner and all((side(boxes[:, i], boxes[:, j]) >= 0).all() for i in (0, 1) for j in (2, 3)):
+            out |= side(u, v) < 0
+    return out
+
+
+def tile_grid(points: pd.DataFrame, info: pd.Series, size: int) -> pd.DataFrame:
+    """row, col, z and done of a tile's open nodes, from the places of the tile and those around it."""
+    gx, gy = axis(info["x0"], info["x1"], size), axis(info["y0"], info["y1"], size)
+    tiles = int(info["tiles"])
+    col, row = (np.flatnonzero(tile_of(g, g, tiles) == info[c]) for g, c in ((gx, "i"), (gy, "j")))
+    nodes = np.ravel_multi_index(np.meshgrid(row, col, indexing="ij"), (size, size)).ravel()
+    x, y, z = (points[c].to_numpy(float) for c in ("ox", "oy", "oz"))
+    order = np.lexsort((y, x))
+    x, y, z = x[order], y[order], z[order]
+    boxes = np.array([[b["x0"], b["x1"], b["y0"], b["y1"]] for b in info["boxes"] if max(abs(b["i"] - info["i"]), abs(b["j"] - info["j"])) > info["ring"]], float).reshape(-1, 4)
+    tri = triangulate(x, y)
+    at = containing(x, y, tri, gx[col], gy[row])
+    got = heights(x, y, z, tri, at, gx[col], gy[row]).astype(np.float32).ravel()
+    if not len(boxes):
+        done = np.ones(len(nodes), bool)
+    else:
+        sure = np.r_[final_triangles(x, y, tri, boxes), False] if len(tri) else np.zeros(1, bool)
+        done = sure[at.ravel()]
+        none = np.flatnonzero(at.ravel() < 0)
+        done[none] = beyond_hull(x, y, tri, boxes, gx[nodes[none] % size], gy[nodes[none] // size])
+    out = pd.DataFrame({"row": nodes // size, "col": nodes % size, "z": got.astype(float), "done": done})
+    return out if info["todo"] is None else out[np.isin(nodes, info["todo"])]
+
+
+def tiled_grids(places: DataFrame, id_col: str, id_type: str, size: int, tile: int = TILE) -> DataFrame:
+    """id_col, row, col, z: the elevation grids (NaN outside the hull) of large patches, each over the whole patch's triangulation.
+
+    places: id_col, ox, oy, oz, a row a place. A patch is cut into tiles of about `tile` places. A tile triangulates its places and
+    those of the tiles around it; a node is final if the circle about its triangle touches no box of places elsewhere, as then no
+    other place can change that triangle, or if an edge of the rim has it behind and all places before it. Tiles with open nodes go
+    again with twice the ring. So a task holds a tile's surroundings, and the result is that of one triangulation (where more than
+    three places lie on one circle, either diagonal may be taken).
+    """
+    box = lambda: (F.min("ox").alias("x0"), F.max("ox").alias("x1"), F.min("oy").alias("y0"), F.max("oy").alias("y1"))
+    spans = places.groupBy(id_col).agg(*box())
+
+    def fraction(c: str, low: str, high: str):
+        half = F.greatest(F.col(high) - F.col(low), F.lit(10.0)) / 2
+        return (F.col(c) - ((F.col(low) + F.col(high)) / 2 - half)) / (2 * half)
+
+    at = lambda c, low, high, n: F.greatest(F.lit(0), F.least(n - 1, F.floor(fraction(c, low, high) * n))).cast("int")
+    fine = F.lit(MOST_TILES)
+    here = places.join(spans, id_col)
+    cells = scratch.at_rest(here.groupBy(id_col, at("ox", "x0", "x1", fine).alias("i"), at("oy", "y0", "y1", fine).alias("j")).agg(F.count("*").alias("n")), "tile-cells")
+    cuts = [2**k for k in range(int(np.log2(MOST_TILES)) + 1)]
+    each = cells.select("*", F.explode(F.array(*map(F.lit, cuts))).alias("tiles")).groupBy(id_col, "tiles", F.floor(F.col("i") * F.col("tiles") / MOST_TILES), F.floor(F.col("j") * F.col("tiles") / MOST_TILES)).agg(F.sum("n").alias("n"))
+    enough = each.groupBy(id_col, "tiles").agg(F.max("n").alias("n")).groupBy(id_col).agg(F.coalesce(F.min(F.when(F.col("n") <= tile, F.col("tiles"))), fine).alias("tiles"))
+    tiled = here.join(enough, id_col)
+    tiled = scratch.at_rest(tiled.select(id_col, "ox", "oy", "oz", at("ox", "x0", "x1", F.col("tiles")).alias("i"), at("oy", "y0", "y1", F.col("tiles")).alias("j")), "tile-places")
+    boxes = tiled.groupBy(id_col, "i", "j").agg(*box()).groupBy(id_col).agg(F.collect_list(F.struct("i", "j", "x0", "x1", "y0", "y1")).alias("boxes"))  # MOST_TILES squared at most
+    patches = spans.join(enough, id_col).join(boxes, id_col)
+    numbers = F.sequence(F.lit(0), F.col("tiles") - 1)
+    open_tiles = patches.select(id_col, F.explode(numbers).alias("i"), "tiles").select(id_col, "i", F.explode(numbers).alias("j")).withColumn("todo", F.lit(None).cast("array<long>"))
+    schema = f"{id_col} {id_type}, i int, j int, row long, col long, z double, done boolean"
+    most = enough.agg(F.max("tiles")).first()[0]
+    ring, grids = 1, None
+
+    def run(points: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
+        one = info.iloc[0]
+        got = tile_grid(points, one, size)
+        return got.assign(**{id_col: one[id_col], "i": one["i"], "j": one["j"]})[[id_col, "i", "j", "row", "col", "z", "done"]]
+
+    while most is not None:
+        info = open_tiles.join(patches, id_col).withColumn("ring", F.lit(ring))
+        around = lambda c: F.explode(F.sequence(F.greatest(F.lit(0), F.col(c) - F.lit(ring)), F.least(F.col("tiles") - 1, F.col(c) + F.lit(ring)))).alias(f"s{c}")  # noqa: B023, E731
+        wanted = info.select(id_col, "i", "j", "tiles", around("i")).select(id_col, "i", "j", "si", around("j"))
+        source = tiled.select(F.col(id_col).alias("__id"), F.col("i").alias("__i"), F.col("j").alias("__j"), "ox", "oy", "oz")
+        points = wanted.join(source, (F.col(id_col) == F.col("__id")) & (F.col("si") == F.col("__i")) & (F.col("sj") == F.col("__j"))).select(F.col(id_col).alias("__p"), F.col("i").alias("__ti"), F.col("j").alias("__tj"), "ox", "oy", "oz")
+        out = scratch.at_rest(points.groupBy("__p", "__ti", "__tj").cogroup(info.groupBy(id_col, "i", "j")).applyInPandas(run, schema), "tile-grid")
+        new = out.where("done").select(id_col, "row", "col", "z")
+        grids = new if grids is None else grids.unionByName(new)
+        if ring >= most or out.where("not done").isEmpty():
+            break
+        open_tiles = scratch.at_rest(out.where("not done").groupBy(id_col, "i", "j").agg(F.collect_list(F.col("row") * size + F.col("col")).alias("todo")), "open-tiles")
+        ring *= 2
+    return places.sparkSession.createDataFrame([], f"{id_col} {id_type}, row long, col long, z double") if grids is None else grids
+
+
+def grid_features(cells: DataFrame, by: list[str], least_cells: int = 25) -> DataFrame:
+    """The features of whole grids, by the operators above; none for grids with fewer finite cells."""
+    finite = dem_stats(cells, by).where(F.col("n_cells") >= least_cells).drop("n_cells")
+    return finite.join(ruggedness(cells, by), by).join(phi_lidar(cells, by), by).select(*by, *FEATURES)
+
+
+def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256, tile: int = TILE) -> DataFrame:
     """Features of each point's patch, from all its finite points. pairs: id_col and the patch's ox, oy, oz (from radius_join).
 
     Equal positions are counted before they are gathered (of several elevations at one place the lowest stands for it in the
-    grid); a patch is one group of its different places.
+    grid). A patch of up to `tile` places is one group; a larger one is triangulated tile by tile (see tiled_grids), and its grid is
+    summed up by Spark. Which ones are larger is counted by a job.
     """
     whole = [F.col(c).cast("double").alias(c) for c in ("ox", "oy", "oz")]
     finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in ("ox", "oy", "oz")]
@@ -165,4 +316,12 @@ def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256)
         got = patch_features(pdf["ox"].to_numpy(float), pdf["oy"].to_numpy(float), pdf["oz"].to_numpy(float), size, n_points=n) or {}
         return pd.DataFrame([{id_col: pdf[id_col].iloc[0], **{f: got.get(f) for f in FEATURES}, "n_points_used": n}])
 
-    return places.groupBy(id_col).applyInPandas(one, schema)
+    scratch.send_code(pairs.sparkSession)
+    places = scratch.at_rest(places, "places")
+    large = places.groupBy(id_col).agg(F.count("*").alias("__places"), F.sum("n").alias("n_points_used")).where(F.col("__places") > tile)
+    large = scratch.at_rest(large.drop("__places"), "large-patches")
+    if large.isEmpty():
+        return places.groupBy(id_col).applyInPandas(one, schema)
+    small = places.join(large.select(id_col), id_col, "left_anti").groupBy(id_col).applyInPandas(one, schema)
+    grids = scratch.at_rest(tiled_grids(places.join(large.select(id_col), id_col, "left_semi").drop("n"), id_col, id_type, size, tile), "grids")
+    return small.unionByName(large.join(grid_features(grids, [id_col]), id_col, "left").select(id_col, *FEATURES, "n_points_used"))
