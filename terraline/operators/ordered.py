@@ -13,7 +13,7 @@ from terraline import scratch
 from terraline.functions.geo import planar
 
 
-def numbered(df: DataFrame, by: str, order: list[str], out: str = "pos") -> DataFrame:
+def numbered(df: DataFrame, by: str, order: list[str | Column], out: str = "pos") -> DataFrame:
     """df with the position, from 0, of each row within its key, at rest; a key may span any number of tasks.
 
     Rows are dealt by ranges of (key, order); a task numbers what it holds, and the counts of the tasks before, a row a key and

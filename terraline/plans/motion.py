@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from terraline.functions import stability
-from terraline.operators import filters, kinematics, learning, spatial
+from terraline.operators import filters, kinematics, learning, ordered, spatial
 from terraline.plans import routes
 from terraline.plans.telemetry import FIXES, fixes, query, r6
 from terraline.sources.tables import table
@@ -31,6 +31,13 @@ def user_conditions(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@query("mixed_sort", "SELECT o_orderpriority, o_orderstatus, o_custkey, n, row_number() OVER (ORDER BY o_orderpriority, n DESC, o_orderstatus, o_custkey) - 1 AS place FROM (SELECT o_orderpriority, o_orderstatus, o_custkey, count(*) AS n FROM orders GROUP BY 1, 2, 3)")
+def mixed_sort(spark, sf_dir):
+    """A sort in mixed directions, with each row's place, and no task that holds all rows."""
+    counts = table(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_orderstatus", "o_custkey").agg(F.count("*").alias("n")).withColumn("__all", F.lit(0))
+    return ordered.numbered(counts, "__all", ["o_orderpriority", F.desc("n"), "o_orderstatus", "o_custkey"], "place").drop("__all")
+
+
 @query("ekf_track")
 def ekf_track(spark, sf_dir):
     """The filter over each user's fixes in UTM coordinates, a minute apart; every fifth lacks a position, every seventh a speed."""

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from terraline.functions.naming import linestring, tile_of
+from terraline.operators.ordered import numbered
 
 # Road classes that are never matched.
 EXCLUDED_HIGHWAYS = ["footway", "path", "cycleway", "pedestrian", "steps", "track", "bridleway", "corridor", "via_ferrata", "proposed", "construction", "raceway", "rest_area", "elevator", "bus_guideway"]
@@ -30,8 +31,8 @@ def read_graphml(spark: SparkSession, path: str, excluded: list[str] = EXCLUDED_
     end = lambda side: nodes.select(F.col("id").alias(side), F.struct("lon", "lat").alias(f"{side}_at"))
     both = edges.join(end("_source"), "_source", "left").join(end("_target"), "_target", "left")
     coords = F.coalesce("wkt", F.filter(F.array("_source_at", "_target_at"), lambda p: p.isNotNull() & p["lon"].isNotNull() & p["lat"].isNotNull()))
-    kept = both.withColumn("coords", coords).where((F.size("coords") >= 2) & ~F.coalesce(F.col("highway").isin(excluded), F.lit(False)))
-    return kept.select((F.row_number().over(Window.orderBy("ord")) - 1).cast("long").alias("edge_id"), "coords", "name", "ref", "highway")
+    kept = both.withColumns({"coords": coords, "__all": F.lit(0)}).where((F.size("coords") >= 2) & ~F.coalesce(F.col("highway").isin(excluded), F.lit(False)))
+    return numbered(kept, "__all", ["ord"], "edge_id").select("edge_id", "coords", "name", "ref", "highway")
 
 
 def network_bounds(edges: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
@@ -44,6 +45,25 @@ def covering_networks(bounds: DataFrame, box: tuple[float, float, float, float])
     return bounds.where((F.col("min_lon") <= box[0]) & (F.col("max_lon") >= box[1]) & (F.col("min_lat") <= box[2]) & (F.col("max_lat") >= box[3]))
 
 
+def files_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern names, in order; none where there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def network_for_box(spark: SparkSession, box: tuple[float, float, float, float], local: str | None = None, cache: str | None = None, excluded: list[str] = EXCLUDED_HIGHWAYS) -> DataFrame:
+    """The edges of the first network whose bounds contain the box (min_lon, max_lon, min_lat, max_lat): the local file if there is one,
+    then net_*.graphml of the cache folder by name. Without one a LookupError is raised; nothing is downloaded."""
+    files = [*(files_like(spark, local) if local else []), *(files_like(spark, f"{cache.rstrip('/')}/net_*.graphml") if cache else [])]
+    for path in files:  # a network is read only if those before it don't do
+        edges = read_graphml(spark, path, excluded)
+        if not covering_networks(network_bounds(edges), box).isEmpty():
+            return edges
+    raise LookupError(f"none of {len(files)} networks covers {box}")
+
+
 # The stability constants of the known devices.
 DEVICES = [
     ("23", 1.15, 2.05, 1100.0, 2.03, 1.89, 2450.0, 54.0),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from terraline.sources.network import CONSTANTS
@@ -34,3 +34,13 @@ def read_registry(spark: SparkSession, path: str | list[str]) -> DataFrame:
         valid = valid & F.col(c).isNotNull()
     last = got.groupBy("device_id").agg(F.max_by(F.struct("path", *CONSTANTS, valid.alias("valid")), "path").alias("r"))
     return last.select("r.path", "device_id", *[f"r.{c}" for c in CONSTANTS], "r.valid")
+
+
+def device_config(registry: DataFrame, device: str) -> Row:
+    """The registry's row of a device, with or without its letters (`DOBACK`); a ValueError that names the known ones where it has none."""
+    name = str(device).replace("DOBACK", "").strip()
+    found = registry.where(F.col("device_id") == name).first()
+    if found is None:
+        known = [r["device_id"] for r in registry.select("device_id").distinct().orderBy("device_id").collect()]  # a fleet's devices
+        raise ValueError(f"no configuration for device {name}; there are {known}")
+    return found
