@@ -7,22 +7,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraline import scratch
+
+PART_ROWS = 250_000  # different values that one task sorts, about
+
 
 def value_parts(values: DataFrame, column: str, parts: int) -> Column:
     """The part, from 0, of a value of `column`: about equal numbers of rows a part, cut at approximate quantiles (a job; at most `parts` numbers reach the driver)."""
+    if parts < 2:
+        return F.lit(0)
     cuts = sorted(set(values.select(F.col(column).cast("double").alias("v")).approxQuantile("v", [k / parts for k in range(1, parts)], 1 / (4 * parts))))
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(column))) if cuts else F.lit(0)
 
 
-def with_percentiles(grouped: DataFrame, df: DataFrame, value: Column, quantiles: list[float], by: list[str] = [], parts: int = 64) -> DataFrame:  # noqa: B006
+def with_percentiles(grouped: DataFrame, df: DataFrame, value: Column, quantiles: list[float], by: list[str] = [], parts: int | None = None) -> DataFrame:  # noqa: B006
     """grouped (a row for each value of `by`) with p: the exact percentiles of value over df, interpolated as `percentile` does; null without values.
 
-    Values are counted first and cut into parts by size. Only the parts in which a wanted rank falls are sorted, each for itself,
-    so no task holds a group's distinct values. Nulls don't count, NaN is the largest value, a null key is a group.
+    Values are counted first, at rest, so df is read once, and cut into parts by size, one for PART_ROWS of them. Only the parts in
+    which a wanted rank falls are sorted, each for itself, so no task holds a group's distinct values. Nulls don't count, NaN is the
+    largest value, a null key is a group. Counting is a job while the plan is built.
     """
     keys = [f"__k{i}" for i in range(len(by))]
     rows = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], value.cast("double").alias("__v")).where("__v is not null")
-    n = rows.groupBy(*keys, "__v").agg(F.count("*").alias("__c"))
+    n = scratch.at_rest(rows.groupBy(*keys, "__v").agg(F.count("*").alias("__c")), "value-counts")
+    parts = parts or min(1024, 1 + n.count() // PART_ROWS)
     n = n.withColumn("__p", value_parts(n, "__v", parts))
     whole = Window.partitionBy(*keys).orderBy("__p")  # a row a part
     sums = n.groupBy(*keys, "__p").agg(F.sum("__c").alias("__s"))

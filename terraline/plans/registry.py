@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from terraline.plans import analytics, motion, streams, telemetry  # noqa: F401  (the others add to telemetry's tables)
+from terraline.plans import analytics, motion, reports, streams, telemetry  # noqa: F401  (the others add to telemetry's tables)
 
 
 def queries() -> dict:
