@@ -14,8 +14,8 @@ A character in no piece costs the least score minus 10 and counts as its UTF-8 b
 worker's trie covers the pre-tokens of a piece of documents that it doesn't know yet, and it forgets what it knows beyond a
 bound, so its memory is bounded; a prefix is then scored again. Only the counts of pre-tokens are shuffled.
 
-Defined cases. Null, empty or blank text: no tokens. Very long texts are read whole; of a very long pre-token the part beyond
-DEEP characters is computed character by character. Repeated rows count alike. Null ids make no difference. Columns named
+Defined cases. Null, empty or blank text: no tokens. Very long texts are read whole; a pre-token of more than
+DEEP characters is computed for itself, character by character, by the same rule. Repeated rows count alike. Null ids make no difference. Columns named
 like ours are replaced; an empty table gives an empty result, and equal scores.
 """
 
@@ -36,7 +36,7 @@ from terraline.llm.bpe import PairTable
 MARK = "▁"
 #: Rounds of estimation, and what is added to each piece's count.
 ROUNDS, SMOOTH = 2, 0.5
-#: Characters up to which pre-tokens are computed depth by depth.
+#: Characters up to which pre-tokens are computed in the trie, depth by depth.
 DEEP = 96
 _PIECE = 8 << 20
 #: Pre-tokens of one trie; pre-tokens, and their bytes, that a worker remembers or counts at most beyond the current piece.
@@ -71,7 +71,7 @@ class UnigramTrie:
     def __init__(self, scores: dict[str, float]) -> None:
         self.pieces = list(scores)
         self.scores = np.array([*scores.values(), 0.0])
-        self.by_name = {p: i for i, p in enumerate(self.pieces)}
+        self.by_name, self.values = {p: i for i, p in enumerate(self.pieces)}, [float(s) for s in scores.values()]
         self.unknown = min(scores.values(), default=0.0) - 10
         keys = np.array([_hash(_codes(p)) for p in self.pieces], np.uint64).view(np.int64)
         if len(np.unique(keys)) < len(keys):
@@ -147,25 +147,36 @@ class UnigramTrie:
                 levels[d - self.longest - 1] = None  # type: ignore[assignment]
         return out, (last, np.concatenate(pieces), np.concatenate(before)) if path else ()
 
-    def one(self, word: str) -> tuple[int, list[int]]:
-        """Tokens of one word, and the pieces on its best path, character by character."""
-        best: list[tuple[float, int, int, int]] = [(0.0, 0, 0, -1)]
+    def one(self, word: str, total: np.ndarray | None = None, times: int = 0) -> int:
+        """Tokens of one word, character by character; the pieces on its best path are added to total, if there is one, `times` times.
+
+        Scores are kept for as many characters as the longest piece has, and of the path one byte a character, the size of the piece
+        that ends there, so a word of many megabytes takes little more than itself."""
+        width = self.longest + 1
+        scores, counts = [0.0] * width, [0] * width
+        back = bytearray(len(word) + 1) if total is not None else None
+        find, value = self.by_name.get, self.values
         for j in range(1, len(word) + 1):
-            p = self.by_name.get(word[j - 1])
-            s, u = best[j - 1][:2]
-            now = (s + self.unknown, u + len(word[j - 1].encode()), 1, -1) if p is None else (s + float(self.scores[p]), u + 1, 1, p)
+            char = word[j - 1]
+            p = find(char)
+            s, u = scores[(j - 1) % width], counts[(j - 1) % width]
+            s, u, best = (s + self.unknown, u + len(char.encode()), 1) if p is None else (s + value[p], u + 1, 1)
             for size in range(2, min(j, self.longest) + 1):
-                p = self.by_name.get(word[j - size : j])
+                p = find(word[j - size : j])
                 if p is not None:
-                    s, u = best[j - size][0] + float(self.scores[p]), best[j - size][1] + 1
-                    if s > now[0] or s == now[0] and u < now[1]:
-                        now = (s, u, size, p)
-            best.append(now)
-        used, j = [], len(word)
-        while j:
-            used.append(best[j][3])
-            j -= best[j][2]
-        return best[-1][1], [p for p in used if p >= 0]
+                    t, v = scores[(j - size) % width] + value[p], counts[(j - size) % width] + 1
+                    if t > s or t == s and v < u:
+                        s, u, best = t, v, size
+            scores[j % width], counts[j % width] = s, u
+            if back is not None:
+                back[j] = best
+        j = len(word)
+        while back is not None and j:
+            p = find(word[j - back[j] : j])
+            if p is not None:
+                total[p] += times
+            j -= back[j]
+        return counts[len(word) % width]
 
     def count_words(self, words: list[bytes]) -> np.ndarray:
         """Tokens of each pre-token."""
@@ -176,7 +187,7 @@ class UnigramTrie:
             out[np.array(order, np.int64) + first] = self.forward([marked[k] for k in order])[0]
             for k, w in enumerate(marked):
                 if len(w) > DEEP:
-                    out[first + k] = self.one(w)[0]
+                    out[first + k] = self.one(w)
         return out
 
     def use(self, words: list[bytes], n: np.ndarray) -> np.ndarray:
@@ -194,7 +205,7 @@ class UnigramTrie:
                 at, weight = at[at > 0], weight[at > 0]
             for k, w in enumerate(marked):
                 if len(w) > DEEP:
-                    np.add.at(total, self.one(w)[1], n[first + k])
+                    self.one(w, total, n[first + k])
         return total
 
     def count(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
