@@ -6,7 +6,7 @@ at once, and only the pairs of the touched neighbours are looked up and indexed
 long as a worker remembers it; documents gather the ids of their pre-tokens. Nothing is shuffled: a block is a bounded piece of
 a task's documents, and the worker's memory of pre-tokens is bounded too.
 
-Defined cases. Null or empty text: no ids. Text is ordinary text throughout; there are no special tokens. Repeated rows are
+Defined cases. Null or empty text: no ids. Null ids make no difference. Very long texts are encoded whole. Text is ordinary text throughout; there are no special tokens. Repeated rows are
 encoded alike. Pre-tokens may be as long as the text. Columns named like ours are replaced in the result; an empty table
 gives an empty result. Decoding any list of ids gives their bytes; an id out of range raises.
 """

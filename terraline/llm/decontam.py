@@ -11,7 +11,7 @@ documents takes blocks of PASS_BYTES of text at most (and one block at least), w
 time. Where the benchmark is larger, the next pass goes over the rows again and adds to what they have. So memory doesn't
 grow with the benchmark, on the driver neither, and documents aren't shuffled. An item is never cut: a block holds one whole.
 
-Defined cases. Null, empty or wordless text: no words, no hits, not contaminated. Null or wordless item: no window. Items
+Defined cases. Null, empty or wordless text: no words, no hits, not contaminated. Very long texts are searched whole. Null or wordless item: no window. Items
 with the same text or id each count by their id; an item with a null id is skipped, or with null_ids (the query and the
 pipeline) searched like any other and only left out of items. A repeated document row is judged like the first.
 Empty tables give an empty result, or no hits. A column of docs named like one of ours is replaced by ours.

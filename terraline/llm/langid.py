@@ -5,7 +5,7 @@ the longest match that continues in the language's sample; the phrases a text ne
 into the sample costs, over the letters of the text, estimate the cross entropy. The language with the fewest
 normalised phrases wins.
 
-Defined cases. Null, empty or letterless text: `und`, score 0. No labelled row at all: every text is `und`. Ties: the
+Defined cases. Null, empty or letterless text: `und`, score 0. No labelled row at all: every text is `und`. An empty table gives an empty result. Ties: the
 language with more labelled documents, then the smaller name. Long texts are read whole and parsed as one: blocks
 of BLOCK symbols run side by side, but phrases cross them. Repeated rows, null ids and
 extra columns (also of our columns' names) make no difference: a prediction depends on the text alone.

@@ -18,7 +18,7 @@ A byte goes if a string of `length` bytes that covers it also starts anywhere el
 Text moves once to find the neighbourhoods' bytes and once to be cut; hash rows move otherwise. Only the list of the grams that
 hold more than a MOST_HOT-th of all repeated anchors, at most MOST_HOT of them, is broadcast: their rows are salted.
 
-Defined cases. Null text: no bytes. Shorter texts than `length` stay whole. Repeated rows are copies of each other, so
+Defined cases. Null text: no bytes. Very long texts are read whole. Shorter texts than `length` stay whole. Repeated rows are copies of each other, so
 `length` bytes or more go from both. Documents are told apart by two 64-bit hashes of id and text; null and repeated ids are
 fine. Columns named like ours are replaced in the result; an empty table gives an empty result.
 """

@@ -9,7 +9,7 @@ at most MOST_BITS bits (more only where the vocabulary itself needs them), and t
 Reading needs a block, the code and the parts' totals: one table of 2**MOST_BITS entries yields a token's id and length, and all
 checkpoints at hand are decoded in lock step.
 
-Defined cases. Null or empty text: the end id alone. Equal or null document ids: ordered by length and a hash of the ids, nulls
+Defined cases. Null or empty text: the end id alone. Very long texts are encoded whole, a batch of their own. Equal or null document ids: ordered by length and a hash of the ids, nulls
 first, and dealt to several parts where they are many; rows equal in all of these keep the order in which they were encoded. An
 empty table writes empty folders and gives an empty result. Extra columns are ignored.
 """
