@@ -352,10 +352,20 @@ def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, w
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def met_pairs(words: DataFrame, key_bits: int, window: int, first: bool) -> DataFrame:
-    """a < b: candidates of some tables. A row goes with the nearest row of each other root that it meets; in the first round, when
-    every vertex is a root of its own, with the nearest and with the earliest. Rows are dealt by ranges of (table, word, v), so a
-    crowded key is many tasks, and a task holds a batch and the window before it."""
+def nearest(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Of those meetings the nearest of each root within a key, so that a group of R roots in a key gives R pairs at most."""
+    key = (word.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(BITS - key_bits)
+    number = np.cumsum(np.r_[False, (key[1:] != key[:-1]) | (t[1:] != t[:-1])])
+    pair, own = np.tile(np.arange(len(i)), 2), np.r_[root[i], root[j]]
+    order = np.lexsort((j[pair], i[pair], apart[pair], own, number[i[pair]]))
+    whose = np.column_stack([number[i[pair]], own])[order]
+    first = np.r_[True, (whose[1:] != whose[:-1]).any(axis=1)][: len(order)]
+    return np.unique(pair[order[first]])
+
+
+def met_pairs(words: DataFrame, key_bits: int, window: int) -> DataFrame:
+    """a < b: candidates of some tables, the nearest of each root in each of its keys. Rows are dealt by ranges of (table, word, v), so
+    a crowded key is many tasks, and a task holds a batch and the window before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int32), *(np.zeros(0, np.int64),) * 3]
@@ -365,15 +375,9 @@ def met_pairs(words: DataFrame, key_bits: int, window: int, first: bool) -> Data
                 before = len(held[0])
                 t, word, v, r = held = [np.r_[h, part.column(c).to_numpy()] for c, h in enumerate(held)]
                 i, j, apart = meetings(t, word, r, key_bits, window, before)
-                kept = np.lexsort((j, apart, i)) if first else np.lexsort((j, apart, r[j], i))
-                one = i[kept] if first else np.column_stack([i[kept], r[j[kept]]])
-                changed = (one[1:] != one[:-1]) if first else (one[1:] != one[:-1]).any(axis=1)
-                kept = kept[np.r_[True, changed][: len(kept)]]
-                if first:
-                    early = np.lexsort((j, i))
-                    kept = np.r_[kept, early[np.r_[True, i[early][1:] != i[early][:-1]][: len(early)]]]
-                x, y = v[i[kept]], v[j[kept]]
-                if len(x):
+                if len(i):
+                    kept = nearest(t, word, r, key_bits, i, j, apart)
+                    x, y = v[i[kept]], v[j[kept]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
                 held = [h[max(0, len(h) - window) :] for h in held]
 
@@ -410,8 +414,8 @@ def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: in
 def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float, size: tuple[int, int] | None = None) -> DataFrame:
     """v, root of the vertices that are not the smallest of their component.
 
-    The tables are taken in ROUNDS. In a table every vertex meets the others of its key, by the sampled bits behind the key; what
-    may be similar is a candidate, unless both have the same root already or were met before. So texts that only share a key cost
+    The tables are taken in ROUNDS. In a table every vertex meets the others of its key, by the sampled bits behind the key; of what
+    may be similar and has another root, the nearest of each root is a candidate, unless it was met before. So texts that only share a key cost
     comparisons of two numbers, but no chance to be found, and a group of near copies is linked by the first tables. A key with
     more than a window's rows is met in the order of its further bits, a window at a time.
     """
@@ -425,7 +429,7 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
         if roots is not None:
             now = vertices.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
         upto = max(done + 1, round(share * tables))
-        pairs = met_pairs(sampled_words(now, range(done, upto)), key_bits, window, not done).distinct()
+        pairs = met_pairs(sampled_words(now, range(done, upto)), key_bits, window).distinct()
         done = upto
         if tried is not None:
             pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")

@@ -43,7 +43,10 @@ def test_recall_does_not_fall_with_the_texts_a_key(key_bits, per_key):
         picked = np.random.default_rng([5, t]).choice(simhash.BITS * simhash.WORDS, simhash.BITS, replace=False)
         word = (np.ascontiguousarray(np.packbits(bits[:, picked], axis=1)).view(">u8")[:, 0].astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
         order = np.lexsort((np.arange(len(texts)), word))
-        i, j, _ = simhash.meetings(np.zeros(len(texts), np.int32), word[order], order, key_bits, 1024, 0)
+        zero = np.zeros(len(texts), np.int32)
+        i, j, apart = simhash.meetings(zero, word[order], order, key_bits, 1024, 0)
+        kept = simhash.nearest(zero, word[order], order, key_bits, i, j, apart)
+        i, j = i[kept], j[kept]
         met |= {(min(a, b), max(a, b)) for a, b in zip(order[i].tolist(), order[j].tolist(), strict=True)}
     at = 0
     shares = []
