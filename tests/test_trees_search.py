@@ -38,7 +38,7 @@ def plain_tree(x, y, seed, t, depth, leaf, split, most):
     return out
 
 
-@pytest.mark.parametrize(("depth", "leaf", "split", "most", "cells"), [(None, 1, 2, None, 1 << 19), (4, 3, 10, "sqrt", 7), (3, 1, 2, 0.5, 1 << 19)])
+@pytest.mark.parametrize(("depth", "leaf", "split", "most", "cells"), [(None, 1, 2, None, 1 << 19), (4, 3, 10, "sqrt", 30), (3, 1, 2, 0.5, 1 << 19)])
 def test_extra_trees(spark, monkeypatch, depth, leaf, split, most, cells):
     monkeypatch.setattr(trees, "CELLS", cells)
     rng = np.random.default_rng(1)
@@ -118,25 +118,25 @@ def test_stop_rules():
 def test_search_goes_on_where_it_was(spark, tmp_path, monkeypatch):
     rng = np.random.default_rng(0)
     df = spark.createDataFrame([(int(i % 12), float(a), float(b), float(3 * a + b)) for i, (a, b) in enumerate(rng.random((240, 2)))], "g int, a double, b double, y double")
-    monkeypatch.setitem(search.SPACE, "extra_trees", {"numTrees": (1, 3), "maxDepth": (1, 5), "maxFeatures": ["sqrt", 0.5]})
+    monkeypatch.setitem(search.SPACE, "extra_trees", {"numTrees": (1, 2), "maxDepth": (1, 2), "maxFeatures": ["sqrt", 0.5]})
     fits = []
     real = learning.fit
     monkeypatch.setattr(learning, "fit", lambda *a: fits.append(1) or real(*a))
-    how = {"model": "extra_trees", "limits": learning.SearchLimits(target_r2=2.0, max_trials=4, patience=9), "sampler": search.Sampler(startup=2, candidates=4), "folds": 3}
+    how = {"model": "extra_trees", "limits": learning.SearchLimits(target_r2=2.0, max_trials=3, patience=9), "sampler": search.Sampler(startup=3, candidates=4), "folds": 3}
     whole = search.search(df, ["a", "b"], "y", "g", str(tmp_path / "one"), **how)
     search.search(df, ["a", "b"], "y", "g", str(tmp_path / "two"), trials=2, **how)  # interrupted
     parts = search.search(df, ["a", "b"], "y", "g", str(tmp_path / "two"), **how)
-    assert [t.params for t in parts] == [t.params for t in whole] and [t.state for t in parts] == [t.state for t in whole] and len(parts) == 4
+    assert [t.params for t in parts] == [t.params for t in whole] and [t.state for t in parts] == [t.state for t in whole] and len(parts) == 3
     assert np.allclose([t.cv_r2 for t in parts], [t.cv_r2 for t in whole])
     before = len(fits)
     assert search.search(df, ["a", "b"], "y", "g", str(tmp_path / "two"), **how) == parts and len(fits) == before  # nothing is left to do
     monkeypatch.setattr(search, "should_prune", lambda folds, past, startup: len(folds) == 2)
-    more = search.search(df, ["a", "b"], "y", "g", str(tmp_path / "two"), **(how | {"limits": learning.SearchLimits(target_r2=2.0, max_trials=5, patience=9)}))
+    more = search.search(df, ["a", "b"], "y", "g", str(tmp_path / "two"), **(how | {"limits": learning.SearchLimits(target_r2=2.0, max_trials=4, patience=9)}))
     assert more[-1].state == "PRUNED" and len(more[-1].fold_r2) == 2 and more[-1].holdout_r2 is None and len(fits) == before + 2
     complete, pruned = search.histories(search.read_trials(spark, str(tmp_path / "two")))
-    assert len(complete) == 4 and [t.trial for t in pruned] == [4]
+    assert len(complete) == 3 and [t.trial for t in pruned] == [3]
     board = [r["trial"] for r in search.leaderboard(spark, str(tmp_path / "two")).collect()]
-    assert board[0] == search.chosen(more).trial and len(board) == 4 and not math.isnan(search.chosen(more).gap)
+    assert board[0] == search.chosen(more).trial and len(board) == 3 and not math.isnan(search.chosen(more).gap)
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
