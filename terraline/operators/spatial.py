@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,11 +69,14 @@ def _around(rows: DataFrame, axes: list[str], size: Column) -> DataFrame:
 
 
 def pyramid(others: DataFrame, axes: list[str], size: float, top: int, leaf: int) -> DataFrame:
-    """level, __c0.. and __n: counts by cell, at every level from 0 (cells of `size`) to top (each twice as wide as the one below), and
+    """level, __c0.., __n and the box __lo0, __hi0.. of the rows: by cell, at every level from 0 (cells of `size`) to top (each twice as wide as the one below), and
     below 0 wherever a cell holds more than `leaf` rows, until none does (or the rows of one place are left): an adaptive quadtree."""
-    names = [f"__c{i}" for i in range(len(axes))]
-    base = scratch.at_rest(others.groupBy(*[cell(F.col(c), size).alias(n) for c, n in zip(axes, names, strict=True)]).agg(F.count("*").alias("__n")), "cells")
-    up = lambda df, low, high: df.select(F.explode(F.sequence(F.lit(low), F.lit(high))).alias("__level"), *names, "__n").select("__level", *[F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("__level") - low)).cast("long").alias(c) for c in names], "__n").groupBy("__level", *names).agg(F.sum("__n").alias("__n"))
+    names, ends = [f"__c{i}" for i in range(len(axes))], [f"__{e}{i}" for i in range(len(axes)) for e in ("lo", "hi")]
+    boxes = [f(c).alias(f"__{e}{i}") for i, c in enumerate(axes) for e, f in (("lo", F.min), ("hi", F.max))]
+    count = lambda df, width: scratch.at_rest(df.groupBy(*[cell(F.col(c), width).alias(n) for c, n in zip(axes, names, strict=True)]).agg(F.count("*").alias("__n"), *boxes), "cells")
+    wider = [(F.min if e.startswith("__lo") else F.max)(e).alias(e) for e in ends]
+    up = lambda df, low, high: df.select(F.explode(F.sequence(F.lit(low), F.lit(high))).alias("__level"), *names, "__n", *ends).select("__level", *[F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("__level") - low)).cast("long").alias(c) for c in names], "__n", *ends).groupBy("__level", *names).agg(F.sum("__n").alias("__n"), *wider)
+    base = count(others, size)
     found, level = up(base, 0, top), 0
     while level > -40:
         crowded = base.where(F.col("__n") > leaf)
@@ -81,45 +85,89 @@ def pyramid(others: DataFrame, axes: list[str], size: float, top: int, leaf: int
             break
         below = max(level - math.ceil(math.log2(most / leaf) / len(axes)) - 1, -40)  # where even rows would be few enough
         inside = others.withColumns(_cells(axes, F.lit(size * 2.0**level))).join(crowded.select(*names), names, "left_semi").select(*axes)
-        base = scratch.at_rest(inside.groupBy(*[cell(F.col(c), size * 2.0**below).alias(n) for c, n in zip(axes, names, strict=True)]).agg(F.count("*").alias("__n")), "cells")
+        base = count(inside, size * 2.0**below)
         found, level = found.unionByName(up(base, below, level - 1)), below
     return found
 
 
-def neighbourhoods(points: DataFrame, others: DataFrame, k: int, id_col: str, size: float, axes: list[tuple[str, str]], leaf: int = 512, crowd: int = CROWD) -> DataFrame:
-    """points and others joined so that each point meets its k nearest others, and few more. axes: (column of points, column of others), one a dimension.
+LEAF, FAN = 32, 16  # rows of a cell that isn't divided further, and cells below a cell, on average, that a round looks at
+
+
+def places(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The different values of columns, each with a number, __spot; rows with a null or a number that isn't finite are left out."""
+    real = reduce(lambda a, b: a & b, [F.abs(c) < float("inf") for c in columns])
+    return scratch.at_rest(df.where(real).select(*columns).distinct().withColumn("__spot", F.monotonically_increasing_id()), "places")
+
+
+def neighbourhoods(spots: DataFrame, others: DataFrame, k: int, size: float, axes: list[tuple[str, str]], slack: float = 0.0, leaf: int = LEAF, crowd: int = CROWD) -> DataFrame:
+    """spots (__spot and coordinates, see places) and others joined so that each spot meets its k nearest others, and few more. axes: (column
+    of spots, column of others), one a dimension; others' must be finite, and at most `leaf` of them should stand in one place.
 
-    A point's level is the lowest of the pyramid whose 3 cells a dimension around it hold k; its k nearest then lie within
-    2 sqrt(dimensions) cells, which one bucket join at that level finds. Only bounds, a count and the levels reach the driver.
+    The others' quadtree is gone down from a level of a few cells. In each round the cells a spot still looks at are replaced by those
+    below; the k-th nearest lies no further than the farthest corners of the cells that hold k rows, and cells whose box is further
+    away than that (and `slack`) go. So a spot meets the rows of a few small cells, wherever it lies and however others are spread.
+    Only bounds and a count a level reach the driver.
     """
     mine, theirs = [p for p, _ in axes], [o for _, o in axes]
     span = lambda df, cols: df.agg(F.count("*"), *[f(c) for c in cols for f in (F.min, F.max)]).first()
-    b, p = span(others, theirs), span(points, mine)
-    if not b[0] or p[1] is None:
-        return points.join(others, F.lit(False))  # nothing to meet
-    wide = max(*(max(b[2 * i + 2], p[2 * i + 2]) - min(b[2 * i + 1], p[2 * i + 1]) for i in range(len(axes))), size)
+    b = span(others, theirs)
+    if not b[0]:
+        return spots.join(others, F.lit(False))  # nothing to meet
+    wide = max(*(b[2 * i + 2] - b[2 * i + 1] for i in range(len(axes))), size)
     names = [f"__c{i}" for i in range(len(axes))]
-    counts = scratch.at_rest(pyramid(others, theirs, size, math.ceil(math.log2(wide / size)) + 1, leaf), "pyramid")
-    held = _around(counts.select("__level", *[F.col(c).alias(f"_{c}") for c in names], "__n"), [f"_{c}" for c in names], F.lit(1)).groupBy("__level", *names).agg(F.sum("__n").alias("__n")).where(F.col("__n") >= min(k, b[0])).drop("__n")
-    levels = sorted(r[0] for r in counts.select("__level").distinct().collect())  # 40 and the pyramid's at most
-    each = lambda use: F.explode(F.array(*[F.lit(v) for v in use])).alias("__level")
-    at = F.pow(F.lit(2.0), F.col("__level")) * size
-    level = points.select(id_col, *mine, each(levels)).withColumns(_cells(mine, at)).join(held, ["__level", *names]).groupBy(id_col).agg(F.min("__level").alias("__level"))
-    level = scratch.at_rest(level, "levels")
-    used = sorted(r[0] for r in level.select("__level").distinct().collect())
-    reach = at * math.ceil(2 * math.sqrt(len(axes)))
-    left = _around(points.join(level, id_col), mine, reach)
-    right = others.select("*", each(used)).withColumns(_cells(theirs, reach))
+    cells = scratch.at_rest(pyramid(others, theirs, size, math.ceil(math.log2(wide / size)) + 1, leaf), "pyramid")
+    levels = {r["__level"]: r for r in cells.groupBy("__level").agg(F.count("*").alias("cells"), F.sum("__n").alias("rows"), F.sum((F.col("__n") > leaf).cast("long")).alias("crowded")).collect()}  # 60 or so
+    whole = [v for v, r in levels.items() if r["rows"] == b[0]]
+    level = min([v for v in whole if levels[v]["cells"] <= FAN] or [max(whole)])
+
+    def near(df: DataFrame) -> DataFrame:
+        """df with the least and the greatest distance of each cell's box, but for the cells that can't hold one of the k nearest."""
+        gap = [F.greatest(F.col(f"__lo{i}") - F.col(m), F.col(m) - F.col(f"__hi{i}"), F.lit(0.0)) for i, m in enumerate(mine)]
+        rim = [F.greatest(F.abs(F.col(f"__lo{i}") - F.col(m)), F.abs(F.col(f"__hi{i}") - F.col(m))) for i, m in enumerate(mine)]
+        size_of = lambda sides: F.sqrt(sum((x * x for x in sides), F.lit(0.0)))
+        return df.withColumns({"__near": size_of(gap), "__far": size_of(rim)}).drop(*[f"__{e}{i}" for i in range(len(axes)) for e in ("lo", "hi")])
+
+    def cut(df: DataFrame) -> DataFrame:
+        by = Window.partitionBy("__spot")
+        held = F.sum("__n").over(by.orderBy("__far"))
+        df = df.withColumn("__held", held).withColumn("__most", F.min(F.when(F.col("__held") >= k, F.col("__far"))).over(by) * (1 + 1e-9) + slack)
+        return scratch.at_rest(df.where(F.col("__most").isNull() | (F.col("__near") <= F.col("__most"))).drop("__held"), "near")
+
+    at = cut(near(spots.select("__spot", *mine).crossJoin(F.broadcast(cells.where(F.col("__level") == level)))))  # FAN cells, or two a dimension
+    while levels[level]["crowded"] and level > min(levels):
+        rows, few = levels[level - 1]["rows"], FAN * levels[level]["crowded"]
+        below = level - 1
+        while below - 1 in levels and levels[below - 1]["rows"] == rows and levels[below - 1]["cells"] <= few:
+            below -= 1
+        parents = {n: F.floor(F.col(n) / 2.0 ** (level - below)).cast("long") for n in names}
+        under = cells.where(F.col("__level") == below).select(*[F.col(n).alias(f"_{n}") for n in names], *[c.alias(n) for n, c in parents.items()], *[c for c in cells.columns if c not in ("__level", *names)])
+        still = (F.col("__level") == level) & (F.col("__n") > leaf)
+        going = at.where(still).select("__spot", *mine, *names)
+        down = going.join(F.broadcast(under), names) if levels[below]["cells"] <= _BROADCAST else spread_join(going, under, names, crowd=crowd)
+        down = near(down.drop(*names).withColumnsRenamed({f"_{n}": n for n in names}).withColumn("__level", F.lit(below)))
+        at, level = cut(at.where(~still).drop("__most").unionByName(down)), below
+    cell_at = ["__level", *names]
+    wanted = scratch.at_rest(at.select(*cell_at).distinct(), "wanted")
+    per = {r["__level"]: r["count"] for r in wanted.groupBy("__level").count().collect()}
+    rows = others.select("*", F.explode(F.array(*[F.lit(v) for v in sorted(per)])).alias("__level")) if per else others.withColumn("__level", F.lit(0))
+    rows = rows.withColumns(_cells(theirs, F.pow(F.lit(2.0), F.col("__level")) * size)).join(F.broadcast(wanted) if sum(per.values()) <= _BROADCAST else wanted, cell_at, "left_semi")
+    left = at.select("__spot", *cell_at, "__most").join(spots, "__spot") if set(spots.columns) - {"__spot", *mine} else at.select(*spots.columns, *cell_at, "__most")
     apart = F.sqrt(sum((F.pow(F.col(m) - F.col(o), 2) for m, o in axes), F.lit(0.0)))
-    return spread_join(left, right, ["__level", *names], apart <= reach, crowd).drop("__level", *names)
+    pairs = spread_join(left, rows, cell_at, F.col("__most").isNull() | (apart <= F.col("__most")), crowd)
+    return pairs.drop(*cell_at, "__most")
 
 
 def knn_join(points: DataFrame, others: DataFrame, k: int, id_col: str, other_id: str, radius: float, x: str = "x", y: str = "y", ox: str = "ox", oy: str = "oy") -> DataFrame:
     """The k nearest others of every point, with dist and rank (ties by other_id). radius: the cells' usual width; crowded cells are
-    divided, sparse ones joined (see neighbourhoods), so it changes no result."""
-    order = Window.partitionBy(id_col).orderBy("dist", other_id)
-    near = neighbourhoods(points, others, k, id_col, radius, [(x, ox), (y, oy)]).withColumn("dist", planar(F.col(x), F.col(y), F.col(ox), F.col(oy)))
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    divided, sparse ones joined (see neighbourhoods), so it changes no result. Points of one place are searched once, and of the others
+    of one place only the first k take part. Rows without a position have no neighbours and are none."""
+    spots = places(points.select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)), [x, y])
+    there = others.where((F.abs(ox) < float("inf")) & (F.abs(oy) < float("inf"))).withColumn("__nth", F.row_number().over(Window.partitionBy(ox, oy).orderBy(other_id)))
+    stands = scratch.at_rest(there.where(F.col("__nth") <= k).drop("__nth"), "stands")
+    order = Window.partitionBy("__spot").orderBy("dist", other_id)
+    near = neighbourhoods(spots, stands, k, radius, [(x, ox), (y, oy)], leaf=max(LEAF, k)).withColumn("dist", planar(F.col(x), F.col(y), F.col(ox), F.col(oy)))
+    best = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("__spot").withColumnsRenamed({x: "__px", y: "__py"})
+    return points.join(best, (F.col(x) == F.col("__px")) & (F.col(y) == F.col("__py"))).drop("__px", "__py")
 
 
 def nearest_with_threshold(points: DataFrame, others: DataFrame, id_col: str, other_id: str, radius: float, threshold: float, **names: str) -> DataFrame:
@@ -192,13 +240,16 @@ def snap_trajectory(points: DataFrame, nodes: DataFrame, id_col: str, node_id: s
 
     The nearest is exact, anywhere on the globe: nodes are searched by cells in space, where the straight line orders places as the
     haversine does; ties go to the smaller node id."""
-    at = lambda df, names: df.withColumns(dict(zip(names, on_sphere(F.col(lat), F.col(lon)), strict=True)))
+    at = lambda df, a, b, names: df.withColumns(dict(zip(names, on_sphere(F.col(a), F.col(b)), strict=True)))
     mine, theirs = ["__x", "__y", "__z"], ["__ox", "__oy", "__oz"]
-    there = at(points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(id_col, lat, lon), mine).select(id_col, *mine, F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
-    roads = at(nodes.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()), theirs).select(node_id, F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), *theirs)
+    there = at(places(points.select(F.col(lat).alias("__plat"), F.col(lon).alias("__plon")), ["__plat", "__plon"]), "__plat", "__plon", mine)
+    known = nodes.where((F.abs(lat) < float("inf")) & (F.abs(lon) < float("inf"))).groupBy(F.col(lat).alias("__lat"), F.col(lon).alias("__lon")).agg(F.min(node_id).alias("__node"))
+    roads = scratch.at_rest(at(known, "__lat", "__lon", theirs), "nodes")
     dist = haversine_m(F.col("__plat"), F.col("__plon"), F.col("__lat"), F.col("__lon"))
-    near = neighbourhoods(there, roads, 1, id_col, cell_m, list(zip(mine, theirs, strict=True))).withColumn("__d", dist).groupBy(id_col).agg(F.min_by(F.struct("__lat", "__lon", "__d"), F.struct("__d", node_id)).alias("__n"))
-    out = points.join(near, id_col, "left")
+    # the haversine and the straight line round differently: what lies within a millimetre of the nearest is compared by the haversine
+    pairs = neighbourhoods(there, roads, 1, cell_m, list(zip(mine, theirs, strict=True)), slack=1e-3)
+    near = pairs.withColumn("__d", dist).groupBy("__plat", "__plon").agg(F.min_by(F.struct("__lat", "__lon", "__d"), F.struct("__d", "__node")).alias("__n"))
+    out = points.join(near, (F.col(lat) == F.col("__plat")) & (F.col(lon) == F.col("__plon")), "left").drop("__plat", "__plon")
     return out.withColumns({"lat_corrected": F.coalesce("__n.__lat", lat), "lon_corrected": F.coalesce("__n.__lon", lon), "matched_on_road": F.coalesce(F.col("__n.__d") <= search_m, F.lit(False)), "distance_correction_m": F.col("__n.__d")}).drop("__n")
 
 
