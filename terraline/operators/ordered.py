@@ -73,6 +73,21 @@ def _away_from(centre: Column):
     return lambda x: F.abs(x - centre)
 
 
+def _quartile(v: Column, p: float) -> Column:
+    """The interpolated quantile (p: a number of quarters) of a sorted array, rounded as DuckDB does: low * (1 - d) is added to hi * d unrounded.
+
+    Only three quarters of a number need more than its own digits: half and a quarter of it, and what their sum loses, are added apart."""
+    at = (F.size(v) - 1) * F.lit(p)
+    d = at - F.floor(at)
+    low, high = F.get(v, F.floor(at).cast("int")), F.get(v, F.ceil(at).cast("int"))
+    m, half, fourth = high * d, low * 0.5, low * 0.25
+    most = half + fourth
+    total = most + m
+    back = total - most
+    lost = (most - (total - back)) + (m - back) + (fourth - (most - half))
+    return F.when(d == 0, low).when((d == 0.25) & (F.abs(total) < float("inf")), total + lost).otherwise(low * (1 - d) + m)
+
+
 def rolling_outliers(df: DataFrame, by: list[str], order: list[str], axes: list[str], window: int = 41, min_rows: int = 15, iqr_k: float = 3.0, mad_k: float = 6.0, min_iqr: float = 1e-6, min_axes: int = 2) -> DataFrame:
     """df with flagged_axes (joined by |), flagged_axes_count and outlier.
 
@@ -80,8 +95,8 @@ def rolling_outliers(df: DataFrame, by: list[str], order: list[str], axes: list[
     further from the median than mad_k robust standard deviations.
     """
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(*centred_frame(window))
-    for a in axes:
-        df = df.withColumn(f"__q_{a}", F.percentile(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(w)).withColumn(f"__v_{a}", F.collect_list(a).over(w))
+    df = df.withColumns({f"__v_{a}": F.array_sort(F.collect_list(F.col(a).cast("double")).over(w)) for a in axes})
+    df = df.withColumns({f"__q_{a}": F.array(*[_quartile(F.col(f"__v_{a}"), p) for p in (0.25, 0.5, 0.75)]) for a in axes})
     flags = []
     for a in axes:
         q, v = F.col(f"__q_{a}"), F.col(f"__v_{a}")
