@@ -17,18 +17,26 @@ STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def in_time(df: DataFrame, time: str, parts: int = 4) -> DataFrame:
-    """A stream of df's rows, a file of one stretch of time after the other; the last row, of no key that df has, is a year ahead, so that all others pass the watermark."""
+FILE_ROWS = 100_000  # rows a file, so that a stretch is written and read by many tasks
+
+
+def in_time(df: DataFrame, time: str, parts: int = 4, file_rows: int = FILE_ROWS) -> DataFrame:
+    """A stream of df's rows, the files of one stretch of time after the other; the last row, of no key that df has, is a year ahead, so that all others pass the watermark.
+
+    A trigger takes as many files as a stretch has: each has the same number, if need be empty ones, so that no trigger runs ahead."""
     spark = df.sparkSession
     folder = f"{scratch.folder(spark)}/terraline/stream-{uuid.uuid4().hex}"
-    bounds = df.agg(F.min(F.unix_micros(time)).alias("a"), F.max(F.unix_micros(time)).alias("b"), F.max("user_id").alias("k")).first()
-    low, high, key = (0, 0, 0) if bounds["a"] is None else bounds
+    bounds = df.agg(F.min(F.unix_micros(time)).alias("a"), F.max(F.unix_micros(time)).alias("b"), F.max("user_id").alias("k"), F.count("*").alias("n")).first()
+    low, high, key, n = (0, 0, 0, 0) if bounds["a"] is None else bounds
+    files = max(1, -(-n // (parts * file_rows)))
     place = F.floor((F.unix_micros(time) - low) * parts / (high - low + 1))
-    for k in range(parts):
-        df.where(place == k).coalesce(1).write.mode("append").parquet(folder)
     ahead = spark.range(1).select(*[F.lit(0).cast(f.dataType).alias(f.name) if f.name not in (time, "user_id") else F.timestamp_micros(F.lit(high + 366 * 86_400_000_000)).alias(time) if f.name == time else F.lit(key + 1).cast(f.dataType).alias("user_id") for f in df.schema])
-    ahead.write.mode("append").parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    for k, rows in enumerate([*(df.where(place == k) for k in range(parts)), ahead]):
+        at = f"{folder}/{k}"
+        (rows.repartition(files) if files > 1 and k < parts else rows.coalesce(1)).write.parquet(at)
+        for _ in range(files - len(spark.read.schema(df.schema).parquet(at).inputFiles())):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(at)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true").parquet(folder)
 
 
 def run(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:

@@ -12,10 +12,11 @@ import json
 import math
 from collections.abc import Iterator
 from itertools import groupby
+from operator import itemgetter
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -32,7 +33,6 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.held)
         self.memory = handle.getValueState("memory", "text string")
 
     def close(self) -> None:
@@ -44,9 +44,11 @@ class InOrder(StatefulProcessor):
     def finish(self, memory: dict[str, Any]) -> list[tuple]:
         raise NotImplementedError
 
-    def advance(self, key: tuple, rows: list[tuple], watermark_us: int) -> Iterator[pd.DataFrame]:
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else {}
-        rows = sorted([*(tuple(r) for r in self.waiting.get()), *(r for r in rows if r[0] >= watermark_us and [r[0], r[1]] > memory.get("at", []))])
+    def advance(self, key: tuple, rows: list[tuple], watermark_us: int) -> Iterator[Row]:
+        # one value holds all: the rows that wait, the memory of those gone by and the timer; each access of a state is a message to the JVM
+        state = self.memory.get()
+        waiting, memory, timer = json.loads(state[0]) if state else ([], {}, None)
+        rows = sorted([*(tuple(r) for r in waiting), *(r for r in rows if r[0] >= watermark_us and [r[0], r[1]] > memory.get("at", []))])
         ready = [r for r in rows if r[0] <= watermark_us]
         rest, out = rows[len(ready) :], []
         for at, same in groupby(ready, key=lambda r: [r[0], r[1]]):
@@ -61,28 +63,24 @@ class InOrder(StatefulProcessor):
             memory = {}
         if memory:
             due = min(due or memory["at"][0] + self.expire_us, memory["at"][0] + self.expire_us)
-            self.memory.update((json.dumps(memory),))
-        else:
-            self.memory.clear()
-        if rest:
-            self.waiting.put(rest)
-        else:
-            self.waiting.clear()
-        for timer in [t for t in self.handle.listTimers()]:
+        now = None if due is None else due // 1000 + 1
+        if timer is not None and timer != now:
             self.handle.deleteTimer(timer)
-        if due is not None:
-            self.handle.registerTimer(due // 1000 + 1)
-        if out:
-            columns = list(zip(*((*key, *r) for r in out), strict=True))
-            kinds = {T.LongType(): "Int64", T.DoubleType(): "Float64"}
-            yield pd.DataFrame({f.name: pd.array(c, kinds[f.dataType]) if f.dataType in kinds else list(c) for f, c in zip(self.out, columns, strict=True)})
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        names = self.held.names
-        new = [r for pdf in rows for r in zip(*(pdf[c].tolist() for c in names), strict=True)]
+        if now is not None and timer != now:
+            self.handle.registerTimer(now)
+        if memory or rest:
+            self.memory.update((json.dumps([rest, memory, now]),))
+        elif state:
+            self.memory.clear()
+        row = Row(*self.out.names)
+        yield from (row(*key, *r) for r in out)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        pick = itemgetter(*self.held.names)
+        new = [pick(r) for r in rows]
         yield from self.advance(key, new, timerValues.getCurrentWatermarkInMs() * 1000)
 
-    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         yield from self.advance(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
 
 
@@ -156,7 +154,7 @@ def match_stream(stream: DataFrame, edges: DataFrame, track: str = "track", orde
     held = T.StructType([T.StructField(f.name, f.dataType) for f in flat.schema if f.name not in (track, time)])
     double = ["x", "y", "x_raw", "y_raw"]
     out = T.StructType([stream.schema[track], T.StructField(order, T.LongType()), *(T.StructField(c, T.DoubleType()) for c in double), T.StructField("edge_id", T.LongType()), T.StructField("dist_to_road_m", T.DoubleType())])
-    return flat.groupBy(track).transformWithStateInPandas(EdgeChoice(held, out, micros(expire), cfg), out, "append", "EventTime")
+    return flat.groupBy(track).transformWithState(EdgeChoice(held, out, micros(expire), cfg), out, "append", "EventTime")
 
 
 class GapSegments(InOrder):
@@ -202,7 +200,7 @@ def segment_stream(stream: DataFrame, key: str, order: str, time: str, x: str, y
     rows = whole.withWatermark(time, delay).select(key, time, F.unix_micros(F.col(time).cast("timestamp")).alias("us"), F.col(order).cast("long").alias("ord"), *[F.col(c).cast("double").alias(n) for c, n in ((x, "at_x"), (y, "at_y"))])
     held = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema if f.name not in (key, time)])
     out = T.StructType([stream.schema[key], T.StructField(order, T.LongType()), T.StructField(x, T.DoubleType()), T.StructField(y, T.DoubleType()), T.StructField("segment_id", T.LongType())])
-    return rows.groupBy(key).transformWithStateInPandas(GapSegments(held, out, micros(expire), max_gap, min_rows), out, "append", "EventTime")
+    return rows.groupBy(key).transformWithState(GapSegments(held, out, micros(expire), max_gap, min_rows), out, "append", "EventTime")
 
 
 def micros(interval: str) -> int:
