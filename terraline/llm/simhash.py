@@ -19,7 +19,8 @@ doc_id, null if it has none. Empty table: empty result. Columns named like ours
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -33,13 +34,17 @@ from terraline.llm import common
 from terraline.llm.components import components
 
 BITS = 64
-#: For first_of_similar: fingerprints a text, the fewest bits a key and the tables that go with them, texts a key that more bits
-#: aim at, and the most bits in which the pools of a candidate differ (39 of 256 are expected at a similarity of 0.8, 128 of unrelated texts).
-WORDS, KEY_BITS, TABLES, PER_KEY, POOL_BITS = 4, 20, 96, 512, 72
-#: Of a table's 64 sampled bits the first are the key; of every 4 others at most 1 may differ (6 of 40 are expected at 0.8, 20 of unrelated texts).
-REST_SHARE, AGREE = 0.25, 0.848
-#: Up to which share of the tables each round goes, and how many rows of its key a row meets: few at first, so that near copies are linked and needn't meet again.
-ROUNDS = [(0.05, 8), (0.19, 1024), (1.0, 1024)]
+#: For first_of_similar: fingerprints a text (its pool), texts a key to aim at, the fewest bits of a key, the most bits in which the pools of a
+#: candidate differ (39 of 256 are expected at a similarity of 0.8, 128 of unrelated texts), and the bits within which the pigeonhole
+#: brings every two pools together.
+WORDS, PER_KEY, LEAST_BITS, POOL_BITS, NEAR_BITS = 4, 512, 15, 72, 31
+#: Keys of bits drawn at random, to which tests/llm/test_near_copies.py holds meetings() and nearest(): bits a key, tables, chance that a bit agrees at 0.8.
+KEY_BITS, TABLES, AGREE = 20, 96, 0.848
+#: Of the bits behind a key, drawn from the other partitions, of every 4 at most 1 may differ (6 of 40 are expected at 0.8, 20 of unrelated texts).
+REST_SHARE = 0.25
+#: Up to which share of the keys the first rounds go, and how many rows of its key a row meets: few at first, so that near copies are
+#: linked and needn't meet again. The others follow, ROUND keys at a time.
+ROUNDS, ROUND, WINDOW = [(0.05, 8), (0.19, 1024)], 80, 1024
 _WORDS = [f"w{w}" for w in range(WORDS)]
 _BATCH = 4 << 20
 _BLOCK = 4 << 20
@@ -135,23 +140,24 @@ def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return frame.mapInArrow(run, T.StructType([T.StructField("doc_id", frame.schema["doc_id"].dataType), T.StructField("fp", T.LongType())]))
 
 
-def co_occurrence(prints: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of fingerprints and, for each pair of bits, in how many both are set; over all rows, summed by Spark."""
+def co_occurrence(prints: DataFrame, columns: tuple[str, ...] = ("fp",)) -> tuple[int, np.ndarray]:
+    """Number of fingerprints (of one or more columns) and, for each pair of bits, in how many both are set; over all rows, summed by Spark."""
+    size = BITS * len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros((BITS, BITS)), 0
+        total, n, step = np.zeros((size, size)), 0, _ROWS // len(columns)
         for batch in batches:
-            values = batch.column(0).to_numpy().view(np.uint64)
-            for at in range(0, len(values), _ROWS):
-                x = np.unpackbits(values[at : at + _ROWS].copy().view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
+            values = np.column_stack([c.to_numpy() for c in batch.columns])
+            for at in range(0, len(values), step):
+                x = np.unpackbits(values[at : at + step].copy().view(np.uint8), axis=1, bitorder="little").astype(np.float32)
                 total += x.T @ x
                 n += len(x)
         if n:
-            i, j = np.triu_indices(BITS)
+            i, j = np.triu_indices(size)
             yield pa.RecordBatch.from_arrays([pa.array(np.r_[i, -1]), pa.array(np.r_[j, -1]), pa.array(np.r_[total[i, j], n].astype(np.int64))], names=["i", "j", "n"])
 
-    got = prints.select("fp").mapInArrow(run, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
-    out, n = np.zeros((BITS, BITS)), 0
+    got = prints.select(*columns).mapInArrow(run, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
+    out, n = np.zeros((size, size)), 0
     for r in got:
         if r["i"] < 0:
             n = r["n"]
@@ -166,15 +172,14 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     sd = np.sqrt(np.maximum(p * (1 - p), 1e-12))
     corr = np.abs(both / max(n, 1) - np.outer(p, p)) / np.outer(sd, sd)
     np.fill_diagonal(corr, 0)
-    free, out = list(range(BITS)), []
+    free, out = np.ones(len(both), bool), []
     for k in range(parts):
-        width = BITS // parts + (k < BITS % parts)
-        mine = [max(free, key=lambda b: (corr[b, free].sum(), -b))]
-        free.remove(mine[0])
-        while len(mine) < width:
-            best = max(free, key=lambda b: (corr[b, mine].sum(), -b))
+        mine, tied = [], corr[:, free].sum(axis=1)
+        for _ in range(len(both) // parts + (k < len(both) % parts)):
+            best = int(np.where(free, tied, -np.inf).argmax())
+            tied = tied + corr[:, best] if mine else corr[:, best]
             mine.append(best)
-            free.remove(best)
+            free[best] = False
         out.append(sorted(mine))
     return out
 
@@ -189,28 +194,43 @@ def _within(agree: np.ndarray, most: int) -> np.ndarray:
     return np.cumsum(d)
 
 
-def allocate(n: int, both: np.ndarray, max_bits: int) -> list[tuple[list[int], int]]:
-    """Partitions and thresholds of least estimated cost: candidates plus index and probe rows (a shuffled row counts as 20 comparisons)."""
+def _probed(n: int, agree: np.ndarray, max_bits: int) -> list[float]:
+    """Cost of a partition by threshold: candidates, index and probe rows (values with up to t bits flipped)."""
+    near = _within(agree, max_bits)
+    rows = np.cumsum([float(len(list(combinations(range(len(agree)), t)))) if t < 3 else len(agree) ** 3 / 6 for t in range(max_bits + 1)])
+    return list(n * n / 2 * near + 20 * n * (rows + 1))
+
+
+def _masked(n: int, agree: np.ndarray, max_bits: int) -> list[float]:
+    """Cost of a partition by threshold, if rows meet in its values without any t bits: meetings (dear beyond PER_KEY rows a key) and
+    rows, as dear as 100 meetings. A key has LEAST_BITS at least, so that the plan, and with it the rows a text, is one for all tables
+    up to some millions of texts."""
+    found = []
+    for t in range(min(3, len(agree))):
+        keys, same = math.comb(len(agree), t), float(np.exp(np.log(agree).mean() * (len(agree) - t)))
+        met = n * n / 2 * keys * same * (1 if n * same <= PER_KEY else 100)
+        found.append(met + 100 * n * keys if len(agree) - t >= LEAST_BITS else np.inf)
+    return found
+
+
+def allocate(n: int, both: np.ndarray, max_bits: int, costs: Callable[[int, np.ndarray, int], list[float]] = _probed) -> list[tuple[list[int], int]]:
+    """Partitions and thresholds of least estimated cost (a shuffled row counts as 20 comparisons)."""
     p = np.diag(both) / max(n, 1)
     agree = p * p + (1 - p) * (1 - p)
     best: tuple[float, list] = (np.inf, [])
     for parts in range(1, max_bits + 3):
         groups = group_bits(n, both, parts)
-        cost = []
-        for g in groups:
-            near = _within(agree[g], max_bits)
-            rows = np.cumsum([float(len(list(combinations(range(len(g)), t)))) if t < 3 else len(g) ** 3 / 6 for t in range(max_bits + 1)])
-            cost.append([0.0, *(n * n / 2 * near + 20 * n * (rows + 1))])
+        cost = [[0.0, *costs(n, agree[g], max_bits)] for g in groups]
         table: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
         for c in cost:
             after: dict[int, tuple[float, list[int]]] = {}
             for spent, (total, chosen) in table.items():
-                for t in range(-1, max_bits + 1):
+                for t in range(-1, len(c) - 1):
                     now = spent + t + 1
                     if now <= max_bits + 1 and (now not in after or total + c[t + 1] < after[now][0]):
                         after[now] = (total + c[t + 1], [*chosen, t])
             table = after
-        total, chosen = table[max_bits + 1]
+        total, chosen = table.get(max_bits + 1, (np.inf, []))
         if total < best[0]:
             best = (total, list(zip(groups, chosen, strict=True)))
     return best[1]
@@ -310,23 +330,38 @@ def pool_table(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def key_size(n: int) -> tuple[int, int]:
-    """Bits of a key for n texts, about PER_KEY texts a key, and the tables that find a pair of similarity 0.8 as often as TABLES keys of KEY_BITS do."""
+    """For keys drawn at random: bits of a key for n texts, about PER_KEY texts a key, and the tables that find a pair of similarity 0.8 as often as TABLES keys of KEY_BITS do."""
     bits = max(KEY_BITS, int(np.ceil(np.log2(max(n, 1) / PER_KEY))))
     return bits, int(np.ceil(TABLES * AGREE ** (KEY_BITS - bits)))
 
 
-def sampled_words(vertices: DataFrame, tables: range) -> DataFrame:
-    """t, word, v, r: for each vertex and table 64 sampled bits of its pool, the key's bits the highest, and the vertex's root."""
-    picked = [np.random.default_rng([5, t]).choice(BITS * WORDS, BITS, replace=False) for t in tables]
+def partition_keys(plan: list[tuple[list[int], int]]) -> list[tuple[int, list[int]]]:
+    """Number and bits of a plan's keys: a partition of threshold t has one for any t of its bits left out, so that two pools that
+    differ in at most t bits of the partition are equal in one of them. Keys of different partitions take turns."""
+    turns = []
+    for g, (bits, t) in enumerate(plan):
+        own = [[b for b in bits if b not in out] for out in combinations(bits, t)] if t >= 0 else []
+        turns += [(i / len(own), g, key) for i, key in enumerate(own)]
+    return list(enumerate(key for _, _, key in sorted(turns)))
+
+
+def key_words(vertices: DataFrame, keys: list[tuple[int, list[int]]], key_bits: int) -> DataFrame:
+    """t, word, v, r: for each vertex and key a word that begins with the key's bits (filled up with zeros to key_bits) and goes on with
+    bits drawn from the rest of the pool, and the vertex's root."""
+    size, picked = BITS * WORDS, []
+    for t, bits in keys:
+        rest = np.setdiff1d(np.arange(size), bits)
+        picked.append(np.r_[bits, np.full(key_bits - len(bits), size, np.int64), np.random.default_rng([5, t]).choice(rest, BITS - key_bits, replace=False)].astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 4096):
                 part = batch.slice(a, 4096)
                 pool = np.column_stack([part.column(2 + w).to_numpy() for w in range(WORDS)]).view(np.uint8)
-                bits = np.unpackbits(pool, axis=1, bitorder="little")
-                for t, p in zip(tables, picked, strict=True):
-                    word = np.ascontiguousarray(np.packbits(bits[:, p], axis=1)).view(">u8")[:, 0].astype(np.uint64)
+                bits = np.zeros((size + 1, part.num_rows), np.uint8)  # the last one is the filling
+                bits[:size] = np.unpackbits(pool, axis=1, bitorder="little").T
+                for (t, _), p in zip(keys, picked, strict=True):
+                    word = np.ascontiguousarray(np.packbits(bits[p], axis=0).T).view(">u8")[:, 0].astype(np.uint64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, t, np.int32)), pa.array((word ^ np.uint64(1 << 63)).view(np.int64)), part.column(0), part.column(1)], names=["t", "word", "v", "r"])
 
     return vertices.select("v", "r", *_WORDS).mapInArrow(run, "t int, word long, v long, r long")
@@ -411,25 +446,31 @@ def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: in
     return found
 
 
-def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float, size: tuple[int, int] | None = None) -> DataFrame:
+def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
     """v, root of the vertices that are not the smallest of their component.
 
-    The tables are taken in ROUNDS. In a table every vertex meets the others of its key, by the sampled bits behind the key; of what
-    may be similar and has another root, the nearest of each root is a candidate, unless it was met before. So texts that only share a key cost
-    comparisons of two numbers, but no chance to be found, and a group of near copies is linked by the first tables. A key with
-    more than a window's rows is met in the order of its further bits, a window at a time.
+    The pool of WORDS fingerprints is searched by the generalised pigeonhole: bits are grouped by their co-occurrence over all
+    vertices, and thresholds that add up to NEAR_BITS are dealt by dynamic programming, so two pools within NEAR_BITS share a key, and
+    most of those beyond do. The keys are taken in rounds. In a key every vertex meets the others, by bits of the other partitions; of
+    what may be similar and has another root, the nearest of each root is a candidate, unless it was met before, and the sets verify
+    it. So a group of near copies is linked by the first keys. A key with more than a window's rows is met in the order of its
+    further bits, a window at a time.
     """
     spark = docs.sparkSession
-    key_bits, tables = size or key_size(vertices.count())
-    links = tried = roots = None
+    n, both = co_occurrence(vertices.coalesce(4 * spark.sparkContext.defaultParallelism), tuple(_WORDS))
+    keys = partition_keys(allocate(n, both, NEAR_BITS, _masked)) if n else []
+    key_bits = max((len(bits) for _, bits in keys), default=0)
+    links = tried = None
+    roots = vertices.select("v", F.col("v").alias("root")).limit(0)
     before: list[str] = []
+    ends = [(max(i + 1, round(share * len(keys))), window) for i, (share, window) in enumerate(ROUNDS)]
+    ends += [(min(len(keys), e + ROUND), WINDOW) for e in range(ends[-1][0], len(keys), ROUND)]
     done = 0
-    for share, window in ROUNDS:
+    for upto, window in ends if n else []:
         now = vertices.withColumn("r", F.col("v"))
-        if roots is not None:
+        if links is not None:
             now = vertices.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
-        upto = max(done + 1, round(share * tables))
-        pairs = met_pairs(sampled_words(now, range(done, upto)), key_bits, window).distinct()
+        pairs = met_pairs(key_words(now, keys[done:upto], key_bits), key_bits, window).distinct()
         done = upto
         if tried is not None:
             pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")
@@ -448,8 +489,8 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
 def first_of_similar(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row of docs for each component of texts whose sets of `shingle` words have a Jaccard similarity of at least `least`.
 
-    Candidates are found by SimHash (tables of keys sampled from WORDS independent fingerprints, see key_size) and verified on the
-    sets, so nothing less similar is linked; the README has the share of pairs that is found. A row is known by its id and
+    Candidates are found by SimHash and the generalised pigeonhole over WORDS independent fingerprints (see similar_roots) and verified
+    on the sets, so nothing less similar is linked; the README has the share of pairs that is found. A row is known by its id and
     its text: the row with the smallest id stays, a null one only where no row of the component has an id.
     """
     rows, path = common.materialize(pool_table(docs, shingle), "simhash-pool")
