@@ -2,7 +2,8 @@
 
 Every tree sees all rows. An open node draws an order of the features and, for the first `max_features` of them that vary in the
 node, one threshold each, uniform between the least and the greatest value there; the split that leaves the least squared error is
-taken. A level is two passes over the rows, which stay where they lie: one gathers each open node's count, sums and ranges, one the
+taken. Rows of equal features can't be told apart, so they are added up first (count, sum and sum of squares of the label). A level
+is two passes over these sums, which stay where they lie: one gathers each open node's count, sums and ranges, one the
 count and sum left of each drawn threshold. Tasks send their partial sums, Spark adds them up, and the driver sees what the model
 consists of: a row for each open node and feature, at most CELLS at a time. Draws depend on seed, tree and node only.
 """
@@ -82,7 +83,7 @@ def matrix(batch: pa.RecordBatch) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def node_sums(x: np.ndarray, y: np.ndarray, node: np.ndarray, slots: int) -> tuple[np.ndarray, ...]:
+def node_sums(x: np.ndarray, n: np.ndarray, s: np.ndarray, ss: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
     """By slot (a row's node, -1: none): which occur, count, sum, sum of squares, least and greatest of each feature."""
     order = np.argsort(node, kind="stable")
     order = order[np.searchsorted(node[order], 0) :]
@@ -90,17 +91,17 @@ def node_sums(x: np.ndarray, y: np.ndarray, node: np.ndarray, slots: int) -> tup
     if not len(slot):
         return slot, *(np.zeros(0),) * 3, *(np.zeros((0, x.shape[1])),) * 2
     over = lambda f, v: f.reduceat(v[order], starts, axis=0)
-    return slot, np.diff(np.r_[starts, len(order)]), over(np.add, y), over(np.add, y * y), over(np.minimum, x), over(np.maximum, x)
+    return slot, over(np.add, n), over(np.add, s), over(np.add, ss), over(np.minimum, x), over(np.maximum, x)
 
 
 def gathered(rows: DataFrame, each, names: str, by: list[str], aggregates: list[Column]) -> list:
-    """each(x, y) -> columns, over all batches; the sums over all tasks."""
+    """each(x, n, s, ss) -> columns, over all batches; the sums over all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(a, _BATCH)
-                columns = each(matrix(part), part.column("y").to_numpy(zero_copy_only=False))
+                columns = each(matrix(part), *(part.column(c).to_numpy(zero_copy_only=False) for c in ("n", "s", "ss")))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[n.split()[0] for n in names.split(", ")])
 
     return rows.mapInArrow(run, names).groupBy(*by).agg(*aggregates).collect()
@@ -116,7 +117,7 @@ class ExtraTrees:
 
     def fit(self, df: DataFrame) -> ExtraTreesModel:
         rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y")).where("y is not null and not isnan(y) and not exists(x, v -> isnan(v))")
-        rows = scratch.at_rest(rows, "extra-trees")
+        rows = scratch.at_rest(rows.groupBy("x").agg(F.count("*").alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("ss")), "extra-trees")
         scratch.send_code(df.sparkSession)
         one = rows.select(F.size("x").alias("n")).first()
         trees = [Tree.root() for _ in range(self.trees)]
@@ -147,8 +148,8 @@ class ExtraTrees:
                 at[[sent.value[1][i] for i in own]] = own
                 yield at[tree.leaves(x)]
 
-        def ranges(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-            found = [node_sums(x, y, slot, len(sent.value[1])) for slot in slots(x)]
+        def ranges(x: np.ndarray, rows: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> list[np.ndarray]:
+            found = [node_sums(x, rows, sums, squares, slot) for slot in slots(x)]
             slot, n, s, ss, low, high = (np.concatenate(c) for c in zip(*found, strict=True))
             wide = lambda c: np.repeat(c, x.shape[1])
             return [wide(slot.astype(np.int64)), np.tile(np.arange(x.shape[1]), len(slot)), wide(n.astype(np.int64)), wide(s.astype(float)), wide(ss.astype(float)), low.ravel(), high.ravel()]
@@ -177,7 +178,7 @@ class ExtraTrees:
             feature[i, : len(c)], threshold[i, : len(c)] = zip(*c, strict=True)
         drawn = spark.sparkContext.broadcast((feature, threshold))
 
-        def lefts(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+        def lefts(x: np.ndarray, rows: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> list[np.ndarray]:
             feature, threshold = drawn.value
             n, s = np.zeros(feature.shape, np.int64), np.zeros(feature.shape)
             for slot in slots(x):
@@ -185,8 +186,8 @@ class ExtraTrees:
                 at = slot[row]
                 for j in range(feature.shape[1]):
                     left = (feature[at, j] >= 0) & (x[row, feature[at, j]] <= threshold[at, j])
-                    n[:, j] += np.bincount(at[left], minlength=len(n))
-                    s[:, j] += np.bincount(at[left], y[row[left]], len(n))
+                    n[:, j] += np.bincount(at[left], rows[row[left]], len(n)).astype(np.int64)  # whole numbers, exact below 2**53
+                    s[:, j] += np.bincount(at[left], sums[row[left]], len(n))
             at = np.nonzero(n)
             return [*(c.astype(np.int64) for c in at), n[at], s[at]]
 
