@@ -346,8 +346,8 @@ def partition_keys(plan: list[tuple[list[int], int]]) -> list[tuple[int, list[in
 
 
 def key_words(vertices: DataFrame, keys: list[tuple[int, list[int]]], key_bits: int) -> DataFrame:
-    """t, word, v, r: for each vertex and key a word that begins with the key's bits (filled up with zeros to key_bits) and goes on with
-    bits drawn from the rest of the pool, and the vertex's root."""
+    """t, word, v, r, w0, w1, ... (and n, where the vertices have it): for each vertex and key a word that begins with the key's bits
+    (filled up with zeros to key_bits) and goes on with bits drawn from the rest of the pool, and the vertex's root and pool."""
     size, picked = BITS * WORDS, []
     for t, bits in keys:
         rest = np.setdiff1d(np.arange(size), bits)
@@ -362,14 +362,16 @@ def key_words(vertices: DataFrame, keys: list[tuple[int, list[int]]], key_bits:
                 bits[:size] = np.unpackbits(pool, axis=1, bitorder="little").T
                 for (t, _), p in zip(keys, picked, strict=True):
                     word = np.ascontiguousarray(np.packbits(bits[p], axis=0).T).view(">u8")[:, 0].astype(np.uint64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, t, np.int32)), pa.array((word ^ np.uint64(1 << 63)).view(np.int64)), part.column(0), part.column(1)], names=["t", "word", "v", "r"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, t, np.int32)), pa.array((word ^ np.uint64(1 << 63)).view(np.int64)), *part.columns], names=["t", "word", *columns])
 
-    return vertices.select("v", "r", *_WORDS).mapInArrow(run, "t int, word long, v long, r long")
+    columns = ["v", "r", *_WORDS, *(["n"] if "n" in vertices.columns else [])]
+    return vertices.select(*columns).mapInArrow(run, "t int, word long, " + ", ".join(f"{c} long" for c in columns))
 
 
-def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, window: int, fresh: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, window: int, fresh: int, pools: np.ndarray | None = None, sizes: np.ndarray | None = None, least: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places i > j (i from `fresh` on), and the bits that differ behind the key, of rows of one key with unlike roots that may be
-    similar. Rows are sorted by table and word, so within a key by its further bits, too; i - j is at most `window`."""
+    similar: whose pools differ in at most POOL_BITS bits and whose sets' sizes allow the similarity `least`, or, without pools, by the
+    bits behind the key alone. Rows are sorted by table and word, so within a key by its further bits, too; i - j is at most `window`."""
     behind = np.uint64((1 << (BITS - key_bits)) - 1)
     most = int(REST_SHARE * (BITS - key_bits))
     key = (word.view(np.uint64) ^ np.uint64(1 << 63)) & ~behind
@@ -379,9 +381,13 @@ def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, w
         live = live[(key[live] == key[live - lag]) & (t[live] == t[live - lag])]
         if not len(live):
             break
-        apart = np.bitwise_count((word[live] ^ word[live - lag]).view(np.uint64) & behind)
-        near = (apart <= most) & (root[live] != root[live - lag])
-        found.append((live[near], live[near] - lag, apart[near].astype(np.int64)))
+        unlike = live[root[live] != root[live - lag]]
+        apart = np.bitwise_count((word[unlike] ^ word[unlike - lag]).view(np.uint64) & behind)
+        if pools is None:
+            near = apart <= most
+        else:
+            near = (np.bitwise_count(pools[unlike] ^ pools[unlike - lag]).sum(axis=1, dtype=np.int64) <= POOL_BITS) & (np.minimum(sizes[unlike], sizes[unlike - lag]) >= least * np.maximum(sizes[unlike], sizes[unlike - lag]))
+        found.append((unlike[near], unlike[near] - lag, apart[near].astype(np.int64)))
     if not found:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -398,32 +404,27 @@ def nearest(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, i:
     return np.unique(pair[order[first]])
 
 
-def met_pairs(words: DataFrame, key_bits: int, window: int) -> DataFrame:
-    """a < b: candidates of some tables, the nearest of each root in each of its keys. Rows are dealt by ranges of (table, word, v), so
-    a crowded key is many tasks, and a task holds a batch and the window before it."""
+def met_pairs(words: DataFrame, key_bits: int, window: int, least: float) -> DataFrame:
+    """a < b: candidates of some tables, of what may be similar the nearest of each root in each of its keys. The nearest is taken by the
+    bits behind the key, which every key draws anew: by the whole pool the same pairs would come first in key after key, and hide
+    others. Rows are dealt by ranges of (table, word, v), so a crowded key is many tasks, and a task holds a batch and the window before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int32), *(np.zeros(0, np.int64),) * 3]
+        held = [np.zeros(0, np.int32), *(np.zeros(0, np.int64),) * (4 + WORDS)]
         for batch in batches:
             for a in range(0, batch.num_rows, 4096):
                 part = batch.slice(a, 4096)
                 before = len(held[0])
-                t, word, v, r = held = [np.r_[h, part.column(c).to_numpy()] for c, h in enumerate(held)]
-                i, j, apart = meetings(t, word, r, key_bits, window, before)
+                t, word, v, r, n, *pool = held = [np.r_[h, part.column(c).to_numpy()] for c, h in enumerate(held)]
+                i, j, apart = meetings(t, word, r, key_bits, window, before, np.column_stack(pool).view(np.uint64), n, least)
                 if len(i):
                     kept = nearest(t, word, r, key_bits, i, j, apart)
                     x, y = v[i[kept]], v[j[kept]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
                 held = [h[max(0, len(h) - window) :] for h in held]
 
-    return words.repartitionByRange("t", "word", "v").sortWithinPartitions("t", "word", "v").mapInArrow(run, "a long, b long")
-
-
-def _plausible(pairs: DataFrame, vertices: DataFrame, least: float) -> DataFrame:
-    """The pairs a, b whose pools differ in at most POOL_BITS bits and whose sets' sizes allow the similarity."""
-    side = lambda c: vertices.select(F.col("v").alias(c), F.col("n").alias(f"n{c}"), *[F.col(w).alias(f"{c}_{w}") for w in _WORDS])
-    far = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WORDS), F.lit(0))
-    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where((far <= POOL_BITS) & (F.least("na", "nb") >= least * F.greatest("na", "nb"))).select("a", "b")
+    rows = words.select("t", "word", "v", "r", "n", *_WORDS)
+    return rows.repartitionByRange("t", "word", "v").sortWithinPartitions("t", "word", "v").mapInArrow(run, "a long, b long")
 
 
 def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -451,9 +452,9 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
 
     The pool of WORDS fingerprints is searched by the generalised pigeonhole: bits are grouped by their co-occurrence over all
     vertices, and thresholds that add up to NEAR_BITS are dealt by dynamic programming, so two pools within NEAR_BITS share a key, and
-    most of those beyond do. The keys are taken in rounds. In a key every vertex meets the others, by bits of the other partitions; of
-    what may be similar and has another root, the nearest of each root is a candidate, unless it was met before, and the sets verify
-    it. So a group of near copies is linked by the first keys. A key with more than a window's rows is met in the order of its
+    most of those beyond do. The keys are taken in rounds. In a key every vertex meets the others, by their whole pools and the sizes of
+    their sets; of what may be similar and has another root, the nearest of each root is a candidate, unless it was met before, and the
+    sets verify it. So a group of near copies is linked by the first keys. A key with more than a window's rows is met in the order of its
     further bits, a window at a time.
     """
     spark = docs.sparkSession
@@ -470,16 +471,14 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
         now = vertices.withColumn("r", F.col("v"))
         if links is not None:
             now = vertices.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
-        pairs = met_pairs(key_words(now, keys[done:upto], key_bits), key_bits, window).distinct()
+        pairs = met_pairs(key_words(now, keys[done:upto], key_bits), key_bits, window, least).distinct()
         done = upto
         if tried is not None:
             pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")
         pairs, pairs_path = common.materialize(pairs, "simhash-met")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        likely, likely_path = common.materialize(_plausible(pairs, vertices, least), "simhash-pairs")
-        found = _similar(likely, vertices, docs, shingle, least)
+        found = _similar(pairs, vertices, docs, shingle, least)
         links = found if links is None else links.unionByName(found)
-        common.discard(spark, likely_path)
         before.append(pairs_path)
         roots, _ = components(links)
     common.discard(spark, *before)

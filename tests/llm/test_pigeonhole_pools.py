@@ -49,3 +49,22 @@ def test_words_begin_with_the_key(spark):
         own = dict(keys)[r["t"]]
         word = (r["word"] & (2**64 - 1)) ^ (1 << 63)
         assert word >> 60 == int("".join(str(bits[r["v"], b]) for b in own).ljust(4, "0"), 2)
+
+
+def test_what_meets_in_a_key_is_judged_by_the_whole_pool_and_the_sizes(spark):
+    """Rows of one key: 1 is near 0 by the whole pool, though the bits that the key draws differ; 2 is too small a set for either, and
+    3 is far from all but by the drawn bits."""
+    size = SIZE // 64
+    keys = [(0, list(range(15)))]
+    drawn = np.random.default_rng([5, 0]).choice(np.arange(15, SIZE), 64 - 15, replace=False)
+    rest = np.setdiff1d(np.arange(15, SIZE), drawn)
+    bits = np.zeros((4, SIZE), np.uint8)
+    bits[:, 64 * np.arange(1, size + 1) - 1] = 1  # words are negative as signed numbers
+    bits[1, drawn[:20]] ^= 1
+    bits[3, rest[:100]] ^= 1
+    pools = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+    sizes = [100, 100, 50, 100]
+    rows = [(i, i, sizes[i], *map(int, p)) for i, p in enumerate(pools)]
+    vertices = spark.createDataFrame(rows, "v long, r long, n long, w0 long, w1 long, w2 long, w3 long")
+    got = simhash.met_pairs(simhash.key_words(vertices, keys, 15), 15, 1024, 0.8).collect()
+    assert {tuple(r) for r in got} == {(0, 1)}
