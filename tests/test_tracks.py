@@ -192,3 +192,15 @@ def test_filter_starts_at_the_first_fix(spark):
         off = [math.hypot(r.ekf_x - at(r.t)[0], r.ekf_y - at(r.t)[1]) for r in mine.itertuples()]
         assert max(off) < 6 and max(off[5:]) < 1
         assert mine["ekf_heading"].between(-math.pi, math.pi).all() and abs(abs(mine["ekf_heading"].iloc[-1]) - heading) < 0.05 and abs(mine["ekf_speed"].iloc[-1] - 10) < 0.2
+
+
+def test_a_place_is_searched_once(spark, monkeypatch):
+    """Points that stand still meet the network once for each place, not once for each row; what is chosen stays the same."""
+    edges = spark.createDataFrame([(1, [(0.0, 0.0), (500.0, 0.0)]), (2, [(0.0, 40.0), (500.0, 40.0)])], "edge_id long, coords array<struct<x: double, y: double>>")
+    rows = [("a", i, 100.0 * (i // 100), 5.0 if i < 200 else 38.0) for i in range(300)] + [("b", 0, 9000.0, 9000.0), ("b", 1, None, None)]
+    met = []
+    real = matcher.reachable
+    monkeypatch.setattr(matcher, "reachable", lambda points, *a, **kw: met.append(points.count()) or real(points, *a, **kw))
+    got = {(r["track"], r["ord"]): r["edge_id"] for r in matcher.match_tracks(spark.createDataFrame(rows, "track string, ord long, x double, y double"), edges, block=64).collect()}
+    assert max(met) <= 5
+    assert len(got) == 302 and got["a", 0] == got["a", 199] == 1 and got["b", 0] is None and got["b", 1] is None
