@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraline import scratch
+from terraline.operators import spatial
 
 FEATURES = ["phi_lidar", "tri", "ruggedness", "z_min", "z_max", "z_mean", "z_std", "z_range"]
 
@@ -300,7 +301,8 @@ def grid_features(cells: DataFrame, by: list[str], least_cells: int = 25) -> Dat
 
 
 def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256, tile: int = TILE) -> DataFrame:
-    """Features of each point's patch, from all its finite points. pairs: id_col and the patch's ox, oy, oz (from radius_join).
+    """Features of each point's patch, from all its finite points. pairs: id_col and the patch's ox, oy, oz (from radius_join), and
+    n where a row stands for n points (see counted_places).
 
     Equal positions are counted before they are gathered (of several elevations at one place the lowest stands for it in the
     grid). A patch of up to `tile` places is one group; a larger one is triangulated tile by tile (see tiled_grids), and its grid is
@@ -308,7 +310,8 @@ def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256,
     """
     whole = [F.col(c).cast("double").alias(c) for c in ("ox", "oy", "oz")]
     finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in ("ox", "oy", "oz")]
-    places = pairs.select(id_col, *whole).where(finite[0] & finite[1] & finite[2]).groupBy(id_col, "ox", "oy").agg(F.min("oz").alias("oz"), F.count("*").alias("n"))
+    places = pairs.select(id_col, *whole, *(["n"] if "n" in pairs.columns else [])).where(finite[0] & finite[1] & finite[2])
+    places = places.groupBy(id_col, "ox", "oy").agg(F.min("oz").alias("oz"), (F.sum("n") if "n" in pairs.columns else F.count("*")).alias("n"))
     schema = f"{id_col} {id_type}, " + ", ".join(f"{f} double" for f in FEATURES) + ", n_points_used long"
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -320,8 +323,27 @@ def enrich_terrain(pairs: DataFrame, id_col: str, id_type: str, size: int = 256,
     places = scratch.at_rest(places, "places")
     large = places.groupBy(id_col).agg(F.count("*").alias("__places"), F.sum("n").alias("n_points_used")).where(F.col("__places") > tile)
     large = scratch.at_rest(large.drop("__places"), "large-patches")
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number, as patches are few bytes but much work, and would be put into one task
     if large.isEmpty():
-        return places.groupBy(id_col).applyInPandas(one, schema)
-    small = places.join(large.select(id_col), id_col, "left_anti").groupBy(id_col).applyInPandas(one, schema)
+        return places.repartition(parts, id_col).groupBy(id_col).applyInPandas(one, schema)
+    small = places.join(large.select(id_col), id_col, "left_anti").repartition(parts, id_col).groupBy(id_col).applyInPandas(one, schema)
     grids = scratch.at_rest(tiled_grids(places.join(large.select(id_col), id_col, "left_semi").drop("n"), id_col, id_type, size, tile), "grids")
     return small.unionByName(large.join(grid_features(grids, [id_col]), id_col, "left").select(id_col, *FEATURES, "n_points_used"))
+
+
+def counted_places(cloud: DataFrame) -> DataFrame:
+    """ox, oy, oz, n: the finite points of a cloud, a row a place, with the lowest elevation and the number of points there."""
+    whole = [F.col(c).cast("double").alias(c) for c in ("ox", "oy", "oz")]
+    finite = [F.abs(F.col(c)) < float("inf") for c in ("ox", "oy", "oz")]
+    return cloud.select(*whole).where(finite[0] & finite[1] & finite[2]).groupBy("ox", "oy").agg(F.min("oz").alias("oz"), F.count("*").alias("n"))
+
+
+def patches_around(points: DataFrame, cloud: DataFrame, radius: float, id_col: str, size: int = 256, tile: int = TILE) -> DataFrame:
+    """id_col and the features of the patch around each point (id_col, x, y) that has points of the cloud (ox, oy, oz) within the radius.
+
+    Points of one place share a patch, which is computed once, and meet the cloud's places, not its rows: the pairs grow with the
+    places on both sides, not with the rows that repeat them.
+    """
+    spots = spatial.places(points, ["x", "y"])
+    features = enrich_terrain(spatial.radius_join(spots, counted_places(cloud), radius), "__spot", "long", size, tile)
+    return points.select(id_col, "x", "y").distinct().join(spots, ["x", "y"]).join(features, "__spot").select(id_col, *FEATURES, "n_points_used")

@@ -198,7 +198,7 @@ def cloud_stats(spark, sf_dir):
 @query("terrain_patches")
 def terrain_patches(spark, sf_dir):
     cloud = fixes(spark, sf_dir).select(F.col("x").alias("ox"), F.col("y").alias("oy"), (F.col("x") * 0.1 + F.col("y") * 0.05).alias("oz"))
-    return terrain.enrich_terrain(spatial.radius_join(_points(spark, sf_dir), cloud, 60.0), "pid", "long")
+    return terrain.patches_around(_points(spark, sf_dir), cloud, 60.0, "pid")
 
 
 @query("map_match_tracks")

@@ -92,7 +92,7 @@ def enrich_terrain(rows: DataFrame, cloud: DataFrame, registry: DataFrame, radiu
     interpolated, but for n_points_used. cloud: x, y, z."""
     named = network.device_join(rows.withColumn("__device", device_of(F.col(device))), registry, "__device").drop("__device")
     spots = named.where("x_utm is not null").select(F.xxhash64("x_utm", "y_utm").alias("spot"), F.col("x_utm").alias("x"), F.col("y_utm").alias("y")).distinct()
-    pairs = spatial.radius_join(spots, cloud.select(F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz")), radius)
+    pairs = spatial.radius_join(spots, terrain.counted_places(cloud.select(F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"))), radius)
     features = terrain.enrich_terrain(pairs, "spot", "long", size)
     out = named.withColumn("spot", F.xxhash64("x_utm", "y_utm")).join(features, "spot", "left").drop("spot")
     out = filters.finite_or_null(out, terrain.FEATURES).withColumn("phi_lidar_deg", F.degrees("phi_lidar"))

@@ -60,3 +60,21 @@ def test_features_of_large_and_small_patches(spark):
     assert set(cut) == {1, 2, 3} and cut[1]["n_points_used"] == one[1]["n_points_used"] == 900 and cut[3]["tri"] is None
     for c in terrain.FEATURES:
         assert cut[1][c] == pytest.approx(one[1][c], rel=1e-4, abs=1e-6) and cut[2][c] == one[2][c]
+
+
+def test_repeated_places_make_no_more_pairs(spark, monkeypatch):
+    """Copies of the points and of the cloud's points change only n_points_used; what is joined is places."""
+    rng = np.random.default_rng(6)
+    x, y, z = cloud(rng, "disc", 200)
+    other = spark.createDataFrame([tuple(map(float, p)) for p in zip(x, y, z, strict=True)] + [(0.0, 0.0, float("nan")), (None, 1.0, 1.0)], "ox double, oy double, oz double")
+    points = spark.createDataFrame([(i, 5.0 * (i % 3), 0.0) for i in range(12)] + [(99, 5000.0, 0.0), (100, None, 1.0)], "pid long, x double, y double")
+    pairs = []
+    real = terrain.spatial.radius_join
+    monkeypatch.setattr(terrain.spatial, "radius_join", lambda *a, **kw: pairs.append(real(*a, **kw).count()) or real(*a, **kw))
+    one = {r["pid"]: r for r in terrain.patches_around(points, other, 20.0, "pid", 16).collect()}
+    many = {r["pid"]: r for r in terrain.patches_around(points, other.crossJoin(spark.range(7)).drop("id"), 20.0, "pid", 16).collect()}
+    plain = {r["pid"]: r for r in terrain.enrich_terrain(real(points, other, 20.0), "pid", "long", 16).collect()}
+    assert pairs[0] == pairs[1] <= 3 * 200
+    assert set(one) == set(many) == set(plain) == set(range(12))
+    for i, r in plain.items():
+        assert one[i] == r and many[i]["n_points_used"] == 7 * r["n_points_used"] and many[i][:-1] == r[:-1]
