@@ -45,6 +45,8 @@ REST_SHARE = 0.25
 #: Up to which share of the keys the first rounds go, and how many rows of its key a row meets: few at first, so that near copies are
 #: linked and needn't meet again. The others follow, ROUND keys at a time.
 ROUNDS, ROUND, WINDOW = [(0.05, 8), (0.19, 1024)], 80, 1024
+#: Bits of a set's sketch, and after how many candidates in vain a vertex's rows carry it.
+SKETCH, IN_VAIN = 1024, 3
 _WORDS = [f"w{w}" for w in range(WORDS)]
 _BATCH = 4 << 20
 _BLOCK = 4 << 20
@@ -312,6 +314,13 @@ def pool_of(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * sums > len(hashes), axis=1, bitorder="little").view(np.uint64)[:, 0].view(np.int64)
 
 
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """For each of SKETCH bits whether an odd number of the set's shingles falls to it. A shingle that only one of two sets has changes
+    one bit, so two sketches differ in no more bits than the sets do in shingles."""
+    odd = np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def pool_table(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id, th (hash of the text), v (hash of the shingle set), n (its size) and the fingerprints w0, w1, ... of every row."""
     common.ship(docs.sparkSession)
@@ -346,7 +355,7 @@ def partition_keys(plan: list[tuple[list[int], int]]) -> list[tuple[int, list[in
 
 
 def key_words(vertices: DataFrame, keys: list[tuple[int, list[int]]], key_bits: int) -> DataFrame:
-    """t, word, v, r, w0, w1, ... (and n, where the vertices have it): for each vertex and key a word that begins with the key's bits
+    """t, word, v, r, w0, w1, ... (and n and p, where the vertices have them): for each vertex and key a word that begins with the key's bits
     (filled up with zeros to key_bits) and goes on with bits drawn from the rest of the pool, and the vertex's root and pool."""
     size, picked = BITS * WORDS, []
     for t, bits in keys:
@@ -364,14 +373,15 @@ def key_words(vertices: DataFrame, keys: list[tuple[int, list[int]]], key_bits:
                     word = np.ascontiguousarray(np.packbits(bits[p], axis=0).T).view(">u8")[:, 0].astype(np.uint64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, t, np.int32)), pa.array((word ^ np.uint64(1 << 63)).view(np.int64)), *part.columns], names=["t", "word", *columns])
 
-    columns = ["v", "r", *_WORDS, *(["n"] if "n" in vertices.columns else [])]
-    return vertices.select(*columns).mapInArrow(run, "t int, word long, " + ", ".join(f"{c} long" for c in columns))
+    columns = ["v", "r", *_WORDS, *(c for c in ("n", "p") if c in vertices.columns)]
+    return vertices.select(*columns).mapInArrow(run, "t int, word long, " + ", ".join(f"{c} {'binary' if c == 'p' else 'long'}" for c in columns))
 
 
-def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, window: int, fresh: int, pools: np.ndarray | None = None, sizes: np.ndarray | None = None, least: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, window: int, fresh: int, pools: np.ndarray | None = None, sizes: np.ndarray | None = None, least: float = 0.0, sketches: np.ndarray | None = None, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places i > j (i from `fresh` on), and the bits that differ behind the key, of rows of one key with unlike roots that may be
     similar: whose pools differ in at most POOL_BITS bits and whose sets' sizes allow the similarity `least`, or, without pools, by the
-    bits behind the key alone. Rows are sorted by table and word, so within a key by its further bits, too; i - j is at most `window`."""
+    bits behind the key alone. Where both rows have a sketch (`known`), sets that differ in more shingles than the similarity allows
+    are told by it; no pair of that similarity is. Rows are sorted by table and word, so within a key by its further bits, too; i - j is at most `window`."""
     behind = np.uint64((1 << (BITS - key_bits)) - 1)
     most = int(REST_SHARE * (BITS - key_bits))
     key = (word.view(np.uint64) ^ np.uint64(1 << 63)) & ~behind
@@ -387,6 +397,11 @@ def meetings(t: np.ndarray, word: np.ndarray, root: np.ndarray, key_bits: int, w
             near = apart <= most
         else:
             near = (np.bitwise_count(pools[unlike] ^ pools[unlike - lag]).sum(axis=1, dtype=np.int64) <= POOL_BITS) & (np.minimum(sizes[unlike], sizes[unlike - lag]) >= least * np.maximum(sizes[unlike], sizes[unlike - lag]))
+        if sketches is not None:
+            at = np.flatnonzero(near)
+            at = at[known[unlike[at]] & known[unlike[at] - lag]]
+            x, y = unlike[at], unlike[at] - lag
+            near[at] = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=1, dtype=np.int64) * (1 + least) <= (1 - least) * (sizes[x] + sizes[y]) + 1e-6
         found.append((unlike[near], unlike[near] - lag, apart[near].astype(np.int64)))
     if not found:
         return (np.zeros(0, np.int64),) * 3
@@ -410,41 +425,50 @@ def met_pairs(words: DataFrame, key_bits: int, window: int, least: float) -> Dat
     others. Rows are dealt by ranges of (table, word, v), so a crowded key is many tasks, and a task holds a batch and the window before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int32), *(np.zeros(0, np.int64),) * (4 + WORDS)]
+        held = [np.zeros(0, np.int32), *(np.zeros(0, np.int64),) * (4 + WORDS), np.zeros((0, SKETCH // BITS), np.uint64), np.zeros(0, bool)]
         for batch in batches:
             for a in range(0, batch.num_rows, 4096):
                 part = batch.slice(a, 4096)
                 before = len(held[0])
-                t, word, v, r, n, *pool = held = [np.r_[h, part.column(c).to_numpy()] for c, h in enumerate(held)]
-                i, j, apart = meetings(t, word, r, key_bits, window, before, np.column_stack(pool).view(np.uint64), n, least)
+                own = [part.column(c).to_numpy() for c in range(5 + WORDS)]
+                if carried:
+                    known = part.column("p").is_valid().to_numpy(zero_copy_only=False)
+                    sketches = np.zeros((len(known), SKETCH // BITS), np.uint64)
+                    sketches[known] = np.frombuffer(b"".join(part.column("p").drop_null().to_pylist()), np.uint64).reshape(-1, SKETCH // BITS)
+                    own += [sketches, known]
+                held = [np.concatenate([h, o]) for h, o in zip(held, own, strict=False)]
+                t, word, v, r, n, *pool = held[: 5 + WORDS]
+                i, j, apart = meetings(t, word, r, key_bits, window, before, np.column_stack(pool).view(np.uint64), n, least, *held[5 + WORDS :])
                 if len(i):
                     kept = nearest(t, word, r, key_bits, i, j, apart)
                     x, y = v[i[kept]], v[j[kept]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
                 held = [h[max(0, len(h) - window) :] for h in held]
 
-    rows = words.select("t", "word", "v", "r", "n", *_WORDS)
+    carried = "p" in words.columns
+    rows = words.select("t", "word", "v", "r", "n", *_WORDS, *(["p"] if carried else []))
     return rows.repartitionByRange("t", "word", "v").sortWithinPartitions("t", "word", "v").mapInArrow(run, "a long, b long")
 
 
-def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs a, b whose shingle sets have a Jaccard similarity of at least `least`, by the sets themselves."""
+def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """The pairs a, b whose shingle sets have a Jaccard similarity of at least `least`, by the sets themselves; and v, p (the sketch) of each vertex in pairs."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(vertices.hint("merge"), "v").select("v", F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
     same = F.col("__th").eqNullSafe(F.xxhash64("text")) & F.col("__id").eqNullSafe(F.col("doc_id"))
     texts = docs.select("doc_id", "text").join(wanted.hint("merge"), same).dropDuplicates(["v"]).select("v", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.pieces(batches, "text", _BATCH):
-            sets = [shingle_set(x, shingle).view(np.int64) for x in common.texts_of(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["v", "s"])
+            sets = [shingle_set(x, shingle) for x in common.texts_of(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(map(sketch_of, sets), pa.binary())], names=["v", "s", "p"])
 
-    sets, path = common.materialize(texts.mapInArrow(run, "v long, s array<long>"), "simhash-sets")
+    sets, path = common.materialize(texts.mapInArrow(run, "v long, s array<long>, p binary"), "simhash-sets")
     both = F.size(F.array_intersect("sa", "sb"))
     near = both >= least * (F.size("sa") + F.size("sb") - both)
     side = lambda c: sets.select(F.col("v").alias(c), F.col("s").alias(f"s{c}")).hint("merge")
     found, _ = common.materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b"), "simhash-similar")
+    sketches, _ = common.materialize(sets.select("v", "p"), "simhash-sketches")
     common.discard(docs.sparkSession, path)
-    return found
+    return found, sketches
 
 
 def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -454,14 +478,15 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
     vertices, and thresholds that add up to NEAR_BITS are dealt by dynamic programming, so two pools within NEAR_BITS share a key, and
     most of those beyond do. The keys are taken in rounds. In a key every vertex meets the others, by their whole pools and the sizes of
     their sets; of what may be similar and has another root, the nearest of each root is a candidate, unless it was met before, and the
-    sets verify it. So a group of near copies is linked by the first keys. A key with more than a window's rows is met in the order of its
+    sets verify it. So a group of near copies is linked by the first keys. A vertex whose candidates were IN_VAIN times not similar
+    carries a sketch of its set from then on, so the members of a group that is nearly similar aren't candidates key after key. A key with more than a window's rows is met in the order of its
     further bits, a window at a time.
     """
     spark = docs.sparkSession
     n, both = co_occurrence(vertices.coalesce(4 * spark.sparkContext.defaultParallelism), tuple(_WORDS))
     keys = partition_keys(allocate(n, both, NEAR_BITS, _masked)) if n else []
     key_bits = max((len(bits) for _, bits in keys), default=0)
-    links = tried = None
+    links = tried = sketches = None
     roots = vertices.select("v", F.col("v").alias("root")).limit(0)
     before: list[str] = []
     ends = [(max(i + 1, round(share * len(keys))), window) for i, (share, window) in enumerate(ROUNDS)]
@@ -471,13 +496,18 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
         now = vertices.withColumn("r", F.col("v"))
         if links is not None:
             now = vertices.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
+            vain = tried.join(links.hint("merge"), ["a", "b"], "left_anti")
+            often = vain.select(F.col("a").alias("y")).unionByName(vain.select(F.col("b").alias("y"))).groupBy("y").agg(F.count("*").alias("times")).where(F.col("times") >= IN_VAIN)
+            carried = sketches.dropDuplicates(["v"]).join(often.hint("merge"), F.col("v") == F.col("y")).select("y", "p")
+            now = now.join(carried.hint("merge"), F.col("v") == F.col("y"), "left")
         pairs = met_pairs(key_words(now, keys[done:upto], key_bits), key_bits, window, least).distinct()
         done = upto
         if tried is not None:
             pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")
         pairs, pairs_path = common.materialize(pairs, "simhash-met")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = _similar(pairs, vertices, docs, shingle, least)
+        found, seen = _similar(pairs, vertices, docs, shingle, least)
+        sketches = seen if sketches is None else sketches.unionByName(seen)
         links = found if links is None else links.unionByName(found)
         before.append(pairs_path)
         roots, _ = components(links)
