@@ -78,6 +78,12 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of a plan that is done when the driver collects its garbage, which may be rounds later: collect it now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Numbered(dict):
     """Keys get the next number when they are first looked up."""
 

@@ -46,7 +46,7 @@ REST_SHARE = 0.25
 #: linked and needn't meet again. The others follow, ROUND keys at a time.
 ROUNDS, ROUND, WINDOW = [(0.05, 8), (0.19, 1024)], 80, 1024
 #: Bits of a set's sketch, and after how many candidates in vain a vertex's rows carry it.
-SKETCH, IN_VAIN = 1024, 3
+SKETCH, IN_VAIN = 512, 3
 _WORDS = [f"w{w}" for w in range(WORDS)]
 _BATCH = 4 << 20
 _BLOCK = 4 << 20
@@ -322,10 +322,10 @@ def sketch_of(hashes: np.ndarray) -> bytes:
 
 
 def pool_table(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, th (hash of the text), v (hash of the shingle set), n (its size) and the fingerprints w0, w1, ... of every row."""
+    """doc_id, th (hash of the text), v (hash of the shingle set), n (its size), the fingerprints w0, w1, ... and the sketch p of every row."""
     common.ship(docs.sparkSession)
     frame = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    names = ["doc_id", "th", "v", "n", *_WORDS]
+    names = ["doc_id", "th", "v", "n", *_WORDS, "p"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.pieces(batches, "text", _BATCH):
@@ -333,9 +333,9 @@ def pool_table(docs: DataFrame, shingle: int) -> DataFrame:
             v = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
             words = np.array([pool_of(s) for s in sets]).reshape(len(sets), WORDS)
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(v), sizes, *(pa.array(words[:, w]) for w in range(WORDS))], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(v), sizes, *(pa.array(words[:, w]) for w in range(WORDS)), pa.array(map(sketch_of, sets), pa.binary())], names=names)
 
-    return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in names[1:])]))
+    return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in names[1:-1]), T.StructField("p", T.BinaryType())]))
 
 
 def key_size(n: int) -> tuple[int, int]:
@@ -450,25 +450,24 @@ def met_pairs(words: DataFrame, key_bits: int, window: int, least: float) -> Dat
     return rows.repartitionByRange("t", "word", "v").sortWithinPartitions("t", "word", "v").mapInArrow(run, "a long, b long")
 
 
-def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """The pairs a, b whose shingle sets have a Jaccard similarity of at least `least`, by the sets themselves; and v, p (the sketch) of each vertex in pairs."""
+def _similar(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs a, b whose shingle sets have a Jaccard similarity of at least `least`, by the sets themselves."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(vertices.hint("merge"), "v").select("v", F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
     same = F.col("__th").eqNullSafe(F.xxhash64("text")) & F.col("__id").eqNullSafe(F.col("doc_id"))
     texts = docs.select("doc_id", "text").join(wanted.hint("merge"), same).dropDuplicates(["v"]).select("v", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.pieces(batches, "text", _BATCH):
-            sets = [shingle_set(x, shingle) for x in common.texts_of(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(map(sketch_of, sets), pa.binary())], names=["v", "s", "p"])
+            sets = [shingle_set(x, shingle).view(np.int64) for x in common.texts_of(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["v", "s"])
 
-    sets, path = common.materialize(texts.mapInArrow(run, "v long, s array<long>, p binary"), "simhash-sets")
+    sets, path = common.materialize(texts.mapInArrow(run, "v long, s array<long>"), "simhash-sets")
     both = F.size(F.array_intersect("sa", "sb"))
     near = both >= least * (F.size("sa") + F.size("sb") - both)
     side = lambda c: sets.select(F.col("v").alias(c), F.col("s").alias(f"s{c}")).hint("merge")
     found, _ = common.materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b"), "simhash-similar")
-    sketches, _ = common.materialize(sets.select("v", "p"), "simhash-sketches")
     common.discard(docs.sparkSession, path)
-    return found, sketches
+    return found
 
 
 def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -479,38 +478,42 @@ def similar_roots(vertices: DataFrame, docs: DataFrame, shingle: int, least: flo
     most of those beyond do. The keys are taken in rounds. In a key every vertex meets the others, by their whole pools and the sizes of
     their sets; of what may be similar and has another root, the nearest of each root is a candidate, unless it was met before, and the
     sets verify it. So a group of near copies is linked by the first keys. A vertex whose candidates were IN_VAIN times not similar
-    carries a sketch of its set from then on, so the members of a group that is nearly similar aren't candidates key after key. A key with more than a window's rows is met in the order of its
+    in the first rounds carries a sketch of its set in the others, so the members of a group that is nearly similar aren't candidates key after key. A key with more than a window's rows is met in the order of its
     further bits, a window at a time.
     """
     spark = docs.sparkSession
     n, both = co_occurrence(vertices.coalesce(4 * spark.sparkContext.defaultParallelism), tuple(_WORDS))
     keys = partition_keys(allocate(n, both, NEAR_BITS, _masked)) if n else []
     key_bits = max((len(bits) for _, bits in keys), default=0)
-    links = tried = sketches = None
+    links = tried = None
+    searched = vertices.drop("p")
     roots = vertices.select("v", F.col("v").alias("root")).limit(0)
     before: list[str] = []
     ends = [(max(i + 1, round(share * len(keys))), window) for i, (share, window) in enumerate(ROUNDS)]
     ends += [(min(len(keys), e + ROUND), WINDOW) for e in range(ends[-1][0], len(keys), ROUND)]
     done = 0
-    for upto, window in ends if n else []:
-        now = vertices.withColumn("r", F.col("v"))
+    for i, (upto, window) in enumerate(ends if n else []):
+        now = searched.withColumn("r", F.col("v"))
         if links is not None:
-            now = vertices.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
-            vain = tried.join(links.hint("merge"), ["a", "b"], "left_anti")
-            often = vain.select(F.col("a").alias("y")).unionByName(vain.select(F.col("b").alias("y"))).groupBy("y").agg(F.count("*").alias("times")).where(F.col("times") >= IN_VAIN)
-            carried = sketches.dropDuplicates(["v"]).join(often.hint("merge"), F.col("v") == F.col("y")).select("y", "p")
-            now = now.join(carried.hint("merge"), F.col("v") == F.col("y"), "left")
+            now = searched.join(roots.select(F.col("v").alias("x"), "root").hint("merge"), F.col("v") == F.col("x"), "left").withColumn("r", F.coalesce("root", "v"))
         pairs = met_pairs(key_words(now, keys[done:upto], key_bits), key_bits, window, least).distinct()
         done = upto
         if tried is not None:
             pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")
         pairs, pairs_path = common.materialize(pairs, "simhash-met")
+        common.drop_shuffles(spark)  # of the keys: the largest there are
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found, seen = _similar(pairs, vertices, docs, shingle, least)
-        sketches = seen if sketches is None else sketches.unionByName(seen)
+        found = _similar(pairs, vertices, docs, shingle, least)
         links = found if links is None else links.unionByName(found)
         before.append(pairs_path)
         roots, _ = components(links)
+        if i + 1 == len(ROUNDS) < len(ends):
+            vain = tried.join(links.hint("merge"), ["a", "b"], "left_anti")
+            often = vain.select(F.col("a").alias("y")).unionByName(vain.select(F.col("b").alias("y"))).groupBy("y").agg(F.count("*").alias("times")).where(F.col("times") >= IN_VAIN)
+            sketched = vertices.join(often.hint("merge"), F.col("v") == F.col("y"), "left").withColumn("p", F.when(F.col("y").isNotNull(), F.col("p"))).drop("y", "times")
+            searched, sketched_path = common.materialize(sketched, "simhash-sketched")
+            before.append(sketched_path)
+        common.drop_shuffles(spark)
     common.discard(spark, *before)
     return roots
 
@@ -524,7 +527,7 @@ def first_of_similar(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> D
     """
     rows, path = common.materialize(pool_table(docs, shingle), "simhash-pool")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
-    vertices, vertices_path = common.materialize(rows.groupBy("v").agg(F.min(rank).alias("rep"), F.min("n").alias("n"), *[F.min(w).alias(w) for w in _WORDS]), "simhash-vertices")
+    vertices, vertices_path = common.materialize(rows.groupBy("v").agg(F.min(rank).alias("rep"), F.min("n").alias("n"), *[F.min(w).alias(w) for w in [*_WORDS, "p"]]), "simhash-vertices")
     roots = similar_roots(vertices, docs, shingle, least).withColumnRenamed("v", "x")
     rooted = vertices.join(roots.hint("merge"), F.col("v") == F.col("x"), "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("rep").alias("rep"))
     kept = rooted.select(F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"))
