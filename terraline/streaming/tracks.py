@@ -10,19 +10,23 @@ from __future__ import annotations
 
 import json
 import math
+import pickle
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from terraline import scratch
-from terraline.operators.matcher import Chooser, MatchConfig, reachable, segment_cells
+from terraline.operators.matcher import MatchConfig, lock_step, reachable, segment_cells
 
 
 class InOrder(StatefulProcessor):
@@ -84,77 +88,202 @@ class InOrder(StatefulProcessor):
         yield from self.advance(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
 
 
-class EdgeChoice(InOrder):
-    """The last chosen edges, and the row whose direction isn't known before the next one (with its candidates)."""
+#: A candidate edge of a row in its packed form: the edge's nearest segment, and whether any of its segments is hit.
+NEAR = np.dtype([("edge", "<i8"), ("dist", "<f8"), ("seg", "<i8"), ("qx", "<f8"), ("qy", "<f8"), ("sx", "<f8"), ("sy", "<f8"), ("hit", "?")])
 
-    def __init__(self, held: T.StructType, out: T.StructType, expire_us: int, cfg: MatchConfig) -> None:
-        super().__init__(held, out, expire_us)
-        self.cfg = cfg
 
-    def step(self, memory: dict[str, Any], rows: list[tuple]) -> list[tuple]:
-        _, no, x, y = rows[0][:4]
-        edges: dict[int, list] = {}
-        for _, _, _, _, there, edge, hit, dist, seg, qx, qy, sx, sy in rows:
-            if there:
-                known = edges.setdefault(edge, [False, None])
-                known[0] |= hit
-                known[1] = min(known[1] or (dist, seg, qx, qy, sx, sy), (dist, seg, qx, qy, sx, sy), key=lambda b: b[:2])
-        now = {"row": [no, x, y], "edges": sorted((e, *b) for e, (hit, b) in edges.items() if hit), "move": None, "before": None}
-        if not (held := memory.get("held")):
-            memory["held"] = now
-            return []
-        now["move"] = [x - held["row"][1], y - held["row"][2]]
-        if held["move"] is None:  # the first row copies the second
-            held["move"] = smooth = now["move"]
-        else:
-            smooth = [(a + b + c) / 3 for a, b, c in zip(held["before"], held["move"], now["move"], strict=True)]
-        now["before"] = held["move"]
-        out = self.choose(memory, smooth)
-        memory["held"] = now
-        return out
+def nearest(found: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """found (NEAR, a segment each) as one for each edge of a row, by row and edge: the nearest segment of lowest number; and their rows."""
+    by = np.lexsort((found["seg"], found["dist"], found["edge"], row))
+    found, row = found[by], row[by]
+    head = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (found["edge"][1:] != found["edge"][:-1])][: len(row)])
+    best = found[head]
+    if len(head):
+        best["hit"] = np.logical_or.reduceat(found["hit"], head)
+    return best, row[head]
 
-    def finish(self, memory: dict[str, Any]) -> list[tuple]:
-        return self.choose(memory, memory["held"]["move"] or [0.0, 0.0])
-
-    def choose(self, memory: dict[str, Any], move: list[float]) -> list[tuple]:
-        (no, x, y), edges = memory["held"]["row"], memory["held"]["edges"]
-        chooser = Chooser(self.cfg, memory.get("recent", []))
-        k = chooser.pick([e[0] for e in edges], [self.score(e, *move) for e in edges])
-        memory["recent"] = chooser.recent
-        if k < 0:
-            return [(no, x, y, x, y, None, None)]
-        return [(no, edges[k][3], edges[k][4], x, y, edges[k][0], edges[k][1])]
-
-    def score(self, e: tuple, mx: float, my: float) -> float:
-        apart, cfg = 0.0, self.cfg
-        if math.sqrt(mx**2 + my**2) > 0.5 and math.sqrt(e[5] ** 2 + e[6] ** 2) > 0.1:
-            bearing = lambda dx, dy: (math.degrees(math.atan2(dx, dy)) + 360) % 360
-            d = abs(bearing(mx, my) - bearing(e[5], e[6])) % 360
-            apart = min(1.0, min(d, 360 - d) / 90)
-        return e[1] / cfg.max_dist_m * (1 - cfg.dir_weight) + apart * cfg.dir_weight
-
-
-def match_stream(stream: DataFrame, edges: DataFrame, track: str = "track", order: str = "ord", time: str = "ts", cfg: MatchConfig = MatchConfig(), delay: str = "30 seconds", expire: str = "10 minutes") -> DataFrame:
+
+def with_candidates(rows: DataFrame, cells: DataFrame, cfg: MatchConfig, track: str, time: str) -> DataFrame:
+    """rows (track, time, us, ord, x, y) with near, their candidates packed (NEAR): a row each, but for those that a batch cuts."""
+    found = reachable(rows, cells, cfg, "left").select(*rows.columns, F.col("edge_id").cast("long").alias("edge"), "hit", "best.dist", F.col("best.seg_idx").cast("long").alias("seg"), *[f"best.{c}" for c in ("qx", "qy", "sx", "sy")])
+    return found.mapInArrow(pack(track, time), T.StructType([*rows.schema, T.StructField("near", T.BinaryType())]))
+
+
+def pack(track: str, time: str):
+    """A row with each segment near it becomes a row with its candidates packed. Segments of a row that don't come one after the other
+    (another batch) make a row of their own; who reads them puts them together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = np.logical_or.reduce([pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False) for c in (batch.column(n) for n in (track, "us", "ord", "x", "y"))])
+            there = batch.column("edge").is_valid().to_numpy(zero_copy_only=False)
+            some = batch.filter(pa.array(there))
+            found = np.empty(some.num_rows, NEAR)
+            for c in NEAR.names:
+                found[c] = some.column(c).to_numpy(zero_copy_only=False)
+            best, row = nearest(found, (np.cumsum(new) - 1)[there])
+            ends = np.r_[0, np.cumsum(np.bincount(row, minlength=int(new.sum())))].astype(np.int32) * np.int32(NEAR.itemsize)
+            near = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(best.tobytes())])
+            heads = batch.select([track, time, "us", "ord", "x", "y"]).filter(pa.array(new))
+            yield pa.RecordBatch.from_arrays([*heads.columns, near], names=[*heads.schema.names, "near"])
+
+    return run
+
+
+CHOSEN, HELD, WAITS = 0, 1, 2  # what has become of a row: its edge is out, its direction waits for the next row, its time hasn't come
+GROUPS = 256  # of tracks, each one state
+CONTEXT = 3  # rows of an open track that are kept: the held one and the two before it, as smoothing looks two rows back
+
+
+class EdgeChoice(StatefulProcessor):
+    """Tracks of a group, all at once: the last chosen edges of each, its rows whose time hasn't come, and the row whose direction isn't
+    known before the next one (with its candidates and the two rows before it)."""
+
+    def __init__(self, track: str, out: T.StructType, expire_us: int, cfg: MatchConfig) -> None:
+        self.track, self.out, self.expire_us, self.cfg = track, out, expire_us, cfg
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.memory = handle.getValueState("memory", "packed binary")
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        yield from self.advance([r[[self.track, "us", "ord", "x", "y", "near"]] for r in rows], timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        yield from self.advance([], timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def advance(self, new: list[pd.DataFrame], watermark_us: int) -> Iterator[pd.DataFrame]:
+        state = self.memory.get()
+        old, recent, timer = pickle.loads(state[0]) if state else (None, {}, None)
+        frames = [f[f["us"] >= watermark_us].assign(stage=WAITS) for f in new] + ([] if old is None else [old])
+        out, old, recent = self.go_on(pd.concat(frames, ignore_index=True), recent, watermark_us)
+        due = [*old["us"][old["stage"] == WAITS], *(old["us"][old["stage"] == HELD] + self.expire_us)]
+        now = min(due) // 1000 + 1 if due else None
+        if timer is not None and timer != now:
+            self.handle.deleteTimer(timer)
+        if now is not None and timer != now:
+            self.handle.registerTimer(int(now))
+        if due:
+            self.memory.update((pickle.dumps((old, recent, None if now is None else int(now)), pickle.HIGHEST_PROTOCOL),))
+        elif state:
+            self.memory.clear()
+        if len(out):
+            yield out
+
+    def go_on(self, rows: pd.DataFrame, recent: dict, watermark_us: int) -> tuple[pd.DataFrame, pd.DataFrame, dict]:
+        """The rows that come out, those that stay, and the last chosen edges of the tracks that are open."""
+        rows = whole_rows(rows, self.track)
+        ready = (rows["us"] <= watermark_us).to_numpy()
+        rest, rows = rows[~ready], rows[ready].reset_index(drop=True)
+        n, names, us = len(rows), rows[self.track].to_numpy(), rows["us"].to_numpy()
+        stage, x, y = (rows[c].to_numpy() for c in ("stage", "x", "y"))
+        other = np.r_[True, names[1:] != names[:-1]][:n]
+        head = other.copy()
+        head[1:] |= us[1:] > us[:-1] + self.expire_us  # a silent track was closed
+        first = np.flatnonzero(head)
+        last = np.r_[first[1:], n][: len(first)]  # a visit is first to last
+        visit = np.cumsum(head) - 1
+        is_open = np.r_[other[first[1:]], True][: len(first)] & (us[last - 1] + self.expire_us >= watermark_us)
+        end = np.zeros(n, bool)
+        end[last - 1] = True
+        goes = (stage != CHOSEN) & ~(end & is_open[visit])
+        moves = [self.moved(c, head, end) for c in (x, y)]
+        found = np.frombuffer(b"".join(rows["near"][goes]), NEAR)
+        size = np.array([len(b) for b in rows["near"][goes]], np.int64) // NEAR.itemsize
+        # of rows that came in parts an edge may stand there twice
+        found, row = nearest(found, np.repeat(np.arange(len(size)), size))
+        found, row = found[found["hit"]], row[found["hit"]]
+        until = np.cumsum(np.bincount(row, minlength=len(size)))
+        score = self.scores(found, *(m[goes][row] for m in moves))
+        before = [recent.get(names[a], []) if other[a] else [] for a in first]
+        held = np.array([len(b) for b in before], np.int64)
+        start = np.zeros((len(first), self.cfg.history), np.int64)
+        for i in np.flatnonzero(held):
+            start[i, : held[i]] = before[i]
+        upto = np.r_[0, np.cumsum(goes)]
+        a, z = upto[first], upto[last]
+        picked, _, _, after, after_held = lock_step(found["edge"], score, np.r_[0, until][:-1], until, a, a, z, start, held, self.cfg)
+        there, best = picked >= 0, found[picked[picked >= 0]]
+        out = pd.DataFrame({c: rows[r][goes].to_numpy() for c, r in zip(self.out.names, (self.track, "ord", "x", "y", "x", "y"), strict=False)})
+        for c, v in zip(self.out.names[2:4], ("qx", "qy"), strict=True):
+            out.loc[there, c] = best[v]
+        edge, dist = np.zeros(len(out), np.int64), np.full(len(out), np.nan)
+        edge[there], dist[there] = best["edge"], best["dist"]
+        out[self.out.names[6]] = pd.arrays.IntegerArray(edge, ~there)
+        out[self.out.names[7]] = pd.arrays.FloatingArray(np.where(there, dist, 0.0), ~there)
+        stays = is_open[visit] & (last[visit] - np.arange(n) <= CONTEXT)
+        kept = rows[stays].copy()
+        kept["stage"] = np.where(end[stays], HELD, CHOSEN)
+        kept["near"] = [b if e else b"" for b, e in zip(kept["near"], end[stays], strict=True)]
+        recent = {names[first[i]]: after[i, : after_held[i]].tolist() for i in np.flatnonzero(is_open)}
+        return out, pd.concat([kept, rest], ignore_index=True), recent
+
+    def moved(self, at: np.ndarray, head: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The mean of a row's step and those beside it; the first row copies the second, and both ends are as they are."""
+        if not len(at):
+            return at
+        step = np.diff(at, prepend=at[:1])
+        after = np.r_[step[1:], 0.0]
+        step = np.where(head, np.where(end, 0.0, after), step)
+        return np.where(head | end, step, (np.r_[0.0, step[:-1]] + step + after) / 3)
+
+    def scores(self, found: np.ndarray, mx: np.ndarray, my: np.ndarray) -> np.ndarray:
+        bearing = lambda dx, dy: (np.degrees(np.arctan2(dx, dy)) + 360) % 360
+        d = np.abs(bearing(mx, my) - bearing(found["sx"], found["sy"])) % 360
+        known = (np.sqrt(mx**2 + my**2) > 0.5) & (np.sqrt(found["sx"] ** 2 + found["sy"] ** 2) > 0.1)
+        apart = np.where(known, np.minimum(1.0, np.minimum(d, 360 - d) / 90), 0.0)
+        return found["dist"] / self.cfg.max_dist_m * (1 - self.cfg.dir_weight) + apart * self.cfg.dir_weight
+
+
+def whole_rows(rows: pd.DataFrame, track: str) -> pd.DataFrame:
+    """rows by track and time, those that came in parts made one again; without new rows up to the last one that a track has gone by."""
+    rows = rows.sort_values([track, "us", "ord", "stage", "x", "y"], ignore_index=True)
+    names, us, no, stage, x, y = (rows[c].to_numpy() for c in (track, "us", "ord", "stage", "x", "y"))
+    code = np.cumsum(np.r_[True, names[1:] != names[:-1]][: len(rows)]) - 1
+    by = np.full(len(rows), -1)  # a track's last row gone by
+    seen = np.flatnonzero(stage != WAITS)
+    by[code[seen]] = seen
+    by = by[code]
+    late = (stage == WAITS) & (by >= 0) & ((us < us[by]) | ((us == us[by]) & (no <= no[by])))
+    if late.any():
+        return whole_rows(rows[~late], track)
+    head = np.ones(len(rows), bool)
+    head[1:] = (code[1:] != code[:-1]) | (us[1:] != us[:-1]) | (no[1:] != no[:-1])
+    if head.all():
+        return rows
+    first = np.flatnonzero(head)
+    of = first[np.cumsum(head) - 1]
+    same = (x == x[of]) & (y == y[of])  # of two places in one moment the first counts
+    near = rows["near"].tolist()
+    parts = np.flatnonzero(same & ~head)
+    for i in parts:
+        near[of[i]] += near[i]
+    return rows.assign(near=near)[head].reset_index(drop=True)
+
+
+def match_stream(stream: DataFrame, edges: DataFrame, track: str = "track", order: str = "ord", time: str = "ts", cfg: MatchConfig = MatchConfig(), delay: str = "30 seconds", expire: str = "10 minutes", groups: int = GROUPS) -> DataFrame:
     """match_tracks over a stream: track, order, x, y, x_raw, y_raw, edge_id, dist_to_road_m.
 
     stream: track, order (whole numbers that rise with the time), time, x, y; rows that lack one of them are left out. A row is
     returned when the track's next one has passed the watermark, as its direction needs both neighbours; the last one when the track
-    is closed. Smoothing (smooth_min_run above 1) looks forward without bound and is not done.
+    is closed. Smoothing (smooth_min_run above 1) looks forward without bound and is not done. Tracks are dealt to a number of groups,
+    whose rows are chosen in lock step; it must stay the same as long as a checkpoint is used.
     """
     scratch.send_code(stream.sparkSession)
     cells = scratch.at_rest(segment_cells(edges, cfg.max_dist_m), "segment-cells")
     whole = stream.where(" and ".join(f"`{c}` is not null" for c in (track, order, time, "x", "y")))
-    rows = whole.withWatermark(time, delay).select(track, F.col(order).cast("long").alias("ord"), time, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    near = reachable(rows, cells, cfg, "left")
-    zero = lambda c, v: F.coalesce(F.col(c), F.lit(v))  # noqa: E731  no nulls in numbers: pandas would make floats of ids
-    flat = near.select(
-        track, time, F.unix_micros(F.col(time).cast("timestamp")).alias("us"), "ord", "x", "y", F.col("edge_id").isNotNull().alias("there"), zero("edge_id", 0).cast("long").alias("edge"), zero("hit", False).alias("hit"), zero("best.dist", 0.0).alias("dist"),
-        zero("best.seg_idx", 0).cast("long").alias("seg"), *[zero(f"best.{c}", 0.0).alias(c) for c in ("qx", "qy", "sx", "sy")],
-    )
-    held = T.StructType([T.StructField(f.name, f.dataType) for f in flat.schema if f.name not in (track, time)])
+    rows = whole.select(track, time, F.unix_micros(F.col(time).cast("timestamp")).alias("us"), F.col(order).cast("long").alias("ord"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    group = F.pmod(F.xxhash64(track), F.lit(groups)).alias("__group")
+    flat = with_candidates(rows, cells, cfg, track, time).withWatermark(time, delay).select("*", group)
     double = ["x", "y", "x_raw", "y_raw"]
     out = T.StructType([stream.schema[track], T.StructField(order, T.LongType()), *(T.StructField(c, T.DoubleType()) for c in double), T.StructField("edge_id", T.LongType()), T.StructField("dist_to_road_m", T.DoubleType())])
-    return flat.groupBy(track).transformWithState(EdgeChoice(held, out, micros(expire), cfg), out, "append", "EventTime")
+    return flat.groupBy("__group").transformWithStateInPandas(EdgeChoice(track, out, micros(expire), cfg), out, "append", "EventTime")
 
 
 class GapSegments(InOrder):
