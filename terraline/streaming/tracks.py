@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import math
 import pickle
+import uuid
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -104,35 +105,62 @@ def nearest(found: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def with_candidates(rows: DataFrame, cells: DataFrame, cfg: MatchConfig, track: str, time: str) -> DataFrame:
-    """rows (track, time, us, ord, x, y) with near, their candidates packed (NEAR): a row each, but for those that a batch cuts."""
-    found = reachable(rows, cells, cfg, "left").select(*rows.columns, F.col("edge_id").cast("long").alias("edge"), "hit", "best.dist", F.col("best.seg_idx").cast("long").alias("seg"), *[f"best.{c}" for c in ("qx", "qy", "sx", "sy")])
-    return found.mapInArrow(pack(track, time), T.StructType([*rows.schema, T.StructField("near", T.BinaryType())]))
+    """rows (track, time, us, ord, x, y) with near, their candidates packed (NEAR): a row each, but for those that a batch cuts.
 
+    Rows of one place within a batch are joined as one, SPOT at most, and are rows again when the candidates are packed."""
+    kinds = T.StructType([*rows.schema])
+    those = T.StructType([f for f in kinds if f.name not in ("x", "y")])
+    spots = rows.mapInArrow(gather(those.names), T.StructType([T.StructField("spot", T.BinaryType()), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType()), T.StructField("rows", T.ArrayType(those))]))
+    found = reachable(spots, cells, cfg, "left").select(*spots.columns, F.col("edge_id").cast("long").alias("edge"), "hit", "best.dist", F.col("best.seg_idx").cast("long").alias("seg"), *[f"best.{c}" for c in ("qx", "qy", "sx", "sy")])
+    return found.mapInArrow(pack, T.StructType([*those, T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType()), T.StructField("near", T.BinaryType())]))
 
-def pack(track: str, time: str):
-    """A row with each segment near it becomes a row with its candidates packed. Segments of a row that don't come one after the other
-    (another batch) make a row of their own; who reads them puts them together."""
+
+def gather(names: list[str]):
+    """Rows of one place in a batch as one row with all of them, and a name that no other has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = np.ones(batch.num_rows, bool)
-            new[1:] = np.logical_or.reduce([pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False) for c in (batch.column(n) for n in (track, "us", "ord", "x", "y"))])
-            there = batch.column("edge").is_valid().to_numpy(zero_copy_only=False)
-            some = batch.filter(pa.array(there))
-            found = np.empty(some.num_rows, NEAR)
-            for c in NEAR.names:
-                found[c] = some.column(c).to_numpy(zero_copy_only=False)
-            best, row = nearest(found, (np.cumsum(new) - 1)[there])
-            ends = np.r_[0, np.cumsum(np.bincount(row, minlength=int(new.sum())))].astype(np.int32) * np.int32(NEAR.itemsize)
-            near = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(best.tobytes())])
-            heads = batch.select([track, time, "us", "ord", "x", "y"]).filter(pa.array(new))
-            yield pa.RecordBatch.from_arrays([*heads.columns, near], names=[*heads.schema.names, "near"])
+            x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+            by = np.lexsort((y, x))
+            x, y = x[by], y[by]
+            new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])][: len(x)]
+            start = np.flatnonzero(new)
+            new[np.arange(len(x)) - start[np.cumsum(new) - 1] & (SPOT - 1) == 0] = True
+            start = np.flatnonzero(new)
+            batch = batch.take(pa.array(by))
+            each = pa.StructArray.from_arrays([batch.column(c) for c in names], names)
+            spot, run_id = range(len(start)), uuid.uuid4().bytes
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([run_id + i.to_bytes(4, "big") for i in spot], pa.binary()), pa.array(x[start]), pa.array(y[start]), pa.ListArray.from_arrays(pa.array(np.r_[start, len(x)].astype(np.int32)), each)], names=["spot", "x", "y", "rows"]
+            )
 
     return run
 
 
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places, each with a segment near it, become their rows with the place's candidates packed. Segments of a place that don't come one
+    after the other (another batch) make rows of their own; who reads them puts them together."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = pc.not_equal(batch.column("spot")[1:], batch.column("spot")[:-1]).to_numpy(zero_copy_only=False)
+        there = batch.column("edge").is_valid().to_numpy(zero_copy_only=False)
+        some = batch.select(NEAR.names).filter(pa.array(there))
+        found = np.empty(some.num_rows, NEAR)
+        for c in NEAR.names:
+            found[c] = some.column(c).to_numpy(zero_copy_only=False)
+        best, spot = nearest(found, (np.cumsum(new) - 1)[there])
+        ends = np.r_[0, np.cumsum(np.bincount(spot, minlength=int(new.sum())))].astype(np.int32) * np.int32(NEAR.itemsize)
+        near = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(best.tobytes())])
+        heads = batch.select(["x", "y", "rows"]).filter(pa.array(new))
+        each, of = pc.list_flatten(heads.column("rows")), pc.list_parent_indices(heads.column("rows"))
+        for k in range(0, len(each), 10_000):
+            part, its = each.slice(k, 10_000), of.slice(k, 10_000)
+            yield pa.RecordBatch.from_arrays([*part.flatten(), *(c.take(its) for c in (heads.column("x"), heads.column("y"), near))], names=[*(f.name for f in part.type), "x", "y", "near"])
+
+
+SPOT = 64  # rows of a place that are joined as one; a power of two
 CHOSEN, HELD, WAITS = 0, 1, 2  # what has become of a row: its edge is out, its direction waits for the next row, its time hasn't come
 GROUPS = 256  # of tracks, each one state
 CONTEXT = 3  # rows of an open track that are kept: the held one and the two before it, as smoothing looks two rows back
